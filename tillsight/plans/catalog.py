@@ -11,9 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.operators import (affinity, customers, dashboard, retention, revenue, rolling,
-                                 segments)
-from tillsight.sources.model import TESTDATA_AS_OF, Star
+from tillsight.operators import (affinity, customers, dashboard, funnel, prep, quality,
+                                 retention, revenue, rolling, segments)
+from tillsight.sources.model import (TESTDATA_AS_OF, TESTDATA_SCD_EFFECTIVE, Star,
+                                     first_order_channel_snapshot)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,3 +118,49 @@ def c7_category_margin_share(spark, sf_dir):
     s = _star(spark, sf_dir)
     return revenue.category_margin_share(s.items, s.products)
 
+
+
+@register
+def c1_dim_date(spark, sf_dir):
+    return prep.dim_date_build(_star(spark, sf_dir).orders_base)
+
+
+@register
+def c2_first_order_flag(spark, sf_dir):
+    return prep.first_order_flag(_star(spark, sf_dir).orders_base).select(
+        "order_id", "customer_key", "order_date", "is_first_order")
+
+
+@register
+def c3_scd2_apply(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return prep.scd2_apply(s.customers, first_order_channel_snapshot(spark, sf_dir),
+                           natural_key="customer_id", surrogate_key="customer_key",
+                           tracked=["acquisition_channel"], effective=TESTDATA_SCD_EFFECTIVE)
+
+
+@register
+def c4_dq_checks(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return quality.dq_checks(s.orders_base, s.items, s.customers, s.products)
+
+
+@register
+def c5_surrogate_keys(spark, sf_dir):
+    return prep.assign_surrogate_keys(_star(spark, sf_dir).events, "session_id", "session_key")
+
+
+@register
+def c6_funnel_counts(spark, sf_dir):
+    return funnel.funnel_counts(_star(spark, sf_dir).events)
+
+
+@register
+def c6_funnel_sessions(spark, sf_dir):
+    return funnel.funnel_sessions(_star(spark, sf_dir).events)
+
+
+@register
+def c8_order_arithmetic_check(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return quality.order_arithmetic_check(s.orders_base, s.items)

@@ -397,3 +397,193 @@ SELECT per_cat.category, CAST(per_cat.margin AS DOUBLE) AS gross_margin,
        {pct('per_cat.orders', 'tot.orders', 1, 0, 0)} AS order_share_pct
 FROM per_cat, tot ORDER BY gross_margin DESC
 """)
+
+ORACLE["c1_dim_date"] = _q("""
+bounds AS (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM fact_orders_base),
+days AS (SELECT CAST(d AS DATE) AS full_date
+         FROM bounds, generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                                      INTERVAL 1 DAY) AS t(d))
+SELECT CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER)
+         AS date_key,
+       full_date,
+       CAST(year(full_date) AS INTEGER) AS year,
+       CAST(quarter(full_date) AS INTEGER) AS quarter,
+       CAST(month(full_date) AS INTEGER) AS month,
+       strftime(full_date, '%B') AS month_name,
+       CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
+       CAST(dayofweek(full_date) AS INTEGER) AS day_of_week,
+       strftime(full_date, '%A') AS day_name,
+       dayofweek(full_date) IN (0, 6) AS is_weekend,
+       (month(full_date) = 1 AND day(full_date) = 1) AS is_holiday
+FROM days
+""")
+
+ORACLE["c2_first_order_flag"] = _q("""
+SELECT order_id, customer_key, order_date, is_first_order FROM fact_orders
+""")
+
+ORACLE["c3_scd2_apply"] = _q(f"""
+dim AS (
+  SELECT customer_key, customer_id, first_name, last_name,
+         lower(replace(first_name, '#', '.')) || '@example.com' AS email,
+         country, country AS city, age_band, acquisition_channel,
+         DATE '1992-01-01' AS effective_date, CAST(NULL AS DATE) AS expiry_date,
+         TRUE AS is_current
+  FROM dim_customer),
+first_order AS (
+  SELECT o_custkey, o_orderpriority,
+         ROW_NUMBER() OVER (PARTITION BY o_custkey
+                            ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS rn
+  FROM orders),
+snap AS (
+  SELECT 'C' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS customer_id,
+         lower(o_orderpriority) AS new_channel
+  FROM first_order WHERE rn = 1),
+j AS (
+  SELECT d.*, s.customer_id AS snap_id, s.new_channel
+  FROM dim d FULL OUTER JOIN snap s ON d.customer_id = s.customer_id),
+kept AS (
+  SELECT customer_key, customer_id, first_name, last_name, email, country, city, age_band,
+         acquisition_channel, effective_date, expiry_date, is_current
+  FROM j WHERE customer_key IS NOT NULL
+           AND (snap_id IS NULL OR acquisition_channel IS NOT DISTINCT FROM new_channel)),
+closed AS (
+  SELECT customer_key, customer_id, first_name, last_name, email, country, city, age_band,
+         acquisition_channel, effective_date, DATE '2001-09-01' AS expiry_date,
+         FALSE AS is_current
+  FROM j WHERE customer_key IS NOT NULL AND snap_id IS NOT NULL
+           AND acquisition_channel IS DISTINCT FROM new_channel),
+opened AS (
+  SELECT (SELECT MAX(customer_key) FROM dim)
+           + ROW_NUMBER() OVER (ORDER BY coalesce(customer_id, snap_id)) AS customer_key,
+         coalesce(customer_id, snap_id) AS customer_id, first_name, last_name, email,
+         country, city, age_band, new_channel AS acquisition_channel,
+         DATE '2001-09-01' AS effective_date, CAST(NULL AS DATE) AS expiry_date,
+         TRUE AS is_current
+  FROM j WHERE snap_id IS NOT NULL
+           AND (customer_key IS NULL OR acquisition_channel IS DISTINCT FROM new_channel))
+SELECT * FROM kept UNION ALL SELECT * FROM closed UNION ALL SELECT * FROM opened
+""")
+
+
+def _dq_union(rows: list[tuple[str, str, str, str, str]]) -> str:
+    """rows = (rule, table, column, checked-rows SQL, violations SQL)."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{r}' AS rule, '{t}' AS table_name, '{c}' AS column_name, "
+        f"CAST(({n}) AS BIGINT) AS checked_rows, CAST(({v}) AS BIGINT) AS violations"
+        for r, t, c, n, v in rows)
+
+
+def _nn(table: str, cols: list[str]) -> list[tuple[str, str, str, str, str]]:
+    return [("not_null", table, c, f"SELECT COUNT(*) FROM {table}",
+             f"SELECT COUNT(*) FROM {table} WHERE {c} IS NULL") for c in cols]
+
+
+def _len(table: str, limits: dict[str, int]) -> list[tuple[str, str, str, str, str]]:
+    return [(f"max_length_{n}", table, c, f"SELECT COUNT(*) FROM {table}",
+             f"SELECT COUNT(*) FROM {table} WHERE length({c}) > {n}") for c, n in limits.items()]
+
+
+def _uniq(table: str, key: str) -> tuple[str, str, str, str, str]:
+    return ("unique", table, key, f"SELECT COUNT(*) FROM {table}",
+            f"SELECT coalesce(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM {table} "
+            f"GROUP BY {key} HAVING COUNT(*) > 1)")
+
+
+def _ref(table: str, fk: str, parent: str, pk: str) -> tuple[str, str, str, str, str]:
+    return (f"references_{pk}", table, fk, f"SELECT COUNT(*) FROM {table}",
+            f"SELECT COUNT(*) FROM {table} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})")
+
+
+_DQ_VIEWS = """
+dq_orders AS (SELECT * FROM fact_orders_base),
+dq_items AS (SELECT * FROM fact_order_items),
+dq_customers AS (SELECT *, lower(replace(first_name, '#', '.')) || '@example.com' AS email
+                 FROM dim_customer),
+dq_products AS (SELECT *, 'P' || lpad(CAST(product_key AS VARCHAR), 6, '0') AS product_id
+                FROM dim_product)
+"""
+
+ORACLE["c4_dq_checks"] = _q(_DQ_VIEWS + _dq_union(
+    [_uniq("dq_orders", "order_id"), _uniq("dq_customers", "customer_key"),
+     _uniq("dq_products", "product_key")]
+    + _nn("dq_orders", ["order_id", "order_status", "net_revenue", "gross_revenue"])
+    + _len("dq_orders", {"order_status": 20})
+    + [("allowed_values", "dq_orders", "order_status", "SELECT COUNT(*) FROM dq_orders",
+        "SELECT COUNT(*) FROM dq_orders WHERE order_status IS NOT NULL AND order_status "
+        "NOT IN ('completed', 'refunded', 'cancelled')")]
+    + _nn("dq_items", ["order_id", "quantity", "line_revenue", "line_cost"])
+    + _nn("dq_customers", ["customer_id", "first_name", "last_name", "email", "country"])
+    + _len("dq_customers", {"customer_id": 20, "first_name": 100, "last_name": 100,
+                            "email": 255, "country": 100})
+    + _nn("dq_products", ["product_id", "product_name", "category", "brand"])
+    + _len("dq_products", {"product_id": 20, "product_name": 200, "category": 100,
+                           "brand": 100})
+    + [_ref("dq_orders", "customer_key", "dq_customers", "customer_key"),
+       _ref("dq_items", "product_key", "dq_products", "product_key"),
+       _ref("dq_items", "order_id", "dq_orders", "order_id")]
+).replace("dq_orders'", "fact_orders'").replace("dq_items'", "fact_order_items'")
+ .replace("dq_customers'", "dim_customer'").replace("dq_products'", "dim_product'"))
+
+ORACLE["c5_surrogate_keys"] = _q("""
+SELECT session_id, CAST(ROW_NUMBER() OVER (ORDER BY session_id) AS BIGINT) AS session_key
+FROM (SELECT DISTINCT session_id FROM fact_events)
+""")
+
+ORACLE["c6_funnel_counts"] = _q(f"""
+steps AS (SELECT * FROM (VALUES (1, 'pageview'), (2, 'add_to_cart'), (3, 'checkout'),
+                                (4, 'purchase')) AS t(step_order, event_type)),
+per_type AS (
+  SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT session_id) AS sessions,
+         COUNT(DISTINCT customer_key) AS customers
+  FROM fact_events GROUP BY event_type),
+j AS (
+  SELECT CAST(s.step_order AS BIGINT) AS step_order, s.event_type,
+         CAST(coalesce(p.events, 0) AS BIGINT) AS events,
+         CAST(coalesce(p.sessions, 0) AS BIGINT) AS sessions,
+         CAST(coalesce(p.customers, 0) AS BIGINT) AS customers
+  FROM steps s LEFT JOIN per_type p ON s.event_type = p.event_type),
+l AS (SELECT *, LAG(events) OVER (ORDER BY step_order) AS prev FROM j)
+SELECT step_order, event_type, events, sessions, customers,
+       {pct('events', 'prev', 1, 0, 0)} AS pct_of_previous
+FROM l ORDER BY step_order
+""")
+
+ORACLE["c6_funnel_sessions"] = _q(f"""
+r1 AS (SELECT session_id, MIN(event_ts) AS t FROM fact_events
+       WHERE event_type = 'pageview' GROUP BY session_id),
+r2 AS (SELECT e.session_id, MIN(e.event_ts) AS t FROM fact_events e
+       JOIN r1 ON e.session_id = r1.session_id AND e.event_ts >= r1.t
+       WHERE e.event_type = 'add_to_cart' GROUP BY e.session_id),
+r3 AS (SELECT e.session_id, MIN(e.event_ts) AS t FROM fact_events e
+       JOIN r2 ON e.session_id = r2.session_id AND e.event_ts >= r2.t
+       WHERE e.event_type = 'checkout' GROUP BY e.session_id),
+r4 AS (SELECT e.session_id, MIN(e.event_ts) AS t FROM fact_events e
+       JOIN r3 ON e.session_id = r3.session_id AND e.event_ts >= r3.t
+       WHERE e.event_type = 'purchase' GROUP BY e.session_id),
+c AS (SELECT 1 AS step_order, 'pageview' AS event_type, COUNT(*) AS n FROM r1
+      UNION ALL SELECT 2, 'add_to_cart', COUNT(*) FROM r2
+      UNION ALL SELECT 3, 'checkout', COUNT(*) FROM r3
+      UNION ALL SELECT 4, 'purchase', COUNT(*) FROM r4),
+l AS (SELECT *, LAG(n) OVER (ORDER BY step_order) AS prev,
+             FIRST_VALUE(n) OVER (ORDER BY step_order) AS first FROM c)
+SELECT CAST(step_order AS BIGINT) AS step_order, event_type,
+       CAST(n AS BIGINT) AS sessions_reached,
+       {pct('n', 'prev', 1, 0, 0)} AS pct_of_previous,
+       {pct('n', 'first', 1, 0, 0)} AS pct_of_first
+FROM l ORDER BY step_order
+""")
+
+ORACLE["c8_order_arithmetic_check"] = _q(_dq_union([
+    ("net_equals_gross_minus_discount", "fact_orders", "net_revenue",
+     "SELECT COUNT(*) FROM fact_orders_base",
+     "SELECT COUNT(*) FROM fact_orders_base "
+     "WHERE net_revenue <> gross_revenue - coalesce(discount_amount, 0)"),
+    ("margin_equals_revenue_minus_cost", "fact_order_items", "line_margin",
+     "SELECT COUNT(*) FROM fact_order_items_m",
+     "SELECT COUNT(*) FROM fact_order_items_m WHERE line_margin <> line_revenue - line_cost"),
+    ("order_has_lines", "fact_orders", "order_id", "SELECT COUNT(*) FROM fact_orders_base",
+     "SELECT COUNT(*) FROM fact_orders_base o WHERE NOT EXISTS "
+     "(SELECT 1 FROM fact_order_items i WHERE i.order_id = o.order_id)"),
+]))

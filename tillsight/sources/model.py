@@ -220,3 +220,19 @@ class Star:
     @property
     def events(self) -> DataFrame:
         return fact_events(self.spark, self.sf_dir)
+
+
+# Effective date of the re-attribution snapshot applied by the SCD2 query.
+TESTDATA_SCD_EFFECTIVE = _dt.date(2001, 9, 1)
+
+
+def first_order_channel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot for SCD2: each ordering customer's acquisition channel
+    re-attributed to the priority of their first order (grouped min, no
+    per-customer sort)."""
+    o = read_table(spark, sf_dir, "orders")
+    first = o.groupBy("o_custkey").agg(
+        F.min(F.struct(F.to_date("o_orderdate").alias("d"), F.col("o_orderkey").alias("k"),
+                       F.col("o_orderpriority").alias("p"))).alias("_f"))
+    return first.select(padded_id("C", F.col("o_custkey")).alias("customer_id"),
+                        F.lower(F.col("_f.p")).alias("acquisition_channel"))
