@@ -236,3 +236,11 @@ def first_order_channel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("o_orderpriority").alias("p"))).alias("_f"))
     return first.select(padded_id("C", F.col("o_custkey")).alias("customer_id"),
                         F.lower(F.col("_f.p")).alias("acquisition_channel"))
+
+
+def attach_order_date(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Star join of stored orders with the date dimension (inner, as the
+    reference joins): adds ``order_date``.  The calendar holds one row per
+    day, so its size is bounded by the day span and it is broadcast."""
+    dates = dim_date.select("date_key", F.col("full_date").alias("order_date"))
+    return orders.join(F.broadcast(dates), "date_key")
