@@ -16,56 +16,63 @@ RESULT_COLS = ["rule", "table_name", "column_name", "checked_rows", "violations"
 
 
 def _rows_from_agg(agg: DataFrame, specs: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Unpivot a one-row aggregate into rule rows; specs = (rule, table, column, agg col)."""
-    parts = [agg.select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
-                        F.lit(column).alias("column_name"),
-                        F.col("_checked").cast("long").alias("checked_rows"),
-                        F.col(src).cast("long").alias("violations"))
-             for rule, table, column, src in specs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def column_rules(df: DataFrame, table: str, not_null: Sequence[str] = (),
-                 max_length: dict[str, int] | None = None,
-                 allowed: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """NOT NULL, VARCHAR(n) length and value-domain rules in one pass over ``df``."""
-    aggs, specs = [F.count(F.lit(1)).alias("_checked")], []
+    """Unpivot a one-row aggregate into rule rows; specs = (rule, table, column, agg col).
+
+    One explode over an array of structs, so the aggregate is computed once.
+    """
+    rules = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
+                               F.lit(column).alias("column_name"),
+                               F.col("_checked").cast("long").alias("checked_rows"),
+                               F.col(src).cast("long").alias("violations"))
+                      for rule, table, column, src in specs])
+    return agg.select(F.explode(rules).alias("_r")).select("_r.*")
+
+
+def table_rules(df: DataFrame, table: str, key: Sequence[str] | str | None = None,
+                not_null: Sequence[str] = (), max_length: dict[str, int] | None = None,
+                allowed: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """Primary-key uniqueness, NOT NULL, VARCHAR(n) length and value-domain
+    rules of one table in a single scan.
+
+    With a key, rows are first grouped by it (partial aggregation map-side, so
+    a heavily duplicated key collapses before the shuffle) carrying the rule
+    counts, then summed globally; without a key it is one global aggregate.
+    """
+    conds, specs = [], []
     for i, c in enumerate(not_null):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_nn{i}"))
+        conds.append((f"_nn{i}", F.col(c).isNull()))
         specs.append(("not_null", table, c, f"_nn{i}"))
     for i, (c, n) in enumerate((max_length or {}).items()):
-        aggs.append(F.count_if(F.length(F.col(c)) > n).alias(f"_len{i}"))
+        conds.append((f"_len{i}", F.length(F.col(c)) > n))
         specs.append((f"max_length_{n}", table, c, f"_len{i}"))
     for i, (c, values) in enumerate((allowed or {}).items()):
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*values)).alias(f"_dom{i}"))
+        conds.append((f"_dom{i}", F.col(c).isNotNull() & ~F.col(c).isin(*values)))
         specs.append(("allowed_values", table, c, f"_dom{i}"))
-    return _rows_from_agg(df.agg(*aggs), specs)
-
-
-def unique_rule(df: DataFrame, table: str, key: Sequence[str] | str) -> DataFrame:
-    """Rows whose key value is shared with another row (primary-key check)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    agg = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_checked"),
-                F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_dup"))
-    return _rows_from_agg(agg, [("unique", table, ",".join(keys), "_dup")])
+    counts = [F.count_if(cond).alias(name) for name, cond in conds]
+    if key is None:
+        agg = df.agg(F.count(F.lit(1)).alias("_checked"), *counts)
+    else:
+        keys = [key] if isinstance(key, str) else list(key)
+        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
+        agg = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_checked"),
+                    F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_dup"),
+                    *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name, _ in conds])
+        specs = [("unique", table, ",".join(keys), "_dup")] + specs
+    return _rows_from_agg(agg, specs)
 
 
 def reference_rule(child: DataFrame, table: str, fk: str, parent: DataFrame,
                    pk: str) -> DataFrame:
-    """Non-null foreign keys with no parent row (orphans), by anti join."""
-    c = child.select(F.col(fk).alias("_fk"))
-    orphans = c.filter(F.col("_fk").isNotNull()).join(
-        parent.select(F.col(pk).alias("_fk")), "_fk", "left_anti")
-    checked = c.agg(F.count(F.lit(1)).alias("_checked"))
-    bad = orphans.agg(F.count(F.lit(1)).alias("_orphans"))
-    # two one-row aggregates combined through a union and a global aggregate
-    both = checked.withColumn("_orphans", F.lit(None).cast("long")).unionByName(
-        bad.withColumn("_checked", F.lit(None).cast("long")))
-    agg = both.agg(F.max("_checked").alias("_checked"), F.max("_orphans").alias("_orphans"))
+    """Non-null foreign keys with no parent row (orphans).
+
+    The parent's distinct keys (an aggregate, hash-partitioned on the key,
+    which the join then reuses) are left-joined to the child's key column;
+    one aggregate counts child rows and orphans.
+    """
+    keys = parent.select(F.col(pk).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
+    j = child.select(F.col(fk).alias("_pk")).join(keys, "_pk", "left")
+    agg = j.agg(F.count(F.lit(1)).alias("_checked"),
+                F.count_if(F.col("_pk").isNotNull() & F.col("_hit").isNull()).alias("_orphans"))
     return _rows_from_agg(agg, [(f"references_{pk}", table, fk, "_orphans")])
 
 
@@ -73,23 +80,20 @@ def dq_checks(orders: DataFrame, items: DataFrame, customers: DataFrame,
               products: DataFrame) -> DataFrame:
     """C4: the schema's keys, NOT NULLs, lengths and foreign keys as checks."""
     parts = [
-        unique_rule(orders, "fact_orders", "order_id"),
-        unique_rule(customers, "dim_customer", "customer_key"),
-        unique_rule(products, "dim_product", "product_key"),
-        column_rules(orders, "fact_orders",
-                     not_null=["order_id", "order_status", "net_revenue", "gross_revenue"],
-                     max_length={"order_status": 20},
-                     allowed={"order_status": ["completed", "refunded", "cancelled"]}),
-        column_rules(items, "fact_order_items",
-                     not_null=["order_id", "quantity", "line_revenue", "line_cost"]),
-        column_rules(customers, "dim_customer",
-                     not_null=["customer_id", "first_name", "last_name", "email", "country"],
-                     max_length={"customer_id": 20, "first_name": 100, "last_name": 100,
-                                 "email": 255, "country": 100}),
-        column_rules(products, "dim_product",
-                     not_null=["product_id", "product_name", "category", "brand"],
-                     max_length={"product_id": 20, "product_name": 200, "category": 100,
-                                 "brand": 100}),
+        table_rules(orders, "fact_orders", key="order_id",
+                    not_null=["order_id", "order_status", "net_revenue", "gross_revenue"],
+                    max_length={"order_status": 20},
+                    allowed={"order_status": ["completed", "refunded", "cancelled"]}),
+        table_rules(items, "fact_order_items",
+                    not_null=["order_id", "quantity", "line_revenue", "line_cost"]),
+        table_rules(customers, "dim_customer", key="customer_key",
+                    not_null=["customer_id", "first_name", "last_name", "email", "country"],
+                    max_length={"customer_id": 20, "first_name": 100, "last_name": 100,
+                                "email": 255, "country": 100}),
+        table_rules(products, "dim_product", key="product_key",
+                    not_null=["product_id", "product_name", "category", "brand"],
+                    max_length={"product_id": 20, "product_name": 200, "category": 100,
+                                "brand": 100}),
         reference_rule(orders, "fact_orders", "customer_key", customers, "customer_key"),
         reference_rule(items, "fact_order_items", "product_key", products, "product_key"),
         reference_rule(items, "fact_order_items", "order_id", orders, "order_id"),
