@@ -69,7 +69,11 @@ def with_first_order_flag(orders: DataFrame) -> DataFrame:
 
 def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fact_orders without the first-order flag (no shuffle at all)."""
-    o = read_table(spark, sf_dir, "orders")
+    return orders_from_raw(read_table(spark, sf_dir, "orders"))
+
+
+def orders_from_raw(o: DataFrame) -> DataFrame:
+    """Row-wise mapping of raw orders to fact_orders columns (works on streams)."""
     d = F.to_date(F.col("o_orderdate"))
     gross = to_money(F.col("o_totalprice"))
     return o.select(
@@ -173,7 +177,11 @@ def dim_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return events_from_raw(read_table(spark, sf_dir, "events"))
+
+
+def events_from_raw(e: DataFrame) -> DataFrame:
+    """Row-wise mapping of raw events to fact_events columns (works on streams)."""
     d = F.to_date(F.col("ts"))
     return e.filter(F.col("event_type").isin(*EVENT_MAP)).select(
         F.col("event_id").alias("event_key"),

@@ -1,0 +1 @@
+"""Structured Streaming: incremental append load of new source files."""
