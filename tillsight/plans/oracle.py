@@ -68,7 +68,7 @@ fact_order_items AS (
          CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2))
                     * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2)) AS line_revenue,
          CAST(CAST(l.l_quantity AS INTEGER) * p.cost_price AS DECIMAL(18,2)) AS line_cost
-  FROM lineitem l JOIN dim_product p ON l.l_partkey = p.product_key),
+  FROM lineitem l LEFT JOIN dim_product p ON l.l_partkey = p.product_key),
 fact_order_items_m AS (
   SELECT *, CAST(line_revenue - line_cost AS DECIMAL(18,2)) AS line_margin FROM fact_order_items),
 dim_customer AS (

@@ -117,12 +117,18 @@ def fact_order_items(spark: SparkSession, sf_dir: str,
     """fact_order_items: one row per lineitem.
 
     line_revenue = round(extendedprice * (1 - discount), 2) in decimals;
-    line_cost = quantity * product cost_price (lookup in dim_product);
+    line_cost = quantity * product cost_price (lookup in dim_product; NULL
+    when the product is unknown, the line itself is kept);
     line_margin = revenue - cost.  ``with_order_context`` adds the order's
     date_key/customer_key (a join with orders no analytic query needs).
     """
     li = read_table(spark, sf_dir, "lineitem")
-    cost = dim_product(spark, sf_dir).select("product_key", "cost_price")
+    # A key-grouped lookup: provably one row per product, so when a query
+    # reads no cost column Catalyst removes this left join entirely; when it
+    # does, the lookup's hash partitioning on product_key is the one the join
+    # needs anyway (or it is broadcast when small).
+    cost = dim_product(spark, sf_dir).groupBy("product_key").agg(
+        F.max("cost_price").alias("cost_price"))
     qty = F.col("l_quantity").cast("int")
     disc = F.col("l_discount").cast("decimal(4,2)")
     revenue = F.round(to_money(F.col("l_extendedprice")) * (F.lit(1) - disc), 2).cast(MONEY)
@@ -133,7 +139,7 @@ def fact_order_items(spark: SparkSession, sf_dir: str,
         qty.alias("quantity"),
         (disc * 100).cast("decimal(5,2)").alias("discount_pct"),
         revenue.alias("line_revenue"),
-    ).join(cost, "product_key")
+    ).join(cost, "product_key", "left")
     line_cost = (F.col("quantity") * F.col("cost_price")).cast(MONEY)
     items = items.withColumn("line_cost", line_cost) \
                  .withColumn("line_margin", (F.col("line_revenue") - F.col("line_cost")).cast(MONEY)) \
