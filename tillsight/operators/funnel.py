@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.money import pct
+from tillsight.session import ensure_checkpoint_dir
 
 # The funnel steps in order, as named by the event model.
 STEPS = ("pageview", "add_to_cart", "checkout", "purchase")
@@ -46,19 +47,23 @@ def funnel_sessions(events: DataFrame, steps: Sequence[str] = STEPS) -> DataFram
     Per step, the step's events join the sessions that reached the previous
     step (one row per session, so the join is 1:n on the session key) and a
     grouped min gives the reach time.  No per-session sequence is collected.
+    Each step's result (one row per session) is checkpointed to the reliable
+    checkpoint folder: later steps and the counts read it instead of
+    recomputing the chain, so events are scanned once per step.
     """
+    ensure_checkpoint_dir(events.sparkSession)
     e = events.select("session_id", "event_type", "event_ts")
     reached = e.filter(F.col("event_type") == steps[0]).groupBy("session_id").agg(
-        F.min("event_ts").alias("_t"))
+        F.min("event_ts").alias("_t")).checkpoint(eager=True)
     counts = [reached.agg(F.count(F.lit(1)).alias("sessions"))
               .withColumn("step_order", F.lit(1))]
     for i, step in enumerate(steps[1:], start=2):
-        nxt = (e.filter(F.col("event_type") == step).join(reached, "session_id")
-               .filter(F.col("event_ts") >= F.col("_t"))
-               .groupBy("session_id").agg(F.min("event_ts").alias("_t")))
-        counts.append(nxt.agg(F.count(F.lit(1)).alias("sessions"))
+        reached = (e.filter(F.col("event_type") == step).join(reached, "session_id")
+                   .filter(F.col("event_ts") >= F.col("_t"))
+                   .groupBy("session_id").agg(F.min("event_ts").alias("_t"))
+                   .checkpoint(eager=True))
+        counts.append(reached.agg(F.count(F.lit(1)).alias("sessions"))
                       .withColumn("step_order", F.lit(i)))
-        reached = nxt
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
