@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 
-def product_affinity(items: DataFrame, products: DataFrame, k: int = 15) -> DataFrame:
+
+def product_affinity(items: DataFrame, products: DataFrame,
+                     k: int = C.TOP_PAIRS) -> DataFrame:
     """Pairs of different products (key a < key b) in one order, counted
     as line pairs and grouped by product *names* (same-named products merge,
     as in the reference); the k most frequent pairs.

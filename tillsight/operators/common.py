@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-COMPLETED = "completed"
+from tillsight.constants import STATUS_COMPLETED as COMPLETED
 
 
 def with_status(orders: DataFrame, status: str | None = COMPLETED) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions.money import amount, avg_money
 from tillsight.operators.common import (COMPLETED, customer_name, customer_order_summary,
                                         first_two_order_days)
@@ -17,7 +18,7 @@ def _current(customers: DataFrame) -> DataFrame:
 
 
 def customer_ltv(customers: DataFrame, orders: DataFrame, status: str = COMPLETED,
-                 high: float = 1500, mid: float = 500) -> DataFrame:
+                 segments=C.LTV_SEGMENTS) -> DataFrame:
     """A4: lifetime value per current customer with a value segment.
 
     As in the reference's LEFT JOIN filtered in WHERE: a customer without any
@@ -38,8 +39,11 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, status: str = COMPLETE
         F.max("last_order_date").alias("last_order_date"),
     )
     ltv = F.col("_ltv")
-    segment = (F.when(ltv >= high, "high_value").when(ltv >= mid, "mid_value")
-               .when(ltv > 0, "low_value").otherwise("no_purchase"))
+    segment = None
+    for label, bound, inclusive in segments:
+        cond = ltv >= bound if inclusive else ltv > bound
+        segment = F.when(cond, label) if segment is None else segment.when(cond, label)
+    segment = segment.otherwise(C.LTV_NO_PURCHASE)
     return g.select(
         "customer_id", "customer_name", "country", "age_band", "acquisition_channel",
         "total_orders",
@@ -51,7 +55,7 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, status: str = COMPLETE
 
 
 def days_to_second_order(orders: DataFrame, status: str = COMPLETED,
-                         buckets: tuple[int, int, int] = (30, 60, 90)) -> DataFrame:
+                         buckets: tuple[int, int, int] = C.REPEAT_BUCKET_BOUNDS) -> DataFrame:
     """Gap in days between each customer's first and second order.
 
     Two orders on the first day give a second order on that day (0 days).
@@ -75,7 +79,7 @@ def days_to_second_order(orders: DataFrame, status: str = COMPLETED,
 
 def churn_status(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
                  status: str = COMPLETED,
-                 thresholds: tuple[int, int, int] = (30, 60, 90)) -> DataFrame:
+                 thresholds: tuple[int, int, int] = C.CHURN_THRESHOLDS) -> DataFrame:
     """A10: last order, orders, spend and churn label per current customer
     with at least one qualifying order (inner joins)."""
     summary = customer_order_summary(orders, status).filter(F.col("revenue_n") > 0)
@@ -86,11 +90,11 @@ def churn_status(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
         F.sum("revenue_sum").alias("_spent"),
     )
     days = F.datediff(F.lit(as_of), F.col("last_order_date")).cast("long")
-    cool, risk, churn = thresholds
-    label = (F.when(F.col("days_since_last_order") > churn, "churned")
-             .when(F.col("days_since_last_order") > risk, "at_risk")
-             .when(F.col("days_since_last_order") > cool, "cooling")
-             .otherwise("active"))
+    days_col = F.col("days_since_last_order")
+    label = None
+    for bound, name in sorted(zip(thresholds, C.CHURN_LABELS[1:]), reverse=True):
+        label = F.when(days_col > bound, name) if label is None else label.when(days_col > bound, name)
+    label = label.otherwise(C.CHURN_LABELS[0])
     return (g.select("customer_id", "customer_name", "country", "last_order_date",
                      "total_orders", amount("_spent").alias("total_spent"),
                      days.alias("days_since_last_order"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions.money import amount, avg_money, pct
 from tillsight.operators.common import COMPLETED
 
@@ -36,8 +37,8 @@ def executive_dashboard(orders: DataFrame, items: DataFrame, products: DataFrame
         F.count_distinct(F.when(done, F.col("order_id"))).alias("total_orders"),
         F.count_distinct("customer_key").alias("total_customers"),
         F.count_distinct(F.when(F.col("is_first_order"), F.col("customer_key"))).alias("new_customers"),
-        F.count_if(F.col("order_status") == "refunded").alias("_refunded"),
-        F.count_if(F.col("order_status") == "cancelled").alias("_cancelled"),
+        F.count_if(F.col("order_status") == C.STATUS_REFUNDED).alias("_refunded"),
+        F.count_if(F.col("order_status") == C.STATUS_CANCELLED).alias("_cancelled"),
         F.count(F.lit(1)).alias("_all"),
     ).select(
         amount("_rev").alias("total_net_revenue"),

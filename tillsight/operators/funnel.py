@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions.money import pct
 from tillsight.session import ensure_checkpoint_dir
 
-# The funnel steps in order, as named by the event model.
-STEPS = ("pageview", "add_to_cart", "checkout", "purchase")
+STEPS = C.FUNNEL_STEPS
 
 
 def _steps_frame(events: DataFrame, steps: Sequence[str]) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
+
 RESULT_COLS = ["rule", "table_name", "column_name", "checked_rows", "violations"]
 
 
@@ -83,7 +85,7 @@ def dq_checks(orders: DataFrame, items: DataFrame, customers: DataFrame,
         table_rules(orders, "fact_orders", key="order_id",
                     not_null=["order_id", "order_status", "net_revenue", "gross_revenue"],
                     max_length={"order_status": 20},
-                    allowed={"order_status": ["completed", "refunded", "cancelled"]}),
+                    allowed={"order_status": list(C.ORDER_STATUSES)}),
         table_rules(items, "fact_order_items",
                     not_null=["order_id", "quantity", "line_revenue", "line_cost"]),
         table_rules(customers, "dim_customer", key="customer_key",

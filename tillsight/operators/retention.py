@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions import calendar as cal
 from tillsight.functions.money import pct
 from tillsight.operators.common import COMPLETED, first_two_order_days
@@ -55,7 +56,8 @@ def cohort_retention(orders: DataFrame, status: str = COMPLETED) -> DataFrame:
     ).orderBy("cohort_month", "months_since_first")
 
 
-def cohort_matrix(orders: DataFrame, status: str = COMPLETED, months: int = 4) -> DataFrame:
+def cohort_matrix(orders: DataFrame, status: str = COMPLETED,
+                  months: int = C.COHORT_MONTHS) -> DataFrame:
     """Pivot of A7 - month 0 as a count, months 1..n as whole percents.
 
     Cohorts appear when they have any qualifying activity; offsets beyond
@@ -78,7 +80,7 @@ def cohort_matrix(orders: DataFrame, status: str = COMPLETED, months: int = 4) -
 
 
 def day_retention(orders: DataFrame, status: str = COMPLETED,
-                  windows: tuple[int, ...] = (30, 60, 90)) -> DataFrame:
+                  windows: tuple[int, ...] = C.RETENTION_WINDOWS) -> DataFrame:
     """Customers with a qualifying order, and how many ordered again
     within 30/60/90 days (strictly after the first order day).
 

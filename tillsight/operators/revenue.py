@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions import calendar as cal
 from tillsight.functions.money import amount, avg_money, pct
 from tillsight.operators.common import COMPLETED, with_status
@@ -63,7 +64,7 @@ def category_margin(items: DataFrame, products: DataFrame) -> DataFrame:
     ).orderBy(F.col("revenue").desc())
 
 
-def top_products(items: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
+def top_products(items: DataFrame, products: DataFrame, k: int = C.TOP_PRODUCTS) -> DataFrame:
     """A3: the k products with most revenue, RANK with gaps on ties.
 
     Lines are aggregated per product first; attributes are joined to the

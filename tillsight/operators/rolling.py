@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions.money import amount, avg_money
 from tillsight.operators.common import COMPLETED, with_status
 
 
-def rolling_revenue(orders: DataFrame, status: str = COMPLETED, rows: int = 7) -> DataFrame:
+def rolling_revenue(orders: DataFrame, status: str = COMPLETED,
+                    rows: int = C.ROLLING_ROWS) -> DataFrame:
     """A11.  The frame is ``rows`` *rows* (days that have orders), as in the
     reference, not calendar days.
 

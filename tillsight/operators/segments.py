@@ -7,12 +7,14 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions.money import amount, half_up, pct
 from tillsight.functions.ranking import with_ntile
 from tillsight.operators.common import COMPLETED, customer_name, customer_order_summary, with_status
 
 
-def pareto_quintiles(orders: DataFrame, status: str = COMPLETED, tiles: int = 5) -> DataFrame:
+def pareto_quintiles(orders: DataFrame, status: str = COMPLETED,
+                     tiles: int = C.PARETO_TILES) -> DataFrame:
     """Customers by revenue into ``tiles`` NTILE groups (highest first);
     customers, revenue and share of total revenue per group.
 
@@ -34,7 +36,7 @@ def pareto_quintiles(orders: DataFrame, status: str = COMPLETED, tiles: int = 5)
 
 
 def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
-                 status: str = COMPLETED, tiles: int = 5,
+                 status: str = COMPLETED, tiles: int = C.RFM_TILES,
                  high_is_good: bool = False) -> DataFrame:
     """recency/frequency/monetary per current customer, three NTILE(5)
     scores, their mean, and a segment label (first matching rule wins).
@@ -58,12 +60,16 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
     scored = with_ntile(scored, tiles, [f_ord], ["customer_id"], out="f_score")
     scored = with_ntile(scored, tiles, [m_ord], ["customer_id"], out="m_score")
     r, f = F.col("r_score"), F.col("f_score")
-    label = (F.when((r >= 4) & (f >= 4), "Champions")
-             .when((r >= 3) & (f >= 3), "Loyal")
-             .when((r >= 4) & (f <= 2), "Recent")
-             .when((r <= 2) & (f >= 3), "At Risk")
-             .when((r <= 2) & (f <= 2), "Lost")
-             .otherwise("Potential"))
+    label = None
+    for name, r_lo, r_hi, f_lo, f_hi in C.RFM_RULES:
+        cond = F.lit(True)
+        for col, lo, hi in ((r, r_lo, r_hi), (f, f_lo, f_hi)):
+            if lo is not None:
+                cond = cond & (col >= lo)
+            if hi is not None:
+                cond = cond & (col <= hi)
+        label = F.when(cond, name) if label is None else label.when(cond, name)
+    label = label.otherwise(C.RFM_FALLBACK)
     return scored.select(
         "customer_id", "customer_name", "last_order_date", "recency_days", "frequency",
         amount("_monetary").alias("monetary"), "r_score", "f_score", "m_score",

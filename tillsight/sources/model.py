@@ -22,14 +22,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight import constants as C
 from tillsight.functions import calendar as cal
 from tillsight.functions.money import MONEY, to_money
 from tillsight.sources.testdata import read_table
 
-# Status codes and event names of the generated tables.
-STATUS_MAP = {"F": "completed", "P": "cancelled", "O": "refunded"}
-EVENT_MAP = {"view": "pageview", "click": "add_to_cart", "signup": "checkout",
-             "purchase": "purchase"}
+# Our mapping of the generated tables' codes onto the model's values.
+STATUS_MAP = {"F": C.STATUS_COMPLETED, "P": C.STATUS_CANCELLED, "O": C.STATUS_REFUNDED}
+EVENT_MAP = dict(zip(("view", "click", "signup", "purchase"), C.FUNNEL_STEPS))
 # As-of date for recency/churn on the generated data: end of its last month.
 TESTDATA_AS_OF = _dt.date(2001, 8, 31)
 CUSTOMER_EFFECTIVE = _dt.date(1992, 1, 1)
