@@ -51,12 +51,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     bench) gets a private temporary folder; a cluster session without it is
     an error, because a machine-local folder cannot survive executor loss.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server applies spark.checkpoint.dir
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError(
