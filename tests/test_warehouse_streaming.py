@@ -59,3 +59,16 @@ def test_streaming_append_then_refresh_flag(spark, tmp_path):
     flagged = warehouse.refresh_first_order_flag(spark, path)
     expect = Star(spark, SF_DIR).orders.select("order_id", "is_first_order")
     assert _same(flagged.select("order_id", "is_first_order"), expect)
+
+
+def test_every_query_same_on_warehouse(spark, tmp_path):
+    """The production path (load once, query the warehouse) gives the same rows."""
+    from tillsight.plans.catalog import STAR_QUERIES, run_on
+    star = Star(spark, SF_DIR)
+    path = str(tmp_path / "wh")
+    warehouse.load_star(star, path)
+    wh = warehouse.WarehouseStar(spark, path)
+    for name in STAR_QUERIES:
+        a, b = run_on(star, name), run_on(wh, name)
+        assert a.columns == b.columns, name
+        assert _same(a, b), name

@@ -1,8 +1,10 @@
-"""Registered queries: each takes (spark, data folder) and returns a DataFrame.
+"""Registered queries.
 
-Every query reads the given tables through the canonical star model, over
-whole tables, with the operator's default parameters (as-of date = end of
-the data's last month).
+Each query is written against a star (``Star`` over the generated tables, or
+``WarehouseStar`` over a loaded warehouse) and registered as a job
+``(spark, data folder) -> DataFrame`` over the generated tables.  Every query
+reads whole tables with the operator's default parameters (as-of date = end
+of the data's last month).
 """
 
 from __future__ import annotations
@@ -17,150 +19,149 @@ from tillsight.sources.model import (TESTDATA_AS_OF, TESTDATA_SCD_EFFECTIVE, Sta
                                      first_order_channel_snapshot)
 
 Query = Callable[[SparkSession, str], DataFrame]
+StarQuery = Callable[[object], DataFrame]
 
+STAR_QUERIES: dict[str, StarQuery] = {}
 
-QUERIES: dict[str, Query] = {}
 
-
-def register(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+def register(fn: StarQuery) -> StarQuery:
+    STAR_QUERIES[fn.__name__] = fn
     return fn
 
 
-def _star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(spark, sf_dir)
+def run_on(star, name: str) -> DataFrame:
+    """Run a registered query on any star (generated tables or a warehouse)."""
+    return STAR_QUERIES[name](star)
 
 
 @register
-def q01_monthly_revenue_mom(spark, sf_dir):
-    return revenue.monthly_revenue_mom(_star(spark, sf_dir).orders_base)
+def q01_monthly_revenue_mom(s):
+    return revenue.monthly_revenue_mom(s.orders_base)
 
 
 @register
-def q02_category_margin(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def q02_category_margin(s):
     return revenue.category_margin(s.items, s.products)
 
 
 @register
-def q03_top_products(spark, sf_dir):
-    s = _star(spark, sf_dir)
-    return revenue.top_products(s.items, s.products, k=10)
+def q03_top_products(s):
+    return revenue.top_products(s.items, s.products)
 
 
 @register
-def q04_customer_ltv(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def q04_customer_ltv(s):
     return customers.customer_ltv(s.customers, s.orders_base)
 
 
 @register
-def q05_new_vs_returning(spark, sf_dir):
-    return revenue.new_vs_returning(_star(spark, sf_dir).orders)
+def q05_new_vs_returning(s):
+    return revenue.new_vs_returning(s.orders)
 
 
 @register
-def q06_days_to_second_order(spark, sf_dir):
-    return customers.days_to_second_order(_star(spark, sf_dir).orders_base)
+def q06_days_to_second_order(s):
+    return customers.days_to_second_order(s.orders_base)
 
 
 @register
-def q07_cohort_retention(spark, sf_dir):
-    return retention.cohort_retention(_star(spark, sf_dir).orders)
+def q07_cohort_retention(s):
+    return retention.cohort_retention(s.orders)
 
 
 @register
-def q08_cohort_matrix(spark, sf_dir):
-    return retention.cohort_matrix(_star(spark, sf_dir).orders)
+def q08_cohort_matrix(s):
+    return retention.cohort_matrix(s.orders)
 
 
 @register
-def q09_day_retention(spark, sf_dir):
-    return retention.day_retention(_star(spark, sf_dir).orders_base)
+def q09_day_retention(s):
+    return retention.day_retention(s.orders_base)
 
 
 @register
-def q10_churn_status(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def q10_churn_status(s):
     return customers.churn_status(s.customers, s.orders_base, as_of=TESTDATA_AS_OF)
 
 
 @register
-def q11_rolling_revenue(spark, sf_dir):
-    return rolling.rolling_revenue(_star(spark, sf_dir).orders_base)
+def q11_rolling_revenue(s):
+    return rolling.rolling_revenue(s.orders_base)
 
 
 @register
-def q12_pareto_quintiles(spark, sf_dir):
-    return segments.pareto_quintiles(_star(spark, sf_dir).orders_base)
+def q12_pareto_quintiles(s):
+    return segments.pareto_quintiles(s.orders_base)
 
 
 @register
-def q13_product_affinity(spark, sf_dir):
-    s = _star(spark, sf_dir)
-    return affinity.product_affinity(s.items, s.products, k=15)
+def q13_product_affinity(s):
+    return affinity.product_affinity(s.items, s.products)
 
 
 @register
-def q14_rfm_segments(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def q14_rfm_segments(s):
     return segments.rfm_segments(s.customers, s.orders_base, as_of=TESTDATA_AS_OF)
 
 
 @register
-def q15_executive_dashboard(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def q15_executive_dashboard(s):
     return dashboard.executive_dashboard(s.orders, s.items, s.products)
 
 
 @register
-def c7_category_margin_share(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def c7_category_margin_share(s):
     return revenue.category_margin_share(s.items, s.products)
 
 
-
 @register
-def c1_dim_date(spark, sf_dir):
-    return prep.dim_date_build(_star(spark, sf_dir).orders_base)
+def c1_dim_date(s):
+    return prep.dim_date_build(s.orders_base)
 
 
 @register
-def c2_first_order_flag(spark, sf_dir):
-    return prep.first_order_flag(_star(spark, sf_dir).orders_base).select(
+def c2_first_order_flag(s):
+    return prep.first_order_flag(s.orders_base.drop("is_first_order")).select(
         "order_id", "customer_key", "order_date", "is_first_order")
 
 
 @register
-def c3_scd2_apply(spark, sf_dir):
-    s = _star(spark, sf_dir)
-    return prep.scd2_apply(s.customers, first_order_channel_snapshot(spark, sf_dir),
+def c3_scd2_apply(s):
+    return prep.scd2_apply(s.customers, first_order_channel_snapshot(s.orders_base),
                            natural_key="customer_id", surrogate_key="customer_key",
                            tracked=["acquisition_channel"], effective=TESTDATA_SCD_EFFECTIVE)
 
 
 @register
-def c4_dq_checks(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def c4_dq_checks(s):
     return quality.dq_checks(s.orders_base, s.items, s.customers, s.products)
 
 
 @register
-def c5_surrogate_keys(spark, sf_dir):
-    return prep.assign_surrogate_keys(_star(spark, sf_dir).events, "session_id", "session_key")
+def c5_surrogate_keys(s):
+    return prep.assign_surrogate_keys(s.events, "session_id", "session_key")
 
 
 @register
-def c6_funnel_counts(spark, sf_dir):
-    return funnel.funnel_counts(_star(spark, sf_dir).events)
+def c6_funnel_counts(s):
+    return funnel.funnel_counts(s.events)
 
 
 @register
-def c6_funnel_sessions(spark, sf_dir):
-    return funnel.funnel_sessions(_star(spark, sf_dir).events)
+def c6_funnel_sessions(s):
+    return funnel.funnel_sessions(s.events)
 
 
 @register
-def c8_order_arithmetic_check(spark, sf_dir):
-    s = _star(spark, sf_dir)
+def c8_order_arithmetic_check(s):
     return quality.order_arithmetic_check(s.orders_base, s.items)
+
+
+def _over_generated(name: str) -> Query:
+    def job(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run_on(Star(spark, sf_dir), name)
+    job.__name__ = name
+    return job
+
+
+QUERIES: dict[str, Query] = {name: _over_generated(name) for name in STAR_QUERIES}

@@ -440,7 +440,7 @@ first_order AS (
   FROM orders),
 snap AS (
   SELECT 'C' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS customer_id,
-         lower(o_orderpriority) AS new_channel
+         'channel-' || substr(o_orderpriority, 1, 1) AS new_channel
   FROM first_order WHERE rn = 1),
 j AS (
   SELECT d.*, s.customer_id AS snap_id, s.new_channel

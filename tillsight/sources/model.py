@@ -240,21 +240,12 @@ class Star:
 TESTDATA_SCD_EFFECTIVE = _dt.date(2001, 9, 1)
 
 
-def first_order_channel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def first_order_channel_snapshot(orders: DataFrame) -> DataFrame:
     """Snapshot for SCD2: each ordering customer's acquisition channel
-    re-attributed to the priority of their first order (grouped min, no
-    per-customer sort)."""
-    o = read_table(spark, sf_dir, "orders")
-    first = o.groupBy("o_custkey").agg(
-        F.min(F.struct(F.to_date("o_orderdate").alias("d"), F.col("o_orderkey").alias("k"),
-                       F.col("o_orderpriority").alias("p"))).alias("_f"))
-    return first.select(padded_id("C", F.col("o_custkey")).alias("customer_id"),
-                        F.lower(F.col("_f.p")).alias("acquisition_channel"))
-
-
-def attach_order_date(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Star join of stored orders with the date dimension (inner, as the
-    reference joins): adds ``order_date``.  The calendar holds one row per
-    day, so its size is bounded by the day span and it is broadcast."""
-    dates = dim_date.select("date_key", F.col("full_date").alias("order_date"))
-    return orders.join(F.broadcast(dates), "date_key")
+    re-attributed to the channel of their first order (grouped min over
+    (date, order id), no per-customer sort)."""
+    first = orders.groupBy("customer_key").agg(
+        F.min(F.struct("order_date", "order_id", "channel_key")).alias("_f"))
+    return first.select(padded_id("C", F.col("customer_key")).alias("customer_id"),
+                        F.concat(F.lit("channel-"), F.col("_f.channel_key").cast("string"))
+                        .alias("acquisition_channel"))
