@@ -72,3 +72,31 @@ def test_every_query_same_on_warehouse(spark, tmp_path):
         a, b = run_on(star, name), run_on(wh, name)
         assert a.columns == b.columns, name
         assert _same(a, b), name
+
+
+def test_sql_over_star_views(spark):
+    """Plain SQL over the registered views agrees with the operator."""
+    from tillsight.plans.views import register_star_views
+    star = Star(spark, SF_DIR)
+    register_star_views(star, prefix="t_")
+    sql = spark.sql("""
+        SELECT d.month_name, COUNT(DISTINCT o.order_id) AS total_orders,
+               COUNT(DISTINCT o.customer_key) AS unique_customers
+        FROM t_fact_orders o JOIN t_dim_date d ON o.date_key = d.date_key
+        WHERE o.order_status = 'completed'
+        GROUP BY d.month, d.month_name""")
+    op = revenue.monthly_revenue_mom(star.orders).select(
+        "month_name", "total_orders", "unique_customers")
+    assert _same(sql, op)
+
+
+def test_streaming_append_events(spark, tmp_path):
+    raw = read_table(spark, SF_DIR, "events")
+    path = str(tmp_path / "wh")
+    q = incremental.start_append(spark, f"{SF_DIR}/events*.parquet", raw.schema, "fact_events",
+                                 path, query_name="events_load_test")
+    q.awaitTermination(300)
+    assert q.exception() is None
+    stored = warehouse.read_table(spark, path, "fact_events")
+    assert _same(stored.select("event_key", "session_id", "event_type"),
+                 Star(spark, SF_DIR).events.select("event_key", "session_id", "event_type"))
