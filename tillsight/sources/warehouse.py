@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.functions import calendar as cal
 from tillsight.sources.model import Star, fact_order_items, with_first_order_flag
 
 _MONEY = T.DecimalType(18, 2)
