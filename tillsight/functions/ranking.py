@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.session import ensure_checkpoint_dir
+from tillsight.session import materialize
 
 _PART, _POS, _OFF, _TOTAL = "_ts_part", "_ts_pos", "_ts_off", "_ts_total"
 
@@ -39,7 +39,6 @@ def with_global_row_number(df: DataFrame, order: Sequence[Column | str],
     count of the whole table (needed by NTILE).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_exprs(order, tiebreak)
     staged = (
@@ -49,8 +48,8 @@ def with_global_row_number(df: DataFrame, order: Sequence[Column | str],
         # lower 33 bits of the id = record number inside the partition
         .withColumn(_POS, F.monotonically_increasing_id()
                     - F.shiftleft(F.col(_PART).cast("long"), 33))
-        .checkpoint(eager=True)
     )
+    staged = materialize(staged)
     counts = staged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_ts_n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

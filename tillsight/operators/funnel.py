@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillsight import constants as C
 from tillsight.functions.money import pct
-from tillsight.session import ensure_checkpoint_dir
+from tillsight.session import materialize
 
 STEPS = C.FUNNEL_STEPS
 
@@ -51,17 +51,16 @@ def funnel_sessions(events: DataFrame, steps: Sequence[str] = STEPS) -> DataFram
     checkpoint folder: later steps and the counts read it instead of
     recomputing the chain, so events are scanned once per step.
     """
-    ensure_checkpoint_dir(events.sparkSession)
     e = events.select("session_id", "event_type", "event_ts")
-    reached = e.filter(F.col("event_type") == steps[0]).groupBy("session_id").agg(
-        F.min("event_ts").alias("_t")).checkpoint(eager=True)
+    reached = materialize(e.filter(F.col("event_type") == steps[0]).groupBy("session_id").agg(
+        F.min("event_ts").alias("_t")))
     counts = [reached.agg(F.count(F.lit(1)).alias("sessions"))
               .withColumn("step_order", F.lit(1))]
     for i, step in enumerate(steps[1:], start=2):
-        reached = (e.filter(F.col("event_type") == step).join(reached, "session_id")
-                   .filter(F.col("event_ts") >= F.col("_t"))
-                   .groupBy("session_id").agg(F.min("event_ts").alias("_t"))
-                   .checkpoint(eager=True))
+        reached = materialize(
+            e.filter(F.col("event_type") == step).join(reached, "session_id")
+            .filter(F.col("event_ts") >= F.col("_t"))
+            .groupBy("session_id").agg(F.min("event_ts").alias("_t")))
         counts.append(reached.agg(F.count(F.lit(1)).alias("sessions"))
                       .withColumn("step_order", F.lit(i)))
     out = counts[0]

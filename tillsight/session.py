@@ -70,3 +70,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df):
+    """Cut ``df``'s lineage with a reliable checkpoint (shared folder).
+
+    The frame is cached while the checkpoint is written, so it is computed
+    once rather than once for counting and again for writing; the cache is
+    dropped afterwards and readers use the checkpoint files, which survive
+    executor loss.
+    """
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
