@@ -85,3 +85,10 @@ def test_dq_checks_find_planted_faults(spark, sample):
     assert arith == {"net_equals_gross_minus_discount": 0,
                      "margin_equals_revenue_minus_cost": 0,
                      "order_has_lines": 73 - len({i[1] for i in fx.INVENTED_ITEM_ROWS})}
+
+
+def test_scd2_repair_removes_overlap(sample):
+    fixed = {(r.customer_key): r for r in prep.scd2_repair(sample.customers, "customer_id").collect()}
+    assert fixed[1].effective_date == dt.date(2024, 4, 1)    # current Alice starts at expiry
+    assert fixed[101].effective_date == dt.date(2024, 1, 5)  # history unchanged
+    assert fixed[2].effective_date == dt.date(2024, 1, 8)    # single versions unchanged

@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions import calendar as cal
@@ -111,3 +111,22 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, natural_key: str, surrogate_
             new_cols.append(F.col(c))
     opened = opened.select(*new_cols)
     return history.unionByName(kept).unionByName(closed).unionByName(opened)
+
+
+def scd2_repair(dim: DataFrame, natural_key: str) -> DataFrame:
+    """C3 companion: make a type-2 history non-overlapping.
+
+    Versions of one natural key are ordered by (effective date, closed before
+    current, expiry date, surrogate key); each version then starts no earlier
+    than the previous one expires.  For the reference's sample, the current
+    version of customer C001 starts 2024-04-01, where the expired one ends.
+    The window groups one natural key's versions: one per applied change,
+    so a group is bounded by the number of loads, not by the fact volume.
+    """
+    w = Window.partitionBy(natural_key).orderBy(
+        F.col("effective_date"), F.col("is_current").asc(),
+        F.col("expiry_date").asc_nulls_last(), F.col(dim.columns[0]))
+    prev_end = F.max("expiry_date").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    start = F.when(prev_end.isNotNull() & (prev_end > F.col("effective_date")), prev_end) \
+             .otherwise(F.col("effective_date"))
+    return dim.withColumn("effective_date", start)
