@@ -12,6 +12,7 @@ import os
 import re
 
 import duckdb
+import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
@@ -29,11 +30,11 @@ def skewed_dir(tmp_path_factory):
     for t in TABLES:
         tab = pq.read_table(f"{SF_DIR}/{t}.parquet")
         if t == "orders":
-            hot = pc.equal(pc.bit_wise_and(tab["o_orderkey"], 3), 0)
+            hot = pa.array(tab["o_orderkey"].to_numpy() % 3 == 0)
             tab = tab.set_column(tab.schema.get_field_index("o_custkey"), "o_custkey",
                                  pc.if_else(hot, 7, tab["o_custkey"]))
         if t == "lineitem":
-            hot = pc.equal(pc.bit_wise_and(tab["l_orderkey"], 3), 1)
+            hot = pa.array(tab["l_orderkey"].to_numpy() % 3 == 1)
             first = pc.min(tab["l_orderkey"]).as_py()
             tab = tab.set_column(tab.schema.get_field_index("l_orderkey"), "l_orderkey",
                                  pc.if_else(hot, first, tab["l_orderkey"]))
