@@ -46,17 +46,39 @@ def monthly_revenue_mom(orders: DataFrame, status: str = COMPLETED,
     ).orderBy("_period").drop("_period")
 
 
+def _category_lookup(products: DataFrame) -> DataFrame:
+    return products.select("product_key", "category")
+
+
+def _distinct_orders(items: DataFrame, products: DataFrame, with_total: bool = False) -> DataFrame:
+    """Distinct orders per category from (order_id, product_key) alone.
+
+    Kept apart from the money sums on purpose: Spark plans a distinct count
+    next to other aggregates by first grouping on (category, order_id) and
+    carrying every partial sum through that line-grained shuffle.  Here that
+    shuffle holds two narrow columns, and the sums collapse map-side to one
+    row per category in their own aggregation.  ``with_total`` adds the
+    grand total row (ROLLUP, ``_gid`` = 1).
+    """
+    pairs = items.select("order_id", "product_key").join(_category_lookup(products),
+                                                         "product_key")
+    if not with_total:
+        return pairs.groupBy("category").agg(F.count_distinct("order_id").alias("orders"))
+    return pairs.rollup("category").agg(F.grouping_id().alias("_gid"),
+                                        F.count_distinct("order_id").alias("orders"))
+
+
 def category_margin(items: DataFrame, products: DataFrame) -> DataFrame:
     """A2: per category distinct orders, units, revenue, cost, margin, margin %.
     All order statuses count (the reference has no status filter)."""
-    j = items.join(products.select("product_key", "category"), "product_key")
-    return j.groupBy("category").agg(
-        F.count_distinct("order_id").alias("orders"),
+    sums = items.join(_category_lookup(products), "product_key").groupBy("category").agg(
         F.sum("quantity").cast("long").alias("units_sold"),
         F.sum("line_revenue").alias("_rev"),
         F.sum("line_cost").alias("_cost"),
         F.sum("line_margin").alias("_margin"),
-    ).select(
+    )
+    # both sides hold one row per category
+    return sums.join(_distinct_orders(items, products), "category").select(
         "category", "orders", "units_sold",
         amount("_rev").alias("revenue"), amount("_cost").alias("cost"),
         amount("_margin").alias("gross_margin"),
@@ -115,24 +137,20 @@ def new_vs_returning(orders: DataFrame, status: str = COMPLETED,
 def category_margin_share(items: DataFrame, products: DataFrame) -> DataFrame:
     """Each category's share of total gross margin and of distinct orders.
 
-    One aggregation with ROLLUP gives per-category and grand-total figures in
-    the same pass (the total distinct order count is not the sum of the
-    per-category ones).  The totals are spread with a window over the
-    category-sized result.
+    Margin sums per category are one map-side-combined aggregation; distinct
+    orders per category and in total come from one ROLLUP over the narrow
+    (category, order_id) pairs (the total is not the sum of the per-category
+    counts).  Totals spread with windows over the category-sized results.
     """
-    j = items.join(products.select("product_key", "category"), "product_key")
-    g = j.rollup("category").agg(
-        F.grouping_id().alias("_gid"),
-        F.count_distinct("order_id").alias("orders"),
-        F.sum("line_margin").alias("_margin"),
-    )
-    everything = Window.partitionBy()
-    tot_orders = F.max(F.when(F.col("_gid") == 1, F.col("orders"))).over(everything)
-    tot_margin = F.max(F.when(F.col("_gid") == 1, F.col("_margin"))).over(everything)
-    return g.select(
-        "_gid", "category", "orders", "_margin",
-        tot_orders.alias("_tot_orders"), tot_margin.alias("_tot_margin"),
-    ).filter(F.col("_gid") == 0).select(
+    everything = Window.partitionBy()  # category-sized inputs only
+    margins = items.join(_category_lookup(products), "product_key").groupBy("category").agg(
+        F.sum("line_margin").alias("_margin"))
+    margins = margins.withColumn("_tot_margin", F.sum("_margin").over(everything))
+    counts = _distinct_orders(items, products, with_total=True)
+    counts = counts.withColumn(
+        "_tot_orders", F.max(F.when(F.col("_gid") == 1, F.col("orders"))).over(everything)
+    ).filter(F.col("_gid") == 0)
+    return margins.join(counts, "category").select(
         "category",
         amount("_margin").alias("gross_margin"),
         pct(F.col("_margin"), F.col("_tot_margin"), 1).alias("margin_share_pct"),
