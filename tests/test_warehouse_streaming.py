@@ -100,3 +100,15 @@ def test_streaming_append_events(spark, tmp_path):
     stored = warehouse.read_table(spark, path, "fact_events")
     assert _same(stored.select("event_key", "session_id", "event_type"),
                  Star(spark, SF_DIR).events.select("event_key", "session_id", "event_type"))
+
+
+def test_conform_fills_declared_defaults(spark):
+    rows = spark.createDataFrame(
+        [(1, 1, 20240105, None, 7, 1, "completed", "10.00", "10.00")],
+        "order_key long, order_id long, date_key int, order_date date, customer_key long, "
+        "channel_key int, order_status string, gross_revenue string, net_revenue string")
+    (r,) = warehouse.conform(rows, "fact_orders").collect()
+    assert float(r.discount_amount) == 0 and float(r.shipping_cost) == 0
+    assert r.is_first_order is False and r.order_date is None
+    with pytest.raises(ValueError):
+        warehouse.conform(rows.drop("order_status"), "fact_orders")

@@ -49,6 +49,15 @@ PARETO_TILES = 5
 # Funnel steps in order.
 FUNNEL_STEPS = ("pageview", "add_to_cart", "checkout", "purchase")
 
+# Column defaults of the star schema (applied when an insert omits the column).
+COLUMN_DEFAULTS = {
+    "dim_date": {"is_weekend": False, "is_holiday": False},
+    "dim_customer": {"is_current": True},
+    "dim_product": {"is_active": True},
+    "fact_orders": {"discount_amount": 0, "shipping_cost": 0, "is_first_order": False},
+    "fact_order_items": {"discount_pct": 0},
+}
+
 # As-of date of the reference sample data.
 SAMPLE_AS_OF = "2024-06-30"
 # ---- end of fixed values ----------------------------------------------------

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillsight import constants as C
 from tillsight.sources.model import Star, fact_order_items, with_first_order_flag
 
 _MONEY = T.DecimalType(18, 2)
@@ -77,12 +78,26 @@ _SORT = {"fact_orders": ["customer_key"], "fact_order_items": ["product_key"],
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast the declared columns, in declared order (schema enforcement)."""
+    """Select and cast the declared columns, in declared order (schema enforcement).
+
+    As with INSERT, an omitted column takes its declared default, or NULL when
+    it is nullable without one; omitting a NOT NULL column without a default
+    is an error.  Values given explicitly, NULLs included, are kept.
+    """
     schema = SCHEMAS[table]
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    defaults = C.COLUMN_DEFAULTS.get(table, {})
+    missing = [f.name for f in schema.fields
+               if f.name not in df.columns and f.name not in defaults and not f.nullable]
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    cols = []
+    for f in schema.fields:
+        if f.name in df.columns:
+            src = F.col(f.name)
+        else:
+            src = F.lit(defaults.get(f.name))
+        cols.append(src.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
 
 
 def _month_of(date_key_col: str = "date_key"):
