@@ -112,3 +112,17 @@ def test_conform_fills_declared_defaults(spark):
     assert r.is_first_order is False and r.order_date is None
     with pytest.raises(ValueError):
         warehouse.conform(rows.drop("order_status"), "fact_orders")
+
+
+def test_month_range_prunes_partitions(spark, tmp_path):
+    import datetime as dt
+    star = Star(spark, SF_DIR)
+    path = str(tmp_path / "wh")
+    warehouse.write_table(star.orders, path, "fact_orders")
+    wh = warehouse.WarehouseStar(spark, path)
+    lo, hi = dt.date(1998, 3, 10), dt.date(1998, 5, 20)
+    df = warehouse.in_months(wh.orders, lo, hi)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_key" in plan
+    expect = star.orders.filter(F.col("order_date").between(lo, hi)).count()
+    assert df.count() == expect > 0

@@ -70,8 +70,8 @@ SCHEMAS: dict[str, T.StructType] = {
         _f("event_ts", T.TimestampNTZType()), _f("channel_key", T.IntegerType())]),
 }
 
-# Fact tables are partitioned by the month of their date key.
-PARTITION_COL = "order_month"
+# Fact tables are partitioned by the month (yyyymm) of their date key.
+PARTITION_COL = "month_key"
 _PARTITIONED = {"fact_orders", "fact_order_items", "fact_events"}
 _SORT = {"fact_orders": ["customer_key"], "fact_order_items": ["product_key"],
          "fact_events": ["session_id"]}
@@ -153,8 +153,21 @@ def load_star(star: Star, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    df = spark.read.schema(_with_partition(table)).parquet(f"{path.rstrip('/')}/{table}")
-    return df.drop(PARTITION_COL) if table in _PARTITIONED else df
+    """Read a warehouse table; facts keep ``month_key`` (yyyymm), their
+    partition column, so filters on it prune whole directories."""
+    return spark.read.schema(_with_partition(table)).parquet(f"{path.rstrip('/')}/{table}")
+
+
+def in_months(df: DataFrame, start, end, date_col: str = "order_date") -> DataFrame:
+    """Rows of a warehouse fact with ``start <= date_col <= end``.
+
+    The date range is also stated on ``month_key``, which Spark cannot derive
+    from a date filter by itself: only the months in range are listed and
+    read (partition pruning), the date filter then trims the edge months.
+    """
+    lo, hi = start.year * 100 + start.month, end.year * 100 + end.month
+    return df.filter(F.col(PARTITION_COL).between(lo, hi)
+                     & F.col(date_col).between(F.lit(start), F.lit(end)))
 
 
 def _with_partition(table: str) -> T.StructType:
