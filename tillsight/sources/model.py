@@ -2,8 +2,9 @@
 
 Each function returns a lazily planned view with the reference's column
 names and types (money ``decimal(18,2)``, dates ``date``).  Only columns a
-query selects are read: the views are projections, and every join they need
-is either a key lookup in a small dimension or avoided altogether.
+query selects are read: the views are projections, and their only joins are
+key lookups in a dimension (nation for customers, part for item costs); the
+item cost lookup disappears from plans that read no cost column.
 
 Mapping (fixed values, must match the oracle SQL):
   orders.o_orderstatus  F -> completed, P -> cancelled, O -> refunded
