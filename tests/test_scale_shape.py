@@ -108,3 +108,20 @@ def test_shape_check_catches_global_window(spark):
     bad = raw.withColumn("t", F.ntile(5).over(Window.orderBy("o_totalprice")))
     plan = bad._jdf.queryExecution().executedPlan().toString()
     assert _single_partition_inputs_are_aggregated(plan) != []
+
+
+def _read_schemas(df):
+    import io
+    import contextlib
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return re.findall(r"ReadSchema: (struct<[^\n]*>)", buf.getvalue())
+
+
+def test_scans_read_only_needed_columns(spark):
+    q13 = _read_schemas(queries()["q13_product_affinity"](spark, SF_DIR))
+    assert "struct<l_orderkey:bigint,l_partkey:bigint>" in q13
+    assert all("p_retailprice" not in s for s in q13)  # the cost lookup is pruned away
+    q01 = _read_schemas(queries()["q01_monthly_revenue_mom"](spark, SF_DIR))
+    assert q01 and all("o_orderpriority" not in s for s in q01)
