@@ -126,3 +126,15 @@ def test_month_range_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month_key" in plan
     expect = star.orders.filter(F.col("order_date").between(lo, hi)).count()
     assert df.count() == expect > 0
+
+
+def test_streaming_restart_does_not_duplicate(spark, tmp_path):
+    raw = read_table(spark, SF_DIR, "orders")
+    path, ckpt = str(tmp_path / "wh"), str(tmp_path / "stream-ckpt")
+    for _ in range(2):  # second run = restart on the same checkpoint
+        q = incremental.start_append(spark, f"{SF_DIR}/orders*.parquet", raw.schema,
+                                     "fact_orders", path, query_name="orders_restart",
+                                     checkpoint_location=ckpt)
+        q.awaitTermination(300)
+        assert q.exception() is None
+    assert warehouse.read_table(spark, path, "fact_orders").count() == raw.count()

@@ -33,17 +33,36 @@ def stream_facts(spark: SparkSession, landing_glob: str, raw_schema, table: str)
     return mapped
 
 
+def stream_checkpoint(spark: SparkSession, query_name: str) -> str:
+    """Stable checkpoint location of a streaming query.
+
+    It must be the same path on every restart, so it is derived from the
+    configured ``spark.checkpoint.dir`` root (not from the per-session folder
+    Spark creates under it for batch checkpoints).
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        # local sessions without the setting (tests): the session's folder
+        root = ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/streams/{query_name}"
+
+
 def start_append(spark: SparkSession, landing_glob: str, raw_schema, table: str,
-                 warehouse_path: str, query_name: str,
+                 warehouse_path: str, query_name: str, checkpoint_location: str | None = None,
                  available_now: bool = True) -> StreamingQuery:
-    """Append new landing files to ``warehouse_path/table``, partitioned by month."""
-    ckpt_root = ensure_checkpoint_dir(spark)
+    """Append new landing files to ``warehouse_path/table``, partitioned by month.
+
+    Restarting with the same ``query_name`` (or ``checkpoint_location``)
+    resumes after the last committed batch: files already loaded are not
+    appended again.
+    """
+    location = checkpoint_location or stream_checkpoint(spark, query_name)
     rows = warehouse.conform(stream_facts(spark, landing_glob, raw_schema, table), table)
     rows = rows.withColumn(warehouse.PARTITION_COL, (F.col("date_key") / 100).cast("int"))
     writer = (rows.writeStream.format("parquet").outputMode("append")
               .partitionBy(warehouse.PARTITION_COL)
               .option("path", f"{warehouse_path.rstrip('/')}/{table}")
-              .option("checkpointLocation", f"{ckpt_root.rstrip('/')}/streams/{query_name}")
+              .option("checkpointLocation", location)
               .queryName(query_name))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")
