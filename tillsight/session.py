@@ -28,6 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # delete reliable checkpoint files once their DataFrame is unreachable
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in SQL_DEFAULTS.items():
         builder = builder.config(k, v)
