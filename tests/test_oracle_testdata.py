@@ -32,6 +32,12 @@ def test_every_query_has_oracle():
     assert set(oracle_sql()) == set(queries())
 
 
+_SPARK_KIND = {"LongType": "int64", "IntegerType": "int32", "DoubleType": "double",
+               "StringType": "string", "DateType": "date", "BooleanType": "bool"}
+_DUCK_KIND = {"BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "double", "VARCHAR": "string",
+              "DATE": "date", "BOOLEAN": "bool"}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF_DIR)
@@ -40,6 +46,11 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(rows, df.columns) == _canon(res.fetchall(), ocols)
+    rel = con.sql(oracle_sql()[name])
+    duck = {n: _DUCK_KIND.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
+    ours = {f.name: _SPARK_KIND.get(type(f.dataType).__name__, str(f.dataType))
+            for f in df.schema.fields}
+    assert ours == duck
 
 
 def test_entry(spark):
