@@ -144,3 +144,15 @@ def test_dashboard(sample):
 def test_item_queries_empty_as_shipped(sample):
     assert revenue.category_margin(sample.no_items, sample.products).count() == 0
     assert revenue.top_products(sample.no_items, sample.products).count() == 0
+
+
+def test_month_from_calendar_dimension(spark, sample):
+    from pyspark.sql import functions as F
+    derived = rows(revenue.monthly_revenue_mom(sample.orders))
+    via_dim = rows(revenue.monthly_revenue_mom(sample.orders, dates=sample.dates))
+    assert via_dim == derived
+    # a calendar with its own month names is honoured; missing dates drop out
+    renamed = sample.dates.withColumn("month_name", F.upper("month_name")).filter(
+        F.col("month") != 6)
+    r = rows(revenue.new_vs_returning(sample.orders, dates=renamed))
+    assert [x["month_name"] for x in r] == ["JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY"]

@@ -12,22 +12,38 @@ from tillsight.functions.money import amount, avg_money, pct
 from tillsight.operators.common import COMPLETED, with_status
 
 
-def _period(orders: DataFrame, grain: str) -> DataFrame:
+def _period(orders: DataFrame, grain: str, dates: DataFrame | None = None) -> DataFrame:
     """Period key + label.  ``month`` (the reference's grouping) merges the same
-    month of different years; ``year_month`` keeps years apart."""
-    d = F.col("order_date")
+    month of different years; ``year_month`` keeps years apart.
+
+    With ``dates`` (a dim_date frame) the month and its name come from the
+    calendar through an inner join on date_key, as in the reference's star
+    join (orders on dates missing from the calendar drop out).  The calendar
+    has one row per day, so it is broadcast.  Without it they are derived
+    from ``order_date`` by the same rules that build dim_date.
+    """
+    if dates is not None:
+        cal_cols = dates.select("date_key", F.col("year").alias("_y"), F.col("month").alias("_m"),
+                                F.col("month_name").alias("_mn"))
+        orders = orders.join(F.broadcast(cal_cols), "date_key")
+        year, month, name = F.col("_y"), F.col("_m"), F.col("_mn")
+    else:
+        d = F.col("order_date")
+        year, month, name = F.year(d), F.month(d), cal.month_name(d)
     if grain == "month":
-        return orders.withColumn("_period", F.month(d)).withColumn("month_name", cal.month_name(d))
+        return orders.withColumn("_period", month).withColumn("month_name", name)
     if grain == "year_month":
-        return orders.withColumn("_period", cal.month_index(d)).withColumn("month_name", cal.year_month(d))
+        label = F.format_string("%04d-%02d", year, month)
+        return orders.withColumn("_period", year * 12 + month).withColumn("month_name", label)
     raise ValueError(f"unknown grain {grain!r}")
 
 
 def monthly_revenue_mom(orders: DataFrame, status: str = COMPLETED,
-                        grain: str = "month") -> DataFrame:
+                        grain: str = "month", dates: DataFrame | None = None) -> DataFrame:
     """A1: orders, customers, revenue and AOV per month, previous month's
     revenue and month-over-month growth % (NULL when the previous is 0)."""
-    monthly = _period(with_status(orders, status), grain).groupBy("_period", "month_name").agg(
+    monthly = _period(with_status(orders, status), grain, dates).groupBy(
+        "_period", "month_name").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_key").alias("unique_customers"),
         F.sum("net_revenue").alias("_rev"),
@@ -116,11 +132,11 @@ def top_products(items: DataFrame, products: DataFrame, k: int = C.TOP_PRODUCTS)
 
 
 def new_vs_returning(orders: DataFrame, status: str = COMPLETED,
-                     grain: str = "month") -> DataFrame:
+                     grain: str = "month", dates: DataFrame | None = None) -> DataFrame:
     """A5: revenue from first orders vs other orders per month, returning %."""
     first = F.col("is_first_order")
     rev = F.col("net_revenue")
-    g = _period(with_status(orders, status), grain).groupBy("_period", "month_name").agg(
+    g = _period(with_status(orders, status), grain, dates).groupBy("_period", "month_name").agg(
         F.sum(F.when(first, rev).otherwise(F.lit(0))).alias("_new"),
         F.sum(F.when(~first, rev).otherwise(F.lit(0))).alias("_ret"),
         F.sum(rev).alias("_tot"),
