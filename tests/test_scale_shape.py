@@ -98,7 +98,11 @@ def test_plan_shape(spark, name):
     df = queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan  # JVM-side only
     assert _single_partition_inputs_are_aggregated(plan) == []
+    if name in ("q06_days_to_second_order", "q09_day_retention"):
+        # the top-2-per-customer limit also runs map-side, before the shuffle
+        assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_shape_check_catches_global_window(spark):
