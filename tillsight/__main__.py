@@ -20,6 +20,13 @@ def _session() -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    from pyspark import SparkConf
+    if SparkConf().contains("spark.master"):
+        # launched by spark-submit: keep the cluster's master and settings
+        from tillsight.session import ensure_checkpoint_dir
+        spark = SparkSession.builder.appName("tillsight").getOrCreate()
+        ensure_checkpoint_dir(spark)
+        return spark
     from tillsight.session import local_session
     return local_session()
 
