@@ -22,7 +22,11 @@ def _same(a, b):
 def test_load_and_query_warehouse(spark, tmp_path):
     star = Star(spark, SF_DIR)
     path = str(tmp_path / "wh")
-    warehouse.load_star(star, path)
+    checks = {(r.rule, r.table_name, r.column_name): r.violations
+              for r in warehouse.load_star(star, path, run_checks=True).collect()}
+    assert checks[("unique", "fact_orders", "order_id")] == 0
+    assert checks[("references_customer_key", "fact_orders", "customer_key")] == 0
+    assert checks[("net_equals_gross_minus_discount", "fact_orders", "net_revenue")] == 0
     wh = warehouse.WarehouseStar(spark, path)
     assert wh.orders.count() == star.orders.count()
     assert _same(revenue.monthly_revenue_mom(wh.orders), revenue.monthly_revenue_mom(star.orders))

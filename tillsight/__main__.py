@@ -3,7 +3,7 @@
     python -m tillsight list
     python -m tillsight run q04_customer_ltv --data /root/testdata/sf0.1 --show 20
     python -m tillsight run q11_rolling_revenue --warehouse /shared/wh --out /shared/out/q11
-    python -m tillsight load --data /root/testdata/sf0.1 --warehouse /shared/wh
+    python -m tillsight load --data /root/testdata/sf0.1 --warehouse /shared/wh --checks
 
 With ``spark-submit`` the cluster's session is used; otherwise a local one.
 """
@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     load = sub.add_parser("load", help="load the generated tables into a warehouse")
     load.add_argument("--data", required=True)
     load.add_argument("--warehouse", required=True)
+    load.add_argument("--checks", action="store_true", help="run C4/C8 checks after loading")
     args = parser.parse_args(argv)
 
     if args.cmd == "list":
@@ -59,7 +60,10 @@ def main(argv: list[str] | None = None) -> int:
     from tillsight.sources import warehouse
     from tillsight.sources.model import Star
     if args.cmd == "load":
-        warehouse.load_star(Star(spark, args.data), args.warehouse)
+        checks = warehouse.load_star(Star(spark, args.data), args.warehouse,
+                                     run_checks=args.checks)
+        if checks is not None:
+            checks.show(100, truncate=False)
         return 0
     star = Star(spark, args.data) if args.data else warehouse.WarehouseStar(spark, args.warehouse)
     df = run_on(star, args.name)

@@ -134,11 +134,13 @@ def append(df: DataFrame, path: str, table: str) -> None:
     write_table(df, path, table, mode="append")
 
 
-def load_star(star: Star, path: str) -> None:
+def load_star(star: Star, path: str, run_checks: bool = False) -> DataFrame | None:
     """Build the warehouse from the source tables (replace-on-rerun).
 
     ``is_first_order`` is computed here, once, at load time; items carry the
-    order's date and customer keys so they partition by month as well.
+    order's date and customer keys so they partition by month as well.  With
+    ``run_checks`` the constraint (C4) and arithmetic (C8) checks run over the
+    loaded tables and their rule rows are returned.
     """
     orders = star.orders
     write_table(orders, path, "fact_orders")
@@ -150,6 +152,12 @@ def load_star(star: Star, path: str) -> None:
     write_table(star.events, path, "fact_events")
     from tillsight.operators.prep import dim_date_build
     write_table(dim_date_build(star.orders_base), path, "dim_date")
+    if not run_checks:
+        return None
+    from tillsight.operators import quality
+    wh = WarehouseStar(star.spark, path)
+    return quality.dq_checks(wh.orders, wh.items, wh.customers, wh.products).unionByName(
+        quality.order_arithmetic_check(wh.orders, wh.items))
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
