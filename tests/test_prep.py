@@ -92,3 +92,16 @@ def test_scd2_repair_removes_overlap(sample):
     assert fixed[1].effective_date == dt.date(2024, 4, 1)    # current Alice starts at expiry
     assert fixed[101].effective_date == dt.date(2024, 1, 5)  # history unchanged
     assert fixed[2].effective_date == dt.date(2024, 1, 8)    # single versions unchanged
+
+
+def test_scd2_repair_chains_three_versions(spark):
+    rows = [(1, "X", dt.date(2024, 1, 1), dt.date(2024, 3, 1), False),
+            (2, "X", dt.date(2024, 2, 1), dt.date(2024, 5, 1), False),   # overlaps v1
+            (3, "X", dt.date(2024, 2, 15), None, True),                    # overlaps v2
+            (4, "Y", dt.date(2024, 1, 1), None, True)]
+    df = spark.createDataFrame(rows, "customer_key long, customer_id string, "
+                                     "effective_date date, expiry_date date, is_current boolean")
+    got = {r.customer_key: r.effective_date
+           for r in prep.scd2_repair(df, "customer_id").collect()}
+    assert got == {1: dt.date(2024, 1, 1), 2: dt.date(2024, 3, 1), 3: dt.date(2024, 5, 1),
+                   4: dt.date(2024, 1, 1)}
