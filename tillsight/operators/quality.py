@@ -2,7 +2,8 @@
 
 Each check returns one row per rule: (rule, table_name, column_name,
 checked_rows, violations).  Per table, all column rules are one aggregation
-(one scan); key and reference rules are a grouped count or an anti join.
+(one scan); uniqueness rides on a grouped count by the key, and reference rules
+left-join the child's keys to the parent's distinct keys.
 """
 
 from __future__ import annotations
