@@ -156,3 +156,8 @@ def test_month_from_calendar_dimension(spark, sample):
         F.col("month") != 6)
     r = rows(revenue.new_vs_returning(sample.orders, dates=renamed))
     assert [x["month_name"] for x in r] == ["JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY"]
+
+
+def test_rolling_with_calendar_dimension(sample):
+    assert rows(rolling.rolling_revenue(sample.orders, dates=sample.dates)) == \
+        rows(rolling.rolling_revenue(sample.orders))

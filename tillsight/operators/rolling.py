@@ -11,15 +11,22 @@ from tillsight.operators.common import COMPLETED, with_status
 
 
 def rolling_revenue(orders: DataFrame, status: str = COMPLETED,
-                    rows: int = C.ROLLING_ROWS) -> DataFrame:
+                    rows: int = C.ROLLING_ROWS, dates: DataFrame | None = None) -> DataFrame:
     """A11.  The frame is ``rows`` *rows* (days that have orders), as in the
-    reference, not calendar days.
+    reference, not calendar days.  With ``dates`` the day comes from the
+    calendar dimension (inner join on date_key, as in the reference).
 
     The data is aggregated to one row per day first (partial aggregation, any
     scale); the ordered windows then run over that calendar-bounded result,
     where a single window partition is cheap.
     """
-    daily = with_status(orders, status).groupBy(F.col("order_date").alias("full_date")).agg(
+    done = with_status(orders, status)
+    if dates is None:
+        done = done.withColumn("full_date", F.col("order_date"))
+    else:
+        # the reference's star join; one row per calendar day, so broadcast
+        done = done.join(F.broadcast(dates.select("date_key", "full_date")), "date_key")
+    daily = done.groupBy("full_date").agg(
         F.sum("net_revenue").alias("_rev"),
         F.count_distinct("order_id").alias("daily_orders"),
     )
