@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tillsight.llm import mixing, urls
+from tillsight.llm import bpe, mixing, quality_rules, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op9_bpe": bpe.op9_bpe,
     "op10_url_filter": urls.op10_url_filter,
 }
 

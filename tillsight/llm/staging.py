@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillsight.session import ensure_checkpoint_dir
 
@@ -35,3 +36,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: A joined side of at most so many rows (8 to 32 bytes each) is sent to all tasks.
+SMALL_ROWS = 1_000_000
+
+
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a narrow ``right`` that is usually small.
+
+    It is counted first: up to SMALL_ROWS rows are broadcast, which spares the
+    wide left side a shuffle; beyond that Spark joins by shuffle (and AQE splits
+    skewed partitions).
+    """
+    right = stage(right, "join-side")
+    return left.join(F.broadcast(right) if right.count() <= SMALL_ROWS else right, on, how)
