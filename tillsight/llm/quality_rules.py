@@ -30,7 +30,8 @@ from tillsight.llm.staging import join_small, prepare, read
 
 BUCKETS = 1 << 17
 SMOOTHING = 1.0
-THRESHOLD = -0.1
+#: Mean log ratio below which a document is junk; text like the trusted target lies near 0.
+THRESHOLD = -0.4
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
