@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tillsight.llm import bpe, grid_join, html_text, line_crf, mixing, quality_rules, urls
+from tillsight.llm import bpe, grid_join, html_text, line_crf, minhash, mixing, quality_rules, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_html_text": html_text.op4_html_text,
+    "op5_minhash": minhash.op5_minhash,
     "op6_grid_join": grid_join.op6_grid_join,
     "op7_line_crf": line_crf.op7_line_crf,
     "op9_bpe": bpe.op9_bpe,
