@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillsight.llm import bpe, grid_join, html_text, line_crf, minhash, mixing, quality_rules, urls
+from tillsight.llm import bpe, grid_join, html_text, line_crf, minhash, mixing, quality_rules, suffix_dedup, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_minhash": minhash.op5_minhash,
     "op6_grid_join": grid_join.op6_grid_join,
     "op7_line_crf": line_crf.op7_line_crf,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_bpe": bpe.op9_bpe,
     "op10_url_filter": urls.op10_url_filter,
 }
