@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tillsight.llm import bpe, grid_join, html_text, line_crf, minhash, mixing, quality_rules, suffix_dedup, urls
+from tillsight.llm import bpe, grid_join, html_text, licences, line_crf, minhash, mixing, quality_rules, suffix_dedup, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_licences": licences.op2_licences,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_html_text": html_text.op4_html_text,
     "op5_minhash": minhash.op5_minhash,
@@ -18,5 +19,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_mix_sources": mixing.ORACLE_OP1,
+    "op2_licences": licences.ORACLE_OP2,
     "op10_url_filter": urls.ORACLE_OP10,
 }
