@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillsight.llm.staging import prepare, read, stage
+from tillsight.llm.staging import join_small, prepare, read, stage
 
 #: A word: code points other than space, tab, newline, \x0B, \x0C, \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -160,6 +160,26 @@ def mix(docs: DataFrame, group: str = "source", weights=WEIGHTS, cap: float = CA
                     (F.col("size") * F.col("copies")).cast("long").alias("taken"), "rate", "copies"))
 
 
+def take(docs: DataFrame, group: str = "source", weights=WEIGHTS, cap: float = CAP) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as its number of copies.
+
+    Only numbers of copies are joined to the texts.  Rows that share a doc_id are
+    numbered first, so that each gets its own.
+    """
+    plan = stage(mix(docs, group, weights, cap).select(F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull()
+                                                       .alias("__null"), "copies"), "mix-plan")
+    key = ["__id", "__null"]
+    rows = docs.withColumn("__id", F.coalesce("doc_id", F.lit(0))).withColumn("__null", F.col("doc_id").isNull())
+    shared = stage(plan.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key), "mix-shared")
+    chosen = join_small(rows, plan.join(shared, key, "left_anti").filter("copies > 0"), key)
+    if not shared.isEmpty():
+        number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+        twins = plan.join(shared, key, "left_semi").withColumn("__k", number)
+        chosen = chosen.unionByName(join_small(rows, shared, key, "left_semi").withColumn("__k", number)
+                                    .join(twins.filter("copies > 0"), [*key, "__k"]).drop("__k"))
+    return chosen.withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents by source with weights 5, 2, 1 and a cap of three copies."""
     prepare(spark)

@@ -343,10 +343,14 @@ def repeated_spans(texts: DataFrame, shard: int = SHARD) -> DataFrame:
     return known.union(contested_spans(texts, contested, shard))
 
 
-def remove_repeats(docs: DataFrame, shard: int = SHARD, columns: list[str] | None = None) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans, spans (lo, hi) and kept (the bytes that stay)."""
+def remove_repeats(docs: DataFrame, shard: int = SHARD, columns: list[str] | None = None,
+                   as_text: bool = False) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans, spans (lo, hi) and kept (the bytes that stay).
+
+    With ``as_text`` kept is a string; the rest of a character that was cut through goes.
+    """
     made = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "spans": "array<struct<lo:long,hi:long>>",
-            "kept": "binary"}
+            "kept": "string" if as_text else "binary"}
     names = [n for n in (columns or docs.columns) if n not in made]
     rows = numbered(docs.select(*dict.fromkeys([*names, "doc_id", "text"])))
     texts = rows.select(F.col("__doc").alias("doc"), F.col("__copy").alias("copy"), "text")
@@ -374,12 +378,14 @@ def remove_repeats(docs: DataFrame, shard: int = SHARD, columns: list[str] | Non
             lo, hi = lo.tolist(), hi.tolist()
             stay = [b"".join(t[a:b] for a, b in zip([0, *hi[f:g]], [*lo[f:g], len(t)]))
                     for t, f, g in zip(raw, first, first[1:])]
+            kept = pa.array([s.decode("utf-8", "ignore") for s in stay] if as_text else stay,
+                            pa.string() if as_text else pa.binary())
             spans_ = pa.StructArray.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["lo", "hi"])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array([len(t) for t in raw], pa.int64()),
                  pa.array([len(t) - len(s) for t, s in zip(raw, stay)], pa.int64()),
                  pa.array([g - f for f, g in zip(first, first[1:])], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(first, pa.int32()), spans_), pa.array(stay, pa.binary())],
+                 pa.ListArray.from_arrays(pa.array(first, pa.int32()), spans_), kept],
                 names=[*names, *made])
 
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
