@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tillsight.operators import prep, quality
@@ -63,28 +65,65 @@ def test_surrogate_keys_incremental(spark):
     assert {r.nid: r.k for r in second.collect()} == {"a": 1, "b": 2, "c": 3, "aa": 4, "d": 5}
 
 
+def _tables(spark, sample):
+    """The sample as the seven declared tables."""
+    events = sample.events.withColumn("date_key", F.lit(20240105)).withColumn("event_date", F.to_date("event_ts")).withColumn(
+        "channel_key", F.lit(1))
+    items = sample.items.withColumn("date_key", F.lit(20240105)).withColumn("customer_key", F.lit(1).cast("long"))
+    return {"dim_date": sample.dates, "dim_customer": sample.customers, "dim_product": sample.products_plus,
+            "dim_channel": fx.dim_channel(spark), "fact_orders": sample.orders, "fact_order_items": items, "fact_events": events}
+
+
 def test_dq_checks_find_planted_faults(spark, sample):
-    orders = sample.orders.drop("order_date", "date_key")
+    tables = _tables(spark, sample)
+    clean = {(r.rule, r.table_name, r.column_name): r.violations for r in quality.dq_checks(tables).collect()}
+    assert len(clean) == 7 + 45 + 22 + 9 + 1 + 1
     bad = spark.createDataFrame(
-        [(900, "ORD-001", 77, 1, "lost", 1, None, None)],
+        [(1, "ORD-001", 77, 1, "lost", None, None, None), (None, "X" * 21, 1, 99, "completed", 1, None, None)],
         "order_key long, order_id string, customer_key long, channel_key int, "
-        "order_status string, item_count int, net_revenue decimal(18,2), "
-        "gross_revenue decimal(18,2)")
-    orders = orders.unionByName(bad, allowMissingColumns=True)
-    items = sample.items
-    res = {(r.rule, r.table_name, r.column_name): r.violations
-           for r in quality.dq_checks(orders, items, sample.customers, sample.products).collect()}
-    assert res[("unique", "fact_orders", "order_id")] == 2
-    assert res[("not_null", "fact_orders", "net_revenue")] == 1
-    assert res[("allowed_values", "fact_orders", "order_status")] == 1
-    assert res[("references_customer_key", "fact_orders", "customer_key")] == 1
-    assert res[("unique", "dim_customer", "customer_key")] == 0
-    assert res[("references_order_id", "fact_order_items", "order_id")] == 0
-    arith = {r.rule: r.violations for r in quality.order_arithmetic_check(
-        sample.orders, items).collect()}
-    assert arith == {"net_equals_gross_minus_discount": 0,
-                     "margin_equals_revenue_minus_cost": 0,
-                     "order_has_lines": 73 - len({i[1] for i in fx.INVENTED_ITEM_ROWS})}
+        "order_status string, item_count int, net_revenue decimal(18,2), gross_revenue decimal(18,2)")
+    tables["fact_orders"] = sample.orders.unionByName(bad, allowMissingColumns=True)
+    res = {(r.rule, r.table_name, r.column_name): r.violations for r in quality.dq_checks(tables).collect()}
+    assert res.keys() == clean.keys()
+    wrong = {k: v - clean[k] for k, v in res.items() if v != clean[k]}
+    assert wrong == {("unique", "fact_orders", "order_key"): 3, ("not_null", "fact_orders", "item_count"): 1,
+                     ("not_null", "fact_orders", "net_revenue"): 2, ("not_null", "fact_orders", "gross_revenue"): 2,
+                     ("not_null", "fact_orders", "is_first_order"): 2, ("max_length_20", "fact_orders", "order_id"): 1,
+                     ("allowed_values", "fact_orders", "order_status"): 1,
+                     ("references_customer_key", "fact_orders", "customer_key"): 1,
+                     ("references_channel_key", "fact_orders", "channel_key"): 1}
+    tables["fact_events"] = tables["fact_events"].filter(F.lit(False))
+    empty = {(r.rule, r.table_name, r.column_name): (r.checked_rows, r.violations) for r in quality.dq_checks(tables).collect()}
+    assert empty.keys() == clean.keys()
+    assert empty[("references_customer_key", "fact_events", "customer_key")] == (0, 0)
+
+
+def test_order_arithmetic(sample):
+    arith = {r.rule: r.violations for r in quality.order_arithmetic_check(sample.orders, sample.items).collect()}
+    lines = {}
+    for row in fx.INVENTED_ITEM_ROWS:
+        lines[row[1]] = lines.get(row[1], 0) + 1
+    declared = {r.order_id: r.item_count for r in sample.orders.collect()}
+    assert arith == {"net_equals_gross_minus_discount": 0, "margin_equals_revenue_minus_cost": 0,
+                     "item_count_equals_lines": sum(n != lines.get(i, 0) for i, n in declared.items()),
+                     "order_has_lines": 73 - len(lines)}
+
+
+def test_scd2_change_to_null_closes_and_opens(spark, sample):
+    snap = spark.createDataFrame([("C001", None), ("C002", "London")], "customer_id string, city string")
+    out = prep.scd2_apply(sample.customers, snap, "customer_id", "customer_key", ["city"], dt.date(2024, 7, 1))
+    alice = {r.customer_key: r for r in out.filter("customer_id = 'C001'").collect()}
+    assert alice[1].expiry_date == dt.date(2024, 7, 1) and not alice[1].is_current
+    (new,) = [r for r in alice.values() if r.is_current]
+    assert new.city is None and new.effective_date == dt.date(2024, 7, 1)
+
+
+def test_scd2_rejects_bad_snapshots(spark, sample):
+    twice = spark.createDataFrame([("C001", "Boston"), ("C001", "Paris")], "customer_id string, city string")
+    with pytest.raises(ValueError):
+        prep.scd2_apply(sample.customers, twice, "customer_id", "customer_key", ["city"], dt.date(2024, 7, 1))
+    with pytest.raises(ValueError):
+        prep.scd2_apply(sample.customers, twice.limit(1), "customer_id", "customer_key", ["city"], dt.date(1990, 1, 1))
 
 
 def test_scd2_repair_removes_overlap(sample):

@@ -18,6 +18,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from tillsight.plans.catalog import QUERIES
 from tillsight.sources.testdata import TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,7 +49,7 @@ def _canon(rows, cols):
                          for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_skewed_data_matches_oracle(spark, skewed_dir, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -93,7 +94,7 @@ def _single_partition_inputs_are_aggregated(plan: str) -> list[str]:
     return bad
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
     df = queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -129,3 +130,52 @@ def test_scans_read_only_needed_columns(spark):
     assert all("p_retailprice" not in s for s in q13)  # the cost lookup is pruned away
     q01 = _read_schemas(queries()["q01_monthly_revenue_mom"](spark, SF_DIR))
     assert q01 and all("o_orderpriority" not in s for s in q01)
+
+
+@pytest.fixture(scope="module")
+def hot_product_dir(tmp_path_factory):
+    """Two thirds of all lines on one product."""
+    d = tmp_path_factory.mktemp("hot_product")
+    for t in TABLES:
+        tab = pq.read_table(f"{SF_DIR}/{t}.parquet")
+        if t == "lineitem":
+            hot = pa.array([k % 3 != 0 for k in range(len(tab))])
+            tab = tab.set_column(tab.schema.get_field_index("l_partkey"), "l_partkey", pc.if_else(hot, 5, tab["l_partkey"]))
+        pq.write_table(tab, f"{d}/{t}.parquet")
+    return str(d)
+
+
+@pytest.mark.parametrize("name", ["q02_category_margin", "q03_top_products", "q13_product_affinity", "c7_category_margin_share",
+                                  "q15_executive_dashboard"])
+def test_hot_product_is_combined_or_split(spark, hot_product_dir, name):
+    """Right results, and lines only meet a product's attributes after a partial
+    aggregate, or in a join of two plain exchanges, which AQE can split."""
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{hot_product_dir}/{t}.parquet')")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries()[name](spark, hot_product_dir)
+        rows, plan = [tuple(r) for r in df.collect()], df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    res = con.execute(oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    assert _canon(rows, df.columns) == _canon(res.fetchall(), cols)
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "l_partkey" in line and "Exchange hashpartitioning(product_key" in line:
+            below = "\n".join(lines[i:i + 6])
+            assert "partial_" in below or "keys=[" in below or "ENSURE_REQUIREMENTS" in line
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    for name in ("q01_monthly_revenue_mom", "q15_executive_dashboard", "c6_funnel_counts"):
+        plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan, name
+
+
+def test_funnel_sessions_scan_events_once(spark):
+    plan = queries()["c6_funnel_sessions"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]
+    assert plan.count("Scan parquet") == 1

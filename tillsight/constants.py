@@ -11,31 +11,20 @@ STATUS_REFUNDED = "refunded"
 STATUS_CANCELLED = "cancelled"
 ORDER_STATUSES = (STATUS_COMPLETED, STATUS_REFUNDED, STATUS_CANCELLED)
 
-# Lifetime-value segments: (label, lower bound, inclusive?) tested in order; else last.
-LTV_SEGMENTS = (("high_value", 1500, True), ("mid_value", 500, True), ("low_value", 0, False))
-LTV_NO_PURCHASE = "no_purchase"
+# Lifetime value from which a customer is high_value, mid_value (above 0: low_value).
+LTV_HIGH, LTV_MID = 1500, 500
 
 # Days from first to second order: upper bounds of the buckets (inclusive).
 REPEAT_BUCKET_BOUNDS = (30, 60, 90)   # labels: 0-30, 31-60, 61-90, 90+ days
 
 # Churn: more than N days since the last order, tested from the largest.
 CHURN_THRESHOLDS = (30, 60, 90)       # cooling > 30, at_risk > 60, churned > 90
-CHURN_LABELS = ("active", "cooling", "at_risk", "churned")
 
 # Retention windows in days after the first order.
 RETENTION_WINDOWS = (30, 60, 90)
 
-# RFM: number of tiles, and segment rules on (r_score, f_score) tested in order:
-# (label, r_min, r_max, f_min, f_max), None = unbounded; the fallback comes last.
+# RFM: number of tiles.
 RFM_TILES = 5
-RFM_RULES = (
-    ("Champions", 4, None, 4, None),
-    ("Loyal", 3, None, 3, None),
-    ("Recent", 4, None, None, 2),
-    ("At Risk", None, 2, 3, None),
-    ("Lost", None, 2, None, 2),
-)
-RFM_FALLBACK = "Potential"
 
 # Cohort matrix: month offsets shown (0 as a count, 1..4 as percents).
 COHORT_MONTHS = 4

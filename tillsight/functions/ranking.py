@@ -86,3 +86,26 @@ def with_ntile(df: DataFrame, k: int, order: Sequence[Column | str],
                                     keep_total="_ts_cnt")
     return ranked.withColumn(out, ntile_of(F.col("_ts_rn"), F.col("_ts_cnt"), k)) \
                  .drop("_ts_rn", "_ts_cnt")
+
+
+def tile_ends(df: DataFrame, k: int, value: str, tiebreak: str, descending: bool) -> list[tuple]:
+    """Last (value, tiebreak) of each of the first k - 1 NTILE(k) tiles, in order.
+
+    Only the two narrow columns are staged; k - 1 rows at most reach the driver.
+    """
+    column = F.col(value).desc() if descending else F.col(value).asc()
+    placed = with_global_row_number(df.select(value, tiebreak), [column], [tiebreak], out="_ts_rn", keep_total="_ts_cnt")
+    tile = ntile_of(F.col("_ts_rn"), F.col("_ts_cnt"), k)
+    following = ntile_of(F.col("_ts_rn") + 1, F.col("_ts_cnt"), k)
+    ends = placed.filter((F.col("_ts_rn") < F.col("_ts_cnt")) & (tile < following)).orderBy("_ts_rn")
+    return [(r[value], r[tiebreak]) for r in ends.collect()]
+
+
+def tile_label(ends: Sequence[tuple], value: str, tiebreak: str, descending: bool) -> Column:
+    """NTILE of a row by comparison with the tile ends."""
+    label = F.lit(1).cast("long")
+    for end_value, end_key in ends:
+        beyond = F.col(value) < F.lit(end_value) if descending else F.col(value) > F.lit(end_value)
+        after = beyond | ((F.col(value) == F.lit(end_value)) & (F.col(tiebreak) > F.lit(end_key)))
+        label = label + after.cast("long")
+    return label

@@ -14,23 +14,25 @@ def product_affinity(items: DataFrame, products: DataFrame,
     as line pairs and grouped by product *names* (same-named products merge,
     as in the reference); the k most frequent pairs.
 
-    Lines collapse to (order, product, lines) first, so a product repeated on
-    several lines of an order is joined once and weighted ``n_a * n_b``; the
-    pair join is an equi-join on order_id (a hot order is split across tasks
-    by AQE's skew-join handling) and pair counts are combined map-side by name
-    pair right after the join.  Work is the number of co-occurring product
-    pairs, which is the size of the relation being counted.
+    Lines collapse to (order, product, lines) first, from two narrow columns, so
+    a product repeated on several lines of an order is paired once and weighted
+    ``n_a * n_b``; the pair join is an equi-join on order_id (a hot order is
+    split across tasks by AQE's skew-join handling).  Pairs are counted by key
+    map-side, and names are joined to the counts, so a product in most orders
+    is never gathered for its name.  Work is the number of co-occurring product
+    pairs, which is the size of the relation being counted: quadratic in the
+    distinct products of an order.
     """
-    named = items.select("order_id", "product_key").join(
-        products.select("product_key", "product_name"), "product_key")
-    basket = named.groupBy("order_id", "product_key", "product_name").agg(
-        F.count(F.lit(1)).alias("n"))
+    basket = items.groupBy("order_id", "product_key").agg(F.count(F.lit(1)).alias("n"))
     a, b = basket.alias("a"), basket.alias("b")
     pairs = a.join(b, (F.col("a.order_id") == F.col("b.order_id"))
                    & (F.col("a.product_key") < F.col("b.product_key")))
-    g = pairs.groupBy(F.col("a.product_name").alias("product_a"),
-                      F.col("b.product_name").alias("product_b")).agg(
-        F.sum(F.col("a.n") * F.col("b.n")).cast("long").alias("times_bought_together"))
+    counted = pairs.groupBy(F.col("a.product_key").alias("ka"), F.col("b.product_key").alias("kb")).agg(
+        F.sum(F.col("a.n") * F.col("b.n")).alias("n"))
+    names = [products.select(F.col("product_key").alias(k), F.col("product_name").alias(name))
+             for k, name in (("ka", "product_a"), ("kb", "product_b"))]
+    g = counted.join(names[0], "ka").join(names[1], "kb").groupBy("product_a", "product_b").agg(
+        F.sum("n").cast("long").alias("times_bought_together"))
     return (g.filter(F.col("times_bought_together") >= 1)
             .orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
             .limit(k))

@@ -15,6 +15,11 @@ def with_status(orders: DataFrame, status: str | None = COMPLETED) -> DataFrame:
     return orders.filter(F.col("order_status") == status)
 
 
+def dated(orders: DataFrame) -> DataFrame:
+    """Orders that the star join to the calendar keeps: those with a date."""
+    return orders.filter(F.col("order_date").isNotNull())
+
+
 def first_two_order_days(orders: DataFrame, status: str | None = COMPLETED) -> DataFrame:
     """Per customer: first order day ``d1``, orders on it ``n1``, next order day ``d2``.
 
@@ -24,7 +29,7 @@ def first_two_order_days(orders: DataFrame, status: str | None = COMPLETED) -> D
     WindowGroupLimit, and the final per-customer aggregate reuses the window's
     partitioning (no further shuffle).
     """
-    days = with_status(orders, status).groupBy("customer_key", "order_date").agg(
+    days = dated(with_status(orders, status)).groupBy("customer_key", "order_date").agg(
         F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("customer_key").orderBy("order_date")
     top = days.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= 2)

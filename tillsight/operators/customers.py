@@ -10,15 +10,14 @@ from pyspark.sql import functions as F
 from tillsight import constants as C
 from tillsight.functions.money import amount, avg_money
 from tillsight.operators.common import (COMPLETED, customer_name, customer_order_summary,
-                                        first_two_order_days)
+                                        dated, first_two_order_days)
 
 
 def _current(customers: DataFrame) -> DataFrame:
     return customer_name(customers.filter(F.col("is_current")))
 
 
-def customer_ltv(customers: DataFrame, orders: DataFrame, status: str = COMPLETED,
-                 segments=C.LTV_SEGMENTS) -> DataFrame:
+def customer_ltv(customers: DataFrame, orders: DataFrame, status: str = COMPLETED) -> DataFrame:
     """A4: lifetime value per current customer with a value segment.
 
     As in the reference's LEFT JOIN filtered in WHERE: a customer without any
@@ -39,11 +38,8 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, status: str = COMPLETE
         F.max("last_order_date").alias("last_order_date"),
     )
     ltv = F.col("_ltv")
-    segment = None
-    for label, bound, inclusive in segments:
-        cond = ltv >= bound if inclusive else ltv > bound
-        segment = F.when(cond, label) if segment is None else segment.when(cond, label)
-    segment = segment.otherwise(C.LTV_NO_PURCHASE)
+    segment = (F.when(ltv >= C.LTV_HIGH, "high_value").when(ltv >= C.LTV_MID, "mid_value")
+               .when(ltv > 0, "low_value").otherwise("no_purchase"))
     return g.select(
         "customer_id", "customer_name", "country", "age_band", "acquisition_channel",
         "total_orders",
@@ -59,9 +55,9 @@ def days_to_second_order(orders: DataFrame, status: str = COMPLETED,
     """Gap in days between each customer's first and second order.
 
     Two orders on the first day give a second order on that day (0 days).
-    Customers with a single order are absent.
+    Customers with a single order, and orders without customer or date, are absent.
     """
-    t = first_two_order_days(orders, status)
+    t = first_two_order_days(orders.filter(F.col("customer_key").isNotNull()), status)
     second = F.when(F.col("n1") >= 2, F.col("d1")).otherwise(F.col("d2"))
     gap = F.datediff(F.col("second_order_date"), F.col("first_order_date")).cast("long")
     b1, b2, b3 = buckets
@@ -82,7 +78,7 @@ def churn_status(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
                  thresholds: tuple[int, int, int] = C.CHURN_THRESHOLDS) -> DataFrame:
     """A10: last order, orders, spend and churn label per current customer
     with at least one qualifying order (inner joins)."""
-    summary = customer_order_summary(orders, status).filter(F.col("revenue_n") > 0)
+    summary = customer_order_summary(dated(orders), status).filter(F.col("revenue_n") > 0)
     j = _current(customers).join(summary, "customer_key")
     g = j.groupBy("customer_id", "customer_name", "country").agg(
         F.max("last_order_date").alias("last_order_date"),
@@ -90,11 +86,10 @@ def churn_status(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
         F.sum("revenue_sum").alias("_spent"),
     )
     days = F.datediff(F.lit(as_of), F.col("last_order_date")).cast("long")
-    days_col = F.col("days_since_last_order")
-    label = None
-    for bound, name in sorted(zip(thresholds, C.CHURN_LABELS[1:]), reverse=True):
-        label = F.when(days_col > bound, name) if label is None else label.when(days_col > bound, name)
-    label = label.otherwise(C.CHURN_LABELS[0])
+    cooling, at_risk, churned = thresholds
+    idle = F.col("days_since_last_order")
+    label = (F.when(idle > churned, "churned").when(idle > at_risk, "at_risk")
+             .when(idle > cooling, "cooling").otherwise("active"))
     return (g.select("customer_id", "customer_name", "country", "last_order_date",
                      "total_orders", amount("_spent").alias("total_spent"),
                      days.alias("days_since_last_order"))

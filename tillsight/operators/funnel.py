@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillsight import constants as C
 from tillsight.functions.money import pct
-from tillsight.session import materialize
+from tillsight.operators.revenue import distinct_count
 
 STEPS = C.FUNNEL_STEPS
 
@@ -26,11 +26,11 @@ def funnel_counts(events: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:
     """Events, sessions and customers per step, and the event-count
     conversion from the previous step ("10 checkouts -> 9 purchases" = 90 %).
     Every step is listed, with zeros when it has no events."""
-    per_type = events.filter(F.col("event_type").isin(*steps)).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.count_distinct("customer_key").alias("customers"),
-    )
+    known = events.filter(F.col("event_type").isin(*steps))
+    # Distinct counts over narrow pairs: together they would copy every event for each count.
+    per_type = known.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    for column, name in (("session_id", "sessions"), ("customer_key", "customers")):
+        per_type = per_type.join(distinct_count(known, ["event_type"], column, name), "event_type")
     j = _steps_frame(events, steps).join(per_type, "event_type", "left").select(
         "step_order", "event_type",
         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
@@ -44,28 +44,23 @@ def funnel_sessions(events: DataFrame, steps: Sequence[str] = STEPS) -> DataFram
     """Sessions that reach each step in order: step i counts when an event
     of that type occurs at or after the time the session reached step i-1.
 
-    Per step, the step's events join the sessions that reached the previous
-    step (one row per session, so the join is 1:n on the session key) and a
-    grouped min gives the reach time.  No per-session sequence is collected.
-    Each step's result (one row per session) is checkpointed to the reliable
-    checkpoint folder: later steps and the counts read it instead of
-    recomputing the chain, so events are scanned once per step.
+    The reach times of all steps are windows over the same partitioning by
+    session (the earliest event of the step at or after the time of the step
+    before), so events are scanned and shuffled once, and the sessions are
+    counted from the same partitioning.  A session is one user's day.
     """
-    e = events.select("session_id", "event_type", "event_ts")
-    reached = materialize(e.filter(F.col("event_type") == steps[0]).groupBy("session_id").agg(
-        F.min("event_ts").alias("_t")))
-    counts = [reached.agg(F.count(F.lit(1)).alias("sessions"))
-              .withColumn("step_order", F.lit(1))]
-    for i, step in enumerate(steps[1:], start=2):
-        reached = materialize(
-            e.filter(F.col("event_type") == step).join(reached, "session_id")
-            .filter(F.col("event_ts") >= F.col("_t"))
-            .groupBy("session_id").agg(F.min("event_ts").alias("_t")))
-        counts.append(reached.agg(F.count(F.lit(1)).alias("sessions"))
-                      .withColumn("step_order", F.lit(i)))
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+    per_session = Window.partitionBy("session_id")
+    e = events.filter(F.col("event_type").isin(*steps)).select("session_id", "event_type", "event_ts")
+    for i, step in enumerate(steps, start=1):
+        counts = F.col("event_type") == step
+        if i > 1:
+            counts = counts & (F.col("event_ts") >= F.col(f"_t{i - 1}"))
+        e = e.withColumn(f"_t{i}", F.min(F.when(counts, F.col("event_ts"))).over(per_session))
+    reached = e.groupBy("session_id").agg(*[F.max(f"_t{i}").alias(f"_t{i}") for i in range(1, len(steps) + 1)])
+    reached = reached.filter(F.col("session_id").isNotNull())
+    rows = F.array(*[F.struct(F.lit(i).alias("step_order"), F.col(f"_t{i}").alias("n")) for i in range(1, len(steps) + 1)])
+    out = (reached.agg(*[F.count(f"_t{i}").alias(f"_t{i}") for i in range(1, len(steps) + 1)])
+           .select(F.explode(rows).alias("r")).select("r.step_order", F.col("r.n").alias("sessions")))
     w = Window.orderBy("step_order")  # one row per step
     return (_steps_frame(events, steps).join(out, "step_order")
             .select(F.col("step_order").cast("long").alias("step_order"), "event_type",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions import calendar as cal
 from tillsight.functions.ranking import with_global_row_number
+from tillsight.session import materialize
 from tillsight.sources.model import with_first_order_flag
 
 
@@ -68,49 +69,49 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, natural_key: str, surrogate_
     ``dim`` holds all versions (``effective_date``, ``expiry_date``,
     ``is_current``); ``incoming`` has one row per natural key with the
     tracked columns as of ``effective``.  A current version whose tracked
-    values differ (null-safe) is closed at ``effective`` and a new version
-    opens there (validity is half-open, so versions never overlap).  Natural
-    keys new to the dimension get a first version.  New versions get keys
-    above the largest key in use.  Everything is one full-outer join on the
-    natural key (1:1) plus a union.
+    values differ (null-safe; a change to NULL counts) is closed at ``effective``
+    and a new version opens there (validity is half-open, so versions never
+    overlap).  Natural keys new to the dimension get a first version.  New
+    versions get keys above the largest key in use.
+
+    Current versions and the snapshot meet in one full-outer join, whose rows
+    become one or two output versions each and are staged; new versions are
+    numbered from there.  Repeated natural keys in ``incoming``, or a change that
+    takes effect before the version it closes began, raise ValueError.
     """
+    doubled = incoming.groupBy(natural_key).count().filter("count > 1")
+    if not doubled.isEmpty():
+        raise ValueError(f"incoming repeats {natural_key}")
     current = dim.filter(F.col("is_current"))
     history = dim.filter(~F.col("is_current"))
-    inc = incoming.select(natural_key, *[F.col(c).alias(f"_new_{c}") for c in tracked])
-    j = current.join(inc, natural_key, "full_outer")
+    inc = incoming.select(natural_key, F.lit(True).alias("_given"), *[F.col(c).alias(f"_new_{c}") for c in tracked])
+    j = current.withColumn("_known", F.lit(True)).join(inc, natural_key, "full_outer")
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"_new_{c}"))
-    has_cur = F.col(surrogate_key).isNotNull()
-    has_new = F.col(f"_new_{tracked[0]}").isNotNull() | F.lit(False)
-    for c in tracked[1:]:
-        has_new = has_new | F.col(f"_new_{c}").isNotNull()
-    j = j.withColumn("_has_cur", has_cur).withColumn("_has_new", has_new) \
-         .withColumn("_same", same)
-    dim_cols = dim.columns
-    kept = j.filter(F.col("_has_cur") & (~F.col("_has_new") | F.col("_same"))).select(*dim_cols)
-    closed = j.filter(F.col("_has_cur") & F.col("_has_new") & ~F.col("_same")).select(
-        *[F.lit(effective).alias(c) if c == "expiry_date"
-          else F.lit(False).alias(c) if c == "is_current" else F.col(c) for c in dim_cols])
-    opened = j.filter(F.col("_has_new") & (~F.col("_has_cur") | ~F.col("_same")))
+    known, given = F.col("_known").isNotNull(), F.col("_given").isNotNull()
+    changed = known & given & ~same
+    types = {f.name: f.dataType for f in dim.schema.fields}
+
+    def version(values: dict[str, Column], opens: bool) -> Column:
+        return F.struct(*[values.get(c, F.col(c)).cast(types[c]).alias(c) for c in dim.columns],
+                        F.lit(opens).alias("_opens"))
+
+    old = version({"expiry_date": F.when(changed, F.lit(effective)).otherwise(F.col("expiry_date")),
+                   "is_current": ~changed}, False)
+    new = version({surrogate_key: F.lit(None), "effective_date": F.lit(effective), "expiry_date": F.lit(None),
+                   "is_current": F.lit(True), **{c: F.col(f"_new_{c}") for c in tracked}}, True)
+    both = F.array(F.when(known, old), F.when(changed | (given & ~known), new))
+    early = changed & (F.col("effective_date") > F.lit(effective))
+    versions = materialize(j.withColumn("_early", early).select(
+        "_early", F.explode(F.filter(both, lambda v: v.isNotNull())).alias("v")).select("_early", "v.*"))
+    if not versions.filter("_early").isEmpty():
+        raise ValueError("a change takes effect before the version it closes")
     start = dim.agg(F.max(surrogate_key)).first()[0] or 0
-    opened = with_global_row_number(opened, [natural_key], [], out="_rn")
-    new_cols = []
-    for c in dim_cols:
-        if c == surrogate_key:
-            new_cols.append((F.col("_rn") + F.lit(start)).cast("long").alias(c))
-        elif c in tracked:
-            new_cols.append(F.col(f"_new_{c}").alias(c))
-        elif c == "effective_date":
-            new_cols.append(F.lit(effective).alias(c))
-        elif c == "expiry_date":
-            new_cols.append(F.lit(None).cast("date").alias(c))
-        elif c == "is_current":
-            new_cols.append(F.lit(True).alias(c))
-        else:
-            new_cols.append(F.col(c))
-    opened = opened.select(*new_cols)
-    return history.unionByName(kept).unionByName(closed).unionByName(opened)
+    opened = with_global_row_number(versions.filter("_opens"), [natural_key], [], out="_rn").withColumn(
+        surrogate_key, (F.col("_rn") + F.lit(start)).cast("long"))
+    kept = versions.filter("not _opens")
+    return history.unionByName(kept.select(*dim.columns)).unionByName(opened.select(*dim.columns))
 
 
 def scd2_repair(dim: DataFrame, natural_key: str) -> DataFrame:

@@ -1,19 +1,22 @@
 """Data-quality checks: C4 constraint checks, C8 order arithmetic checks.
 
 Each check returns one row per rule: (rule, table_name, column_name,
-checked_rows, violations).  Per table, all column rules are one aggregation
-(one scan); uniqueness rides on a grouped count by the key, and reference rules
-left-join the child's keys to the parent's distinct keys.
+checked_rows, violations).  The rules come from the declared schemas.  Per
+table, key, NOT NULL and length rules are one pass grouped by the primary key;
+the references of all tables are one join of their distinct keys (counted
+map-side) with the parents' keys.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight import constants as C
+from tillsight.sources import warehouse
 
 RESULT_COLS = ["rule", "table_name", "column_name", "checked_rows", "violations"]
 
@@ -34,7 +37,7 @@ def _rows_from_agg(agg: DataFrame, specs: Sequence[tuple[str, str, str, str]]) -
 def table_rules(df: DataFrame, table: str, key: Sequence[str] | str | None = None,
                 not_null: Sequence[str] = (), max_length: dict[str, int] | None = None,
                 allowed: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Primary-key uniqueness, NOT NULL, VARCHAR(n) length and value-domain
+    """Primary-key (unique, not NULL), NOT NULL, VARCHAR(n) length and value-domain
     rules of one table in a single scan.
 
     With a key, rows are first grouped by it (partial aggregation map-side, so
@@ -46,7 +49,7 @@ def table_rules(df: DataFrame, table: str, key: Sequence[str] | str | None = Non
         conds.append((f"_nn{i}", F.col(c).isNull()))
         specs.append(("not_null", table, c, f"_nn{i}"))
     for i, (c, n) in enumerate((max_length or {}).items()):
-        conds.append((f"_len{i}", F.length(F.col(c)) > n))
+        conds.append((f"_len{i}", F.length(F.col(c).cast("string")) > n))
         specs.append((f"max_length_{n}", table, c, f"_len{i}"))
     for i, (c, values) in enumerate((allowed or {}).items()):
         conds.append((f"_dom{i}", F.col(c).isNotNull() & ~F.col(c).isin(*values)))
@@ -57,75 +60,84 @@ def table_rules(df: DataFrame, table: str, key: Sequence[str] | str | None = Non
     else:
         keys = [key] if isinstance(key, str) else list(key)
         g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
+        absent = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         agg = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_checked"),
-                    F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_dup"),
+                    F.coalesce(F.sum(F.when((F.col("_n") > 1) | absent, F.col("_n"))), F.lit(0)).alias("_dup"),
                     *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name, _ in conds])
         specs = [("unique", table, ",".join(keys), "_dup")] + specs
     return _rows_from_agg(agg, specs)
 
 
-def reference_rule(child: DataFrame, table: str, fk: str, parent: DataFrame,
-                   pk: str) -> DataFrame:
-    """Non-null foreign keys with no parent row (orphans).
+def reference_rules(tables: dict[str, DataFrame], references: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Non-null foreign keys without a parent row; references = (child, column, parent, key).
 
-    The parent's distinct keys (an aggregate, hash-partitioned on the key,
-    which the join then reuses) are left-joined to the child's key column;
-    one aggregate counts child rows and orphans.
+    Each child table is read once: its keys are counted per (column, key)
+    map-side, so a hot key is one row per task, and joined to the parents' keys.
     """
-    keys = parent.select(F.col(pk).alias("_pk")).distinct().withColumn("_hit", F.lit(True))
-    j = child.select(F.col(fk).alias("_pk")).join(keys, "_pk", "left")
-    agg = j.agg(F.count(F.lit(1)).alias("_checked"),
-                F.count_if(F.col("_pk").isNotNull() & F.col("_hit").isNull()).alias("_orphans"))
-    return _rows_from_agg(agg, [(f"references_{pk}", table, fk, "_orphans")])
-
-
-def dq_checks(orders: DataFrame, items: DataFrame, customers: DataFrame,
-              products: DataFrame) -> DataFrame:
-    """C4: the schema's keys, NOT NULLs, lengths and foreign keys as checks."""
-    parts = [
-        table_rules(orders, "fact_orders", key="order_id",
-                    not_null=["order_id", "order_status", "net_revenue", "gross_revenue"],
-                    max_length={"order_status": 20},
-                    allowed={"order_status": list(C.ORDER_STATUSES)}),
-        table_rules(items, "fact_order_items",
-                    not_null=["order_id", "quantity", "line_revenue", "line_cost"]),
-        table_rules(customers, "dim_customer", key="customer_key",
-                    not_null=["customer_id", "first_name", "last_name", "email", "country"],
-                    max_length={"customer_id": 20, "first_name": 100, "last_name": 100,
-                                "email": 255, "country": 100}),
-        table_rules(products, "dim_product", key="product_key",
-                    not_null=["product_id", "product_name", "category", "brand"],
-                    max_length={"product_id": 20, "product_name": 200, "category": 100,
-                                "brand": 100}),
-        reference_rule(orders, "fact_orders", "customer_key", customers, "customer_key"),
-        reference_rule(items, "fact_order_items", "product_key", products, "product_key"),
-        reference_rule(items, "fact_order_items", "order_id", orders, "order_id"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*RESULT_COLS)
+    children, parents = [], {}
+    for child in dict.fromkeys(r[0] for r in references):
+        keys = [F.struct(F.lit(child).alias("table_name"), F.lit(column).alias("column_name"),
+                         F.lit(f"references_{key}").alias("rule"), F.lit(f"{parent}.{key}").alias("_parent"),
+                         F.col(column).cast("string").alias("_key"))
+                for c, column, parent, key in references if c == child]
+        columns = [r[1] for r in references if r[0] == child]
+        children.append(tables[child].select(*columns).select(F.explode(F.array(*keys)).alias("_k")).select("_k.*"))
+    for _, _, parent, key in references:
+        parents.setdefault(f"{parent}.{key}", tables[parent].select(
+            F.lit(f"{parent}.{key}").alias("_parent"), F.col(key).cast("string").alias("_key")))
+    counted = functools.reduce(DataFrame.unionByName, children).groupBy(
+        "rule", "table_name", "column_name", "_parent", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    known = functools.reduce(DataFrame.unionByName, parents.values()).distinct().withColumn("_hit", F.lit(True))
+    j = counted.join(known, ["_parent", "_key"], "left")
+    orphan = F.col("_key").isNotNull() & F.col("_hit").isNull()
+    found = j.groupBy("rule", "table_name", "column_name").agg(
+        F.sum("_n").alias("checked_rows"), F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("violations"))
+    # an empty child table has no keys: its rules are listed with 0 rows
+    rules = F.array(*[F.struct(F.lit(f"references_{key}").alias("rule"), F.lit(child).alias("table_name"),
+                               F.lit(column).alias("column_name")) for child, column, _, key in references])
+    every = j.sparkSession.range(1).select(F.explode(rules).alias("_r")).select("_r.*")
+    return every.join(found, ["rule", "table_name", "column_name"], "left").select(
+        "rule", "table_name", "column_name", F.coalesce("checked_rows", F.lit(0)).alias("checked_rows"),
+        F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
+def star_tables(star) -> dict[str, DataFrame]:
+    """The seven tables of a star, as declared."""
+    return star.tables()
+
+
+def dq_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """C4: all declared keys, NOT NULLs, lengths and references as checks, the order
+    statuses, and the items' link to orders by order_id (which is not declared)."""
+    parts = []
+    for table, schema in warehouse.SCHEMAS.items():
+        key = warehouse.PRIMARY_KEYS[table]
+        parts.append(table_rules(
+            tables[table], table, key=key,
+            not_null=[f.name for f in schema.fields if not f.nullable and f.name != key],
+            max_length=warehouse.LENGTHS[table],
+            allowed={"order_status": list(C.ORDER_STATUSES)} if table == "fact_orders" else None))
+    references = [(child, column, parent, warehouse.PRIMARY_KEYS[parent]) for child, column, parent in warehouse.REFERENCES]
+    parts.append(reference_rules(tables, [*references, ("fact_order_items", "order_id", "fact_orders", "order_id")]))
+    return functools.reduce(DataFrame.unionByName, [p.select(*RESULT_COLS) for p in parts])
 
 
 def order_arithmetic_check(orders: DataFrame, items: DataFrame) -> DataFrame:
     """net = gross - discount per order, margin = revenue - cost per line,
-    and orders without any line (item_count = 0 against NOT NULL >= 1)."""
-    o_agg = orders.agg(
+    item_count = lines of the order, and no order without a line."""
+    lines = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    o_agg = orders.join(lines, "order_id", "left").agg(
         F.count(F.lit(1)).alias("_checked"),
         F.count_if(F.col("net_revenue") != F.col("gross_revenue")
-                   - F.coalesce(F.col("discount_amount"), F.lit(0))).alias("_bad"))
+                   - F.coalesce(F.col("discount_amount"), F.lit(0))).alias("_net"),
+        F.count_if(F.col("item_count") != F.coalesce("_lines", F.lit(0))).alias("_count"),
+        F.count_if(F.col("_lines").isNull()).alias("_none"))
     i_agg = items.agg(
         F.count(F.lit(1)).alias("_checked"),
         F.count_if(F.col("line_margin") != F.col("line_revenue") - F.col("line_cost")).alias("_bad"))
-    lineless = orders.select("order_id").join(items.select("order_id"), "order_id", "left_anti")
-    l_agg = orders.agg(F.count(F.lit(1)).alias("_checked")).withColumn("_bad", F.lit(None).cast("long")) \
-        .unionByName(lineless.agg(F.count(F.lit(1)).alias("_bad"))
-                     .withColumn("_checked", F.lit(None).cast("long"))) \
-        .agg(F.max("_checked").alias("_checked"), F.max("_bad").alias("_bad"))
-    return (_rows_from_agg(o_agg, [("net_equals_gross_minus_discount", "fact_orders",
-                                    "net_revenue", "_bad")])
+    return (_rows_from_agg(o_agg, [("net_equals_gross_minus_discount", "fact_orders", "net_revenue", "_net"),
+                                   ("item_count_equals_lines", "fact_orders", "item_count", "_count"),
+                                   ("order_has_lines", "fact_orders", "order_id", "_none")])
             .unionByName(_rows_from_agg(i_agg, [("margin_equals_revenue_minus_cost",
                                                  "fact_order_items", "line_margin", "_bad")]))
-            .unionByName(_rows_from_agg(l_agg, [("order_has_lines", "fact_orders",
-                                                 "order_id", "_bad")]))
             .select(*RESULT_COLS))

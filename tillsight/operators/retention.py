@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillsight import constants as C
 from tillsight.functions import calendar as cal
 from tillsight.functions.money import pct
-from tillsight.operators.common import COMPLETED, first_two_order_days
+from tillsight.operators.common import COMPLETED, dated, first_two_order_days
 
 
 def cohort_activity(orders: DataFrame, status: str = COMPLETED) -> DataFrame:
@@ -23,7 +23,7 @@ def cohort_activity(orders: DataFrame, status: str = COMPLETED) -> DataFrame:
     month-0 rows), so nothing is scanned or joined twice.
     """
     month = F.trunc(F.col("order_date"), "MM")
-    cm = orders.groupBy("customer_key", month.alias("activity_month")).agg(
+    cm = dated(orders).filter(F.col("customer_key").isNotNull()).groupBy("customer_key", month.alias("activity_month")).agg(
         F.max(F.col("order_status") == status).alias("active"),
         F.max(F.col("is_first_order")).alias("has_first"),
     )
@@ -86,9 +86,10 @@ def day_retention(orders: DataFrame, status: str = COMPLETED,
 
     "Ordered again within N days" holds iff the next distinct order day is at
     most N days after the first, so only the first two order days matter.
+    Orders without a customer count as one customer who never comes back.
     """
     t = first_two_order_days(orders, status)
-    gap = F.datediff(F.col("d2"), F.col("d1"))
+    gap = F.when(F.col("customer_key").isNotNull(), F.datediff(F.col("d2"), F.col("d1")))
     g = t.agg(
         F.count(F.lit(1)).alias("total_customers"),
         *[F.count_if(gap <= w).alias(f"retained_{w}d") for w in windows],

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tillsight import constants as C
 from tillsight.functions import calendar as cal
 from tillsight.functions.money import amount, avg_money, pct
-from tillsight.operators.common import COMPLETED, with_status
+from tillsight.operators.common import COMPLETED, dated, with_status
+from tillsight.sources.model import sum_by_product
 
 
 def _period(orders: DataFrame, grain: str, dates: DataFrame | None = None) -> DataFrame:
@@ -18,17 +19,17 @@ def _period(orders: DataFrame, grain: str, dates: DataFrame | None = None) -> Da
 
     With ``dates`` (a dim_date frame) the month and its name come from the
     calendar through an inner join on date_key, as in the reference's star
-    join (orders on dates missing from the calendar drop out).  The calendar
-    has one row per day, so it is broadcast.  Without it they are derived
-    from ``order_date`` by the same rules that build dim_date.
+    join (orders on dates missing from the calendar drop out; Spark broadcasts
+    the calendar if it is small).  Without it they are derived from
+    ``order_date`` by the rules that build dim_date, for orders with a date.
     """
     if dates is not None:
         cal_cols = dates.select("date_key", F.col("year").alias("_y"), F.col("month").alias("_m"),
                                 F.col("month_name").alias("_mn"))
-        orders = orders.join(F.broadcast(cal_cols), "date_key")
+        orders = orders.join(cal_cols, "date_key")
         year, month, name = F.col("_y"), F.col("_m"), F.col("_mn")
     else:
-        d = F.col("order_date")
+        orders, d = dated(orders), F.col("order_date")
         year, month, name = F.year(d), F.month(d), cal.month_name(d)
     if grain == "month":
         return orders.withColumn("_period", month).withColumn("month_name", name)
@@ -38,17 +39,22 @@ def _period(orders: DataFrame, grain: str, dates: DataFrame | None = None) -> Da
     raise ValueError(f"unknown grain {grain!r}")
 
 
+def distinct_count(rows: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
+    """Distinct non-null values of a column per group, from narrow distinct rows."""
+    return rows.select(*group, column).distinct().groupBy(*group).agg(F.count(column).alias(name))
+
+
 def monthly_revenue_mom(orders: DataFrame, status: str = COMPLETED,
                         grain: str = "month", dates: DataFrame | None = None) -> DataFrame:
     """A1: orders, customers, revenue and AOV per month, previous month's
     revenue and month-over-month growth % (NULL when the previous is 0)."""
-    monthly = _period(with_status(orders, status), grain, dates).groupBy(
-        "_period", "month_name").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_key").alias("unique_customers"),
-        F.sum("net_revenue").alias("_rev"),
-        F.count("net_revenue").alias("_n"),
-    )
+    done = _period(with_status(orders, status), grain, dates)
+    period = ["_period", "month_name"]
+    # Distinct counts over narrow pairs, sums apart: one aggregate with both would
+    # copy every order once for each distinct count.
+    monthly = done.groupBy(*period).agg(F.sum("net_revenue").alias("_rev"), F.count("net_revenue").alias("_n"))
+    for column, name in (("order_id", "total_orders"), ("customer_key", "unique_customers")):
+        monthly = monthly.join(distinct_count(done, period, column, name), period)
     # One row per period (at most 12, or one per calendar month): a single
     # ordered window partition is bounded by the calendar, not the data.
     w = Window.orderBy("_period")
@@ -84,14 +90,19 @@ def _distinct_orders(items: DataFrame, products: DataFrame, with_total: bool = F
                                         F.count_distinct("order_id").alias("orders"))
 
 
-def category_margin(items: DataFrame, products: DataFrame) -> DataFrame:
+def category_margin(items: DataFrame, products: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """A2: per category distinct orders, units, revenue, cost, margin, margin %.
-    All order statuses count (the reference has no status filter)."""
-    sums = items.join(_category_lookup(products), "product_key").groupBy("category").agg(
-        F.sum("quantity").cast("long").alias("units_sold"),
-        F.sum("line_revenue").alias("_rev"),
-        F.sum("line_cost").alias("_cost"),
-        F.sum("line_margin").alias("_margin"),
+    All order statuses count (the reference has no status filter).
+
+    ``totals`` has the sums per product (see ``product_totals``); the category
+    is joined to those, so no product's lines meet in one task.
+    """
+    totals = sum_by_product(items) if totals is None else totals
+    sums = totals.join(_category_lookup(products), "product_key").groupBy("category").agg(
+        F.sum("units").cast("long").alias("units_sold"),
+        F.sum("revenue").alias("_rev"),
+        F.sum("cost").alias("_cost"),
+        F.sum("margin").alias("_margin"),
     )
     # both sides hold one row per category
     return sums.join(_distinct_orders(items, products), "category").select(
@@ -102,31 +113,26 @@ def category_margin(items: DataFrame, products: DataFrame) -> DataFrame:
     ).orderBy(F.col("revenue").desc())
 
 
-def top_products(items: DataFrame, products: DataFrame, k: int = C.TOP_PRODUCTS) -> DataFrame:
+def top_products(items: DataFrame, products: DataFrame, k: int = C.TOP_PRODUCTS,
+                 totals: DataFrame | None = None) -> DataFrame:
     """A3: the k products with most revenue, RANK with gaps on ties.
 
-    Lines are aggregated per product first; attributes are joined to the
-    per-product result.  Top-k runs as TakeOrderedAndProject, and RANK over
-    those k rows equals the global rank (every row ranked above a top-k row is
-    itself in the top k).  Ties at the cut are broken by product_key.
+    Lines are summed per product first (``totals``, see ``product_totals``);
+    costs and attributes are joined to the per-product sums.  Top-k runs as
+    TakeOrderedAndProject, and RANK over those k rows equals the global rank
+    (every row ranked above a top-k row is itself in the top k).  Ties at the
+    cut are broken by product_key.
     """
-    per_product = items.groupBy("product_key").agg(
-        F.sum("quantity").cast("long").alias("units_sold"),
-        F.sum("line_revenue").alias("_rev"),
-        F.sum("line_margin").alias("_margin"),
-        F.sum("discount_pct").alias("_disc"),
-        F.count("discount_pct").alias("_disc_n"),
-    )
-    top = (per_product.join(products.select("product_key", "product_name", "category", "brand"),
-                            "product_key")
-           .orderBy(F.col("_rev").desc(), F.col("product_key").asc())
+    totals = sum_by_product(items) if totals is None else totals
+    top = (totals.join(products.select("product_key", "product_name", "category", "brand"), "product_key")
+           .orderBy(F.col("revenue").desc(), F.col("product_key").asc())
            .limit(k))
-    w = Window.orderBy(F.col("_rev").desc())
+    w = Window.orderBy(F.col("revenue").desc())
     return top.select(
         F.rank().over(w).cast("long").alias("revenue_rank"),
-        "product_name", "category", "brand", "units_sold",
-        amount("_rev").alias("revenue"), amount("_margin").alias("gross_margin"),
-        avg_money(F.col("_disc"), F.col("_disc_n"), 1).alias("avg_discount_pct"),
+        "product_name", "category", "brand", F.col("units").cast("long").alias("units_sold"),
+        amount("revenue").alias("revenue"), amount("margin").alias("gross_margin"),
+        avg_money(F.col("discount"), F.col("discounts"), 1).alias("avg_discount_pct"),
         "product_key",
     ).orderBy(F.col("revenue_rank"), F.col("product_key")).drop("product_key")
 
@@ -150,17 +156,18 @@ def new_vs_returning(orders: DataFrame, status: str = COMPLETED,
     ).orderBy("_period").drop("_period")
 
 
-def category_margin_share(items: DataFrame, products: DataFrame) -> DataFrame:
+def category_margin_share(items: DataFrame, products: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Each category's share of total gross margin and of distinct orders.
 
-    Margin sums per category are one map-side-combined aggregation; distinct
+    Margins are summed per product (``totals``), then per category; distinct
     orders per category and in total come from one ROLLUP over the narrow
     (category, order_id) pairs (the total is not the sum of the per-category
     counts).  Totals spread with windows over the category-sized results.
     """
     everything = Window.partitionBy()  # category-sized inputs only
-    margins = items.join(_category_lookup(products), "product_key").groupBy("category").agg(
-        F.sum("line_margin").alias("_margin"))
+    totals = sum_by_product(items) if totals is None else totals
+    margins = totals.join(_category_lookup(products), "product_key").groupBy("category").agg(
+        F.sum("margin").alias("_margin"))
     margins = margins.withColumn("_tot_margin", F.sum("_margin").over(everything))
     counts = _distinct_orders(items, products, with_total=True)
     counts = counts.withColumn(

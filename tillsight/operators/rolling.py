@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillsight import constants as C
 from tillsight.functions.money import amount, avg_money
-from tillsight.operators.common import COMPLETED, with_status
+from tillsight.operators.common import COMPLETED, dated, with_status
 
 
 def rolling_revenue(orders: DataFrame, status: str = COMPLETED,
@@ -22,10 +22,9 @@ def rolling_revenue(orders: DataFrame, status: str = COMPLETED,
     """
     done = with_status(orders, status)
     if dates is None:
-        done = done.withColumn("full_date", F.col("order_date"))
+        done = dated(done).withColumn("full_date", F.col("order_date"))
     else:
-        # the reference's star join; one row per calendar day, so broadcast
-        done = done.join(F.broadcast(dates.select("date_key", "full_date")), "date_key")
+        done = done.join(dates.select("date_key", "full_date"), "date_key")
     daily = done.groupBy("full_date").agg(
         F.sum("net_revenue").alias("_rev"),
         F.count_distinct("order_id").alias("daily_orders"),

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tillsight import constants as C
 from tillsight.functions.money import amount, half_up, pct
-from tillsight.functions.ranking import with_ntile
-from tillsight.operators.common import COMPLETED, customer_name, customer_order_summary, with_status
+from tillsight.functions.ranking import tile_ends, tile_label, with_ntile
+from tillsight.operators.common import COMPLETED, customer_name, customer_order_summary, dated, with_status
+from tillsight.session import materialize
 
 
 def pareto_quintiles(orders: DataFrame, status: str = COMPLETED,
@@ -43,9 +44,11 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
 
     ``high_is_good=False`` keeps the reference's ordering, in which the best
     customers get score 1; ``True`` reverses it so the best get 5.
-    Ties are broken by customer_id.
+    Ties are broken by customer_id.  The customers' figures are staged once; each
+    score stages only its value and the id, finds the tiles' last rows, and all
+    three scores are labelled by comparison with those.
     """
-    summary = customer_order_summary(orders, status).filter(F.col("revenue_n") > 0)
+    summary = customer_order_summary(dated(orders), status).filter(F.col("revenue_n") > 0)
     cur = customer_name(customers.filter(F.col("is_current")))
     g = cur.join(summary, "customer_key").groupBy("customer_id", "customer_name").agg(
         F.max("last_order_date").alias("last_order_date"),
@@ -53,23 +56,16 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: _dt.date,
         F.sum("revenue_sum").alias("_monetary"),
     ).withColumn("recency_days",
                  F.datediff(F.lit(as_of), F.col("last_order_date")).cast("long"))
-    r_ord = F.col("recency_days").desc() if high_is_good else F.col("recency_days").asc()
-    f_ord = F.col("frequency").asc() if high_is_good else F.col("frequency").desc()
-    m_ord = F.col("_monetary").asc() if high_is_good else F.col("_monetary").desc()
-    scored = with_ntile(g, tiles, [r_ord], ["customer_id"], out="r_score")
-    scored = with_ntile(scored, tiles, [f_ord], ["customer_id"], out="f_score")
-    scored = with_ntile(scored, tiles, [m_ord], ["customer_id"], out="m_score")
+    g = materialize(g)
+    scored = g
+    for score, value, descending in (("r_score", "recency_days", high_is_good), ("f_score", "frequency", not high_is_good),
+                                     ("m_score", "_monetary", not high_is_good)):
+        ends = tile_ends(g, tiles, value, "customer_id", descending)
+        scored = scored.withColumn(score, tile_label(ends, value, "customer_id", descending))
     r, f = F.col("r_score"), F.col("f_score")
-    label = None
-    for name, r_lo, r_hi, f_lo, f_hi in C.RFM_RULES:
-        cond = F.lit(True)
-        for col, lo, hi in ((r, r_lo, r_hi), (f, f_lo, f_hi)):
-            if lo is not None:
-                cond = cond & (col >= lo)
-            if hi is not None:
-                cond = cond & (col <= hi)
-        label = F.when(cond, name) if label is None else label.when(cond, name)
-    label = label.otherwise(C.RFM_FALLBACK)
+    label = (F.when((r >= 4) & (f >= 4), "Champions").when((r >= 3) & (f >= 3), "Loyal")
+             .when((r >= 4) & (f <= 2), "Recent").when((r <= 2) & (f >= 3), "At Risk")
+             .when((r <= 2) & (f <= 2), "Lost").otherwise("Potential"))
     return scored.select(
         "customer_id", "customer_name", "last_order_date", "recency_days", "frequency",
         amount("_monetary").alias("monetary"), "r_score", "f_score", "m_score",

@@ -41,12 +41,12 @@ def q01_monthly_revenue_mom(s):
 
 @register
 def q02_category_margin(s):
-    return revenue.category_margin(s.items, s.products)
+    return revenue.category_margin(s.items, s.products, s.product_totals)
 
 
 @register
 def q03_top_products(s):
-    return revenue.top_products(s.items, s.products)
+    return revenue.top_products(s.items, s.products, totals=s.product_totals)
 
 
 @register
@@ -106,12 +106,12 @@ def q14_rfm_segments(s):
 
 @register
 def q15_executive_dashboard(s):
-    return dashboard.executive_dashboard(s.orders, s.items, s.products)
+    return dashboard.executive_dashboard(s.orders, s.items, s.products, totals=s.product_totals)
 
 
 @register
 def c7_category_margin_share(s):
-    return revenue.category_margin_share(s.items, s.products)
+    return revenue.category_margin_share(s.items, s.products, s.product_totals)
 
 
 @register
@@ -134,7 +134,7 @@ def c3_scd2_apply(s):
 
 @register
 def c4_dq_checks(s):
-    return quality.dq_checks(s.orders_base, s.items, s.customers, s.products)
+    return quality.dq_checks(quality.star_tables(s))
 
 
 @register
@@ -154,7 +154,7 @@ def c6_funnel_sessions(s):
 
 @register
 def c8_order_arithmetic_check(s):
-    return quality.order_arithmetic_check(s.orders_base, s.items)
+    return quality.order_arithmetic_check(quality.star_tables(s)["fact_orders"], s.items)
 
 
 def _over_generated(name: str) -> Query:

@@ -1,20 +1,18 @@
-"""Independent ANSI-SQL (DuckDB) formulations of the registered queries.
+"""DuckDB SQL that must give the same rows as the registered queries.
 
-They follow the reference's own query shapes (self-joins, LEFT JOIN with the
-filter in ON, plain NTILE/RANK/ROW_NUMBER windows) over the canonical views,
-so they check the Spark rewrites rather than repeat them.  Deterministic
-tie-breakers are added where the reference leaves ties open.
+Written from the definitions of the analytics, over the raw generated tables, by
+other methods than the Spark jobs: sorted lists of a customer's days instead of row
+numbers, a customer-by-month grid of presence instead of joins of activity, counts
+of better-placed rows instead of ranking functions, look-ups per customer instead of
+grouped joins.  Nothing is imported from the code under test; every value a result
+depends on is written here.
 
-Rounded ratios use integer arithmetic, exactly like the Spark side, since
-DuckDB turns decimal division into DOUBLE:
-    round_half_up(N / D, s) = (2 * |N| * 10^s + |D|) // (2 * |D|) / 10^s
+Rounded ratios use integer arithmetic, since DuckDB turns decimal division into
+DOUBLE: round_half_up(N / D, s) = (2 * |N| * 10^s + |D|) // (2 * |D|) / 10^s
 """
 
 from __future__ import annotations
 
-from tillsight import constants as C
-from tillsight.sources.model import EVENT_MAP, STATUS_MAP, TESTDATA_AS_OF
-
 
 def hu(num: str, den: str, s: int, num_scale: int = 2, den_scale: int = 2) -> str:
     """SQL for round(num / den, s) half away from zero, as DOUBLE; NULL if den = 0.
@@ -33,560 +31,410 @@ def pct(part: str, whole: str, s: int = 1, part_scale: int = 2, whole_scale: int
     return hu(f"({part}) * 100", whole, s, part_scale, whole_scale)
 
 
-def _status_case(col: str) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUS_MAP.items())
-    return f"CASE {col} {arms} END"
-
-
-def _event_case(col: str) -> str:
-    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_MAP.items())
-    return f"CASE {col} {arms} END"
+def _id(prefix: str, key: str) -> str:
+    """Prefix and key with at least six digits."""
+    return f"'{prefix}' || repeat('0', greatest(6 - length({key}::VARCHAR), 0)) || {key}::VARCHAR"
 
 
-AS_OF = f"DATE '{TESTDATA_AS_OF.isoformat()}'"
-
 PRELUDE = f"""
-fact_orders_base AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_key,
-         CAST(o_orderdate AS DATE) AS order_date,
-         {_status_case('o_orderstatus')} AS order_status,
-         CAST(o_totalprice AS DECIMAL(18,2)) AS net_revenue,
-         CAST(o_totalprice AS DECIMAL(18,2)) AS gross_revenue,
-         CAST(0 AS DECIMAL(18,2)) AS discount_amount
+calendar AS (
+  SELECT unnest(generate_series(min(o_orderdate)::DATE::TIMESTAMP, max(o_orderdate)::DATE::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day
+  FROM orders),
+sale AS (
+  SELECT o_orderkey AS okey, o_custkey AS who, o_orderdate::DATE AS day, o_totalprice::DECIMAL(18,2) AS money,
+         map {{'F': 'completed', 'P': 'cancelled', 'O': 'refunded'}}[o_orderstatus] AS status,
+         o_orderpriority AS priority
   FROM orders),
-fact_orders AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_key ORDER BY order_date, order_id) = 1
-            AS is_first_order
-  FROM fact_orders_base),
-dim_product AS (
-  SELECT p_partkey AS product_key, p_name AS product_name, p_type AS category,
-         p_brand AS brand, CAST(p_retailprice AS DECIMAL(18,2)) AS cost_price
-  FROM part),
-fact_order_items AS (
-  SELECT l.l_orderkey AS order_id, l.l_partkey AS product_key,
-         CAST(l.l_quantity AS INTEGER) AS quantity,
-         CAST(CAST(l.l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(5,2)) AS discount_pct,
-         CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2))
-                    * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2)) AS line_revenue,
-         CAST(CAST(l.l_quantity AS INTEGER) * p.cost_price AS DECIMAL(18,2)) AS line_cost
-  FROM lineitem l LEFT JOIN dim_product p ON l.l_partkey = p.product_key),
-fact_order_items_m AS (
-  SELECT *, CAST(line_revenue - line_cost AS DECIMAL(18,2)) AS line_margin FROM fact_order_items),
-dim_customer AS (
-  SELECT c.c_custkey AS customer_key,
-         'C' || lpad(CAST(c.c_custkey AS VARCHAR), 6, '0') AS customer_id,
-         c.c_name AS first_name, n.n_name AS last_name, n.n_name AS country,
-         CASE WHEN c.c_acctbal < 0 THEN '18-24' WHEN c.c_acctbal < 2500 THEN '25-34'
-              WHEN c.c_acctbal < 5000 THEN '35-44' WHEN c.c_acctbal < 7500 THEN '45-54'
-              ELSE '55+' END AS age_band,
-         lower(c.c_mktsegment) AS acquisition_channel,
-         TRUE AS is_current
-  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
-fact_events AS (
-  SELECT event_id AS event_key, user_id AS customer_key,
-         CAST(user_id AS VARCHAR) || '-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS session_id,
-         {_event_case('event_type')} AS event_type,
-         CAST(ts AS DATE) AS event_date, ts AS event_ts
-  FROM events WHERE event_type IN ({', '.join(repr(k) for k in EVENT_MAP)}))
+opening AS (  -- each customer's first order of any status
+  SELECT list(okey ORDER BY day NULLS LAST, okey)[1] AS okey FROM sale WHERE who IS NOT NULL GROUP BY who),
+flagged AS (SELECT *, okey IN (SELECT okey FROM opening) AS opens FROM sale),
+done AS (  -- completed orders on days of the calendar
+  SELECT f.* FROM flagged f JOIN calendar USING (day) WHERE status = 'completed'),
+good AS (
+  SELECT p_partkey AS pkey, p_name AS title, p_type AS kind, p_brand AS brand, p_retailprice::DECIMAL(18,2) AS cost FROM part),
+line AS (
+  SELECT l_orderkey AS okey, l_partkey AS pkey, l_quantity::INTEGER AS qty,
+         (l_discount::DECIMAL(4,2) * 100)::DECIMAL(5,2) AS off,
+         round(l_extendedprice::DECIMAL(18,2) * (1 - l_discount::DECIMAL(4,2)), 2)::DECIMAL(18,2) AS rev
+  FROM lineitem),
+costed AS (SELECT line.*, (qty * cost)::DECIMAL(18,2) AS cost, (rev - (qty * cost)::DECIMAL(18,2))::DECIMAL(18,2) AS gain
+           FROM line LEFT JOIN good USING (pkey)),
+person AS (
+  SELECT c_custkey AS who, {_id('C', 'c_custkey')} AS cid, c_name AS first_name, n_name AS country,
+         c_name || ' ' || n_name AS full_name, lower(c_mktsegment) AS segment,
+         ['18-24', '25-34', '35-44', '45-54', '55+'][1 + (c_acctbal >= 0)::INT + (c_acctbal >= 2500)::INT
+            + (c_acctbal >= 5000)::INT + (c_acctbal >= 7500)::INT] AS ages
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
+visit AS (
+  SELECT event_id AS ekey, user_id AS who, ts, ts::DATE AS day,
+         user_id::VARCHAR || '-' || strftime(ts::DATE, '%Y%m%d') AS sid,
+         coalesce(map {{'view': 'pageview', 'click': 'add_to_cart', 'signup': 'checkout', 'purchase': 'purchase'}}[event_type],
+                  event_type) AS step
+  FROM events)
 """
 
+MONTHS = ("['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August', 'September', 'October', "
+          "'November', 'December']")
+
 
 def _q(body: str) -> str:
-    """Attach the canonical-view prelude; ``body`` may add CTEs after a comma."""
+    """Attach the shared views; ``body`` may start with more of them."""
     body = body.strip()
-    if body.upper().startswith("SELECT"):
-        return f"WITH {PRELUDE} {body}"
-    return f"WITH {PRELUDE}, {body}"
+    joint = "" if body.upper().startswith("SELECT") else ","
+    return f"WITH {PRELUDE}{joint} {body}"
 
 
 ORACLE: dict[str, str] = {}
 
-_DONE = f"'{C.STATUS_COMPLETED}'"
-
-
-def _ltv_case(col: str) -> str:
-    arms = " ".join(f"WHEN {col} {'>=' if inc else '>'} {bound} THEN '{label}'"
-                    for label, bound, inc in C.LTV_SEGMENTS)
-    return f"CASE {arms} ELSE '{C.LTV_NO_PURCHASE}' END"
-
-
-def _bucket_case(col: str) -> str:
-    b1, b2, b3 = C.REPEAT_BUCKET_BOUNDS
-    return (f"CASE WHEN {col} <= {b1} THEN '0-{b1} days' WHEN {col} <= {b2} THEN "
-            f"'{b1 + 1}-{b2} days' WHEN {col} <= {b3} THEN '{b2 + 1}-{b3} days' "
-            f"ELSE '{b3}+ days' END")
-
-
-def _churn_case(col: str) -> str:
-    pairs = sorted(zip(C.CHURN_THRESHOLDS, C.CHURN_LABELS[1:]), reverse=True)
-    arms = " ".join(f"WHEN {col} > {t} THEN '{name}'" for t, name in pairs)
-    return f"CASE {arms} ELSE '{C.CHURN_LABELS[0]}' END"
-
-
-def _rfm_case(r: str, f: str) -> str:
-    arms = []
-    for name, r_lo, r_hi, f_lo, f_hi in C.RFM_RULES:
-        conds = [f"{col} {op} {v}" for col, op, v in
-                 ((r, ">=", r_lo), (r, "<=", r_hi), (f, ">=", f_lo), (f, "<=", f_hi))
-                 if v is not None]
-        arms.append(f"WHEN {' AND '.join(conds)} THEN '{name}'")
-    return f"CASE {' '.join(arms)} ELSE '{C.RFM_FALLBACK}' END"
-
-
+# A1: the month before is the greatest smaller month that has orders.
 ORACLE["q01_monthly_revenue_mom"] = _q(f"""
-per_month AS (
-  SELECT month(order_date) AS m, strftime(order_date, '%B') AS label,
-         count(DISTINCT order_id) AS n_orders, count(DISTINCT customer_key) AS n_cust,
-         sum(net_revenue) AS rev, count(net_revenue) AS n_rev
-  FROM fact_orders_base WHERE order_status = {_DONE} GROUP BY 1, 2),
-with_prev AS (SELECT p.*, lag(rev) OVER (ORDER BY m) AS rev_before FROM per_month p)
-SELECT label AS month_name, CAST(n_orders AS BIGINT) AS total_orders,
-       CAST(n_cust AS BIGINT) AS unique_customers, CAST(rev AS DOUBLE) AS net_revenue,
-       {hu('rev', 'n_rev', 2, 2, 0)} AS avg_order_value,
-       CAST(rev_before AS DOUBLE) AS prev_month_revenue,
-       {pct('rev - rev_before', 'rev_before', 1)} AS mom_growth_pct
-FROM with_prev
+m AS (
+  SELECT month(day) AS mo, sum(money) AS rev, count(money) AS n, len(list_distinct(list(okey))) AS orders_,
+         len(list_distinct(list(who))) AS people
+  FROM done GROUP BY mo),
+b AS (SELECT m.mo, arg_max(p.rev, p.mo) AS prev FROM m LEFT JOIN m p ON p.mo < m.mo GROUP BY m.mo)
+SELECT {MONTHS}[mo] AS month_name, orders_::BIGINT AS total_orders, people::BIGINT AS unique_customers,
+       rev::DOUBLE AS net_revenue, {hu('rev', 'n', 2, 2, 0)} AS avg_order_value, prev::DOUBLE AS prev_month_revenue,
+       {pct('rev - prev', 'prev', 1)} AS mom_growth_pct
+FROM m JOIN b USING (mo)
 """)
 
+# A2: products first, then their categories.
 ORACLE["q02_category_margin"] = _q(f"""
-SELECT d.category,
-       CAST(count(DISTINCT f.order_id) AS BIGINT) AS orders,
-       CAST(sum(f.quantity) AS BIGINT) AS units_sold,
-       CAST(sum(f.line_revenue) AS DOUBLE) AS revenue,
-       CAST(sum(f.line_cost) AS DOUBLE) AS cost,
-       CAST(sum(f.line_margin) AS DOUBLE) AS gross_margin,
-       {pct('sum(f.line_margin)', 'sum(f.line_revenue)', 1)} AS margin_pct
-FROM fact_order_items_m f, dim_product d
-WHERE f.product_key = d.product_key
-GROUP BY d.category
+p AS (SELECT pkey, sum(qty) AS qty, sum(rev) AS rev, sum(cost) AS cost, sum(gain) AS gain FROM costed GROUP BY pkey),
+k AS (SELECT kind, sum(qty) AS qty, sum(rev) AS rev, sum(p.cost) AS cost, sum(gain) AS gain FROM good JOIN p USING (pkey) GROUP BY kind),
+seen AS (SELECT kind, count(*) AS n FROM (SELECT DISTINCT kind, okey FROM line JOIN good USING (pkey)) GROUP BY kind)
+SELECT kind AS category, n AS orders, qty::BIGINT AS units_sold, rev::DOUBLE AS revenue, cost::DOUBLE AS cost,
+       gain::DOUBLE AS gross_margin, {pct('gain', 'rev', 1)} AS margin_pct
+FROM k JOIN seen USING (kind)
 """)
 
+# A3: a product's rank is one more than the number of products with more revenue.
 ORACLE["q03_top_products"] = _q(f"""
-per_product AS (
-  SELECT d.product_key, d.product_name, d.category, d.brand,
-         sum(f.quantity) AS units, sum(f.line_revenue) AS rev, sum(f.line_margin) AS mar,
-         sum(f.discount_pct) AS disc_sum, count(f.discount_pct) AS disc_n
-  FROM fact_order_items_m f, dim_product d WHERE f.product_key = d.product_key
-  GROUP BY d.product_key, d.product_name, d.category, d.brand),
-ranked AS (SELECT *, rank() OVER (ORDER BY rev DESC) AS rk FROM per_product)
-SELECT CAST(rk AS BIGINT) AS revenue_rank, product_name, category, brand,
-       CAST(units AS BIGINT) AS units_sold, CAST(rev AS DOUBLE) AS revenue,
-       CAST(mar AS DOUBLE) AS gross_margin,
-       {hu('disc_sum', 'disc_n', 1, 2, 0)} AS avg_discount_pct
-FROM ranked ORDER BY rev DESC, product_key LIMIT {C.TOP_PRODUCTS}
+p AS (SELECT pkey, sum(qty) AS qty, sum(rev) AS rev, sum(gain) AS gain, sum(off) AS off, count(off) AS n
+      FROM costed WHERE pkey IN (SELECT pkey FROM good) GROUP BY pkey),
+r AS (SELECT a.pkey, 1 + count(b.pkey) AS place FROM p a LEFT JOIN p b ON b.rev > a.rev GROUP BY a.pkey)
+SELECT place AS revenue_rank, title AS product_name, kind AS category, brand, qty::BIGINT AS units_sold,
+       rev::DOUBLE AS revenue, gain::DOUBLE AS gross_margin, {hu('off', 'n', 1, 2, 0)} AS avg_discount_pct
+FROM p JOIN r USING (pkey) JOIN good USING (pkey) ORDER BY place, pkey LIMIT 10
 """)
 
+# A4: look-ups per customer; kept are customers without orders, and those with a completed one.
 ORACLE["q04_customer_ltv"] = _q(f"""
-cust_rows AS (
-  SELECT c.customer_id, concat_ws(' ', c.first_name, c.last_name) AS customer_name,
-         c.country, c.age_band, c.acquisition_channel,
-         o.order_id, o.net_revenue, o.order_date
-  FROM dim_customer c LEFT JOIN fact_orders_base o USING (customer_key)
-  WHERE c.is_current AND coalesce(o.order_status = {_DONE}, TRUE)),
-per_customer AS (
-  SELECT customer_id, customer_name, country, age_band, acquisition_channel,
-         count(DISTINCT order_id) AS n_orders, sum(net_revenue) AS ltv,
-         count(net_revenue) AS n_rev, min(order_date) AS first_day, max(order_date) AS last_day
-  FROM cust_rows GROUP BY ALL)
-SELECT customer_id, customer_name, country, age_band, acquisition_channel,
-       CAST(n_orders AS BIGINT) AS total_orders, CAST(ltv AS DOUBLE) AS lifetime_value,
-       {hu('ltv', 'n_rev', 2, 2, 0)} AS avg_order_value,
-       first_day AS first_order_date, last_day AS last_order_date,
-       {_ltv_case('ltv')} AS ltv_segment
-FROM per_customer
+own AS (
+  SELECT who, count(*) AS every, list(struct_pack(okey := okey, day := day, money := money))
+           FILTER (coalesce(status, 'completed') = 'completed') AS mine
+  FROM sale WHERE who IS NOT NULL GROUP BY who),
+card AS (
+  SELECT p.*, every, coalesce(len(mine), 0) AS rows_, list_transform(mine, lambda x: x.okey) AS keys,
+         list_transform(mine, lambda x: x.day) AS days, list_transform(mine, lambda x: x.money) AS sums
+  FROM person p LEFT JOIN own USING (who)),
+f AS (
+  SELECT *, list_sum(sums)::DECIMAL(38,2) AS ltv, list_count(sums) AS n FROM card WHERE every IS NULL OR rows_ > 0)
+SELECT cid AS customer_id, full_name AS customer_name, country, ages AS age_band, segment AS acquisition_channel,
+       coalesce(len(list_distinct(keys)), 0)::BIGINT AS total_orders, ltv::DOUBLE AS lifetime_value,
+       {hu('ltv', 'n', 2, 2, 0)} AS avg_order_value, list_min(days) AS first_order_date, list_max(days) AS last_order_date,
+       CASE WHEN coalesce(ltv, 0) <= 0 THEN 'no_purchase' WHEN ltv < 500 THEN 'low_value' WHEN ltv < 1500 THEN 'mid_value'
+            ELSE 'high_value' END AS ltv_segment
+FROM f
 """)
 
+# A5: revenue split by the flag as a number.
 ORACLE["q05_new_vs_returning"] = _q(f"""
-per_month AS (
-  SELECT month(order_date) AS m, strftime(order_date, '%B') AS label,
-         sum(net_revenue) FILTER (WHERE is_first_order) AS first_rev,
-         sum(net_revenue) FILTER (WHERE NOT is_first_order) AS repeat_rev,
-         sum(net_revenue) AS rev
-  FROM fact_orders WHERE order_status = {_DONE} GROUP BY 1, 2)
-SELECT label AS month_name,
-       CAST(coalesce(first_rev, 0) AS DOUBLE) AS new_customer_rev,
-       CAST(coalesce(repeat_rev, 0) AS DOUBLE) AS returning_rev,
-       CAST(rev AS DOUBLE) AS total_revenue,
-       {pct('coalesce(repeat_rev, 0)', 'rev', 1)} AS returning_pct
-FROM per_month
+m AS (SELECT month(day) AS mo, sum(money * opens::INT) AS new, sum(money * (NOT opens)::INT) AS old, sum(money) AS rev
+      FROM done GROUP BY mo)
+SELECT {MONTHS}[mo] AS month_name, coalesce(new, 0)::DOUBLE AS new_customer_rev, coalesce(old, 0)::DOUBLE AS returning_rev,
+       rev::DOUBLE AS total_revenue, {pct('coalesce(old, 0)', 'rev', 1)} AS returning_pct
+FROM m
 """)
 
-ORACLE["q06_days_to_second_order"] = _q(f"""
-numbered AS (
-  SELECT customer_key, order_date,
-         row_number() OVER (PARTITION BY customer_key ORDER BY order_date, order_id) AS seq
-  FROM fact_orders_base WHERE order_status = {_DONE}),
-gaps AS (
-  SELECT a.customer_key, a.order_date AS d1, b.order_date AS d2,
-         date_diff('day', a.order_date, b.order_date) AS gap
-  FROM numbered a JOIN numbered b
-    ON b.customer_key = a.customer_key AND a.seq = 1 AND b.seq = 2)
-SELECT customer_key, d1 AS first_order_date, d2 AS second_order_date,
-       CAST(gap AS BIGINT) AS days_between_orders, {_bucket_case('gap')} AS repeat_bucket
-FROM gaps
+# A customer's days as a sorted list.
+ORACLE["q06_days_to_second_order"] = _q("""
+d AS (SELECT who, list(day ORDER BY day) AS days FROM done WHERE who IS NOT NULL GROUP BY who),
+g AS (SELECT who, days[1] AS a, days[2] AS b, days[2] - days[1] AS gap FROM d WHERE len(days) > 1)
+SELECT who AS customer_key, a AS first_order_date, b AS second_order_date, gap::BIGINT AS days_between_orders,
+       ['0-30 days', '31-60 days', '61-90 days', '90+ days'][1 + (gap > 30)::INT + (gap > 60)::INT + (gap > 90)::INT] AS repeat_bucket
+FROM g
 """)
 
-_COHORT = f"""
-cohorts AS (
-  SELECT customer_key, date_trunc('month', min(order_date)) AS c_start
-  FROM fact_orders WHERE is_first_order GROUP BY customer_key),
-sizes AS (SELECT c_start, count(DISTINCT customer_key) AS n_users FROM cohorts GROUP BY c_start),
-active_rows AS (
-  SELECT h.c_start, o.customer_key,
-         12 * (year(o.order_date) - year(h.c_start))
-           + (month(o.order_date) - month(h.c_start)) AS k
-  FROM fact_orders o JOIN cohorts h ON h.customer_key = o.customer_key
-  WHERE o.order_status = {_DONE})
-"""
-
-ORACLE["q07_cohort_retention"] = _q(_COHORT + f""",
-per_offset AS (
-  SELECT c_start, k, count(DISTINCT customer_key) AS n_active FROM active_rows GROUP BY ALL)
-SELECT strftime(p.c_start, '%Y-%m') AS cohort_month, CAST(s.n_users AS BIGINT) AS cohort_users,
-       CAST(p.k AS BIGINT) AS months_since_first, CAST(p.n_active AS BIGINT) AS active_users,
-       {pct('p.n_active', 's.n_users', 1, 0, 0)} AS retention_pct
-FROM per_offset p JOIN sizes s USING (c_start)
+ORACLE["q09_day_retention"] = _q(f"""
+d AS (SELECT who, list_sort(list_distinct(list(day))) AS days FROM done GROUP BY who),
+g AS (SELECT CASE WHEN who IS NOT NULL THEN days[2] - days[1] END AS gap FROM d),
+n AS (SELECT count(*) AS everyone, count(*) FILTER (gap <= 30) AS a, count(*) FILTER (gap <= 60) AS b,
+             count(*) FILTER (gap <= 90) AS c FROM g)
+SELECT everyone AS total_customers, a AS retained_30d, b AS retained_60d, c AS retained_90d,
+       {pct('a', 'everyone', 1, 0, 0)} AS d30_pct, {pct('b', 'everyone', 1, 0, 0)} AS d60_pct, {pct('c', 'everyone', 1, 0, 0)} AS d90_pct
+FROM n
 """)
 
-_k = lambda i: f"count(DISTINCT a.customer_key) FILTER (WHERE a.k = {i})"
-ORACLE["q08_cohort_matrix"] = _q(_COHORT + f"""
-SELECT strftime(a.c_start, '%Y-%m') AS cohort_month, CAST(s.n_users AS BIGINT) AS cohort_users,
-       CAST({_k(0)} AS BIGINT) AS m0,
-       """ + ",\n       ".join(f"{pct(_k(i), 's.n_users', 0, 0, 0)} AS m{i}_pct"
-                             for i in range(1, C.COHORT_MONTHS + 1)) + """
-FROM active_rows a JOIN sizes s USING (c_start)
-GROUP BY a.c_start, s.n_users
+# A grid of customers by month, ticked where a completed order stands.
+_GRID = """
+month_of AS (SELECT who, okey, opens, status, year(day) * 12 + month(day) - 1 AS ym FROM flagged JOIN calendar USING (day)
+             WHERE who IS NOT NULL),
+starts AS (SELECT who, min(ym) AS c FROM month_of WHERE opens GROUP BY who),
+ticks AS (SELECT DISTINCT who, ym FROM month_of WHERE status = 'completed'),
+span AS (SELECT unnest(range(0, (SELECT max(ym) - min(ym) + 1 FROM month_of)::BIGINT)) AS k),
+grid AS (SELECT who, c, k, (who, c + k) IN (SELECT (who, ym) FROM ticks) AS there FROM starts, span),
+born AS (SELECT c, count(*) AS people FROM starts GROUP BY c),
+cells AS (SELECT c, k, count(*) FILTER (there) AS n FROM grid GROUP BY c, k)
+"""
+_YM = "(c // 12)::VARCHAR || '-' || lpad((c % 12 + 1)::VARCHAR, 2, '0')"
+
+ORACLE["q07_cohort_retention"] = _q(_GRID + f"""
+SELECT {_YM} AS cohort_month, people AS cohort_users, k AS months_since_first, n AS active_users,
+       {pct('n', 'people', 1, 0, 0)} AS retention_pct
+FROM cells JOIN born USING (c) WHERE n > 0
 """)
 
-_W = C.RETENTION_WINDOWS
-ORACLE["q09_day_retention"] = _q(f"""
-firsts AS (
-  SELECT customer_key, min(order_date) AS d0
-  FROM fact_orders_base WHERE order_status = {_DONE} GROUP BY customer_key),
-next_hits AS (
-  SELECT f.customer_key, """ + ", ".join(
-    f"min(o.order_date) FILTER (WHERE date_diff('day', f.d0, o.order_date) <= {w}) AS hit{w}"
-    for w in _W) + f"""
-  FROM firsts f
-  LEFT JOIN fact_orders_base o
-    ON o.customer_key = f.customer_key AND o.order_status = {_DONE}
-   AND o.order_date > f.d0
-  GROUP BY f.customer_key)
-SELECT CAST(count(*) AS BIGINT) AS total_customers, """ + ", ".join(
-    f"CAST(count(hit{w}) AS BIGINT) AS retained_{w}d" for w in _W) + ", " + ", ".join(
-    f"{pct(f'count(hit{w})', 'count(*)', 1, 0, 0)} AS d{w}_pct" for w in _W) + """
-FROM next_hits
+ORACLE["q08_cohort_matrix"] = _q(_GRID + """,
+wide AS (SELECT c, list(n ORDER BY k) AS n, sum(n) AS any_ FROM cells GROUP BY c)
+SELECT """ + f"{_YM} AS cohort_month, people AS cohort_users, n[1] AS m0, " + ", ".join(
+    f"{pct(f'coalesce(n[{i + 1}], 0)', 'people', 0, 0, 0)} AS m{i}_pct" for i in range(1, 5)) + """
+FROM wide JOIN born USING (c) WHERE any_ > 0
 """)
 
-ORACLE["q10_churn_status"] = _q(f"""
-spend AS (
-  SELECT c.customer_id, concat_ws(' ', c.first_name, c.last_name) AS customer_name,
-         c.country, max(o.order_date) AS last_day, count(DISTINCT o.order_id) AS n_orders,
-         sum(o.net_revenue) AS spent
-  FROM dim_customer c JOIN fact_orders_base o USING (customer_key)
-  WHERE c.is_current AND o.order_status = {_DONE}
-  GROUP BY ALL),
-aged AS (SELECT *, date_diff('day', last_day, {AS_OF}) AS idle FROM spend)
-SELECT customer_id, customer_name, country, last_day AS last_order_date,
-       CAST(n_orders AS BIGINT) AS total_orders, CAST(spent AS DOUBLE) AS total_spent,
-       CAST(idle AS BIGINT) AS days_since_last_order, {_churn_case('idle')} AS churn_status
-FROM aged
+# Look-ups per customer among completed, dated orders.
+_SPEND = """
+bag AS (SELECT who, max(day) AS last_day, len(list_distinct(list(okey))) AS n, sum(money) AS spent, count(money) AS paid
+        FROM done GROUP BY who),
+spender AS (SELECT p.cid, p.full_name, p.country, last_day, n, spent, DATE '2001-08-31' - last_day AS idle
+            FROM person p, bag b WHERE b.who = p.who AND paid > 0)
+"""
+ORACLE["q10_churn_status"] = _q(_SPEND + """
+SELECT cid AS customer_id, full_name AS customer_name, country, last_day AS last_order_date, n::BIGINT AS total_orders,
+       spent::DOUBLE AS total_spent, idle::BIGINT AS days_since_last_order,
+       ['active', 'cooling', 'at_risk', 'churned'][1 + (idle > 30)::INT + (idle > 60)::INT + (idle > 90)::INT] AS churn_status
+FROM spender
 """)
 
+# Days are numbered by counting, windows are joins on those numbers.
 ORACLE["q11_rolling_revenue"] = _q(f"""
-by_day AS (
-  SELECT order_date AS day, sum(net_revenue) AS rev, count(DISTINCT order_id) AS n_orders
-  FROM fact_orders_base WHERE order_status = {_DONE} GROUP BY order_date),
-framed AS (
-  SELECT day, rev, n_orders,
-         sum(rev) OVER last_n AS rev_n, count(rev) OVER last_n AS days_n,
-         sum(rev) OVER (ORDER BY day ROWS UNBOUNDED PRECEDING) AS running
-  FROM by_day
-  WINDOW last_n AS (ORDER BY day ROWS {C.ROLLING_ROWS - 1} PRECEDING))
-SELECT day AS full_date, CAST(rev AS DOUBLE) AS daily_revenue,
-       CAST(n_orders AS BIGINT) AS daily_orders,
-       {hu('rev_n', 'days_n', 2, 2, 0)} AS rolling_7d_avg,
-       CAST(running AS DOUBLE) AS cumulative_revenue
-FROM framed
+d AS (SELECT day, sum(money) AS rev, count(DISTINCT okey) AS n FROM done GROUP BY day),
+i AS (SELECT a.day, count(*) AS at, sum(b.rev) AS running FROM d a JOIN d b ON b.day <= a.day GROUP BY a.day),
+w AS (SELECT a.day, sum(d.rev) AS rev, count(d.rev) AS n
+      FROM i a JOIN i b ON b.at BETWEEN a.at - 6 AND a.at JOIN d ON d.day = b.day GROUP BY a.day)
+SELECT day AS full_date, d.rev::DOUBLE AS daily_revenue, d.n AS daily_orders, {hu('w.rev', 'w.n', 2, 2, 0)} AS rolling_7d_avg,
+       running::DOUBLE AS cumulative_revenue
+FROM d JOIN i USING (day) JOIN w USING (day)
 """)
 
+
+def _tile(place: str, total: str) -> str:
+    """NTILE(5) of a place: the first ``total % 5`` tiles have one more row."""
+    small, more = f"({total} // 5)", f"({total} % 5)"
+    return (f"(1 + CASE WHEN {place} <= {more} * ({small} + 1) THEN ({place} - 1) // ({small} + 1) "
+            f"ELSE {more} + ({place} - 1 - {more} * ({small} + 1)) // greatest({small}, 1) END)")
+
+
+# A place is one more than the number of better-placed customers.
 ORACLE["q12_pareto_quintiles"] = _q(f"""
-ltv AS (
-  SELECT customer_key, sum(net_revenue) AS value
-  FROM fact_orders_base WHERE order_status = {_DONE} GROUP BY customer_key),
-tiled AS (
-  SELECT value, ntile({C.PARETO_TILES}) OVER (ORDER BY value DESC, customer_key) AS tile
-  FROM ltv),
-grand AS (SELECT sum(value) AS total FROM ltv)
-SELECT CAST(t.tile AS BIGINT) AS quintile, CAST(count(*) AS BIGINT) AS customers,
-       CAST(sum(t.value) AS DOUBLE) AS revenue,
-       {pct('sum(t.value)', 'any_value(g.total)', 1)} AS pct_of_revenue
-FROM tiled t CROSS JOIN grand g GROUP BY t.tile
+v AS (SELECT who, sum(money) AS worth FROM flagged WHERE status = 'completed' GROUP BY who),
+s AS (SELECT count(*) AS total, sum(worth) AS money FROM v),
+p AS (SELECT a.who, any_value(a.worth) AS worth, 1 + count(b.worth) AS place
+      FROM v a LEFT JOIN v b ON b.worth > a.worth OR (b.worth = a.worth AND coalesce(b.who, -1) < coalesce(a.who, -1))
+      GROUP BY a.who),
+t AS (SELECT {_tile('place', 'total')} AS tile, worth, money FROM p, s)
+SELECT tile::BIGINT AS quintile, count(*) AS customers, sum(worth)::DOUBLE AS revenue,
+       {pct('sum(worth)', 'any_value(money)', 1)} AS pct_of_revenue
+FROM t GROUP BY tile
 """)
 
-ORACLE["q13_product_affinity"] = _q(f"""
-pairs AS (
-  SELECT l.product_key AS ka, r.product_key AS kb
-  FROM fact_order_items l JOIN fact_order_items r
-    ON r.order_id = l.order_id AND l.product_key < r.product_key),
-named AS (
-  SELECT pa.product_name AS product_a, pb.product_name AS product_b
-  FROM pairs
-  JOIN dim_product pa ON pa.product_key = pairs.ka
-  JOIN dim_product pb ON pb.product_key = pairs.kb)
-SELECT product_a, product_b, CAST(count(*) AS BIGINT) AS times_bought_together
-FROM named GROUP BY product_a, product_b
-ORDER BY times_bought_together DESC, product_a, product_b LIMIT {C.TOP_PAIRS}
+# An order's lines as a list; pairs of places in it with a smaller and a greater product.
+ORACLE["q13_product_affinity"] = _q("""
+b AS (SELECT list(pkey) AS ps FROM line GROUP BY okey),
+i AS (SELECT ps, unnest(ps) AS x FROM b),
+j AS (SELECT x, unnest(ps) AS y FROM i),
+c AS (SELECT x, y, count(*) AS n FROM j WHERE x < y GROUP BY x, y)
+SELECT g.title AS product_a, h.title AS product_b, sum(n)::BIGINT AS times_bought_together
+FROM c JOIN good g ON g.pkey = x JOIN good h ON h.pkey = y GROUP BY 1, 2
+ORDER BY 3 DESC, 1, 2 LIMIT 15
 """)
 
-ORACLE["q14_rfm_segments"] = _q(f"""
-base AS (
-  SELECT c.customer_id, concat_ws(' ', c.first_name, c.last_name) AS customer_name,
-         max(o.order_date) AS last_day, count(DISTINCT o.order_id) AS freq,
-         sum(o.net_revenue) AS money
-  FROM dim_customer c JOIN fact_orders_base o USING (customer_key)
-  WHERE c.is_current AND o.order_status = {_DONE}
-  GROUP BY ALL),
-scored AS (
-  SELECT *, date_diff('day', last_day, {AS_OF}) AS recency,
-         ntile({C.RFM_TILES}) OVER (ORDER BY date_diff('day', last_day, {AS_OF}), customer_id) AS r,
-         ntile({C.RFM_TILES}) OVER (ORDER BY freq DESC, customer_id) AS f,
-         ntile({C.RFM_TILES}) OVER (ORDER BY money DESC, customer_id) AS m
-  FROM base)
-SELECT customer_id, customer_name, last_day AS last_order_date,
-       CAST(recency AS BIGINT) AS recency_days, CAST(freq AS BIGINT) AS frequency,
-       CAST(money AS DOUBLE) AS monetary,
-       CAST(r AS BIGINT) AS r_score, CAST(f AS BIGINT) AS f_score, CAST(m AS BIGINT) AS m_score,
+
+def _places(name: str, better: str) -> str:
+    return (f"{name} AS (SELECT a.cid, 1 + count(b.cid) AS place FROM spender a LEFT JOIN spender b "
+            f"ON {better} GROUP BY a.cid)")
+
+
+ORACLE["q14_rfm_segments"] = _q(_SPEND + ",\n" + ",\n".join([
+    _places("pr", "b.idle < a.idle OR (b.idle = a.idle AND b.cid < a.cid)"),
+    _places("pf", "b.n > a.n OR (b.n = a.n AND b.cid < a.cid)"),
+    _places("pm", "b.spent > a.spent OR (b.spent = a.spent AND b.cid < a.cid)")]) + f""",
+all_ AS (SELECT count(*) AS total FROM spender),
+t AS (SELECT s.*, {_tile('pr.place', 'total')} AS r, {_tile('pf.place', 'total')} AS f, {_tile('pm.place', 'total')} AS m
+      FROM spender s JOIN pr USING (cid) JOIN pf USING (cid) JOIN pm USING (cid), all_)
+SELECT cid AS customer_id, full_name AS customer_name, last_day AS last_order_date, idle::BIGINT AS recency_days,
+       n::BIGINT AS frequency, spent::DOUBLE AS monetary, r::BIGINT AS r_score, f::BIGINT AS f_score, m::BIGINT AS m_score,
        {hu('r + f + m', '3', 1, 0, 0)} AS rfm_score,
-       {_rfm_case('r', 'f')} AS rfm_segment
-FROM scored
+       -- by r: row r of the table, by f: its column
+       [['Lost', 'Lost', 'At Risk', 'At Risk', 'At Risk'], ['Lost', 'Lost', 'At Risk', 'At Risk', 'At Risk'],
+        ['Potential', 'Potential', 'Loyal', 'Loyal', 'Loyal'], ['Recent', 'Recent', 'Loyal', 'Champions', 'Champions'],
+        ['Recent', 'Recent', 'Loyal', 'Champions', 'Champions']][r][f] AS rfm_segment
+FROM t
 """)
 
+# One row for each status, one for each customer, put together.
 ORACLE["q15_executive_dashboard"] = _q(f"""
-o_stats AS (
-  SELECT sum(net_revenue) FILTER (WHERE order_status = {_DONE}) AS rev,
-         count(net_revenue) FILTER (WHERE order_status = {_DONE}) AS n_rev,
-         count(DISTINCT order_id) FILTER (WHERE order_status = {_DONE}) AS n_orders,
-         count(DISTINCT customer_key) AS n_cust,
-         count(DISTINCT customer_key) FILTER (WHERE is_first_order) AS n_new,
-         count(*) FILTER (WHERE order_status = '{C.STATUS_REFUNDED}') AS n_refunded,
-         count(*) FILTER (WHERE order_status = '{C.STATUS_CANCELLED}') AS n_cancelled,
-         count(*) AS n_all
-  FROM fact_orders),
-best_cat AS (
-  SELECT d.category FROM fact_order_items f JOIN dim_product d USING (product_key)
-  GROUP BY d.category ORDER BY sum(f.line_revenue) DESC, d.category LIMIT 1)
-SELECT CAST(s.rev AS DOUBLE) AS total_net_revenue, CAST(s.n_orders AS BIGINT) AS total_orders,
-       CAST(s.n_cust AS BIGINT) AS total_customers, CAST(s.n_new AS BIGINT) AS new_customers,
-       CAST(s.n_cust - s.n_new AS BIGINT) AS returning_customers,
-       {hu('s.rev', 's.n_rev', 2, 2, 0)} AS avg_order_value,
-       b.category AS top_category,
-       {pct('s.n_refunded', 's.n_all', 1, 0, 0)} AS refund_rate_pct,
-       {pct('s.n_cancelled', 's.n_all', 1, 0, 0)} AS cancel_rate_pct
-FROM o_stats s JOIN best_cat b ON TRUE
+st AS (SELECT status, count(*) AS n, sum(money) AS rev, count(money) AS paid, len(list_distinct(list(okey))) AS orders_
+       FROM sale GROUP BY status),
+by_status AS (
+  SELECT sum(n) AS everything, max(rev) FILTER (status = 'completed') AS rev, max(paid) FILTER (status = 'completed') AS paid,
+         coalesce(max(orders_) FILTER (status = 'completed'), 0) AS orders_,
+         coalesce(max(n) FILTER (status = 'refunded'), 0) AS back, coalesce(max(n) FILTER (status = 'cancelled'), 0) AS off
+  FROM st),
+people AS (SELECT count(*) AS n, count(*) FILTER (new) AS fresh
+           FROM (SELECT who, bool_or(opens) AS new FROM flagged WHERE who IS NOT NULL GROUP BY who)),
+best AS (SELECT kind FROM good JOIN (SELECT pkey, sum(rev) AS rev FROM line GROUP BY pkey) USING (pkey)
+         GROUP BY kind ORDER BY sum(rev) DESC, kind LIMIT 1)
+SELECT rev::DOUBLE AS total_net_revenue, orders_::BIGINT AS total_orders, people.n AS total_customers, fresh AS new_customers,
+       people.n - fresh AS returning_customers, {hu('rev', 'paid', 2, 2, 0)} AS avg_order_value, kind AS top_category,
+       {pct('back', 'everything', 1, 0, 0)} AS refund_rate_pct, {pct('off', 'everything', 1, 0, 0)} AS cancel_rate_pct
+FROM by_status, people, best
 """)
 
 ORACLE["c7_category_margin_share"] = _q(f"""
-lines AS (
-  SELECT d.category, f.order_id, f.line_margin
-  FROM fact_order_items_m f JOIN dim_product d USING (product_key)),
-per_cat AS (
-  SELECT category, sum(line_margin) AS margin, count(DISTINCT order_id) AS n_orders
-  FROM lines GROUP BY category),
-tot AS (SELECT sum(line_margin) AS margin, count(DISTINCT order_id) AS n_orders FROM lines)
-SELECT p.category, CAST(p.margin AS DOUBLE) AS gross_margin,
-       {pct('p.margin', 't.margin', 1)} AS margin_share_pct,
-       CAST(p.n_orders AS BIGINT) AS orders,
-       {pct('p.n_orders', 't.n_orders', 1, 0, 0)} AS order_share_pct
-FROM per_cat p CROSS JOIN tot t
+k AS (SELECT kind, sum(gain) AS gain, len(list_distinct(list(okey))) AS n FROM costed JOIN good USING (pkey) GROUP BY kind),
+whole AS (SELECT (SELECT sum(gain) FROM k) AS gain,
+                 (SELECT count(*) FROM (SELECT DISTINCT okey FROM line WHERE pkey IN (SELECT pkey FROM good))) AS n)
+SELECT kind AS category, k.gain::DOUBLE AS gross_margin, {pct('k.gain', 'whole.gain', 1)} AS margin_share_pct,
+       k.n::BIGINT AS orders, {pct('k.n', 'whole.n', 1, 0, 0)} AS order_share_pct
+FROM k, whole
 """)
 
 ORACLE["c1_dim_date"] = _q("""
-bounds AS (SELECT MIN(order_date) AS lo, MAX(order_date) AS hi FROM fact_orders_base),
-days AS (SELECT CAST(d AS DATE) AS full_date
-         FROM bounds, generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
-                                      INTERVAL 1 DAY) AS t(d))
-SELECT CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER)
-         AS date_key,
-       full_date,
-       CAST(year(full_date) AS INTEGER) AS year,
-       CAST(quarter(full_date) AS INTEGER) AS quarter,
-       CAST(month(full_date) AS INTEGER) AS month,
-       strftime(full_date, '%B') AS month_name,
-       CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
-       CAST(dayofweek(full_date) AS INTEGER) AS day_of_week,
-       strftime(full_date, '%A') AS day_name,
-       dayofweek(full_date) IN (0, 6) AS is_weekend,
-       (month(full_date) = 1 AND day(full_date) = 1) AS is_holiday
-FROM days
+SELECT strftime(day, '%Y%m%d')::INTEGER AS date_key, day AS full_date, year(day)::INTEGER AS year, quarter(day)::INTEGER AS quarter,
+       month(day)::INTEGER AS month, strftime(day, '%B') AS month_name, weekofyear(day)::INTEGER AS week_of_year,
+       dayofweek(day)::INTEGER AS day_of_week, strftime(day, '%A') AS day_name, dayofweek(day) IN (0, 6) AS is_weekend,
+       strftime(day, '%m%d') = '0101' AS is_holiday
+FROM calendar
 """)
 
 ORACLE["c2_first_order_flag"] = _q("""
-SELECT order_id, customer_key, order_date, is_first_order FROM fact_orders
+SELECT okey AS order_id, who AS customer_key, day AS order_date, opens AS is_first_order FROM flagged
 """)
 
+# The snapshot is the first order's channel as of 2001-09-01.
 ORACLE["c3_scd2_apply"] = _q(f"""
-dim AS (
-  SELECT customer_key, customer_id, first_name, last_name,
-         lower(replace(first_name, '#', '.')) || '@example.com' AS email,
-         country, country AS city, age_band, acquisition_channel,
-         DATE '1992-01-01' AS effective_date, CAST(NULL AS DATE) AS expiry_date,
-         TRUE AS is_current
-  FROM dim_customer),
-first_order AS (
-  SELECT o_custkey, o_orderpriority,
-         ROW_NUMBER() OVER (PARTITION BY o_custkey
-                            ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS rn
-  FROM orders),
-snap AS (
-  SELECT 'C' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS customer_id,
-         'channel-' || substr(o_orderpriority, 1, 1) AS new_channel
-  FROM first_order WHERE rn = 1),
-j AS (
-  SELECT d.*, s.customer_id AS snap_id, s.new_channel
-  FROM dim d FULL OUTER JOIN snap s ON d.customer_id = s.customer_id),
-kept AS (
-  SELECT customer_key, customer_id, first_name, last_name, email, country, city, age_band,
-         acquisition_channel, effective_date, expiry_date, is_current
-  FROM j WHERE customer_key IS NOT NULL
-           AND (snap_id IS NULL OR acquisition_channel IS NOT DISTINCT FROM new_channel)),
-closed AS (
-  SELECT customer_key, customer_id, first_name, last_name, email, country, city, age_band,
-         acquisition_channel, effective_date, DATE '2001-09-01' AS expiry_date,
-         FALSE AS is_current
-  FROM j WHERE customer_key IS NOT NULL AND snap_id IS NOT NULL
-           AND acquisition_channel IS DISTINCT FROM new_channel),
-opened AS (
-  SELECT (SELECT MAX(customer_key) FROM dim)
-           + ROW_NUMBER() OVER (ORDER BY coalesce(customer_id, snap_id)) AS customer_key,
-         coalesce(customer_id, snap_id) AS customer_id, first_name, last_name, email,
-         country, city, age_band, new_channel AS acquisition_channel,
-         DATE '2001-09-01' AS effective_date, CAST(NULL AS DATE) AS expiry_date,
-         TRUE AS is_current
-  FROM j WHERE snap_id IS NOT NULL
-           AND (customer_key IS NULL OR acquisition_channel IS DISTINCT FROM new_channel))
-SELECT * FROM kept UNION ALL SELECT * FROM closed UNION ALL SELECT * FROM opened
+dim AS (SELECT who, cid, first_name, country, lower(replace(first_name, '#', '.')) || '@example.com' AS email, ages, segment FROM person),
+snap AS (SELECT {_id('C', 'who')} AS cid, 'channel-' || priority[1:1] AS channel FROM flagged WHERE opens),
+met AS (SELECT coalesce(dim.cid, snap.cid) AS cid, who, first_name, country, email, ages, segment, channel,
+               snap.cid IS NOT NULL AND (who IS NULL OR segment IS DISTINCT FROM channel) AS moved
+        FROM dim FULL JOIN snap ON dim.cid = snap.cid),
+fresh AS (SELECT m.cid, count(*) AS pos FROM met m JOIN met b ON b.moved AND b.cid <= m.cid WHERE m.moved GROUP BY m.cid)
+SELECT who AS customer_key, cid AS customer_id, first_name, country AS last_name, email, country, country AS city, ages AS age_band,
+       segment AS acquisition_channel, DATE '1992-01-01' AS effective_date,
+       CASE WHEN moved THEN DATE '2001-09-01' END AS expiry_date, NOT moved AS is_current
+FROM met WHERE who IS NOT NULL
+UNION ALL
+SELECT (SELECT max(who) FROM dim) + pos, cid, first_name, country, email, country, country, ages, channel, DATE '2001-09-01', NULL, TRUE
+FROM met JOIN fresh USING (cid)
 """)
 
-
-def _dq_union(rows: list[tuple[str, str, str, str, str]]) -> str:
-    """rows = (rule, table, column, checked-rows SQL, violations SQL)."""
-    return "\nUNION ALL\n".join(
-        f"SELECT '{r}' AS rule, '{t}' AS table_name, '{c}' AS column_name, "
-        f"CAST(({n}) AS BIGINT) AS checked_rows, CAST(({v}) AS BIGINT) AS violations"
-        for r, t, c, n, v in rows)
-
-
-def _nn(table: str, cols: list[str]) -> list[tuple[str, str, str, str, str]]:
-    return [("not_null", table, c, f"SELECT COUNT(*) FROM {table}",
-             f"SELECT COUNT(*) FROM {table} WHERE {c} IS NULL") for c in cols]
-
-
-def _len(table: str, limits: dict[str, int]) -> list[tuple[str, str, str, str, str]]:
-    return [(f"max_length_{n}", table, c, f"SELECT COUNT(*) FROM {table}",
-             f"SELECT COUNT(*) FROM {table} WHERE length({c}) > {n}") for c, n in limits.items()]
-
-
-def _uniq(table: str, key: str) -> tuple[str, str, str, str, str]:
-    return ("unique", table, key, f"SELECT COUNT(*) FROM {table}",
-            f"SELECT coalesce(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM {table} "
-            f"GROUP BY {key} HAVING COUNT(*) > 1)")
-
-
-def _ref(table: str, fk: str, parent: str, pk: str) -> tuple[str, str, str, str, str]:
-    return (f"references_{pk}", table, fk, f"SELECT COUNT(*) FROM {table}",
-            f"SELECT COUNT(*) FROM {table} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})")
-
-
-_DQ_VIEWS = """
-dq_orders AS (SELECT * FROM fact_orders_base),
-dq_items AS (SELECT * FROM fact_order_items),
-dq_customers AS (SELECT *, lower(replace(first_name, '#', '.')) || '@example.com' AS email
-                 FROM dim_customer),
-dq_products AS (SELECT *, 'P' || lpad(CAST(product_key AS VARCHAR), 6, '0') AS product_id
-                FROM dim_product)
+_TABLES = """
+t_dim_date AS (SELECT strftime(day, '%Y%m%d')::INTEGER AS date_key, day AS full_date, year(day) AS year, quarter(day) AS quarter,
+  month(day) AS month, strftime(day, '%B') AS month_name, weekofyear(day) AS week_of_year, dayofweek(day) AS day_of_week,
+  strftime(day, '%A') AS day_name, TRUE AS is_weekend, TRUE AS is_holiday FROM calendar),
+t_dim_customer AS (SELECT who AS customer_key, cid AS customer_id, first_name, country AS last_name,
+  lower(replace(first_name, '#', '.')) || '@example.com' AS email, country, country AS city, ages AS age_band,
+  segment AS acquisition_channel, DATE '1992-01-01' AS effective_date, TRUE AS is_current FROM person),
+t_dim_product AS (SELECT pkey AS product_key, """ + _id("P", "pkey") + """ AS product_id, title AS product_name, kind AS category,
+  p_type || ' ' || p_size::VARCHAR AS subcategory, brand, cost AS cost_price, cost AS list_price, TRUE AS is_active
+  FROM good JOIN part ON p_partkey = pkey),
+t_dim_channel AS (SELECT DISTINCT o_orderpriority[1:1]::INTEGER AS channel_key, o_orderpriority AS channel_name,
+  'priority' AS channel_type FROM orders),
+lines_of AS (SELECT okey, count(*) AS n FROM line GROUP BY okey),
+t_fact_orders AS (SELECT okey AS order_key, okey AS order_id, strftime(day, '%Y%m%d')::INTEGER AS date_key, who AS customer_key,
+  priority[1:1]::INTEGER AS channel_key, status AS order_status, coalesce(n, 0) AS item_count, money AS gross_revenue,
+  money AS net_revenue, opens AS is_first_order, n AS lines FROM flagged LEFT JOIN lines_of USING (okey)),
+t_fact_order_items AS (SELECT row_number() OVER () AS item_key, c.okey AS order_id, date_key, customer_key, pkey AS product_key,
+  qty AS quantity, rev AS unit_price, rev AS line_revenue, cost AS line_cost, gain AS line_margin
+  FROM costed c LEFT JOIN t_fact_orders o ON o.order_key = c.okey),
+t_fact_events AS (SELECT ekey AS event_key, strftime(day, '%Y%m%d')::INTEGER AS date_key, who AS customer_key, sid AS session_id,
+  step AS event_type, day AS event_date, NULL::INTEGER AS channel_key FROM visit)
 """
 
-ORACLE["c4_dq_checks"] = _q(_DQ_VIEWS + _dq_union(
-    [_uniq("dq_orders", "order_id"), _uniq("dq_customers", "customer_key"),
-     _uniq("dq_products", "product_key")]
-    + _nn("dq_orders", ["order_id", "order_status", "net_revenue", "gross_revenue"])
-    + _len("dq_orders", {"order_status": 20})
-    + [("allowed_values", "dq_orders", "order_status", "SELECT COUNT(*) FROM dq_orders",
-        "SELECT COUNT(*) FROM dq_orders WHERE order_status IS NOT NULL AND order_status "
-        "NOT IN ('completed', 'refunded', 'cancelled')")]
-    + _nn("dq_items", ["order_id", "quantity", "line_revenue", "line_cost"])
-    + _nn("dq_customers", ["customer_id", "first_name", "last_name", "email", "country"])
-    + _len("dq_customers", {"customer_id": 20, "first_name": 100, "last_name": 100,
-                            "email": 255, "country": 100})
-    + _nn("dq_products", ["product_id", "product_name", "category", "brand"])
-    + _len("dq_products", {"product_id": 20, "product_name": 200, "category": 100,
-                           "brand": 100})
-    + [_ref("dq_orders", "customer_key", "dq_customers", "customer_key"),
-       _ref("dq_items", "product_key", "dq_products", "product_key"),
-       _ref("dq_items", "order_id", "dq_orders", "order_id")]
-).replace("dq_orders'", "fact_orders'").replace("dq_items'", "fact_order_items'")
- .replace("dq_customers'", "dim_customer'").replace("dq_products'", "dim_product'"))
+# The declared schema: primary key, NOT NULL columns, lengths, references; fixed values.
+_DECLARED = {
+    "dim_date": ("date_key", "full_date year quarter month month_name week_of_year day_of_week day_name is_weekend is_holiday",
+                 "month_name=20 day_name=10", ""),
+    "dim_customer": ("customer_key", "customer_id first_name last_name email country city age_band acquisition_channel "
+                     "effective_date is_current", "customer_id=20 first_name=100 last_name=100 email=255 country=100 city=100 "
+                     "age_band=20 acquisition_channel=50", ""),
+    "dim_product": ("product_key", "product_id product_name category subcategory brand cost_price list_price is_active",
+                    "product_id=20 product_name=200 category=100 subcategory=100 brand=100", ""),
+    "dim_channel": ("channel_key", "channel_name channel_type", "channel_name=100 channel_type=50", ""),
+    "fact_orders": ("order_key", "order_id order_status item_count gross_revenue net_revenue is_first_order",
+                    "order_id=20 order_status=20", "date_key=dim_date customer_key=dim_customer channel_key=dim_channel"),
+    "fact_order_items": ("item_key", "order_id quantity unit_price line_revenue line_cost line_margin", "order_id=20",
+                         "date_key=dim_date customer_key=dim_customer product_key=dim_product"),
+    "fact_events": ("event_key", "session_id event_type event_date", "session_id=50 event_type=50",
+                    "date_key=dim_date customer_key=dim_customer channel_key=dim_channel"),
+}
+
+
+def _rule(rule: str, table: str, column: str, violations: str) -> str:
+    return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{column}' AS column_name, "
+            f"(SELECT count(*) FROM t_{table}) AS checked_rows, ({violations})::BIGINT AS violations")
+
+
+def _declared_rules() -> list[str]:
+    out = []
+    for table, (key, required, lengths, references) in _DECLARED.items():
+        out.append(_rule("unique", table, key, f"SELECT count(*) FROM t_{table} WHERE {key} IS NULL OR {key} IN "
+                         f"(SELECT {key} FROM t_{table} GROUP BY {key} HAVING count(*) > 1)"))
+        out += [_rule("not_null", table, c, f"SELECT count(*) - count({c}) FROM t_{table}") for c in required.split()]
+        for c, n in (x.split("=") for x in lengths.split()):
+            out.append(_rule(f"max_length_{n}", table, c, f"SELECT count(*) FROM t_{table} WHERE length({c}::VARCHAR) > {n}"))
+        for c, parent in (x.split("=") for x in references.split()):
+            pk = _DECLARED[parent][0]
+            out.append(_rule(f"references_{pk}", table, c, f"SELECT count(*) FROM t_{table} WHERE {c} NOT IN (SELECT {pk} FROM t_{parent})"))
+    out.append(_rule("references_order_id", "fact_order_items", "order_id",
+                     "SELECT count(*) FROM t_fact_order_items WHERE order_id NOT IN (SELECT order_id FROM t_fact_orders)"))
+    out.append(_rule("allowed_values", "fact_orders", "order_status",
+                     "SELECT count(*) FROM t_fact_orders WHERE order_status NOT IN ('completed', 'refunded', 'cancelled')"))
+    return out
+
+
+ORACLE["c4_dq_checks"] = _q(_TABLES + "\nUNION ALL\n".join(_declared_rules()))
 
 ORACLE["c5_surrogate_keys"] = _q("""
-SELECT session_id, CAST(ROW_NUMBER() OVER (ORDER BY session_id) AS BIGINT) AS session_key
-FROM (SELECT DISTINCT session_id FROM fact_events)
+ids AS (SELECT list_sort(list_distinct(list(sid))) AS sids FROM visit)
+SELECT unnest(sids) AS session_id, unnest(range(1, len(sids) + 1)) AS session_key FROM ids
 """)
 
-ORACLE["c6_funnel_counts"] = _q(f"""
-steps AS (SELECT * FROM (VALUES (1, 'pageview'), (2, 'add_to_cart'), (3, 'checkout'),
-                                (4, 'purchase')) AS t(step_order, event_type)),
-per_type AS (
-  SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT session_id) AS sessions,
-         COUNT(DISTINCT customer_key) AS customers
-  FROM fact_events GROUP BY event_type),
-j AS (
-  SELECT CAST(s.step_order AS BIGINT) AS step_order, s.event_type,
-         CAST(coalesce(p.events, 0) AS BIGINT) AS events,
-         CAST(coalesce(p.sessions, 0) AS BIGINT) AS sessions,
-         CAST(coalesce(p.customers, 0) AS BIGINT) AS customers
-  FROM steps s LEFT JOIN per_type p ON s.event_type = p.event_type),
-l AS (SELECT *, LAG(events) OVER (ORDER BY step_order) AS prev FROM j)
-SELECT step_order, event_type, events, sessions, customers,
-       {pct('events', 'prev', 1, 0, 0)} AS pct_of_previous
-FROM l ORDER BY step_order
+_STEPS = "steps AS (SELECT unnest(['pageview', 'add_to_cart', 'checkout', 'purchase']) AS step, unnest([1, 2, 3, 4]) AS pos)"
+
+ORACLE["c6_funnel_counts"] = _q(_STEPS + f""",
+n AS (SELECT pos, step, count(ekey) AS events_, len(list_distinct(list(sid) FILTER (sid IS NOT NULL))) AS sessions,
+             len(list_distinct(list(who) FILTER (who IS NOT NULL))) AS people
+      FROM steps LEFT JOIN visit USING (step) GROUP BY pos, step)
+SELECT a.pos::BIGINT AS step_order, a.step AS event_type, a.events_ AS events, coalesce(a.sessions, 0)::BIGINT AS sessions,
+       coalesce(a.people, 0)::BIGINT AS customers, {pct('a.events_', 'b.events_', 1, 0, 0)} AS pct_of_previous
+FROM n a LEFT JOIN n b ON b.pos = a.pos - 1
 """)
 
-ORACLE["c6_funnel_sessions"] = _q(f"""
-r1 AS (SELECT session_id, MIN(event_ts) AS t FROM fact_events
-       WHERE event_type = 'pageview' GROUP BY session_id),
-r2 AS (SELECT e.session_id, MIN(e.event_ts) AS t FROM fact_events e
-       JOIN r1 ON e.session_id = r1.session_id AND e.event_ts >= r1.t
-       WHERE e.event_type = 'add_to_cart' GROUP BY e.session_id),
-r3 AS (SELECT e.session_id, MIN(e.event_ts) AS t FROM fact_events e
-       JOIN r2 ON e.session_id = r2.session_id AND e.event_ts >= r2.t
-       WHERE e.event_type = 'checkout' GROUP BY e.session_id),
-r4 AS (SELECT e.session_id, MIN(e.event_ts) AS t FROM fact_events e
-       JOIN r3 ON e.session_id = r3.session_id AND e.event_ts >= r3.t
-       WHERE e.event_type = 'purchase' GROUP BY e.session_id),
-c AS (SELECT 1 AS step_order, 'pageview' AS event_type, COUNT(*) AS n FROM r1
-      UNION ALL SELECT 2, 'add_to_cart', COUNT(*) FROM r2
-      UNION ALL SELECT 3, 'checkout', COUNT(*) FROM r3
-      UNION ALL SELECT 4, 'purchase', COUNT(*) FROM r4),
-l AS (SELECT *, LAG(n) OVER (ORDER BY step_order) AS prev,
-             FIRST_VALUE(n) OVER (ORDER BY step_order) AS first FROM c)
-SELECT CAST(step_order AS BIGINT) AS step_order, event_type,
-       CAST(n AS BIGINT) AS sessions_reached,
-       {pct('n', 'prev', 1, 0, 0)} AS pct_of_previous,
-       {pct('n', 'first', 1, 0, 0)} AS pct_of_first
-FROM l ORDER BY step_order
+# Sessions walk along their own sorted times of each step.
+ORACLE["c6_funnel_sessions"] = _q(_STEPS + """,
+s AS (SELECT sid, list(ts ORDER BY ts) FILTER (step = 'pageview') AS a, list(ts ORDER BY ts) FILTER (step = 'add_to_cart') AS b,
+             list(ts ORDER BY ts) FILTER (step = 'checkout') AS c, list(ts ORDER BY ts) FILTER (step = 'purchase') AS d
+      FROM visit WHERE sid IS NOT NULL GROUP BY sid),
+s1 AS (SELECT *, a[1] AS ta FROM s),
+s2 AS (SELECT *, list_filter(b, lambda x: x >= ta)[1] AS tb FROM s1),
+s3 AS (SELECT *, list_filter(c, lambda x: x >= tb)[1] AS tc FROM s2),
+s4 AS (SELECT *, list_filter(d, lambda x: x >= tc)[1] AS td FROM s3),
+n AS (SELECT [count(ta), count(tb), count(tc), count(td)] AS n FROM s4)
+SELECT pos::BIGINT AS step_order, step AS event_type, n[pos] AS sessions_reached, """
+                                + pct("n[pos]", "CASE WHEN pos > 1 THEN n[pos - 1] END", 1, 0, 0) + " AS pct_of_previous, "
+                                + pct("n[pos]", "n[1]", 1, 0, 0) + """ AS pct_of_first
+FROM steps, n
 """)
 
-ORACLE["c8_order_arithmetic_check"] = _q(_dq_union([
-    ("net_equals_gross_minus_discount", "fact_orders", "net_revenue",
-     "SELECT COUNT(*) FROM fact_orders_base",
-     "SELECT COUNT(*) FROM fact_orders_base "
-     "WHERE net_revenue <> gross_revenue - coalesce(discount_amount, 0)"),
-    ("margin_equals_revenue_minus_cost", "fact_order_items", "line_margin",
-     "SELECT COUNT(*) FROM fact_order_items_m",
-     "SELECT COUNT(*) FROM fact_order_items_m WHERE line_margin <> line_revenue - line_cost"),
-    ("order_has_lines", "fact_orders", "order_id", "SELECT COUNT(*) FROM fact_orders_base",
-     "SELECT COUNT(*) FROM fact_orders_base o WHERE NOT EXISTS "
-     "(SELECT 1 FROM fact_order_items i WHERE i.order_id = o.order_id)"),
+ORACLE["c8_order_arithmetic_check"] = _q(_TABLES + "\nUNION ALL\n".join([
+    _rule("net_equals_gross_minus_discount", "fact_orders", "net_revenue",
+          "SELECT count(*) FROM t_fact_orders WHERE net_revenue <> gross_revenue"),
+    _rule("item_count_equals_lines", "fact_orders", "item_count",
+          "SELECT count(*) FROM t_fact_orders WHERE item_count <> coalesce(lines, 0)"),
+    _rule("order_has_lines", "fact_orders", "order_id", "SELECT count(*) FROM t_fact_orders WHERE lines IS NULL"),
+    _rule("margin_equals_revenue_minus_cost", "fact_order_items", "line_margin",
+          "SELECT count(*) FROM t_fact_order_items WHERE line_margin <> line_revenue - line_cost"),
 ]))

@@ -12,7 +12,8 @@ Mapping (fixed values, must match the oracle SQL):
   customer age_band     c_acctbal < 0 '18-24', < 2500 '25-34', < 5000 '35-44',
                         < 7500 '45-54', else '55+'
   events event_type     view -> pageview, click -> add_to_cart,
-                        signup -> checkout, purchase -> purchase (error dropped)
+                        signup -> checkout, purchase -> purchase, error -> error
+  item unit_price       extendedprice / quantity; item_count = lines of the order
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from tillsight.sources.testdata import read_table
 
 # Our mapping of the generated tables' codes onto the model's values.
 STATUS_MAP = {"F": C.STATUS_COMPLETED, "P": C.STATUS_CANCELLED, "O": C.STATUS_REFUNDED}
-EVENT_MAP = dict(zip(("view", "click", "signup", "purchase"), C.FUNNEL_STEPS))
+EVENT_MAP = {**dict(zip(("view", "click", "signup", "purchase"), C.FUNNEL_STEPS)), "error": "error"}
 # As-of date for recency/churn on the generated data: end of its last month.
 TESTDATA_AS_OF = _dt.date(2001, 8, 31)
 CUSTOMER_EFFECTIVE = _dt.date(1992, 1, 1)
@@ -44,28 +45,36 @@ def _map_values(col: Column, mapping: dict[str, str]) -> Column:
 
 
 def padded_id(prefix: str, key: Column, width: int = 6) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
+    """Prefix and key, zero-padded to ``width`` digits; longer keys stay whole."""
+    digits = key.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
 
 
-def first_order_ids(orders: DataFrame) -> DataFrame:
-    """C2 core: the order id of each customer's earliest order (any status).
+def _earliest(*columns: str) -> Column:
+    """Struct that sorts by order date (none last), then order key."""
+    return F.struct(F.col("order_date").isNull().alias("_undated"), F.col("order_date"), F.col("order_key"), *columns)
 
-    Earliest = smallest (order_date, order_id).  A grouped min with map-side
-    partial aggregation, so a customer with millions of orders costs one row
-    per map task, never one task holding all of them.
+
+def first_order_keys(orders: DataFrame) -> DataFrame:
+    """C2 core: customer_key and the order key of their earliest order (any status).
+
+    Earliest = smallest (order date, order key), orders without a date last.
+    A grouped min with map-side partial aggregation, so a customer with
+    millions of orders costs one row per map task, never one task holding all
+    of them.  Orders without a customer have no first order.
     """
-    first = orders.groupBy("customer_key").agg(
-        F.min(F.struct("order_date", "order_id")).alias("_first"))
-    return first.select(F.col("_first.order_id").alias("_first_order_id"))
+    return (orders.filter(F.col("customer_key").isNotNull()).groupBy("customer_key")
+            .agg(F.min(_earliest()).alias("_first"))
+            .select("customer_key", F.col("_first.order_key").alias("_first_order_key")))
 
 
 def with_first_order_flag(orders: DataFrame) -> DataFrame:
-    """Add ``is_first_order`` (C2).  Joins back on the unique order id, so the
+    """Add ``is_first_order`` (C2).  Joins back on the primary key order_key, so the
     join has no hot key even when one customer owns a third of all orders."""
-    firsts = first_order_ids(orders)
-    return (orders.join(firsts, orders.order_id == firsts._first_order_id, "left")
-            .withColumn("is_first_order", F.col("_first_order_id").isNotNull())
-            .drop("_first_order_id"))
+    firsts = first_order_keys(orders).select("_first_order_key")
+    return (orders.join(firsts, orders.order_key == firsts._first_order_key, "left")
+            .withColumn("is_first_order", F.col("_first_order_key").isNotNull())
+            .drop("_first_order_key"))
 
 
 def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +83,7 @@ def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_from_raw(o: DataFrame) -> DataFrame:
-    """Row-wise mapping of raw orders to fact_orders columns (works on streams)."""
+    """Row-wise mapping of raw orders to fact_orders columns."""
     d = F.to_date(F.col("o_orderdate"))
     gross = to_money(F.col("o_totalprice"))
     return o.select(
@@ -93,8 +102,10 @@ def orders_from_raw(o: DataFrame) -> DataFrame:
 
 
 def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fact_orders with ``is_first_order`` computed at load."""
-    return with_first_order_flag(orders_base(spark, sf_dir))
+    """fact_orders with ``is_first_order`` (C2) and ``item_count``; what a query
+    does not read of them is not computed."""
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("order_id"))
+    return with_item_count(with_first_order_flag(orders_base(spark, sf_dir)), lines)
 
 
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +124,31 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_item_count(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Add ``item_count``: lines with the order's order_id (0 without any)."""
+    counts = items.groupBy("order_id").agg(F.count(F.lit(1)).cast("int").alias("item_count"))
+    return orders.join(counts, "order_id", "left").withColumn("item_count", F.coalesce("item_count", F.lit(0)))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of fact_order_items that need no product."""
+    disc = F.col("l_discount").cast("decimal(4,2)")
+    price, qty = to_money(F.col("l_extendedprice")), F.col("l_quantity").cast("int")
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").alias("product_key"),
+        qty.alias("quantity"),
+        F.when(qty != 0, price / qty).cast(MONEY).alias("unit_price"),
+        (disc * 100).cast("decimal(5,2)").alias("discount_pct"),
+        F.round(price * (F.lit(1) - disc), 2).cast(MONEY).alias("line_revenue"),
+    )
+
+
+def _product_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dim_product(spark, sf_dir).groupBy("product_key").agg(F.max("cost_price").alias("cost_price"))
+
+
 def fact_order_items(spark: SparkSession, sf_dir: str,
                      with_order_context: bool = False) -> DataFrame:
     """fact_order_items: one row per lineitem.
@@ -122,35 +158,40 @@ def fact_order_items(spark: SparkSession, sf_dir: str,
     when the product is unknown, the line itself is kept);
     line_margin = revenue - cost.  ``with_order_context`` adds the order's
     date_key/customer_key (a join with orders no analytic query needs).
+
+    The lookup has provably one row per product, so when a query reads no
+    cost column Catalyst removes the left join entirely.
     """
-    li = read_table(spark, sf_dir, "lineitem")
-    # A key-grouped lookup: provably one row per product, so when a query
-    # reads no cost column Catalyst removes this left join entirely; when it
-    # does, the lookup's hash partitioning on product_key is the one the join
-    # needs anyway (or it is broadcast when small).
-    cost = dim_product(spark, sf_dir).groupBy("product_key").agg(
-        F.max("cost_price").alias("cost_price"))
-    qty = F.col("l_quantity").cast("int")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    revenue = F.round(to_money(F.col("l_extendedprice")) * (F.lit(1) - disc), 2).cast(MONEY)
-    items = li.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("l_partkey").alias("product_key"),
-        qty.alias("quantity"),
-        (disc * 100).cast("decimal(5,2)").alias("discount_pct"),
-        revenue.alias("line_revenue"),
-    ).join(cost, "product_key", "left")
+    items = _lines(spark, sf_dir).join(_product_costs(spark, sf_dir), "product_key", "left")
     line_cost = (F.col("quantity") * F.col("cost_price")).cast(MONEY)
     items = items.withColumn("line_cost", line_cost) \
                  .withColumn("line_margin", (F.col("line_revenue") - F.col("line_cost")).cast(MONEY)) \
                  .drop("cost_price")
     if with_order_context:
-        ctx = orders_base(spark, sf_dir).select("order_id", "date_key", "customer_key")
-        items = items.join(ctx, "order_id", "left")
+        ctx = orders_base(spark, sf_dir).groupBy("order_id").agg(
+            F.min(F.struct("order_key", "date_key", "customer_key")).alias("_o"))
+        items = items.join(ctx, "order_id", "left").select(items["*"], "_o.date_key", "_o.customer_key")
     return items
 
 
+def product_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of fact_order_items per product: lines are summed before the cost
+    lookup, so a product with most of the lines costs one row per map task.
+    line_cost is quantity * cost, hence the sum of quantities * cost, exactly."""
+    sums = sum_by_product(_lines(spark, sf_dir), with_cost=False)
+    costed = sums.join(_product_costs(spark, sf_dir), "product_key", "left")
+    cost = F.col("units") * F.col("cost_price")
+    return costed.withColumn("cost", cost).withColumn("margin", F.col("revenue") - cost).drop("cost_price")
+
+
+def sum_by_product(items: DataFrame, with_cost: bool = True) -> DataFrame:
+    sums = [F.sum("quantity").cast("decimal(20,0)").alias("units"), F.sum("line_revenue").alias("revenue"),
+            F.sum("discount_pct").alias("discount"), F.count("discount_pct").alias("discounts")]
+    if with_cost:
+        sums += [F.sum("line_cost").alias("cost"), F.sum("line_margin").alias("margin")]
+    return items.groupBy("product_key").agg(*sums)
+
+
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current customer versions (the generated data has one version each)."""
     c = read_table(spark, sf_dir, "customer")
@@ -188,14 +229,14 @@ def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_from_raw(e: DataFrame) -> DataFrame:
-    """Row-wise mapping of raw events to fact_events columns (works on streams)."""
+    """Row-wise mapping of raw events to fact_events columns; every event is kept."""
     d = F.to_date(F.col("ts"))
-    return e.filter(F.col("event_type").isin(*EVENT_MAP)).select(
+    return e.select(
         F.col("event_id").alias("event_key"),
         cal.date_key(d).alias("date_key"),
         F.col("user_id").alias("customer_key"),
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format(d, "yyyyMMdd")).alias("session_id"),
-        _map_values(F.col("event_type"), EVENT_MAP).alias("event_type"),
+        F.coalesce(_map_values(F.col("event_type"), EVENT_MAP), F.col("event_type")).alias("event_type"),
         d.alias("event_date"),
         F.col("ts").alias("event_ts"),
         F.lit(None).cast("int").alias("channel_key"),
@@ -220,6 +261,10 @@ class Star:
     def items(self) -> DataFrame:
         return fact_order_items(self.spark, self.sf_dir)
 
+    @property
+    def product_totals(self) -> DataFrame:
+        return product_totals(self.spark, self.sf_dir)
+
     @property
     def products(self) -> DataFrame:
         return dim_product(self.spark, self.sf_dir)
@@ -236,6 +281,19 @@ class Star:
     def events(self) -> DataFrame:
         return fact_events(self.spark, self.sf_dir)
 
+    def tables(self) -> dict[str, DataFrame]:
+        """All seven tables as they are loaded."""
+        items = fact_order_items(self.spark, self.sf_dir, with_order_context=True)
+        return {"dim_date": self.dates, "dim_customer": self.customers, "dim_product": self.products,
+                "dim_channel": self.channels, "fact_orders": self.orders,
+                "fact_order_items": items.withColumn("item_key", F.monotonically_increasing_id() + 1),
+                "fact_events": self.events}
+
+    @property
+    def dates(self) -> DataFrame:
+        from tillsight.operators.prep import dim_date_build
+        return dim_date_build(self.orders_base)
+
 
 # Effective date of the re-attribution snapshot applied by the SCD2 query.
 TESTDATA_SCD_EFFECTIVE = _dt.date(2001, 9, 1)
@@ -245,8 +303,8 @@ def first_order_channel_snapshot(orders: DataFrame) -> DataFrame:
     """Snapshot for SCD2: each ordering customer's acquisition channel
     re-attributed to the channel of their first order (grouped min over
     (date, order id), no per-customer sort)."""
-    first = orders.groupBy("customer_key").agg(
-        F.min(F.struct("order_date", "order_id", "channel_key")).alias("_f"))
+    first = orders.filter(F.col("customer_key").isNotNull()).groupBy("customer_key").agg(
+        F.min(_earliest("channel_key")).alias("_f"))
     return first.select(padded_id("C", F.col("customer_key")).alias("customer_id"),
                         F.concat(F.lit("channel-"), F.col("_f.channel_key").cast("string"))
                         .alias("acquisition_channel"))
@@ -254,7 +312,5 @@ def first_order_channel_snapshot(orders: DataFrame) -> DataFrame:
 
 def attach_order_date(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Star join of stored orders with the date dimension (inner, as the
-    reference joins): adds ``order_date``.  The calendar holds one row per
-    day, so its size is bounded by the day span and it is broadcast."""
-    dates = dim_date.select("date_key", F.col("full_date").alias("order_date"))
-    return orders.join(F.broadcast(dates), "date_key")
+    reference joins): adds ``order_date``.  Spark broadcasts the calendar if it is small."""
+    return orders.join(dim_date.select("date_key", F.col("full_date").alias("order_date")), "date_key")

@@ -1,8 +1,8 @@
 """Warehouse tables: declared schemas, replace-on-rerun load and append sink.
 
 The reference's DDL becomes ``StructType`` schemas; ``DROP ... CREATE``
-becomes an overwrite, ``INSERT INTO`` an append that enforces the declared
-schema.  Facts are written partitioned by order month and sorted by
+becomes an overwrite, ``INSERT INTO`` an append; both cast to the declared types
+and fail on NULL in a NOT NULL column.  Facts are written partitioned by order month and sorted by
 customer within files, so month filters prune directories and customer
 filters prune row groups by min/max statistics (the role the reference's
 secondary indexes play).  Paths must be on storage every executor shares.
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight import constants as C
-from tillsight.sources.model import Star, fact_order_items, with_first_order_flag
+from tillsight.session import materialize
+from tillsight.sources.model import Star, first_order_keys, sum_by_product, with_first_order_flag
 
 _MONEY = T.DecimalType(18, 2)
 
@@ -54,14 +55,16 @@ SCHEMAS: dict[str, T.StructType] = {
         _f("order_key", T.LongType(), False), _f("order_id", T.LongType(), False),
         _f("date_key", T.IntegerType()), _f("order_date", T.DateType()),
         _f("customer_key", T.LongType()), _f("channel_key", T.IntegerType()),
-        _f("order_status", T.StringType(), False), _f("gross_revenue", _MONEY, False),
+        _f("order_status", T.StringType(), False), _f("item_count", T.IntegerType(), False),
+        _f("gross_revenue", _MONEY, False),
         _f("discount_amount", _MONEY), _f("net_revenue", _MONEY, False),
         _f("shipping_cost", _MONEY), _f("is_first_order", T.BooleanType(), False)]),
     "fact_order_items": T.StructType([
+        _f("item_key", T.LongType(), False),
         _f("order_id", T.LongType(), False), _f("line_number", T.IntegerType()),
         _f("date_key", T.IntegerType()), _f("customer_key", T.LongType()),
         _f("product_key", T.LongType()), _f("quantity", T.IntegerType(), False),
-        _f("discount_pct", T.DecimalType(5, 2)), _f("line_revenue", _MONEY, False),
+        _f("unit_price", _MONEY, False), _f("discount_pct", T.DecimalType(5, 2)), _f("line_revenue", _MONEY, False),
         _f("line_cost", _MONEY, False), _f("line_margin", _MONEY, False)]),
     "fact_events": T.StructType([
         _f("event_key", T.LongType(), False), _f("date_key", T.IntegerType()),
@@ -70,6 +73,29 @@ SCHEMAS: dict[str, T.StructType] = {
         _f("event_ts", T.TimestampNTZType()), _f("channel_key", T.IntegerType())]),
 }
 
+# Primary keys, string lengths and references of the declared tables.
+PRIMARY_KEYS = {"dim_date": "date_key", "dim_customer": "customer_key", "dim_product": "product_key",
+                "dim_channel": "channel_key", "fact_orders": "order_key", "fact_order_items": "item_key",
+                "fact_events": "event_key"}
+LENGTHS = {
+    "dim_date": {"month_name": 20, "day_name": 10},
+    "dim_customer": {"customer_id": 20, "first_name": 100, "last_name": 100, "email": 255, "country": 100, "city": 100,
+                     "age_band": 20, "acquisition_channel": 50},
+    "dim_product": {"product_id": 20, "product_name": 200, "category": 100, "subcategory": 100, "brand": 100},
+    "dim_channel": {"channel_name": 100, "channel_type": 50},
+    "fact_orders": {"order_id": 20, "order_status": 20},
+    "fact_order_items": {"order_id": 20},
+    "fact_events": {"session_id": 50, "event_type": 50},
+}
+# (child, column, parent); the parent's primary key is referenced.
+REFERENCES = (
+    ("fact_orders", "date_key", "dim_date"), ("fact_orders", "customer_key", "dim_customer"),
+    ("fact_orders", "channel_key", "dim_channel"), ("fact_order_items", "date_key", "dim_date"),
+    ("fact_order_items", "customer_key", "dim_customer"), ("fact_order_items", "product_key", "dim_product"),
+    ("fact_events", "date_key", "dim_date"), ("fact_events", "customer_key", "dim_customer"),
+    ("fact_events", "channel_key", "dim_channel"),
+)
+
 # Fact tables are partitioned by the month (yyyymm) of their date key.
 PARTITION_COL = "month_key"
 _PARTITIONED = {"fact_orders", "fact_order_items", "fact_events"}
@@ -82,7 +108,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
     As with INSERT, an omitted column takes its declared default, or NULL when
     it is nullable without one; omitting a NOT NULL column without a default
-    is an error.  Values given explicitly, NULLs included, are kept.
+    is an error.  Values given explicitly are kept; a NULL in a NOT NULL column
+    fails the job that reads it.
     """
     schema = SCHEMAS[table]
     defaults = C.COLUMN_DEFAULTS.get(table, {})
@@ -96,7 +123,10 @@ def conform(df: DataFrame, table: str) -> DataFrame:
             src = F.col(f.name)
         else:
             src = F.lit(defaults.get(f.name))
-        cols.append(src.cast(f.dataType).alias(f.name))
+        value = src.cast(f.dataType)
+        if not f.nullable:
+            value = F.coalesce(value, F.raise_error(F.lit(f"{table}.{f.name} is NULL")).cast(f.dataType))
+        cols.append(value.alias(f.name))
     return df.select(*cols)
 
 
@@ -130,34 +160,59 @@ def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite") -
 
 
 def append(df: DataFrame, path: str, table: str) -> None:
-    """INSERT INTO: append rows conforming to the declared schema."""
+    """INSERT INTO: append rows conforming to the declared schema.
+
+    For orders ``is_first_order`` is derived, never taken from the rows: the
+    new rows are flagged against the stored first orders of their customers,
+    and where an appended order is earlier than a stored first order, the
+    months that hold the latter are rewritten without its flag.
+    """
+    if table == "fact_orders":
+        df = _with_flags(df, path)
     write_table(df, path, table, mode="append")
 
 
+def _with_flags(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    rows = materialize(conform(df.drop("is_first_order"), "fact_orders").drop("is_first_order"))
+    stored = read_table(spark, path, "fact_orders")
+    theirs = rows.filter("customer_key is not null").select("customer_key").distinct()
+    firsts = materialize(stored.filter("is_first_order").join(theirs, "customer_key", "left_semi").select(
+        "customer_key", "order_date", "order_key", PARTITION_COL))
+    columns = ["customer_key", "order_date", "order_key"]
+    keys = materialize(first_order_keys(firsts.select(*columns).union(rows.select(*columns))).select(
+        F.col("_first_order_key").alias("order_key"), F.lit(True).alias("_first")))
+    lost = materialize(firsts.join(keys, "order_key", "left_anti").select("order_key", PARTITION_COL))
+    if not lost.isEmpty():
+        month = F.coalesce(PARTITION_COL, F.lit(0)).alias("_month")
+        part = stored.withColumn("_month", month).join(lost.select(month).distinct(), "_month", "left_semi").drop("_month")
+        part = part.join(lost.select("order_key", F.lit(True).alias("_lost")), "order_key", "left")
+        fixed = part.withColumn("is_first_order", F.col("is_first_order") & F.col("_lost").isNull())
+        fixed = materialize(conform(fixed, "fact_orders"))
+        out, parts = _layout(fixed, "fact_orders")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+         .parquet(f"{path.rstrip('/')}/fact_orders"))
+    return rows.join(keys, "order_key", "left").withColumn(
+        "is_first_order", F.col("_first").isNotNull()).drop("_first")
+
+
 def load_star(star: Star, path: str, run_checks: bool = False) -> DataFrame | None:
     """Build the warehouse from the source tables (replace-on-rerun).
 
-    ``is_first_order`` is computed here, once, at load time; items carry the
-    order's date and customer keys so they partition by month as well.  With
-    ``run_checks`` the constraint (C4) and arithmetic (C8) checks run over the
-    loaded tables and their rule rows are returned.
+    ``is_first_order`` and ``item_count`` are computed here, once, at load time;
+    items get their key and carry the order's date and customer keys, so they
+    partition by month as well.  With ``run_checks`` the constraint (C4) and
+    arithmetic (C8) checks run over the loaded tables and their rule rows are
+    returned.
     """
-    orders = star.orders
-    write_table(orders, path, "fact_orders")
-    items = fact_order_items(star.spark, star.sf_dir, with_order_context=True)
-    write_table(items, path, "fact_order_items")
-    write_table(star.customers, path, "dim_customer")
-    write_table(star.products, path, "dim_product")
-    write_table(star.channels, path, "dim_channel")
-    write_table(star.events, path, "fact_events")
-    from tillsight.operators.prep import dim_date_build
-    write_table(dim_date_build(star.orders_base), path, "dim_date")
+    for table, frame in star.tables().items():
+        write_table(frame, path, table)
     if not run_checks:
         return None
     from tillsight.operators import quality
-    wh = WarehouseStar(star.spark, path)
-    return quality.dq_checks(wh.orders, wh.items, wh.customers, wh.products).unionByName(
-        quality.order_arithmetic_check(wh.orders, wh.items))
+    tables = quality.star_tables(WarehouseStar(star.spark, path))
+    return quality.dq_checks(tables).unionByName(
+        quality.order_arithmetic_check(tables["fact_orders"], tables["fact_order_items"]))
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -186,7 +241,7 @@ def _with_partition(table: str) -> T.StructType:
 
 
 def refresh_first_order_flag(spark: SparkSession, path: str) -> DataFrame:
-    """Recompute ``is_first_order`` over stored orders (after appends)."""
+    """Stored orders with ``is_first_order`` computed anew (``append`` keeps it right)."""
     return with_first_order_flag(read_table(spark, path, "fact_orders").drop("is_first_order"))
 
 
@@ -207,3 +262,7 @@ class WarehouseStar:
     channels = property(lambda self: self._t("dim_channel"))
     events = property(lambda self: self._t("fact_events"))
     dates = property(lambda self: self._t("dim_date"))
+    product_totals = property(lambda self: sum_by_product(self.items))
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self._t(name) for name in SCHEMAS}
