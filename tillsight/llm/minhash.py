@@ -97,9 +97,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def inverse_frequency(docs: DataFrame) -> np.ndarray:
     """Weight of each bucket from the document frequencies of all of ``docs(text)``."""
     got = (docs.select("text").mapInArrow(_count, "bucket long, n long").groupBy("bucket")
-           .agg(F.sum("n").alias("n")).toPandas())
+           .agg(F.sum("n").alias("n")).toArrow())
     df = np.ones(DF_BUCKETS + 1)
-    df[got["bucket"]] = got["n"]  # bucket -1, the last, has the number of documents
+    df[got["bucket"].to_numpy()] = got["n"].to_numpy()  # bucket -1, the last, has the number of documents
     total = max(df[-1], 1.0)
     return (1 + IDF_SPAN * np.clip(np.log(total / df[:-1]) / math.log(RARE), 0, 1)).astype(np.float32)
 
