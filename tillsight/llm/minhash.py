@@ -17,11 +17,12 @@ that clash add up, to about the same share of all shingles at any size, below
 what counts as rare; only the counters (a fixed number) reach the driver.
 
 Texts that are equal are one class from the start, so copies cost one row each.
-A group of candidates is never spread into all its pairs: in rounds, the first 1, 4,
-16, ... members not yet used lead it, and only members that are not yet connected to
-a leader are compared with it.  Groups whose members are connected drop out; the
-rounds end when no group has an uncompared pair of unconnected members, so no
-candidate link between different texts is lost.
+A group of candidates is never spread into all its pairs.  First every member is
+compared with its group's first member.  Groups that are not connected by that are
+cut into blocks of texts; pairs of blocks, but for those whose texts are connected
+already, are compared inside a task, which gives a spanning set of links for each
+pair of blocks.  So every candidate link between unconnected texts is found, and
+rows grow with blocks, not with the square of a group.
 
 Defined results: texts without words (null and empty too) are alone; texts of one to
 four words are one shingle; rows without doc_id are alone; equal rows get equal results;
@@ -31,7 +32,6 @@ column are replaced.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -51,8 +51,8 @@ BANDS, ROWS = 8, 3
 DF_BUCKETS = 1 << 20
 RARE = 1000.0
 IDF_SPAN = 0.2
-#: Leaders of a round for each leader so far.
-LEAD_GROWTH = 4
+#: Most texts of a block of a group, and most weight (about one for each word).
+BLOCK_ROWS, BLOCK_WEIGHT = 256, 150_000
 
 
 def shingles(c: scan.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,42 +171,94 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float) -> Data
             both = np.minimum(weight[order[same]], weight[order[same + 1]])
             common = np.bincount(doc[order[same]], weights=both, minlength=batch.num_rows)
             ok = common >= (similarity - 1e-9) * (total - common)
-            yield batch.select(["u", "v", "u_label", "v_label"]).filter(pa.array(ok))
+            yield batch.select(["u", "v"]).filter(pa.array(ok))
 
     sides = [texts.select(F.col("doc_id").alias(p), F.col("text").alias(f"{p}_text")) for p in "uv"]
     return pairs.join(sides[0], "u").join(sides[1], "v").select(
-        "u", "v", "u_label", "v_label", "u_text", "v_text").mapInArrow(run, "u long, v long, u_label long, v_label long")
+        "u", "v", "u_text", "v_text").mapInArrow(run, "u long, v long")
+
+
+def _spanning(a: dict, b: dict, similarity: float) -> list[tuple[int, int]]:
+    """Links that join texts of two blocks whose labels are not joined yet.
+
+    A block has, by text, ``id``, ``label`` and ``total`` weight, and the shingles of
+    all its texts by key: ``key``, ``weight`` and ``doc`` (the text).
+    """
+    joined: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in joined:
+            x = joined[x]
+        return x
+
+    found = []
+    order = np.argsort(a["doc"], kind="stable")
+    first = np.searchsorted(a["doc"][order], np.arange(len(a["id"]) + 1))
+    for k in range(len(a["id"])):
+        mine = order[first[k]:first[k + 1]]
+        low, high = np.searchsorted(b["key"], a["key"][mine], "left"), np.searchsorted(b["key"], a["key"][mine], "right")
+        n = high - low
+        at = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        common = np.bincount(b["doc"][at], np.minimum(np.repeat(a["weight"][mine], n), b["weight"][at]), len(b["id"]))
+        ok = (common >= (similarity - 1e-9) * (a["total"][k] + b["total"] - common)) & (b["label"] != a["label"][k])
+        for j in np.flatnonzero(ok).tolist():
+            x, y = root(int(a["label"][k])), root(int(b["label"][j]))
+            if x != y:
+                joined[max(x, y)] = min(x, y)
+                found.append((int(a["id"][k]), int(b["id"][j])))
+    return found
+
+
+def block_links(members: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
+    """Links (u, v) that connect the texts of each group of ``members(g, doc_id, total, label)``."""
+    in_order = Window.partitionBy("g").orderBy("label", "doc_id")
+    number = F.sum("total").over(in_order) / BLOCK_WEIGHT + F.row_number().over(in_order) / BLOCK_ROWS
+    rows = members.withColumn("block", F.floor(number)).join(texts, "doc_id")
+    blocks = stage(rows.groupBy("g", "block").agg(
+        F.collect_list(F.struct("doc_id", "label", "text")).alias("docs"), F.min("label").alias("low"),
+        F.max("label").alias("high")), "near-blocks")
+    sides = [blocks.select("g", *(F.col(c).alias(f"{p}_{c}") for c in ("block", "docs", "low", "high"))) for p in "ab"]
+    apart = (F.col("a_low") != F.col("a_high")) | (F.col("b_low") != F.col("b_high")) | (F.col("a_low") != F.col("b_low"))
+    pairs = sides[0].join(sides[1], "g").filter((F.col("a_block") <= F.col("b_block")) & apart)
+
+    def load(docs: list[dict]) -> dict:
+        parts = [(doc + c.lo, key, tf) for c in scan.chunks(pa.array([d["text"] for d in docs]), scan.CHUNK_BYTES // 2)
+                 for doc, key, tf in [shingles(c)]]
+        doc, key, tf = (np.concatenate(x) for x in zip(*parts))
+        weight = tf * idf.value[bucket(key)].astype(np.float64)
+        order = np.argsort(key, kind="stable")
+        return {"id": np.array([d["doc_id"] for d in docs]), "label": np.array([d["label"] for d in docs]),
+                "total": np.bincount(doc, weight, len(docs)), "key": key[order], "weight": weight[order], "doc": doc[order]}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                a, b = (load(batch.column(f"{p}_docs")[k].as_py()) for p in "ab")
+                found = _spanning(a, b, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()),
+                                                  pa.array([v for _, v in found], pa.int64())], names=["u", "v"])
+
+    return pairs.select("a_docs", "b_docs").mapInArrow(run, "u long, v long")
 
 
 def group_links(members: DataFrame, texts: DataFrame, idf, similarity: float) -> DataFrame:
-    """Links (u, v) between the documents of ``members(g, doc_id, total)`` that share a group, in rounds.
+    """Links (u, v) that connect the documents of ``members(g, doc_id, total)`` as far as similarity does.
 
     ``label`` names the documents that are known to be connected so far.
     """
-    lead, most, found = 1, 1, []
-    members = stage(members.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy("doc_id")))
-                    .withColumn("label", F.col("doc_id")), "near-members")
-    while True:
-        leaders = members.filter(F.col("rank").between(lead, most)).select(
-            "g", F.col("doc_id").alias("u"), F.col("total").alias("u_total"), F.col("rank").alias("u_rank"),
-            F.col("label").alias("u_label"))
-        alike = F.least("total", "u_total") >= similarity * F.greatest("total", "u_total") * (1 - 1e-9)
-        pairs = (members.join(leaders, "g")
-                 .filter((F.col("rank") > F.col("u_rank")) & (F.col("label") != F.col("u_label")) & alike)
-                 .select("u", F.col("doc_id").alias("v"), "u_label", F.col("label").alias("v_label")).distinct())
-        new = stage(verified(stage(pairs, "near-pairs"), texts, idf, similarity), "near-links")
-        found.append(new.select("u", "v"))
-        if not new.isEmpty():
-            labels = stage(components(new.select(F.col("u_label").alias("u"), F.col("v_label").alias("v"))), "near-labels")
-            members = members.join(labels.select(F.col("node").alias("label"), F.col("label").alias("now")), "label", "left")
-            members = members.withColumn("label", F.coalesce("now", "label")).drop("now")
-        # A group stays open while it has unconnected members and pairs without a leader.
-        state = members.groupBy("g").agg(F.max("rank").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-        open_ = stage(state.filter((F.col("n") > most + 1) & (F.col("low") != F.col("high"))).select("g"), "near-open")
-        if open_.isEmpty():
-            return functools.reduce(DataFrame.union, found)
-        members = stage(members.join(open_, "g", "left_semi"), "near-members")
-        lead, most = most + 1, most + LEAD_GROWTH * most
+    firsts = members.groupBy("g").agg(F.min(F.struct("doc_id", "total")).alias("f")).select(
+        "g", F.col("f.doc_id").alias("u"), F.col("f.total").alias("u_total"))
+    alike = F.least("total", "u_total") >= similarity * F.greatest("total", "u_total") * (1 - 1e-9)
+    led = stage(members.join(stage(firsts, "near-firsts"), "g").filter(F.col("doc_id") != F.col("u")), "near-members")
+    pairs = stage(led.filter(alike).select("u", F.col("doc_id").alias("v")).distinct(), "near-pairs")
+    links = stage(verified(pairs, texts, idf, similarity), "near-links")
+    labels = stage(components(links), "near-labels")
+    rest = led.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "g", "doc_id", "total", F.coalesce("label", "doc_id").alias("label"))
+    # All pairs with the first are compared; a group is open if the others are not connected.
+    open_ = rest.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    rest = stage(rest.join(stage(open_.select("g"), "near-open"), "g", "left_semi"), "near-members")
+    return links.union(stage(block_links(rest, texts, idf, similarity), "near-links"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
