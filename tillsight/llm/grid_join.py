@@ -68,9 +68,9 @@ def directions(vectors: DataFrame, dim: int, lead: int) -> np.ndarray:
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim)), pa.array(total.ravel())], names=["k", "s"])
 
-    got = vectors.select("v").mapInArrow(moments, "k long, s double").groupBy("k").agg(F.sum("s").alias("s")).toPandas()
+    got = vectors.select("v").mapInArrow(moments, "k long, s double").groupBy("k").agg(F.sum("s").alias("s")).toArrow()
     total = np.zeros(dim * dim)
-    total[got["k"]] = got["s"]
+    total[got["k"].to_numpy()] = got["s"].to_numpy()
     _, vectors_ = np.linalg.eigh(total.reshape(dim, dim))
     return vectors_[:, ::-1][:, :lead]
 

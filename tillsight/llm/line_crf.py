@@ -173,11 +173,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict[st
                     [ids.take(pa.array(doc + c.lo)), pa.array(np.arange(len(doc))), pa.array(labels_[c.lo:c.hi][doc]),
                      pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "line", "label", "x"])
 
-    lines = rows.mapInArrow(features, "doc_id long, line long, label int, x array<double>").toPandas()
+    lines = rows.mapInArrow(features, "doc_id long, line long, label int, x array<double>").toArrow()
     if not len(lines):
         return None
-    lines = lines.sort_values(["doc_id", "line"])
-    return fit(lines["doc_id"].to_numpy(), np.array(lines["x"].tolist()), lines["label"].to_numpy())
+    lines = lines.sort_by([("doc_id", "ascending"), ("line", "ascending")]).combine_chunks()
+    x = lines["x"].combine_chunks().flatten().to_numpy().reshape(len(lines), -1)
+    return fit(lines["doc_id"].to_numpy(), x, lines["label"].to_numpy())
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray] | None) -> DataFrame:
