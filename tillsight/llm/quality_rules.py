@@ -4,8 +4,9 @@ Texts are cut into runs of letters and digits and runs of punctuation; their
 unigrams and bigrams are hashed into BUCKETS counters.  One pass over all
 documents counts them for the raw corpus and for the trusted target (documents
 labelled good); a second pass scores every document by the mean over its n-grams
-of ``log(p_target / p_raw)`` with additive smoothing.  A document below THRESHOLD
-is rejected.  Counts cover all documents, and each document is judged by the same
+of ``log(p_target / p_raw)``.  Both multinomials get additive smoothing, the target's
+scaled by its share of all n-grams, so that an n-gram seen once or never tells
+little in a corpus of any size.  A document below THRESHOLD is rejected.  Counts cover all documents, and each document is judged by the same
 fixed threshold.  The only table sent to all tasks has BUCKETS numbers.
 
 Base rules come first: too few words, or too many words in repeated 3-word windows.
@@ -29,7 +30,7 @@ from tillsight.llm import scan
 from tillsight.llm.staging import join_small, prepare, read
 
 BUCKETS = 1 << 17
-SMOOTHING = 1.0
+SMOOTHING = 5.0
 #: Mean log ratio below which a document is junk; text like the trusted target lies near 0.
 THRESHOLD = -0.4
 MIN_WORDS = 50
@@ -66,13 +67,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def log_ratios(docs: DataFrame) -> np.ndarray:
     """``log(p_target / p_raw)`` of each bucket, from all of ``docs(text, trusted)``."""
     sums = (docs.select("text", "trusted").mapInArrow(_count, "bucket long, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
-    raw, target = np.full(BUCKETS, SMOOTHING), np.full(BUCKETS, SMOOTHING)
-    raw[sums["bucket"]] += sums["raw"]
-    target[sums["bucket"]] += sums["target"]
-    if not len(sums) or not sums["target"].sum():
+            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow())
+    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    bucket = sums["bucket"].to_numpy()
+    raw[bucket], target[bucket] = sums["raw"].to_numpy(), sums["target"].to_numpy()
+    if not target.sum():
         return np.zeros(BUCKETS)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+    share = target.sum() / raw.sum()
+    return np.log((target + SMOOTHING * share) / (share * (raw + SMOOTHING)))
 
 
 def measure(c: scan.Chunk, ratios: np.ndarray) -> dict[str, np.ndarray]:
