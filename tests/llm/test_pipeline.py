@@ -86,7 +86,7 @@ def test_stages_take_odd_rows_and_empty_tables(spark, name, step):
     if name in ("repeated_passages", "tokens"):
         assert len(rows) == docs.count()
     if name == "near_duplicates":
-        assert Counter(r["doc_id"] for r in rows) == {1: 1, 3: 1, 4: 1, None: 1, 5: 1, 6: 1}
+        assert Counter(r["doc_id"] for r in rows) == {1: 1, 3: 1, 4: 1, None: 1, 6: 1}  # 2 and 5 are like 1
     empty = step(spark, docs.filter(F.lit(False)), SF)
     assert empty.columns == out.columns and empty.count() == 0
 
