@@ -8,7 +8,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from tillsight.plans.catalog import QUERIES  # noqa: E402
 from tillsight.session import local_session  # noqa: E402
 
 
@@ -26,7 +26,7 @@ if __name__ == "__main__":
     spark = local_session(shuffle_partitions=16)
     parts = [f"# Final physical plans at {sf_dir} (local[*], 16 shuffle partitions, AQE on)\n",
              "Generated by `scripts/snapshot_plans.py`; `*(n)` marks whole-stage codegen.\n"]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         parts.append(f"\n## {name}\n\n```\n{final_plan(fn(spark, sf_dir))}\n```\n")
     os.makedirs(os.path.dirname(out) or ".", exist_ok=True)
     with open(out, "w") as f:
