@@ -28,7 +28,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm.staging import prepare, read, stage
+from tillsight.llm.staging import join_small, prepare, read, stage
 
 #: Licence and a notice of it; fixed values.
 TEMPLATES = (
@@ -93,17 +93,17 @@ def heavy_terms(vectors: list[dict[str, float]], threshold: float) -> set[str]:
 def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """path, own, score, licence_file of the files ``(dir, name, path, text)`` that carry a licence."""
     spark = files.sparkSession
-    lines = files.select("dir", "name", "path", "text", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    lines = files.select("dir", "name", "path", F.explode(F.split("text", "\n")).alias("line"))
     counted = template_terms(templates)
     vocabulary = sorted({t for c in counted for t in c})
     n, df = document_frequencies(lines, vocabulary)
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
     vectors = [{t: k * idf[t] for t, k in c.items()} for c in counted]
-    heavy = sorted(heavy_terms(vectors, threshold))
-    some = lines.filter(F.lower("line").rlike("|".join(t.replace(".", "[.]") for t in heavy)))
+    heavy = sorted(t for t in heavy_terms(vectors, threshold) if t in df) or [""]  # no line has the others
+    start, end = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+    some = lines.filter(F.lower("line").rlike(f"{start}(?:{'|'.join(t.replace('.', '[.]') for t in heavy)}){end}"))
     some = some.withColumn("terms", terms(F.col("line"))).filter(F.arrays_overlap("terms", F.array(*map(F.lit, heavy))))
-    some = stage(some.select("path", "dir", "name", "terms", F.size(terms(F.col("text"))).alias("file_terms"),
-                             F.monotonically_increasing_id().alias("row")), "licence-lines")
+    some = stage(some.select("path", "dir", "name", "terms", F.monotonically_increasing_id().alias("row")), "licence-lines")
     weights = spark.createDataFrame([(t, w) for t, w in idf.items()], "term string, idf double")
     units = spark.createDataFrame(
         [(t, k, templates[k][0], w / math.sqrt(sum(x * x for x in v.values()))) for k, v in enumerate(vectors) for t, w in v.items()],
@@ -119,8 +119,11 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
                .select("row", "licence", F.round(F.col("dot") / F.col("length"), 9).alias("score"))
                .filter(F.col("score") >= threshold))
     best = cosines.groupBy("row").agg(F.min(F.struct(-F.col("score"), "licence")).alias("x"))
-    hits = some.join(best, "row").select("path", "dir", "name", "file_terms", F.size("terms").alias("n"), "x")
-    return (hits.groupBy("path", "dir", "name").agg(F.min("x").alias("x"), F.sum("n").alias("n"), F.max("file_terms").alias("m"))
+    hits = some.join(best, "row").select("path", "dir", "name", F.size("terms").alias("n"), "x")
+    hits = stage(hits.groupBy("path", "dir", "name").agg(F.min("x").alias("x"), F.sum("n").alias("n")), "licence-hits")
+    sizes = (join_small(files.select("path", "text"), hits.select("path"), "path", "left_semi")
+             .groupBy("path").agg(F.max(F.size(terms(F.col("text")))).alias("m")))
+    return (hits.join(sizes, "path")
             .select("path", "dir", F.col("x.licence").alias("own"), (-F.col("x.col1")).alias("score"),
                     ((2 * F.col("n") >= F.col("m")) | F.col("name").rlike(LICENCE_NAME)).alias("licence_file")))
 
