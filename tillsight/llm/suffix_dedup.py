@@ -15,9 +15,9 @@ doc_id, or earlier in the same document) is removed.  Results are exact.
    that are still tied by the ranks of what follows, doubling the depth), and common
    prefixes of neighbours by Kasai's rule along the text.  Runs of neighbours with
    LENGTH common bytes are equal strings; all but the earliest are repeated.
-3. Merging.  Strings of anchors that were dealt into several shards are sorted by
-   range, and each shard's earliest is looked up by binary search among those of
-   all shards.
+3. Merging.  Of anchors that were dealt into several shards, each shard hands over its
+   earliest strings as sorted runs, one for each merging task that they fall to; there
+   every string is looked up by binary search among those of all shards.
 
 Occurrences in one piece of text are combined before anything is shuffled.  A text
 is shuffled only if it has surroundings to cut or bytes to remove.
@@ -30,6 +30,7 @@ columns are kept, those named like an output column are replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +46,7 @@ LENGTH = 100
 GRAM = 40
 SPREAD = LENGTH - GRAM + 1  # substrings in a string
 SHARD = 12_000  # surroundings in a shard
+MERGE_STRINGS = 100_000  # strings in a merging task
 LAST = (1 << 63) - 1  # stands for a null doc_id
 #: Places are ``number of the text among those of its doc_id << PLACE_BITS | byte``.
 PLACE_BITS = 40
@@ -266,33 +268,48 @@ def shard_repeats(doc: np.ndarray, lo: np.ndarray, texts: list[bytes]) -> tuple[
     return text, byte, document, place, later
 
 
-def _shard(table: pa.Table) -> pa.Table:
-    """Repeated byte ranges of a shard; of split anchors also the earliest strings, for merging."""
-    doc, lo = table.column("doc").to_numpy(), table.column("lo").to_numpy()
-    texts, split = table.column("bytes").to_pylist(), table.column("split").to_numpy()
-    text, byte, document, place, later = shard_repeats(doc, lo, texts)
-    d, b, e = merged(document[later], place[later], place[later] + LENGTH)
-    keep = np.flatnonzero(~later & split[text])
-    strings = [texts[t][k:k + LENGTH] for t, k in zip(text[keep], byte[keep])]
-    return pa.table({"doc": np.r_[d, document[keep]], "lo": np.r_[b, place[keep]], "hi": np.r_[e, place[keep] + LENGTH],
-                     "string": pa.array([None] * len(d) + strings, pa.binary())})
+FOUND = f"{SPAN}, part int, strings binary, docs binary, places binary"
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted strings of all shards in one range: those that are not the earliest of their string."""
-    last, first = None, None  # the string at hand goes on into the next batch
-    for batch in batches:
-        strings = np.array(batch.column("string").to_pylist(), f"S{LENGTH}")
-        doc, lo = batch.column("doc").to_numpy(), batch.column("lo").to_numpy()
-        at = np.searchsorted(strings, strings, "left")
-        first_doc, first_lo = doc[at].copy(), lo[at].copy()
-        if last is not None and len(strings):
-            same = strings == last
-            first_doc[same], first_lo[same] = first
-        if len(strings):
-            last, first = strings[-1], (first_doc[-1], first_lo[-1])
-        late = (doc != first_doc) | (lo != first_lo)
-        yield spans_batch(*merged(doc[late], lo[late], lo[late] + LENGTH))
+def _shard(parts: int):
+    """Per shard: repeated byte ranges, and sorted runs of the earliest strings of split anchors.
+
+    A run holds the strings that fall to one of ``parts`` merging tasks, by checksum.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        doc, lo = table.column("doc").to_numpy(), table.column("lo").to_numpy()
+        texts, split = table.column("bytes").to_pylist(), table.column("split").to_numpy()
+        text, byte, document, place, later = shard_repeats(doc, lo, texts)
+        d, b, e = merged(document[later], place[later], place[later] + LENGTH)
+        keep = np.flatnonzero(~later & split[text])
+        strings = np.array([texts[t][k:k + LENGTH] for t, k in zip(text[keep].tolist(), byte[keep].tolist())], f"S{LENGTH}")
+        part = np.array([zlib.crc32(s) % parts for s in strings.tolist()], np.int64)
+        runs = []
+        for k in np.unique(part).tolist():
+            mine = np.flatnonzero(part == k)
+            mine = mine[np.argsort(strings[mine], kind="stable")]
+            at = keep[mine]
+            runs.append((k, strings[mine].tobytes(), document[at].astype("<i8").tobytes(), place[at].astype("<i8").tobytes()))
+        none = [None] * len(runs)
+        empty = [None] * len(d)
+        return pa.table({"doc": pa.array([*d.tolist(), *none], pa.int64()), "lo": pa.array([*b.tolist(), *none], pa.int64()),
+                         "hi": pa.array([*e.tolist(), *none], pa.int64()),
+                         "part": pa.array([*empty, *(r[0] for r in runs)], pa.int32()),
+                         **{name: pa.array([*empty, *(r[i] for r in runs)], pa.binary())
+                            for i, name in ((1, "strings"), (2, "docs"), (3, "places"))}})
+    return run
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """Runs of all shards: each string is looked up by binary search among all; only its earliest stays."""
+    strings = np.concatenate([np.frombuffer(x, f"S{LENGTH}") for x in table.column("strings").to_pylist()])
+    doc, lo = (np.concatenate([np.frombuffer(x, "<i8") for x in table.column(c).to_pylist()]) for c in ("docs", "places"))
+    order = np.lexsort((lo, doc, np.unique(strings, return_inverse=True)[1]))
+    strings, doc, lo = strings[order], doc[order], lo[order]
+    first = np.searchsorted(strings, strings, "left")
+    late = (doc != doc[first]) | (lo != lo[first])
+    d, b, e = merged(doc[late], lo[late], lo[late] + LENGTH)
+    return pa.table({"doc": d, "lo": b, "hi": e})
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -313,8 +330,9 @@ def numbered(docs: DataFrame) -> DataFrame:
 def contested_spans(texts: DataFrame, contested: DataFrame, shard: int) -> DataFrame:
     """Repeated byte ranges among anchors with differing surroundings ``(a, doc, lo, size)``."""
     shards = max(1, -(-contested.count() // shard))
-    large = contested.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > shard).select(
-        "a", F.ceil(F.col("n") / shard).alias("parts"))
+    large = stage(contested.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > shard), "suffix-large")
+    parts = 1 + (large.agg(F.sum("n")).first()[0] or 0) * SPREAD // MERGE_STRINGS
+    large = large.select("a", F.ceil(F.col("n") / shard).alias("parts"))
     part = F.coalesce(F.pmod(F.xxhash64("doc"), F.col("parts")), F.lit(0))
     marked = join_small(contested, large, "a", "left").select(
         "a", "doc", "lo", F.col("parts").isNotNull().alias("split"),
@@ -323,10 +341,9 @@ def contested_spans(texts: DataFrame, contested: DataFrame, shard: int) -> DataF
     cut = (join_small(texts, want.select("doc"), "doc", "left_semi").join(want, "doc")
            .mapInArrow(_cut, "a long, doc long, lo long, bytes binary"))
     placed = cut.join(marked, ["a", "doc", "lo"])
-    found = stage(placed.groupBy("shard").applyInArrow(_shard, f"{SPAN}, string binary"), "suffix-shards")
-    strings = found.filter("string is not null").repartitionByRange("string").sortWithinPartitions("string", "doc", "lo")
-    return found.filter("string is null").select("doc", "lo", "hi").union(
-        strings.select("doc", "lo", "string").mapInArrow(_merge, SPAN))
+    found = stage(placed.groupBy("shard").applyInArrow(_shard(parts), FOUND), "suffix-shards")
+    runs = found.filter("part is not null").select("part", "strings", "docs", "places")
+    return found.filter("part is null").select("doc", "lo", "hi").union(runs.groupBy("part").applyInArrow(_merge, SPAN))
 
 
 def repeated_spans(texts: DataFrame, shard: int = SHARD) -> DataFrame:
