@@ -17,7 +17,6 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
 _P = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 _powers: dict[str, np.ndarray] = {}
 
 
