@@ -73,3 +73,19 @@ def test_spread_is_personalised_pagerank(spark):
 def test_edges(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string").withColumn("verdict", F.lit("x"))
     assert u.judge(df).count() == 0
+
+
+def test_hosts_far_from_a_blocked_seed_are_judged_by_settled_scores(spark):
+    """Host k links to host k - 1; host 0 is blocked by a rule.  Host 15 hangs on host 14 by a link without scheme."""
+    host = lambda k: f"h{k}.org" if k else "bad.net"
+    link = lambda k: f"//{host(k - 1)}/x" if k == 15 else f"http://{host(k - 1)}/x"
+    pages = [(k, f"http://{host(k)}/es/", f'<a href="{link(k)}">t</a>' if k else "") for k in range(17)]
+    got = {r["page_id"]: r["verdict"] for r in u.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == dict.fromkeys(range(17), "block")
+
+
+def test_spread_settles_on_a_cycle(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    seeds = spark.createDataFrame([("a",)], "host string")
+    got = {r["host"]: r["score"] for r in u.spread(links, seeds, damping=0.1).collect()}
+    assert got == pytest.approx({"a": 0.9 / (1 - 0.1 ** 2), "b": 0.9 * 0.1 / (1 - 0.1 ** 2)}, rel=1e-5)

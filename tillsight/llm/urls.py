@@ -18,6 +18,8 @@ result; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +31,9 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)<a[\x09-\x0D\x20][^>]*?href[\x09-\x0D\x20]*=[\x09-\x0D\x20]*["']?([^"'\x09-\x0D\x20>]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.5
+DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.5  # ROUNDS: of the SQL only
+#: Scores have settled when no host's score grows by more than this share of itself.
+SETTLED = 1e-6
 
 
 def host_of(url: Column) -> Column:
@@ -53,32 +57,36 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def host_links(pages: DataFrame) -> DataFrame:
-    """Distinct links (src, dst) between different hosts, from absolute hrefs."""
-    links = F.filter(F.regexp_extract_all("html", F.lit(LINK), 1), lambda x: x.contains("://"))
+    """Distinct links (src, dst) between different hosts, from hrefs with a host (``scheme://host`` or ``//host``)."""
+    whole = F.transform(F.regexp_extract_all("html", F.lit(LINK), 1),
+                        lambda x: F.when(x.startswith("//"), F.concat(F.lit("http:"), x)).otherwise(x))
+    links = F.filter(whole, lambda x: x.contains("://"))
     return (pages.select(host_of(F.col("url")).alias("src"), F.explode(F.array_distinct(links)).alias("to"))
             .select("src", host_of(F.col("to")).alias("dst"))
             .filter((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst")))
             .distinct())
 
 
-def spread(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank ``(host, score)`` over links (src, dst) from ``seeds(host)``.
 
     Every seed starts with 1; what flows into a host without outgoing links
-    ends there.  Stops early when a round changes nothing.
+    ends there.  Scores only grow, so they are iterated until a round reaches no new
+    host and lets no score grow by more than SETTLED of itself, however far the
+    hosts are from the seeds; ``rounds`` stops earlier.
     """
     out = links.groupBy("src").agg(F.count("*").alias("n"))
     shares = stage(links.join(out, "src").select("src", "dst", (F.lit(damping) / F.col("n")).alias("share")),
                    "url-shares")
     base = stage(seeds.select("host", F.lit(1.0 - damping).alias("base")), "url-seeds")
     scores = base.select("host", F.col("base").alias("score"))
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         flow = (scores.join(shares, scores["host"] == shares["src"])
                 .select(F.col("dst").alias("host"), (F.col("score") * F.col("share")).alias("score")))
         new = stage(flow.union(base.select("host", F.col("base"))).groupBy("host")
                     .agg(F.sum("score").alias("score")), "url-scores")
         moved = new.join(scores.select("host", F.col("score").alias("old")), "host", "left").filter(
-            F.coalesce("old", F.lit(0.0)) != F.col("score"))
+            F.col("score") - F.coalesce("old", F.lit(0.0)) > SETTLED * F.col("score"))
         scores, still = new, moved.isEmpty()
         if still:
             break
