@@ -47,3 +47,18 @@ def test_long_line(spark):
     rows = [(1, "d", "x", "the license of words " * 20_000), (2, "d", "y", "All rights reserved.")]
     got = l.licences(spark.createDataFrame(rows, "doc_id long, dir string, name string, text string")).collect()
     assert {r["doc_id"]: r["own"] for r in got} == {1: None, 2: "proprietary"}
+
+
+def test_notices_inside_lines_and_over_lines(spark):
+    words = "plain words of a text that says nothing of the kind " * 60
+    gnu = ("This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License "
+           "as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.")
+    far = "filler " * (l.SEGMENT - 2)
+    texts = {1: (words + "Released under the MIT License.", "MIT"), 2: (words + "\n# " + gnu + "\n" + words, "GPL-3.0"),
+             3: (words + "Licensed under the\nApache License,\nVersion 2.0.\n" + words, "Apache-2.0"), 4: (words, None),
+             5: (far + "Released under the MIT License. " + words, "MIT"), 6: (l.HEADERS[11][1].replace(", ", ",\n"), "MIT"),
+             7: (words + "the license was released under the bridge and all rights were kept " + words, None)}
+    rows = [(k, "d%d" % k, "x", text) for k, (text, _) in texts.items()] + [(100 + k, "e", str(k), "plain prose") for k in range(200)]
+    got = l.licences(spark.createDataFrame(rows, "doc_id long, dir string, name string, text string")).collect()
+    assert {r["doc_id"]: r["own"] for r in got if r["doc_id"] < 100} == {k: own for k, (_, own) in texts.items()}
+    assert [r["doc_id"] for r in got if r["licence_file"]] == [6]

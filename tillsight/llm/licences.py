@@ -8,6 +8,13 @@ its best line.  A file named like a licence file, or at least half of whose term
 in licence lines, is the licence file of its directory.  A file without a licence of its
 own takes that of the nearest directory above it (its own first) with a licence file.
 
+Notices inside longer lines or wrapped over lines are found in windows: of a file's terms
+in a row, as many as a template has are compared with it wherever a heavy term of the
+template stands, laid over its place in the template (NEAR for the one-line notices,
+the threshold for HEADERS, which are too long to be met by chance).  Windows count for
+a file like lines; the terms in licence lines and those in windows are counted each for
+themselves and the larger number decides about a licence file.
+
 DataFrame operations only.  A line can only reach the threshold if it has one of the
 heavy terms of a template (the rest of the template's weight is below the
 threshold), so only such lines are cut into terms and joined.  Directories, not files,
@@ -51,10 +58,50 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+_GNU = ("{what} is free software{colon} you can redistribute it and/or modify it under the terms of the GNU {name} Public License "
+        "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+_GNU_TITLE = ("GNU {name} PUBLIC LICENSE Version {version} Copyright (C) {year} Free Software Foundation, Inc. Everyone is permitted "
+              "to copy and distribute verbatim copies of this license document, but changing it is not allowed.")
+#: Licence and a header of several lines, its full text (MIT, BSD, Unlicense) or the start of it; fixed values.
+HEADERS = (
+    ("AGPL-3.0", _GNU.format(what="This program", colon=":", name="Affero General", version=3)),
+    ("AGPL-3.0", _GNU_TITLE.format(name="AFFERO GENERAL", version="3, 19 November 2007", year=2007)),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+                   "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ "
+                   "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                     "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+                     "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+                     "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+                     "other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of "
+                     "its contributors may be used to endorse or promote products derived from this software without specific "
+                     "prior written permission."),
+    ("GPL-2.0", _GNU.format(what="This program", colon=";", name="General", version=2)),
+    ("GPL-2.0", _GNU_TITLE.format(name="GENERAL", version="2, June 1991", year="1989, 1991")),
+    ("GPL-3.0", _GNU.format(what="This program", colon=":", name="General", version=3)),
+    ("GPL-3.0", _GNU_TITLE.format(name="GENERAL", version="3, 29 June 2007", year=2007)),
+    ("LGPL-3.0", _GNU.format(what="This library", colon=":", name="Lesser General", version=3)),
+    ("LGPL-3.0", _GNU_TITLE.format(name="LESSER GENERAL", version="3, 29 June 2007", year=2007)),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+            "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+            "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
+            "and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+                  "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+                  "purpose, commercial or non-commercial, and by any means."),
+)
+#: Windows start in segments of so many terms.
+SEGMENT = 512
 #: File names of licence files; a fixed value.
 LICENCE_NAME = r"(?i)^(licen[cs]e|copying|unlicense|notice)([.-].*)?$"
 TERM = r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"
 THRESHOLD = 0.7
+#: Cosine from which a window carries a one-line notice: two of three words in running text are no notice.
+NEAR = 0.9
 
 
 def terms(text: Column) -> Column:
@@ -62,10 +109,13 @@ def terms(text: Column) -> Column:
 
 
 def template_terms(templates) -> list[Counter]:
+    return [Counter(template_words(text)) for _, text in templates]
+
+
+def template_words(text: str) -> list[str]:
     import re
 
-    term = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-    return [Counter(term.findall(text.lower())) for _, text in templates]
+    return re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
 
 
 def document_frequencies(lines: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
@@ -90,18 +140,80 @@ def heavy_terms(vectors: list[dict[str, float]], threshold: float) -> set[str]:
     return heavy
 
 
-def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def windows(files: DataFrame, templates, least: list[float], n: int, df: dict[str, int]) -> DataFrame:
+    """path, dir, name, x, n of the files with windows near a template; n terms stand in such windows.
+
+    ``least`` has the cosine from which a window counts for each template, ``n`` and ``df``
+    the frequencies over lines.  A file is cut into segments that overlap by the
+    longest template, so that no row but the file's own follows its length.
+    """
+    counted = template_terms(templates)
+    idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for c in counted for t in c}
+    vectors = [{t: k * idf[t] for t, k in c.items()} for c in counted]
+    anchors: dict[str, list[tuple[int, int]]] = {}
+    for k, v in enumerate(vectors):
+        for t in heavy_terms([v], least[k]) & df.keys():
+            anchors.setdefault(t, []).extend((k, i) for i, x in enumerate(template_words(templates[k][1])) if x == t)
+    heavy = sorted(anchors) or [""]
+    longest = max(sum(c.values()) for c in counted)
+    text = lambda x: "'" + x.replace("'", "\\'") + "'"
+    places = ", ".join(f"{text(t)}, array({', '.join(f'struct({k} AS k, {i} AS i)' for k, i in anchors.get(t, []) or [(-1, 0)])})"
+                       for t in heavy)
+    units = ", ".join("map({})".format(", ".join(
+        f"{text(t)}, {w / math.sqrt(sum(x * x for x in v.values()))!r}D" for t, w in v.items())) for v in vectors)
+    each = lambda values: f"array({', '.join(values)})"
+    known = F.array(*map(F.lit, heavy))
+    whole = (files.filter(has_term("text", heavy)).select("path", "dir", "name", F.monotonically_increasing_id().alias("file"),
+                                                          terms(F.col("text")).alias("terms")).filter(F.arrays_overlap("terms", known)))
+    parts = (whole.select("path", "dir", "name", "file", F.explode(F.expr(
+        f"transform(sequence(0, size(terms) - 1, {SEGMENT}), s -> struct(s AS s, slice(terms, s + 1, {SEGMENT + longest}) AS part))")
+        ).alias("p")).select("path", "dir", "name", "file", "p.s", "p.part").filter(F.arrays_overlap("part", known)))
+    # The template terms of a segment bound the cosine of all its windows.
+    vocabulary = F.array(*map(F.lit, sorted(idf)))
+    bounds = each(f"{x * x * (1 - 1e-9)!r}D" for x in least)
+    parts = parts.withColumn("met", F.array_intersect("part", vocabulary)).withColumn("open", F.expr(
+        f"filter(sequence(0, {len(vectors) - 1}), k -> aggregate(met, 0D, (a, t) -> a + pow(coalesce(array({units})[k][t], 0D), 2))"
+        f" >= {bounds}[k])")).filter(F.size("open") > 0)
+    # A window starts at the place of its heavy term less the term's place in the template, in this segment.
+    starts = f"""array_distinct(filter(flatten(transform(filter(sequence(0, size(part) - 1), i -> map_contains_key(map({places}), part[i])),
+        i -> transform(element_at(map({places}), part[i]), x -> struct(x.k AS k, greatest(i - x.i, if(s = 0, 0, -1)) AS at)))),
+        w -> array_contains(open, w.k) AND w.at >= 0 AND w.at < {SEGMENT}))"""
+    size = each(str(sum(c.values())) for c in counted)
+    cut = (parts.select("path", "dir", "name", "file", "s", "part", F.explode(F.expr(starts)).alias("w"))
+           .select("path", "dir", "name", "file", "w.k", (F.col("s") + F.col("w.at")).alias("at"),
+                   F.expr(f"slice(part, w.at + 1, {size}[w.k])").alias("window"), F.expr(f"array({units})[w.k]").alias("unit")))
+    # The terms that a window shares with the template bound its cosine.
+    cut = cut.withColumn("words", F.array_distinct("window")).withColumn("least", F.expr(each(f"{x!r}D" for x in least) + "[k]"))
+    cut = cut.filter(F.expr("aggregate(words, 0D, (a, t) -> a + pow(coalesce(unit[t], 0D), 2))") >= F.col("least") * F.col("least") * (1 - 1e-9))
+    weights = ", ".join(f"{text(t)}, {w!r}D" for t, w in sorted(idf.items()))
+    cut = cut.withColumn("w", F.expr(f"transform(words, t -> size(filter(window, x -> x = t)) * coalesce(map({weights})[t], {math.log(1 + n) + 1!r}D))"))
+    dot = F.expr("aggregate(zip_with(words, w, (t, y) -> y * coalesce(unit[t], 0D)), 0D, (a, y) -> a + y)")
+    length = F.expr("sqrt(aggregate(w, 0D, (a, y) -> a + y * y))")
+    near = cut.withColumn("score", F.round(dot / length, 9)).filter(F.col("score") >= F.col("least"))
+    near = stage(near.select("path", "dir", "name", "file", "at", F.size("window").alias("size"), "score",
+                             F.expr(each(text(name) for name, _ in templates) + "[k]").alias("licence")), "licence-windows")
+    covered = (near.select("path", "file", F.explode(F.expr("sequence(at, at + size - 1)")).alias("at")).distinct()
+               .groupBy("path").agg(F.count("*").alias("n")))
+    return near.groupBy("path", "dir", "name").agg(F.min(F.struct(-F.col("score"), "licence")).alias("x")).join(covered, "path")
+
+
+def has_term(text: str, some: list[str]) -> Column:
+    start, end = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+    return F.lower(text).rlike(f"{start}(?:{'|'.join(t.replace('.', '[.]') for t in some)}){end}")
+
+
+def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, headers=HEADERS) -> DataFrame:
     """path, own, score, licence_file of the files ``(dir, name, path, text)`` that carry a licence."""
     spark = files.sparkSession
     lines = files.select("dir", "name", "path", F.explode(F.split("text", "\n")).alias("line"))
     counted = template_terms(templates)
     vocabulary = sorted({t for c in counted for t in c})
-    n, df = document_frequencies(lines, vocabulary)
+    longer = [*templates, *headers]
+    n, df = document_frequencies(lines, sorted({t for c in template_terms(longer) for t in c}))
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
     vectors = [{t: k * idf[t] for t, k in c.items()} for c in counted]
     heavy = sorted(t for t in heavy_terms(vectors, threshold) if t in df) or [""]  # no line has the others
-    start, end = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-    some = lines.filter(F.lower("line").rlike(f"{start}(?:{'|'.join(t.replace('.', '[.]') for t in heavy)}){end}"))
+    some = lines.filter(has_term("line", heavy))
     some = some.withColumn("terms", terms(F.col("line"))).filter(F.arrays_overlap("terms", F.array(*map(F.lit, heavy))))
     some = stage(some.select("path", "dir", "name", "terms", F.monotonically_increasing_id().alias("row")), "licence-lines")
     weights = spark.createDataFrame([(t, w) for t, w in idf.items()], "term string, idf double")
@@ -120,7 +232,10 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
                .filter(F.col("score") >= threshold))
     best = cosines.groupBy("row").agg(F.min(F.struct(-F.col("score"), "licence")).alias("x"))
     hits = some.join(best, "row").select("path", "dir", "name", F.size("terms").alias("n"), "x")
-    hits = stage(hits.groupBy("path", "dir", "name").agg(F.min("x").alias("x"), F.sum("n").alias("n")), "licence-hits")
+    hits = hits.groupBy("path", "dir", "name").agg(F.min("x").alias("x"), F.sum("n").alias("n"))
+    least = [max(threshold, NEAR)] * len(templates) + [threshold] * len(headers)
+    hits = hits.unionByName(windows(files.select("path", "dir", "name", "text"), longer, least, n, df))
+    hits = stage(hits.groupBy("path", "dir", "name").agg(F.min("x").alias("x"), F.max("n").alias("n")), "licence-hits")
     sizes = (join_small(files.select("path", "text"), hits.select("path"), "path", "left_semi")
              .groupBy("path").agg(F.max(F.size(terms(F.col("text")))).alias("m")))
     return (hits.join(sizes, "path")
