@@ -65,3 +65,25 @@ def test_edges(spark):
     assert sorted(got.columns) == ["html", "n_chars", "page_id", "text", "url"]
     assert sorted(r["text"] for r in got.collect()) == ["", "", "x y"]
     assert t.extract(rows.filter(F.lit(False))).count() == 0
+
+
+def test_all_content_is_kept_without_article():
+    short = LONG[:len(LONG) // 2].strip()
+    page = f"<body><div><section><p>{LONG}</p></section><section><p>{short}</p></section></div></body>"
+    assert t.main_text(page).split("\n\n") == [LONG.strip(), short]
+    page = f"<body><main><p>{LONG}</p></main><div><p>{short}</p></div></body>"
+    assert t.main_text(page).split("\n\n") == [LONG.strip(), short]
+    page = f"<main><article><p>{LONG}</p></article><p>{short}</p></main>"
+    assert t.main_text(page).split("\n\n") == [LONG.strip(), short]
+
+
+def test_head_without_end_tag():
+    for body in (f"<body><p>{LONG}</p>", f"<p>{LONG}</p>", LONG):
+        assert t.main_text(f"<html><head><title>x</title><meta charset=utf-8><script>y</script>{body}") == LONG.strip()
+
+
+def test_layout_names_and_reference_lists_stay():
+    assert t.main_text(f'<div class="elementor-widget-container"><p>{LONG}</p></div><div class="widget"><p>{LONG}</p></div>') == LONG.strip()
+    refs = [f"{k}. {LONG.strip()}" for k in range(6)]
+    page = f"<div><p>{LONG}</p><ol>" + "".join(f'<li><a href="/{k}">{r}</a></li>' for k, r in enumerate(refs)) + "</ol></div>"
+    assert t.main_text(page).split("\n\n") == [LONG.strip(), *refs]

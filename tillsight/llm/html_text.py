@@ -7,9 +7,10 @@ tags met since the block before; parts that name themselves as page furniture
 scripts, styles) give no blocks.  The ratio of text length to tags is smoothed
 along the page with a Gaussian; blocks above a threshold (the standard deviation of
 the smoothed ratios, as in content extraction via tag ratios) are content.  The
-content region is the article or main element that holds most of the content
-blocks' text, or else the deepest element that holds most of it; all blocks of the
-region are kept, short ones too, but for blocks made of links outside an article.
+content region is the articles or main elements if they hold all content blocks, or
+else the smallest element that holds all of them; all blocks of the region are kept,
+short ones too, but for blocks made of links that stand outside an article and whose
+smoothed ratio is low.
 
 Defined results: null and empty html give an empty text; html of any length is
 parsed whole; a page without any content block gives an empty text; repeated rows
@@ -31,7 +32,6 @@ from tillsight.llm.staging import prepare, read
 
 SMOOTHING_RADIUS = 2
 SMOOTHING_SIGMA = 1.0
-REGION_SHARE = 0.6
 #: Elements without an end tag, and those that end the block around them; fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure "
@@ -47,6 +47,8 @@ FURNITURE = frozenset("ad ads adv advert adverts advertisement adsense breadcrum
                       "promotion recommended related replies reply responses search share sharing sidebar sidenav "
                       "signup skip social sponsor sponsored subscribe taboola toolbar topbar widget widgets "
                       "alert sidemenu skyscraper paywall".split())
+#: These only as the first word of a name: page builders call any part of a page ``x-widget-...``; fixed values.
+LAYOUT = frozenset(["widget", "widgets"])
 #: These only outside an article: inside they head the article itself; fixed values.
 OUTER_FURNITURE = frozenset(["banner", "header", "masthead"])
 #: Class names that speak of the page's state, not of the element; fixed values.
@@ -54,6 +56,8 @@ STATE_NAME = re.compile(r"(has|no|with|without)-.*|.*-(open|closed|enabled|disab
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
                   "toolbar".split())
 #: An open element of the key is ended by a start tag of these, unless a holder stands between.
+#: Start tags that leave an open head as it is; any other one ends it, and so does text.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript object script style template title".split())
 IMPLIED_END = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
                "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody"]),
                "th": frozenset(["td", "th", "tr", "tbody"]), "option": frozenset(["option"])}
@@ -94,7 +98,8 @@ class Page(HTMLParser):
         if re.search(r"display\s*:\s*none", at.get("style", "")):
             return True
         said = f"{at.get('class', '')} {at.get('id', '')}".split()
-        names = {n for s in said if not STATE_NAME.fullmatch(s) for n in _NAME.findall(s)}
+        names = {n for s in said if not STATE_NAME.fullmatch(s) for k, n in enumerate(_NAME.findall(s))
+                 if k == 0 or n not in LAYOUT}
         return bool(names & FURNITURE) or not inside and bool(names & OUTER_FURNITURE)
 
     def pop(self) -> None:
@@ -104,8 +109,19 @@ class Page(HTMLParser):
         if tag in HOLDER:
             self.holders.pop()
 
+    def end_head(self) -> None:
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] == "head":
+                while len(self.open) > k:
+                    self.pop()
+                return
+            if self.open[k][0] in IN_HEAD:  # what stands in a title or template stays there
+                return
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag in BLOCK:
             self.end_block()
         if tag == "br":
@@ -146,6 +162,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self.end_head()
         if not self.hidden:
             self.text.append(data)
             if self.links:
@@ -159,29 +177,21 @@ def smooth(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), "valid")
 
 
-def content(blocks: list[tuple[str, int, int, tuple[int, ...]]]) -> np.ndarray:
-    """Threshold clustering: which blocks have a high smoothed text-to-tag ratio."""
-    ratios = smooth(np.array([(len(t) - links) / max(tags, 1) for t, tags, links, _ in blocks], float))
+def content(blocks: list[tuple[str, int, int, tuple[int, ...]]], with_links: bool = False) -> np.ndarray:
+    """Threshold clustering: which blocks have a high smoothed text-to-tag ratio (link text counts only ``with_links``)."""
+    ratios = smooth(np.array([(len(t) - (0 if with_links else links)) / max(tags, 1) for t, tags, links, _ in blocks], float))
     return ratios >= min(ratios.std(), ratios.max())
 
 
 def region(blocks, kinds: list[str], chosen: np.ndarray) -> set[int]:
-    """Article or main elements with most of the content, or the deepest holder of most of it."""
-    mass: dict[int, int] = {}
-    named = {"article": 0, "main": 0}
-    total = 0
-    for (text, _, links, path), use in zip(blocks, chosen):
-        if use:
-            size = max(len(text) - links, 1)
-            total += size
-            for h in path:
-                mass[h] = mass.get(h, 0) + size
-            for kind in {kinds[h] for h in path} & named.keys():
-                named[kind] += size
-    for kind, size in named.items():
-        if size >= REGION_SHARE * total:
-            return {h for h in mass if kinds[h] == kind}
-    return {max((h for h, m in mass.items() if m >= REGION_SHARE * total), default=-1)}
+    """Article or main elements if they hold all content, or else the smallest holder of all of it."""
+    paths = [path for (text, _, links, path), use in zip(blocks, chosen) if use and 2 * links <= len(text)]
+    paths = paths or [path for (_, _, _, path), use in zip(blocks, chosen) if use]
+    for kind in ("article", "main"):
+        if all(any(kinds[h] == kind for h in path) for path in paths):
+            return {h for path in paths for h in path if kinds[h] == kind}
+    common = set(paths[0]).intersection(*paths[1:])
+    return {max(common, default=-1)}
 
 
 def main_text(html: str | None) -> str:
@@ -195,8 +205,8 @@ def main_text(html: str | None) -> str:
         return ""
     where = region(blocks, page.kinds, content(blocks))
     named = any(page.kinds[h] in ("article", "main") for h in where if h >= 0)
-    kept = [text for text, _, links, path in blocks
-            if (-1 in where or where.intersection(path)) and (named or 2 * links <= len(text))]
+    kept = [text for (text, _, links, path), use in zip(blocks, content(blocks, with_links=True))
+            if (-1 in where or where.intersection(path)) and (named or use or 2 * links <= len(text))]
     return "\n\n".join(kept)
 
 
