@@ -105,3 +105,13 @@ def test_reruns_agree(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     a = sorted(map(tuple, m.mix(docs).collect()))
     assert a == sorted(map(tuple, m.mix(docs.repartition(7)).collect()))
+
+
+def test_rows_that_share_an_id_get_the_copies_of_their_source_and_size(spark):
+    rows = [(None if k % 3 else 7, " ".join([f"{s}{k}"] * (1 + k % 40)), s) for s in "abc" for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {r["source"]: (r["taken"], r["n"]) for r in m.planned(docs, "source", m.WEIGHTS, m.CAP).groupBy(
+        F.expr("substring(g, 2)").alias("source")).agg(F.sum("taken").alias("taken"), F.sum("copies").alias("n")).collect()}
+    taken = [sorted(map(tuple, m.take(d).collect()), key=str) for d in (docs, docs.repartition(5, "text"))]
+    assert taken[0] == taken[1]
+    assert {s: (sum(len(t.split()) for _, t, x in taken[0] if x == s), sum(x == s for *_, x in taken[0])) for s in "abc"} == want

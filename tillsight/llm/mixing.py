@@ -141,6 +141,11 @@ def ranked(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, group: str = "source", weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """One row for each document: doc_id, size, source_size, target, taken, rate, copies."""
+    return planned(docs, group, weights, cap).drop("g")
+
+
+def planned(docs: DataFrame, group: str, weights, cap: float) -> DataFrame:
+    """``mix`` with the group key g."""
     sized = stage(docs.select("doc_id", group_key(F.col(group).cast("string")).alias("g"),
                               n_words(F.col("text")).alias("size")), "mix-sizes")
     sizes = stage(sized.groupBy("g").agg(F.sum("size").cast("double").alias("mass")), "mix-groups")
@@ -156,27 +161,41 @@ def mix(docs: DataFrame, group: str = "source", weights=WEIGHTS, cap: float = CA
                .select("g", best["u"].alias("u")))
     return (rows.join(stage(offsets, "mix-offsets"), "g")
             .withColumn("copies", copies_of(F.col("rate"), F.col("rank"), F.col("u"), cap).cast("int"))
-            .select("doc_id", "size", F.col("mass").cast("long").alias("source_size"), "target",
+            .select("doc_id", "g", "size", F.col("mass").cast("long").alias("source_size"), "target",
                     (F.col("size") * F.col("copies")).cast("long").alias("taken"), "rate", "copies"))
 
 
 def take(docs: DataFrame, group: str = "source", weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as its number of copies.
 
-    Only numbers of copies are joined to the texts.  Rows that share a doc_id are
-    numbered first, so that each gets its own.
+    Only numbers of copies are joined to the texts.  Rows that share a doc_id get those
+    planned for their group and size, most copies first in the order of the rows' digests,
+    so that only equal rows are interchangeable.  Digests are counted and sorted by their
+    first digits, so that no task sorts all rows without doc_id.
     """
-    plan = stage(mix(docs, group, weights, cap).select(F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull()
-                                                       .alias("__null"), "copies"), "mix-plan")
+    plan = stage(planned(docs, group, weights, cap).select(
+        F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__null"), F.col("g").alias("__g"),
+        F.col("size").alias("__size"), "copies"), "mix-plan")
     key = ["__id", "__null"]
     rows = docs.withColumn("__id", F.coalesce("doc_id", F.lit(0))).withColumn("__null", F.col("doc_id").isNull())
     shared = stage(plan.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key), "mix-shared")
-    chosen = join_small(rows, plan.join(shared, key, "left_anti").filter("copies > 0"), key)
+    single = plan.join(shared, key, "left_anti").filter("copies > 0").select(*key, "copies")
+    chosen = join_small(rows, single, key)
     if not shared.isEmpty():
-        number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
-        twins = plan.join(shared, key, "left_semi").withColumn("__k", number)
-        chosen = chosen.unionByName(join_small(rows, shared, key, "left_semi").withColumn("__k", number)
-                                    .join(twins.filter("copies > 0"), [*key, "__k"]).drop("__k"))
+        same = [*key, "__g", "__size"]
+        levels = range(1, int(cap) + 1)
+        counts = (plan.join(shared, key, "left_semi").groupBy(*same)
+                  .agg(*[F.count_if(F.col("copies") >= c).alias(f"__n{c}") for c in levels]).filter("__n1 > 0"))
+        twins = (join_small(rows, shared, key, "left_semi")
+                 .withColumn("__g", group_key(F.col(group).cast("string"))).withColumn("__size", n_words(F.col("text")))
+                 .withColumn("__digest", F.md5(F.to_json(F.struct(*docs.columns))))
+                 .withColumn("__part", F.substring("__digest", 1, 3)))
+        starts = (twins.groupBy(*same, "__part").agg(F.count("*").alias("n"))
+                  .withColumn("__start", F.sum("n").over(Window.partitionBy(*same).orderBy("__part")) - F.col("n")).drop("n"))
+        rank = F.col("__start") + F.row_number().over(Window.partitionBy(*same, "__part").orderBy("__digest"))
+        twins = join_small(join_small(twins, starts, [*same, "__part"]).withColumn("__k", rank), counts, same)
+        copies = sum((F.when(F.col("__k") <= F.col(f"__n{c}"), 1).otherwise(0) for c in levels), F.lit(0))
+        chosen = chosen.unionByName(twins.withColumn("copies", copies).filter("copies > 0").select(*chosen.columns))
     return chosen.withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
 
 
