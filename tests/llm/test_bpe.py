@@ -68,3 +68,9 @@ def test_nulls_empty_tables_and_clashing_columns(spark):
     got = sorted(map(tuple, bpe.encode(docs, bpe.word_bpe_spec()).select("doc_id", "n_tokens", "decoded").collect()), key=str)
     assert got == sorted([(1, 0, ""), (1, 0, ""), (2, 0, ""), (None, 2, "the</w> cat</w>")], key=str)
     assert bpe.encode(docs.filter(F.lit(False)), bpe.word_bpe_spec()).count() == 0
+
+
+def test_decoded_text_comes_from_the_ids():
+    own = bpe.Bpe(bpe.word_bpe_spec())
+    own.strings[own.vocab["the</w>"]] = "changed"
+    assert own.encode("the cat")[1] == "changed cat</w>"

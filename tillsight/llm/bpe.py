@@ -24,6 +24,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +59,7 @@ class Bpe:
         self.find = regex.compile(WORDS).findall
         self.strings = {i: s for s, i in (*self.vocab.items(), *self.special.items())}
         self.bytes = byte_symbols()
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
 
     def merge(self, word: str) -> list[str]:
         """Symbols of one word."""
@@ -90,35 +91,31 @@ class Bpe:
             offer(i)
         return [s for s in sym if s]
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Ids (little-endian, 32 bits each) and decoded text of one word."""
-        symbols = self.merge(word)
-        ids = b"".join(self.vocab[s].to_bytes(4, "little") for s in symbols)
+    def word(self, word: str) -> bytes:
+        """Ids (little-endian, 32 bits each) of one word."""
+        ids = b"".join(self.vocab[s].to_bytes(4, "little") for s in self.merge(word))
         if len(self.cache) >= CACHE_WORDS:
             self.cache.clear()
-        found = self.cache[word] = (ids, " ".join(symbols))
-        return found
+        self.cache[word] = ids
+        return ids
 
     def words(self, text: str) -> list[str]:
         return self.find(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """Ids of a whole text as bytes, and the text that they decode to."""
-        ids, strings, get = [], [], self.cache.get
+        ids, get = [], self.cache.get
         for k, part in enumerate(self.split_special.split(text) if "<|" in text else [text]):
             if k % 2:
                 ids.append(self.special[part].to_bytes(4, "little"))
-                strings.append(part)
                 continue
-            for w in self.words(part):
-                i, s = get(w) or self.word(w)
-                ids.append(i)
-                strings.append(s)
-        return b"".join(ids), " ".join(strings)
+            ids += [get(w) or self.word(w) for w in self.words(part)]
+        coded = b"".join(ids)
+        return coded, self.decode(coded)
 
     def decode(self, ids: bytes) -> str:
         """Vocabulary strings of ids, joined by spaces."""
-        return " ".join(self.strings[int.from_bytes(ids[k:k + 4], "little")] for k in range(0, len(ids), 4))
+        return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def encode(docs: DataFrame, spec: str, text: str = "text", columns: list[str] | None = None) -> DataFrame:
