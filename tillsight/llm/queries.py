@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tillsight.llm import bpe, grid_join, html_text, licences, line_crf, minhash, mixing, quality_rules, suffix_dedup, urls
+from tillsight.llm import (
+    bpe,
+    grid_join,
+    html_text,
+    licences,
+    line_crf,
+    minhash,
+    mixing,
+    quality_rules,
+    suffix_dedup,
+    turn_repair,
+    urls,
+)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_bpe": bpe.op9_bpe,
     "op10_url_filter": urls.op10_url_filter,
+    "op11_turn_repair": turn_repair.op11_turn_repair,
 }
 
 ORACLE = {
