@@ -10,6 +10,7 @@ from tillsight.llm import (
     line_crf,
     minhash,
     mixing,
+    packing,
     quality_rules,
     suffix_dedup,
     turn_repair,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_url_filter": urls.op10_url_filter,
     "op11_turn_repair": turn_repair.op11_turn_repair,
+    "op12_best_fit": packing.op12_best_fit,
 }
 
 ORACLE = {
