@@ -78,3 +78,15 @@ def test_piece_size_does_not_matter():
     whole = crf.score_texts(texts, model)
     alone = np.concatenate([crf.score_texts(texts.slice(i, 1), model) for i in range(len(texts))])
     assert whole == pytest.approx(alone)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    """Equal bit for bit in 1, 7 and 200 partitions; a shared doc_id gives the same model each time."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.limit(50).select("doc_id", F.concat("text", F.lit(" more"))))
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    got = []
+    for parts in (1, 7, 200):
+        rows = crf.score(docs.repartition(parts), crf.train(docs.repartition(parts), labels)).collect()
+        got.append(sorted((r["doc_id"], r["score"].hex(), r["predicted"]) for r in rows))
+    assert got[0] == got[1] == got[2]

@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from tillsight.llm import scan
 from tillsight.llm.staging import join_small, prepare, read
 
+#: The model is fitted on at most so many labelled documents, and on the first lines of each.
 TRAIN_DOCS = 3000
+TRAIN_LINES = 256
+SCORE_DIGITS = 9
 STEPS, RATE, PENALTY = 300, 0.1, 1e-3
 GOOD = 0.7
 _UPPER, _DIGIT = scan.table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), scan.table(b"0123456789")
@@ -137,6 +140,14 @@ def fit(doc: np.ndarray, x: np.ndarray, label: np.ndarray) -> dict[str, np.ndarr
     return {"mean": mean, "scale": scale, "weights": theta[:-4], "pair": theta[-4:].reshape(2, 2)}
 
 
+def weighted(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted sum of each row's features, added up in one order however many rows there are."""
+    total = np.zeros(len(x))
+    for k, w in enumerate(weights):
+        total += x[:, k] * w
+    return total
+
+
 def score_texts(texts: pa.Array, model: dict[str, np.ndarray] | None) -> np.ndarray:
     """Length-weighted mean of the lines' probabilities of being good."""
     out = []
@@ -146,9 +157,9 @@ def score_texts(texts: pa.Array, model: dict[str, np.ndarray] | None) -> np.ndar
             continue
         doc, size, own = own_features(c)
         x = (with_neighbours(doc, own) - model["mean"]) / model["scale"]
-        good, _, _ = forward_backward(doc, x @ model["weights"], model["pair"])
+        good, _, _ = forward_backward(doc, weighted(x, model["weights"]), model["pair"])
         out.append(np.bincount(doc, weights=good * size, minlength=c.n) / np.bincount(doc, weights=size, minlength=c.n))
-    return np.clip(np.concatenate(out), 0.0, 1.0) if out else np.zeros(0)
+    return np.round(np.clip(np.concatenate(out), 0.0, 1.0), SCORE_DIGITS) if out else np.zeros(0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -157,20 +168,25 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict[str, np.ndarray] | None:
-    """Model fitted on at most ``most`` labelled documents outside the held-out fold."""
+    """Model fitted on at most ``most`` labelled documents outside the held-out fold.
+
+    Where texts share a doc_id, the first of them in order stands for it.
+    """
     few = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = join_small(docs.select("doc_id", "text"), few, "doc_id").dropDuplicates(["doc_id"])
+    rows = join_small(docs.select("doc_id", "text"), few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, labels_ = batch.column("doc_id"), batch.column("label").to_numpy(zero_copy_only=False)
             for c in scan.chunks(batch.column("text")):
                 doc, _, own = own_features(c)
-                x = with_neighbours(doc, own)
+                line = np.arange(len(doc)) - np.searchsorted(doc, doc)
+                few_lines = line < TRAIN_LINES
+                x, doc, line = with_neighbours(doc, own)[few_lines], doc[few_lines], line[few_lines]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(doc + c.lo)), pa.array(np.arange(len(doc))), pa.array(labels_[c.lo:c.hi][doc]),
+                    [ids.take(pa.array(doc + c.lo)), pa.array(line), pa.array(labels_[c.lo:c.hi][doc]),
                      pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "line", "label", "x"])
 
     lines = rows.mapInArrow(features, "doc_id long, line long, label int, x array<double>").toArrow()
