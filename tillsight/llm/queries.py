@@ -13,6 +13,7 @@ from tillsight.llm import (
     packing,
     quality_rules,
     suffix_dedup,
+    token_align,
     turn_repair,
     urls,
 )
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_url_filter": urls.op10_url_filter,
     "op11_turn_repair": turn_repair.op11_turn_repair,
     "op12_best_fit": packing.op12_best_fit,
+    "op13_token_align": token_align.op13_token_align,
 }
 
 ORACLE = {
