@@ -22,7 +22,7 @@ number of pieces of its length in earlier tasks (counted per length and task), s
 rows are sorted and only counts are shuffled.
 
 Defined results: a null or empty text is the end token alone; texts of any length are
-encoded whole, in parts cut at spaces where that changes nothing; equal rows are packed
+encoded whole, word by word, which changes nothing; equal rows are packed
 each for itself; an empty table gives no rows; extra columns are not read; a null doc_id
 stays null.
 """
@@ -45,8 +45,14 @@ from tillsight.llm.staging import join_small, prepare, read, stage
 
 CAPACITY = 2048
 END = 0
-#: Texts are encoded in parts of about so many characters, cut before a space.
-PART_CHARS = 1 << 16
+#: A task remembers the ids of at most so many words, none longer than LONG_WORD bytes.
+KNOWN_WORDS = 500_000
+LONG_WORD = 64
+WORDS_AT_ONCE = 500
+#: A control character, which is a token of its own and part of no other character's tokens.
+MARK = "\x01"
+#: By tokenizer file; a worker process keeps it for its next tasks.
+_known: dict[str, dict[bytes, bytes]] = {}
 
 
 # ---------------------------------------------------------------- the plan
@@ -203,35 +209,51 @@ def places(runs: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray) ->
 # ---------------------------------------------------------------- the pieces
 
 
-def parts(text: str, most: int = PART_CHARS) -> Iterator[str]:
-    """The text in parts cut before a space that follows no space (no token spans it)."""
-    at = 0
-    while len(text) - at > most:
-        cut = text.find(" ", at + most)
-        if cut < 0:
-            break
-        yield text[at:cut]
-        at = cut
-    yield text[at:]
-
+def word_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
+    """Encoder of texts to ids by the tokenizers library, with truncation and padding off.
 
-def library_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """Encoder of texts to ids, by the tokenizers library, with truncation and padding off."""
+    For tokenizer files that drop white space: no token, special or not, holds any, and
+    neither composing nor lower-casing looks across it.  So a text's ids are those of its
+    words (parts between ASCII white space), and the library sees a word once, until
+    KNOWN_WORDS are known and the table starts anew.  New words are encoded together with
+    MARK, which is one token by itself, between them.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    known = _known.setdefault(path, {})
+
+    def ids_of(text: str) -> np.ndarray:
+        return np.asarray(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    mark, = ids_of(MARK)
+
+    def encode_new(words: list[bytes]) -> dict[bytes, bytes]:
+        plain = [w for w in words if MARK.encode() not in w]
+        found = {w: ids_of(w.decode()).tobytes() for w in words if MARK.encode() in w}
+        for lo in range(0, len(plain), WORDS_AT_ONCE):
+            some = plain[lo:lo + WORDS_AT_ONCE]
+            ids = ids_of(f" {MARK} ".join([w.decode() for w in some]))
+            ends = np.flatnonzero(ids == mark)
+            data, lo_hi = ids.tobytes(), zip([0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), 4 * len(ids)])
+            found.update(zip(some, [data[i:j] for i, j in lo_hi], strict=True))
+        return found
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        ids = []
-        for text in texts:
-            got = [tokenizer.encode_batch_fast([p], add_special_tokens=False)[0].ids for p in parts(text)]
-            ids.append(np.concatenate([np.asarray(g, "<u4") for g in got]))
-        return ids
+    def encode_one(text: str) -> np.ndarray:
+        words = text.encode().split()
+        ids = list(map(known.get, words))
+        if None in ids:
+            found = encode_new(list(dict.fromkeys(w for w, x in zip(words, ids) if x is None)))
+            if len(known) + len(found) > KNOWN_WORDS:
+                known.clear()
+            known.update((w, x) for w, x in found.items() if len(w) <= LONG_WORD)
+            ids = [found[w] if x is None else x for w, x in zip(words, ids)]
+        return np.frombuffer(b"".join(ids), "<u4")
 
-    return encode
+    return lambda texts: list(map(encode_one, texts))
 
 
 def pieces(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]], capacity: int = CAPACITY,
@@ -294,7 +316,7 @@ def word_bpe() -> Callable[[list[str]], list[np.ndarray]]:
     """Encoder of the registered query."""
     import public_tokenizers
 
-    return library_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    return word_encoder(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
