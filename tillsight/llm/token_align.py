@@ -21,7 +21,7 @@ added up.  The best count of each B id is a vector as long as B's vocabulary.
 
 Defined results: texts that are null or empty, and texts that a tokenizer does not give
 back byte for byte, have no tokens and no groups; texts of any length are encoded whole,
-in parts cut at single spaces between other characters, where neither tokenizer has a
+in chunks cut at single spaces between other characters, where neither tokenizer has a
 token across; strings of special tokens are plain text; equal rows count each; an empty
 table gives no rows; extra columns are not read.
 """
@@ -29,6 +29,9 @@ table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import os
+import re
+import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,11 +44,15 @@ from tillsight.llm.bpe import byte_symbols
 from tillsight.llm.scan import mix
 from tillsight.llm.staging import prepare, read, stage
 
-PART_CHARS = 1 << 14
+#: A task remembers at most so many chunks, none longer than LONG_CHUNK characters.
+KNOWN_CHUNKS = 500_000
+LONG_CHUNK = 64
+CHUNKS_AT_ONCE = 2000
 SHARD_PAIRS = 1 << 15
 PAIRS_AT_ONCE = 1 << 21
 FAN_IN = 16
-#: A task hands its counted pairs on when it holds this many distinct ones.
+#: A task hands its counted pairs on when it has met so many chunks, or chunks with so many links were new.
+HELD_CHUNKS = 300_000
 HELD_PAIRS = 1 << 20
 #: Places of a level's bit table for each key.
 SPREAD = 2.0
@@ -55,9 +62,9 @@ SPREAD = 2.0
 
 
 class Tokens:
-    """One tokenizer: ids of texts, and the bytes of each id (None: an id that no text gives)."""
+    """One tokenizer: ids of a text, and the bytes of each id (None: an id that no text gives)."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], spelled: list[bytes | None]):
+    def __init__(self, encode: Callable[[str], np.ndarray], spelled: list[bytes | None]):
         self.encode = encode
         self.spelled = [x or b"" for x in spelled]
         self.size = np.array([len(x) for x in self.spelled], np.int64)
@@ -81,9 +88,8 @@ def byte_level(path: str) -> Tokens:
     for token, i in tokenizer.get_vocab(True).items():
         spelled[i] = token.encode() if i in special else bytes(value[c] for c in token)
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        got = tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [np.asarray(g.ids, np.int64) for g in got]
+    def encode(text: str) -> np.ndarray:
+        return np.asarray(tokenizer.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
 
     return Tokens(encode, spelled)
 
@@ -101,86 +107,117 @@ def pieces_of(path: str) -> Tokens:
         else:
             spelled.append(piece.replace("▁", " ").encode())
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(ids, np.int64) for ids in model.encode(texts, num_threads=1)]
-
-    return Tokens(encode, spelled)
+    return Tokens(lambda text: np.asarray(model.encode(text), np.int64), spelled)
 
 
-def parts(text: str, most: int = PART_CHARS) -> list[str]:
-    """The text cut at single spaces between other characters; the space itself starts the next part's tokens.
+class Chunk:
+    """A part of a text between single spaces, aligned: numbers of tokens, links and the groups as text.
 
-    Both tokenizers put a space before what they encode, so the space that is cut away
-    comes back.  Neither has a token in which a space follows another character.
-    """
-    found, at = [], 0
-    while len(text) - at > most:
-        cut = text.find(" ", at + most)
-        while 0 <= cut < len(text) - 1 and (text[cut - 1].isspace() or text[cut + 1].isspace()):
-            cut = text.find(" ", cut + 1)
-        if not 0 <= cut < len(text) - 1:
-            break
-        found.append(text[at:cut])
-        at = cut + 1
-    return [*found, text[at:]]
-
-
-class Aligned:
-    """Ids of a document by both tokenizers, and where they end together.
-
-    ``a``, ``b``: ids; ``last_a``, ``last_b``: index of the last token of each group.
+    ``pairs``: each link as one number; ``best`` and ``total``: filled in by the second pass.
     """
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray):
-        self.a, self.b, self.last_a, self.last_b = a, b, last_a, last_b
-
-    def pairs(self) -> np.ndarray:
-        """Each link as one number."""
-        return (self.a[self.last_a] << 32) | self.b[self.last_b]
-
-
-NOTHING = Aligned(*[np.zeros(0, np.int64)] * 4)
-
-
-def align(texts: list[str | None], first: Tokens, second: Tokens) -> list[Aligned]:
-    """Alignment of each text."""
-    cut = [parts(t) if t else [] for t in texts]
-    flat = [p for ps in cut for p in ps]
-    all_a, all_b = first.encode(flat), second.encode(flat)
-    out, k = [], 0
-    for ps in cut:
-        if not ps:
-            out.append(NOTHING)
-            continue
-        a, b = np.concatenate(all_a[k:k + len(ps)]), np.concatenate(all_b[k:k + len(ps)])
-        whole = (" " + " ".join(ps)).encode()
-        k += len(ps)
-        if first.text(a) != whole or second.text(b) != whole:
-            out.append(NOTHING)
-            continue
-        _, last_a, last_b = np.intersect1d(np.cumsum(first.size[a]), np.cumsum(second.size[b]), assume_unique=True,
-                                           return_indices=True)
-        out.append(Aligned(a, b, last_a, last_b))
-    return out
+    __slots__ = ("n_a", "n_b", "n", "pairs", "groups", "best", "total")
+
+    def __init__(self, n_a: int, n_b: int, pairs: np.ndarray, groups: str):
+        self.n_a, self.n_b, self.n, self.pairs, self.groups = n_a, n_b, len(pairs), pairs, groups
+        self.best = self.total = 0
 
 
-class Spelling:
-    """Writes groups as ``a1,a2|b1;a3|b2,b3`` from ready-made strings of ids."""
+#: Stands for a chunk that a tokenizer does not give back byte for byte.
+LOST = Chunk(0, 0, np.zeros(0, np.int64), "")
 
-    def __init__(self, n_ids: int):
-        self.strings = [f"{i}{sep}" for sep in ",|;" for i in range(n_ids)]
-        self.n = n_ids
 
-    def groups(self, x: Aligned) -> str:
-        if not len(x.a):
-            return ""
-        sep_a, sep_b = np.zeros(len(x.a), np.int64), np.zeros(len(x.b), np.int64)
-        sep_a[x.last_a], sep_b[x.last_b] = 1, 2
-        group_a = np.searchsorted(x.last_a, np.arange(len(x.a)))
-        group_b = np.searchsorted(x.last_b, np.arange(len(x.b)))
+class Aligner:
+    """Aligns texts chunk by chunk.
+
+    Texts are cut at single spaces between other characters.  Both tokenizers put a space
+    before what they encode, so the space that is cut away comes back as the first byte
+    of the next chunk, and neither has a token in which a space follows another
+    character: so both have a token end before it, and a text's alignment is that of its
+    chunks, one after the other.  A chunk is aligned once, until KNOWN_CHUNKS are known
+    and the table starts anew.  ``finish`` is called with new chunks.
+    """
+
+    CAREFUL = re.compile(r"(?<=\S) (?=\S)")
+
+    def __init__(self, first: Tokens, second: Tokens, finish: Callable[[list[Chunk]], None] = lambda chunks: None):
+        self.first, self.second, self.finish = first, second, finish
+        self.known: dict[str, Chunk] = {}
+        self.any_lost = False
+        self.links = 0  # of all chunks aligned so far
+        # strings of ids with what follows them: , within a side, | after A's, ; after B's, end of the chunk
+        n = self.n_ids = max(len(first.spelled), len(second.spelled))
+        self.strings = [f"{i}{sep}" for sep in ",|;\n" for i in range(n)]
+
+    def chunks(self, text: str | None) -> list[Chunk]:
+        """The chunks of a text; none if it is null, empty or not given back byte for byte."""
+        if not text:
+            return []
+        found = text.split(" ")
+        got = list(map(self.known.get, found))
+        if None in got:
+            new = [p for p, c in zip(found, got) if c is None]
+            if "" in new or any(p[0].isspace() or p[-1].isspace() for p in new):
+                found = self.CAREFUL.split(text)
+                new = [p for p in found if p not in self.known]
+            if len(self.known) + len(new) > KNOWN_CHUNKS:
+                self.known.clear()
+                new = found
+            plain, alone = [], []
+            for p in dict.fromkeys(new):
+                (alone if p[0].isspace() or p[-1].isspace() else plain).append(p)
+            for lo in range(0, len(plain), CHUNKS_AT_ONCE):
+                self.align(plain[lo:lo + CHUNKS_AT_ONCE])
+            for p in alone:
+                self.align([p])
+            got = list(map(self.known.__getitem__, found))
+            for p in new:
+                if len(p) > LONG_CHUNK:
+                    del self.known[p]
+        return [] if self.any_lost and LOST in got else got
+
+    def align(self, texts: list[str]) -> None:
+        """Align new chunks, all in one go: joined by spaces they are cut as each of them is."""
+        joined = " ".join(texts)
+        a, b = self.first.encode(joined), self.second.encode(joined)
+        whole = (" " + joined).encode()
+        if self.first.text(a) != whole or self.second.text(b) != whole:
+            if len(texts) == 1:
+                self.known[texts[0]], self.any_lost = LOST, True
+            else:
+                self.align(texts[:len(texts) // 2])
+                self.align(texts[len(texts) // 2:])
+            return
+        at_a, at_b = np.cumsum(self.first.size[a]), np.cumsum(self.second.size[b])
+        _, last_a, last_b = np.intersect1d(at_a, at_b, assume_unique=True, return_indices=True)
+        ends = np.cumsum([len(t.encode()) + 1 for t in texts])
+        end_a, end_b = np.searchsorted(at_a, ends) + 1, np.searchsorted(at_b, ends) + 1
+        after_a, after_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        after_a[last_a], after_b[last_b], after_b[end_b - 1] = 1, 2, 3
+        group_a, group_b = np.searchsorted(last_a, np.arange(len(a))), np.searchsorted(last_b, np.arange(len(b)))
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        codes = np.concatenate([sep_a * self.n + x.a, sep_b * self.n + x.b])[order]
-        return "".join(map(self.strings.__getitem__, codes.tolist()))[:-1]
+        codes = np.concatenate([after_a * self.n_ids + a, after_b * self.n_ids + b])[order]
+        groups = "".join(map(self.strings.__getitem__, codes.tolist())).split("\n")
+        pairs = (a[last_a] << 32) | b[last_b]
+        self.links += len(pairs)
+        made, lo = [], 0
+        for text, n_a, n_b, hi, said in zip(texts, np.diff(end_a, prepend=0).tolist(), np.diff(end_b, prepend=0).tolist(),
+                                            (np.searchsorted(last_a, end_a - 1) + 1).tolist(), groups):
+            made.append(Chunk(n_a, n_b, pairs[lo:hi], said))
+            self.known[text] = made[-1]
+            lo = hi
+        self.finish(made)
+
+
+_kept: dict[str, Aligner] = {}
+
+
+def kept_aligner(run_id: str, make: Callable[[], Aligner]) -> Aligner:
+    """The aligner of one pass; a worker process keeps it for its next tasks of that pass."""
+    if run_id not in _kept:
+        _kept.clear()
+        _kept[run_id] = make()
+    return _kept[run_id]
 
 
 # ---------------------------------------------------------------- minimal perfect hash
@@ -273,36 +310,34 @@ class Shards:
 
 def counted_pairs(docs: DataFrame, load: Callable[[], tuple[Tokens, Tokens]]) -> DataFrame:
     """First pass: (task, pair, n), a task's distinct pairs with their links (a task may list a pair again)."""
+    run_id = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = load()
-        task, held, n_held = TaskContext.get().partitionId(), [], 0
+        task = TaskContext.get().partitionId()
+        seen: Counter[Chunk] = Counter()
+        aligner = kept_aligner(run_id, lambda: Aligner(*load()))
+        mark = aligner.links
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, counts = (np.concatenate(x) for x in zip(*held))
+        def out() -> Iterator[pa.RecordBatch]:
+            keys = np.concatenate([c.pairs for c in seen])
             unique, at = np.unique(keys, return_inverse=True)
-            return unique, np.bincount(at, counts, len(unique)).astype(np.int64)
-
-        def out(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for lo in range(0, len(keys), 100_000):
-                k, n = keys[lo:lo + 100_000], counts[lo:lo + 100_000]
+            times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [c.n for c in seen])
+            counts = np.zeros(len(unique), np.int64)
+            np.add.at(counts, at, times)
+            seen.clear()
+            for lo in range(0, len(unique), 100_000):
+                k, n = unique[lo:lo + 100_000], counts[lo:lo + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), task, np.int32)), pa.array(k), pa.array(n)],
                                                  names=["task", "pair", "n"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                found = [x.pairs() for x in align(batch.column("text").slice(at, 64).to_pylist(), first, second)]
-                keys, counts = np.unique(np.concatenate(found), return_counts=True)
-                held.append((keys, counts))
-                n_held += len(keys)
-                if n_held >= HELD_PAIRS:
-                    keys, counts = merged()
-                    held, n_held = [(keys, counts)], len(keys)
-                    if n_held > HELD_PAIRS // 2:
-                        yield from out(keys, counts)
-                        held, n_held = [], 0
-        if held:
-            yield from out(*merged())
+            for text in batch.column("text"):
+                seen.update(aligner.chunks(text.as_py()))
+                if len(seen) > HELD_CHUNKS or aligner.links - mark > HELD_PAIRS:
+                    yield from out()
+                    mark = aligner.links
+        if seen:
+            yield from out()
 
     return docs.select("text").mapInArrow(run, "task int, pair long, n long")
 
@@ -421,31 +456,40 @@ def _looked_up(frame: DataFrame, load, shared, last: bool, kind: str) -> DataFra
     sums = "n_best long, count_sum long"
     schema = (f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, {sums}, groups string" if last
               else f"doc_id {kind}, text string, {sums}")
+    run_id = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = load()
-        rows, shards, best = shared.value
-        table = Shards(rows, shards)
-        spelling = Spelling(max(len(first.spelled), len(second.spelled))) if last else None
+        def make() -> Aligner:
+            rows, shards, best = shared.value
+            table = Shards(rows, shards)
+
+            def look_up(chunks: list[Chunk]) -> None:
+                keys = np.concatenate([c.pairs for c in chunks])
+                counts = table.counts_of(keys)
+                is_best = (counts > 0) & (counts == best[keys & 0xFFFFFFFF])
+                ends = np.cumsum([c.n for c in chunks])
+                totals, bests = np.r_[0, np.cumsum(counts)], np.r_[0, np.cumsum(is_best)]
+                for c, hi in zip(chunks, ends.tolist()):
+                    lo = hi - c.n
+                    c.total, c.best = int(totals[hi] - totals[lo]), int(bests[hi] - bests[lo])
+
+            return Aligner(*load(), look_up)
+
+        aligner = kept_aligner(run_id, make)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                found = align(part.column("text").to_pylist(), first, second)
-                keys = np.concatenate([x.pairs() for x in found])
-                counts = table.counts_of(keys)
-                is_best = (counts > 0) & (counts == best[keys & 0xFFFFFFFF]) if len(keys) else counts > 0
-                owner = np.repeat(np.arange(len(found)), [len(x.last_a) for x in found])
-                n_best = part.column("n_best").to_numpy() + np.bincount(owner, is_best, len(found)).astype(np.int64)
-                total = np.zeros(len(found), np.int64)
-                np.add.at(total, owner, counts)
-                total += part.column("count_sum").to_numpy()
+                found = [aligner.chunks(t) for t in part.column("text").to_pylist()]
+                n_best = pa.array([n + sum([c.best for c in cs]) for n, cs in zip(part.column("n_best").to_pylist(), found)], pa.int64())
+                total = pa.array([n + sum([c.total for c in cs]) for n, cs in zip(part.column("count_sum").to_pylist(), found)], pa.int64())
                 if last:
-                    columns = [part.column("doc_id"), *([pa.array(x, pa.int64()) for x in (
-                        [len(x.a) for x in found], [len(x.b) for x in found], *[[len(x.last_a) for x in found]] * 2)]),
-                        pa.array(n_best), pa.array(total), pa.array([spelling.groups(x) for x in found], pa.string())]
+                    links = pa.array([sum([c.n for c in cs]) for cs in found], pa.int64())
+                    columns = [part.column("doc_id"), pa.array([sum([c.n_a for c in cs]) for cs in found], pa.int64()),
+                               pa.array([sum([c.n_b for c in cs]) for cs in found], pa.int64()), links, links, n_best, total,
+                               pa.array([";".join([c.groups for c in cs]) for cs in found], pa.string())]
                     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
                 else:
-                    columns = [part.column("doc_id"), part.column("text"), pa.array(n_best), pa.array(total)]
+                    columns = [part.column("doc_id"), part.column("text"), n_best, total]
                     names = ["doc_id", "text", "n_best", "count_sum"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
