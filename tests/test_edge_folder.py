@@ -41,6 +41,9 @@ def edge_dir(tmp_path_factory):
             tab = _set(tab, "o_custkey", pc.if_else(pa.array([k % 11 == 0 for k in range(n)]), pa.scalar(None, pa.int64()), who))
             day = tab["o_orderdate"]
             tab = _set(tab, "o_orderdate", pc.if_else(pa.array([k % 13 == 0 for k in range(n)]), pa.scalar(None, day.type), day))
+        if t == "events":
+            who = tab["user_id"]
+            tab = _set(tab, "user_id", pc.if_else(pa.array([k % 3 == 0 for k in range(len(tab))]), pa.scalar(None, who.type), who))
         pq.write_table(tab, f"{d}/{t}.parquet")
     return str(d)
 

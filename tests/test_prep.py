@@ -77,7 +77,7 @@ def _tables(spark, sample):
 def test_dq_checks_find_planted_faults(spark, sample):
     tables = _tables(spark, sample)
     clean = {(r.rule, r.table_name, r.column_name): r.violations for r in quality.dq_checks(tables).collect()}
-    assert len(clean) == 7 + 45 + 22 + 9 + 1 + 1
+    assert len(clean) == 7 + 45 + 22 + 9 + 1 + 1 + 8 + 1
     bad = spark.createDataFrame(
         [(1, "ORD-001", 77, 1, "lost", None, None, None), (None, "X" * 21, 1, 99, "completed", 1, None, None)],
         "order_key long, order_id string, customer_key long, channel_key int, "

@@ -47,17 +47,17 @@ def funnel_sessions(events: DataFrame, steps: Sequence[str] = STEPS) -> DataFram
     The reach times of all steps are windows over the same partitioning by
     session (the earliest event of the step at or after the time of the step
     before), so events are scanned and shuffled once, and the sessions are
-    counted from the same partitioning.  A session is one user's day.
+    counted from the same partitioning.  Events without session are left out before
+    any window, so they never meet in one task.
     """
     per_session = Window.partitionBy("session_id")
-    e = events.filter(F.col("event_type").isin(*steps)).select("session_id", "event_type", "event_ts")
+    e = events.filter(F.col("session_id").isNotNull() & F.col("event_type").isin(*steps)).select("session_id", "event_type", "event_ts")
     for i, step in enumerate(steps, start=1):
         counts = F.col("event_type") == step
         if i > 1:
             counts = counts & (F.col("event_ts") >= F.col(f"_t{i - 1}"))
         e = e.withColumn(f"_t{i}", F.min(F.when(counts, F.col("event_ts"))).over(per_session))
     reached = e.groupBy("session_id").agg(*[F.max(f"_t{i}").alias(f"_t{i}") for i in range(1, len(steps) + 1)])
-    reached = reached.filter(F.col("session_id").isNotNull())
     rows = F.array(*[F.struct(F.lit(i).alias("step_order"), F.col(f"_t{i}").alias("n")) for i in range(1, len(steps) + 1)])
     out = (reached.agg(*[F.count(f"_t{i}").alias(f"_t{i}") for i in range(1, len(steps) + 1)])
            .select(F.explode(rows).alias("r")).select("r.step_order", F.col("r.n").alias("sessions")))

@@ -47,9 +47,9 @@ def assign_surrogate_keys(ids: DataFrame, natural_key: str, key_col: str,
 
     Ids already in ``existing`` (columns natural_key, key_col) keep their
     key; new ids get max(existing key) + their position in natural-key
-    order, numbered without a single-partition sort.
+    order, numbered without a single-partition sort.  A NULL id gets no key.
     """
-    new_ids = ids.select(natural_key).distinct()
+    new_ids = ids.select(natural_key).filter(F.col(natural_key).isNotNull()).distinct()
     start = 0
     if existing is not None:
         new_ids = new_ids.join(existing.select(natural_key), natural_key, "left_anti")

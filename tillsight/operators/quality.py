@@ -1,10 +1,9 @@
 """Data-quality checks: C4 constraint checks, C8 order arithmetic checks.
 
 Each check returns one row per rule: (rule, table_name, column_name,
-checked_rows, violations).  The rules come from the declared schemas.  Per
-table, key, NOT NULL and length rules are one pass grouped by the primary key;
-the references of all tables are one join of their distinct keys (counted
-map-side) with the parents' keys.
+checked_rows, violations).  The rules come from the declared schemas.  C4 counts
+the keys and references of all tables in one shuffle, and rules on rows in one global
+aggregate for each table.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight import constants as C
@@ -34,71 +33,69 @@ def _rows_from_agg(agg: DataFrame, specs: Sequence[tuple[str, str, str, str]]) -
     return agg.select(F.explode(rules).alias("_r")).select("_r.*")
 
 
-def table_rules(df: DataFrame, table: str, key: Sequence[str] | str | None = None,
-                not_null: Sequence[str] = (), max_length: dict[str, int] | None = None,
-                allowed: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """Primary-key (unique, not NULL), NOT NULL, VARCHAR(n) length and value-domain
-    rules of one table in a single scan.
+def row_rules(df: DataFrame, table: str, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Rows that break each of the rules (rule, column, condition): one global aggregate, no shuffle of rows."""
+    agg = df.agg(F.count(F.lit(1)).alias("_checked"), *[F.count_if(bad).alias(f"_r{i}") for i, (_, _, bad) in enumerate(rules)])
+    return _rows_from_agg(agg, [(rule, table, column, f"_r{i}") for i, (rule, column, _) in enumerate(rules)])
 
-    With a key, rows are first grouped by it (partial aggregation map-side, so
-    a heavily duplicated key collapses before the shuffle) carrying the rule
-    counts, then summed globally; without a key it is one global aggregate.
-    """
-    conds, specs = [], []
-    for i, c in enumerate(not_null):
-        conds.append((f"_nn{i}", F.col(c).isNull()))
-        specs.append(("not_null", table, c, f"_nn{i}"))
-    for i, (c, n) in enumerate((max_length or {}).items()):
-        conds.append((f"_len{i}", F.length(F.col(c).cast("string")) > n))
-        specs.append((f"max_length_{n}", table, c, f"_len{i}"))
-    for i, (c, values) in enumerate((allowed or {}).items()):
-        conds.append((f"_dom{i}", F.col(c).isNotNull() & ~F.col(c).isin(*values)))
-        specs.append(("allowed_values", table, c, f"_dom{i}"))
-    counts = [F.count_if(cond).alias(name) for name, cond in conds]
-    if key is None:
-        agg = df.agg(F.count(F.lit(1)).alias("_checked"), *counts)
-    else:
-        keys = [key] if isinstance(key, str) else list(key)
-        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *counts)
-        absent = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        agg = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_checked"),
-                    F.coalesce(F.sum(F.when((F.col("_n") > 1) | absent, F.col("_n"))), F.lit(0)).alias("_dup"),
-                    *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name, _ in conds])
-        specs = [("unique", table, ",".join(keys), "_dup")] + specs
-    return _rows_from_agg(agg, specs)
-
-
-def reference_rules(tables: dict[str, DataFrame], references: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Non-null foreign keys without a parent row; references = (child, column, parent, key).
-
-    Each child table is read once: its keys are counted per (column, key)
-    map-side, so a hot key is one row per task, and joined to the parents' keys.
+
+def key_rules(tables: dict[str, DataFrame], keys: dict[str, str], references: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Unique keys, and foreign keys without a parent row; references = (child, column, parent, parent's key).
+
+    Every row gives one entry for each of its key columns: (domain, key, slot), where a
+    domain is a parent's key column, slot 0 its own rows and the other slots the columns
+    that refer to it.  Entries are counted by (domain, key), combined before the shuffle, so
+    a hot key is one row for each task; there a key with two rows, or without one, is seen
+    without a join.  Each table is read once, for its key columns only.
     """
-    children, parents = [], {}
-    for child in dict.fromkeys(r[0] for r in references):
-        keys = [F.struct(F.lit(child).alias("table_name"), F.lit(column).alias("column_name"),
-                         F.lit(f"references_{key}").alias("rule"), F.lit(f"{parent}.{key}").alias("_parent"),
-                         F.col(column).cast("string").alias("_key"))
-                for c, column, parent, key in references if c == child]
-        columns = [r[1] for r in references if r[0] == child]
-        children.append(tables[child].select(*columns).select(F.explode(F.array(*keys)).alias("_k")).select("_k.*"))
-    for _, _, parent, key in references:
-        parents.setdefault(f"{parent}.{key}", tables[parent].select(
-            F.lit(f"{parent}.{key}").alias("_parent"), F.col(key).cast("string").alias("_key")))
-    counted = functools.reduce(DataFrame.unionByName, children).groupBy(
-        "rule", "table_name", "column_name", "_parent", "_key").agg(F.count(F.lit(1)).alias("_n"))
-    known = functools.reduce(DataFrame.unionByName, parents.values()).distinct().withColumn("_hit", F.lit(True))
-    j = counted.join(known, ["_parent", "_key"], "left")
-    orphan = F.col("_key").isNotNull() & F.col("_hit").isNull()
-    found = j.groupBy("rule", "table_name", "column_name").agg(
-        F.sum("_n").alias("checked_rows"), F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("violations"))
-    # an empty child table has no keys: its rules are listed with 0 rows
-    rules = F.array(*[F.struct(F.lit(f"references_{key}").alias("rule"), F.lit(child).alias("table_name"),
-                               F.lit(column).alias("column_name")) for child, column, _, key in references])
-    every = j.sparkSession.range(1).select(F.explode(rules).alias("_r")).select("_r.*")
-    return every.join(found, ["rule", "table_name", "column_name"], "left").select(
-        "rule", "table_name", "column_name", F.coalesce("checked_rows", F.lit(0)).alias("checked_rows"),
-        F.coalesce("violations", F.lit(0)).alias("violations"))
+    domains = {(table, key): None for table, key in keys.items()} | {(parent, key): None for _, _, parent, key in references}
+    number = {d: i for i, d in enumerate(domains)}
+    used: dict[int, int] = {}
+    rules, entries = [], {table: [] for table in tables}
+    for table, key in domains:
+        entries[table].append((number[table, key], key, 0))
+    for table, key in keys.items():
+        rules.append(("unique", table, key, False, number[table, key], 0))
+    for child, column, parent, key in references:
+        at = number[parent, key]
+        used[at] = used.get(at, 0) + 1
+        entries[child].append((at, column, used[at]))
+        rules.append((f"references_{key}", child, column, True, at, used[at]))
+    whole = all(tables[t].schema[c].dataType.typeName() in ("byte", "short", "integer", "long") for t, es in entries.items() for _, c, _ in es)
+    kind = "long" if whole else "string"
+    parts = [tables[t].select(*dict.fromkeys(c for _, c, _ in es)).select(
+        F.stack(F.lit(len(es)), *[x for d, c, k in es for x in (F.lit(d), F.col(c).cast(kind), F.lit(k))]).alias("domain", "key", "slot"))
+        for t, es in entries.items() if es]
+    slots = range(max([0, *used.values()]) + 1)
+    counted = functools.reduce(DataFrame.unionByName, parts).groupBy("domain", "key").agg(
+        *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in slots])
+    absent = F.col("key").isNull()
+    found = counted.groupBy("domain").agg(
+        F.sum(F.when(absent | (F.col("n0") > 1), F.col("n0")).otherwise(0)).alias("doubled"),
+        *[F.sum(f"n{k}").alias(f"rows{k}") for k in slots],
+        *[F.sum(F.when(~absent & (F.col("n0") == 0), F.col(f"n{k}")).otherwise(0)).alias(f"orphans{k}") for k in slots])
+    # one row for each domain: all of them as one map, beside the fixed list of rules
+    totals = found.agg(F.map_from_entries(F.collect_list(F.struct("domain", F.struct(*found.columns[1:])))).alias("m"))
+    listed = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(r, ("rule", "table_name", "column_name", "refers", "at", "slot"))])
+                       for r in rules])
+    at = F.col("m")[F.col("r.at")]
+
+    def of_slot(name: str) -> Column:
+        return F.element_at(F.array(*[at[f"{name}{k}"] for k in slots]), F.col("r.slot") + 1)
+
+    bad = F.when(F.col("r.refers"), of_slot("orphans")).otherwise(at["doubled"])
+    return totals.select("m", F.explode(listed).alias("r")).select(
+        "r.rule", "r.table_name", "r.column_name", F.coalesce(of_slot("rows"), F.lit(0)).cast("long").alias("checked_rows"),
+        F.coalesce(bad, F.lit(0)).cast("long").alias("violations"))
+
+
+def overlapping_versions(versions: DataFrame, table: str, natural_key: str, surrogate_key: str) -> DataFrame:
+    """Versions that begin before an earlier one of the same natural key has ended (windows hold one key's versions)."""
+    before = Window.partitionBy(natural_key).orderBy("effective_date", surrogate_key).rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.max(F.coalesce("expiry_date", F.lit("9999-12-31").cast("date"))).over(before)
+    meets = F.coalesce((ends > F.col("effective_date")) & F.col(natural_key).isNotNull(), F.lit(False))
+    agg = versions.select(meets.alias("_meets")).agg(F.count(F.lit(1)).alias("_checked"), F.count_if("_meets").alias("_bad"))
+    return _rows_from_agg(agg, [("versions_do_not_overlap", table, natural_key, "_bad")])
 
 
 def star_tables(star) -> dict[str, DataFrame]:
@@ -107,18 +104,24 @@ def star_tables(star) -> dict[str, DataFrame]:
 
 
 def dq_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """C4: all declared keys, NOT NULLs, lengths and references as checks, the order
-    statuses, and the items' link to orders by order_id (which is not declared)."""
-    parts = []
+    """C4: all declared keys, NOT NULLs, lengths, defaults and references as checks, the order statuses, the
+    items' link to orders by order_id (which is not declared), and that a customer's versions do not overlap.
+
+    Rules on rows are one global aggregate for each table; all keys and references are
+    counted in one shuffle.  A column with a declared DEFAULT that is NULL was not filled.
+    """
+    references = [(child, column, parent, warehouse.PRIMARY_KEYS[parent]) for child, column, parent in warehouse.REFERENCES]
+    references.append(("fact_order_items", "order_id", "fact_orders", "order_id"))
+    parts = [key_rules(tables, warehouse.PRIMARY_KEYS, references)]
     for table, schema in warehouse.SCHEMAS.items():
         key = warehouse.PRIMARY_KEYS[table]
-        parts.append(table_rules(
-            tables[table], table, key=key,
-            not_null=[f.name for f in schema.fields if not f.nullable and f.name != key],
-            max_length=warehouse.LENGTHS[table],
-            allowed={"order_status": list(C.ORDER_STATUSES)} if table == "fact_orders" else None))
-    references = [(child, column, parent, warehouse.PRIMARY_KEYS[parent]) for child, column, parent in warehouse.REFERENCES]
-    parts.append(reference_rules(tables, [*references, ("fact_order_items", "order_id", "fact_orders", "order_id")]))
+        rules = [("not_null", f.name, F.col(f.name).isNull()) for f in schema.fields if not f.nullable and f.name != key]
+        rules += [(f"max_length_{n}", c, F.length(F.col(c).cast("string")) > n) for c, n in warehouse.LENGTHS[table].items()]
+        rules += [("default_filled", c, F.col(c).isNull()) for c in C.COLUMN_DEFAULTS.get(table, {})]
+        if table == "fact_orders":
+            rules.append(("allowed_values", "order_status", F.col("order_status").isNotNull() & ~F.col("order_status").isin(*C.ORDER_STATUSES)))
+        parts.append(row_rules(tables[table], table, rules))
+    parts.append(overlapping_versions(tables["dim_customer"], "dim_customer", "customer_id", "customer_key"))
     return functools.reduce(DataFrame.unionByName, [p.select(*RESULT_COLS) for p in parts])
 
 

@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.operators import (affinity, customers, dashboard, funnel, prep, quality,
-                                 retention, revenue, rolling, segments)
-from tillsight.sources.model import (TESTDATA_AS_OF, TESTDATA_SCD_EFFECTIVE, Star,
+                                 retention, revenue, rolling, segments, timelines)
+from tillsight.sources.model import (TESTDATA_AS_OF, TESTDATA_SCD_EFFECTIVE, Star, channel_changes,
                                      first_order_channel_snapshot)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,41 @@ def c8_order_arithmetic_check(s):
     return quality.order_arithmetic_check(quality.star_tables(s)["fact_orders"], s.items)
 
 
+def _channel_history(s):
+    return timelines.history_from_changes(channel_changes(s.customers, s.orders_base), "customer_key",
+                                          ["acquisition_channel"], "changed_on", "sequence")
+
+
+@register
+def t1_channel_at_order_time(s):
+    return timelines.revenue_by_value_at_order(s.orders_base, _channel_history(s), "customer_key", "acquisition_channel")
+
+
+@register
+def t2_orders_after_first(s):
+    return timelines.orders_after_first(s.orders_base)
+
+
+@register
+def t3_channel_history(s):
+    return _channel_history(s)
+
+
+@register
+def t4_running_revenue(s):
+    return timelines.running_revenue(s.orders_base)
+
+
+@register
+def t5_revenue_last_days(s):
+    return timelines.revenue_last_days(s.orders_base)
+
+
+@register
+def t6_session_funnel(s):
+    return timelines.session_funnel(s.events)
+
+
 def _over_generated(name: str) -> Query:
     def job(spark: SparkSession, sf_dir: str) -> DataFrame:
         return run_on(Star(spark, sf_dir), name)

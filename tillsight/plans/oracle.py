@@ -336,7 +336,7 @@ t_dim_date AS (SELECT strftime(day, '%Y%m%d')::INTEGER AS date_key, day AS full_
   strftime(day, '%A') AS day_name, TRUE AS is_weekend, TRUE AS is_holiday FROM calendar),
 t_dim_customer AS (SELECT who AS customer_key, cid AS customer_id, first_name, country AS last_name,
   lower(replace(first_name, '#', '.')) || '@example.com' AS email, country, country AS city, ages AS age_band,
-  segment AS acquisition_channel, DATE '1992-01-01' AS effective_date, TRUE AS is_current FROM person),
+  segment AS acquisition_channel, DATE '1992-01-01' AS effective_date, NULL::DATE AS expiry_date, TRUE AS is_current FROM person),
 t_dim_product AS (SELECT pkey AS product_key, """ + _id("P", "pkey") + """ AS product_id, title AS product_name, kind AS category,
   p_type || ' ' || p_size::VARCHAR AS subcategory, brand, cost AS cost_price, cost AS list_price, TRUE AS is_active
   FROM good JOIN part ON p_partkey = pkey),
@@ -345,9 +345,9 @@ t_dim_channel AS (SELECT DISTINCT o_orderpriority[1:1]::INTEGER AS channel_key,
 lines_of AS (SELECT okey, count(*) AS n FROM line GROUP BY okey),
 t_fact_orders AS (SELECT okey AS order_key, okey AS order_id, strftime(day, '%Y%m%d')::INTEGER AS date_key, who AS customer_key,
   priority[1:1]::INTEGER AS channel_key, status AS order_status, coalesce(n, 0) AS item_count, money AS gross_revenue,
-  money AS net_revenue, opens AS is_first_order, n AS lines FROM flagged LEFT JOIN lines_of USING (okey)),
+  money AS net_revenue, 0 AS discount_amount, 0 AS shipping_cost, opens AS is_first_order, n AS lines FROM flagged LEFT JOIN lines_of USING (okey)),
 t_fact_order_items AS (SELECT row_number() OVER () AS item_key, c.okey AS order_id, date_key, customer_key, pkey AS product_key,
-  qty AS quantity, rev AS unit_price, rev AS line_revenue, cost AS line_cost, gain AS line_margin
+  qty AS quantity, rev AS unit_price, off AS discount_pct, rev AS line_revenue, cost AS line_cost, gain AS line_margin
   FROM costed c LEFT JOIN t_fact_orders o ON o.order_key = c.okey),
 t_fact_events AS (SELECT ekey AS event_key, strftime(day, '%Y%m%d')::INTEGER AS date_key, who AS customer_key, sid AS session_id,
   step AS event_type, day AS event_date, NULL::INTEGER AS channel_key FROM visit)
@@ -371,6 +371,10 @@ _DECLARED = {
                     "date_key=dim_date customer_key=dim_customer channel_key=dim_channel"),
 }
 
+#: Columns with a declared DEFAULT.
+_DEFAULTED = {"dim_date": "is_weekend is_holiday", "dim_customer": "is_current", "dim_product": "is_active",
+              "fact_orders": "discount_amount shipping_cost is_first_order", "fact_order_items": "discount_pct"}
+
 
 def _rule(rule: str, table: str, column: str, violations: str) -> str:
     return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{column}' AS column_name, "
@@ -390,6 +394,13 @@ def _declared_rules() -> list[str]:
             out.append(_rule(f"references_{pk}", table, c, f"SELECT count(*) FROM t_{table} WHERE {c} NOT IN (SELECT {pk} FROM t_{parent})"))
     out.append(_rule("references_order_id", "fact_order_items", "order_id",
                      "SELECT count(*) FROM t_fact_order_items WHERE order_id NOT IN (SELECT order_id FROM t_fact_orders)"))
+    for table, columns in _DEFAULTED.items():
+        out += [_rule("default_filled", table, c, f"SELECT count(*) - count({c}) FROM t_{table}") for c in columns.split()]
+    # a version that another of the same customer meets: it begins before the other ends and the other before it ends
+    out.append(_rule("versions_do_not_overlap", "dim_customer", "customer_id", """
+      SELECT count(*) FROM t_dim_customer a WHERE EXISTS (SELECT 1 FROM t_dim_customer b
+        WHERE b.customer_id = a.customer_id AND (b.effective_date, b.customer_key) < (a.effective_date, a.customer_key)
+          AND coalesce(b.expiry_date, DATE '9999-12-31') > a.effective_date)"""))
     out.append(_rule("allowed_values", "fact_orders", "order_status",
                      "SELECT count(*) FROM t_fact_orders WHERE order_status NOT IN ('completed', 'refunded', 'cancelled')"))
     return out
@@ -438,3 +449,74 @@ ORACLE["c8_order_arithmetic_check"] = _q(_TABLES + "\nUNION ALL\n".join([
     _rule("margin_equals_revenue_minus_cost", "fact_order_items", "line_margin",
           "SELECT count(*) FROM t_fact_order_items WHERE line_margin <> line_revenue - line_cost"),
 ]))
+
+# A customer's channel changes; all up to a day as a list, the latest first.
+_FEED = """
+feed AS (
+  SELECT who, DATE '1992-01-01' AS day, -1 AS seq, segment AS channel FROM person
+  UNION ALL
+  SELECT who, day, okey, 'channel-' || priority[1:1] FROM sale WHERE status = 'refunded' AND who IS NOT NULL AND day IS NOT NULL)
+"""
+ORACLE["t1_channel_at_order_time"] = _q(_FEED + f""",
+own AS (SELECT okey, any_value(d.money) AS money, any_value(d.day) AS day, list(f.channel ORDER BY f.day DESC, f.seq DESC)[1] AS channel
+        FROM done d LEFT JOIN feed f ON f.who = d.who AND f.day <= d.day GROUP BY okey)
+SELECT channel AS acquisition_channel, count(*) AS orders, sum(money)::DOUBLE AS revenue,
+       {hu('sum(money)', 'count(money)', 2, 2, 0)} AS avg_order_value, min(day) AS first_order_date, max(day) AS last_order_date
+FROM own GROUP BY channel
+""")
+
+ORACLE["t2_orders_after_first"] = _q("""
+g AS (SELECT who, min(day) AS f FROM done WHERE who IS NOT NULL GROUP BY who),
+w AS (SELECT unnest([30, 60, 90]) AS n)
+SELECT n::BIGINT AS window_days, count(DISTINCT g.who) AS total_customers, count(DISTINCT o.who) AS returning_customers,
+       count(o.okey) AS orders, coalesce(sum(o.money), 0)::DOUBLE AS revenue
+FROM w CROSS JOIN g LEFT JOIN done o ON o.who = g.who AND o.day > f AND o.day <= f + n::INTEGER GROUP BY n
+""")
+
+ORACLE["t3_channel_history"] = _q(_FEED + """,
+one AS (SELECT who, day, list(channel ORDER BY seq DESC)[1] AS channel FROM feed GROUP BY who, day),
+l AS (SELECT who, list(day ORDER BY day) AS ds, list(channel ORDER BY day) AS cs FROM one GROUP BY who),
+k AS (SELECT who, ds, cs, list_filter(range(1, len(ds) + 1), lambda i: i = 1 OR cs[i] IS DISTINCT FROM cs[i - 1]) AS heads FROM l),
+v AS (SELECT who, ds, cs, heads, unnest(range(1, len(heads) + 1)) AS n FROM k)
+SELECT who AS customer_key, n AS version, cs[heads[n]] AS acquisition_channel, ds[heads[n]] AS effective_date,
+       ds[heads[n + 1]] AS expiry_date, n = len(heads) AS is_current
+FROM v
+""")
+
+ORACLE["t4_running_revenue"] = _q("""
+SELECT okey AS order_key, who AS customer_key, day AS order_date, money::DOUBLE AS net_revenue,
+       sum(money) OVER (PARTITION BY who ORDER BY day, okey ROWS UNBOUNDED PRECEDING)::DOUBLE AS customer_revenue,
+       row_number() OVER (PARTITION BY who ORDER BY day, okey) AS customer_orders,
+       sum(money) OVER (ORDER BY day, okey ROWS UNBOUNDED PRECEDING)::DOUBLE AS total_revenue
+FROM done
+""")
+
+# T5: windows are joins of days.
+ORACLE["t5_revenue_last_days"] = _q(f"""
+d AS (SELECT priority[1:1]::INTEGER AS ch, day, sum(money) AS rev, count(*) AS n FROM done GROUP BY ALL),
+w AS (SELECT a.ch, a.day, any_value(a.rev) AS rev, sum(b.rev) AS s, sum(b.n) AS n, count(*) AS days
+      FROM d a JOIN d b ON a.ch = b.ch AND b.day BETWEEN a.day - 6 AND a.day GROUP BY a.ch, a.day)
+SELECT ch AS channel_key, day AS order_date, rev::DOUBLE AS revenue, s::DOUBLE AS revenue_last_days, n::BIGINT AS orders_last_days,
+       days AS days_with_orders, {hu('s', 'days', 2, 2, 0)} AS avg_daily_revenue
+FROM w
+""")
+
+# A session opens at an event without another of the user in the 720 minutes before it.
+ORACLE["t6_session_funnel"] = _q(_STEPS + """,
+seen AS (SELECT * FROM visit WHERE who IS NOT NULL AND ts IS NOT NULL),
+heads AS (SELECT a.who, a.ts FROM seen a WHERE NOT EXISTS (
+  SELECT 1 FROM seen b WHERE b.who = a.who AND b.ts < a.ts AND b.ts >= a.ts - INTERVAL 720 MINUTE) GROUP BY ALL),
+walk AS (SELECT e.step, e.ts, e.who, max(h.ts) AS head FROM seen e JOIN heads h ON h.who = e.who AND h.ts <= e.ts GROUP BY e.ekey, e.step, e.ts, e.who),
+s AS (SELECT who, head, list(ts ORDER BY ts) FILTER (step = 'pageview') AS a, list(ts ORDER BY ts) FILTER (step = 'add_to_cart') AS b,
+             list(ts ORDER BY ts) FILTER (step = 'checkout') AS c, list(ts ORDER BY ts) FILTER (step = 'purchase') AS d
+      FROM walk GROUP BY who, head),
+s1 AS (SELECT *, a[1] AS ta FROM s),
+s2 AS (SELECT *, list_filter(b, lambda x: x >= ta)[1] AS tb FROM s1),
+s3 AS (SELECT *, list_filter(c, lambda x: x >= tb)[1] AS tc FROM s2),
+s4 AS (SELECT *, list_filter(d, lambda x: x >= tc)[1] AS td FROM s3),
+n AS (SELECT [count(ta), count(tb), count(tc), count(td)] AS n FROM s4)
+SELECT pos::BIGINT AS step_order, step AS event_type, n[pos] AS sessions_reached, """
+                               + pct("n[pos]", "CASE WHEN pos > 1 THEN n[pos - 1] END", 1, 0, 0) + " AS pct_of_previous, "
+                               + pct("n[pos]", "n[1]", 1, 0, 0) + """ AS pct_of_first
+FROM steps, n
+""")

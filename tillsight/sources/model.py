@@ -235,7 +235,8 @@ def events_from_raw(e: DataFrame) -> DataFrame:
         F.col("event_id").alias("event_key"),
         cal.date_key(d).alias("date_key"),
         F.col("user_id").alias("customer_key"),
-        F.concat_ws("-", F.col("user_id").cast("string"), F.date_format(d, "yyyyMMdd")).alias("session_id"),
+        # an event without user or time has no session (NULL), whatever reads it
+        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format(d, "yyyyMMdd")).alias("session_id"),
         F.coalesce(_map_values(F.col("event_type"), EVENT_MAP), F.col("event_type")).alias("event_type"),
         d.alias("event_date"),
         F.col("ts").alias("event_ts"),
@@ -314,3 +315,14 @@ def attach_order_date(orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Star join of stored orders with the date dimension (inner, as the
     reference joins): adds ``order_date``.  Spark broadcasts the calendar if it is small."""
     return orders.join(dim_date.select("date_key", F.col("full_date").alias("order_date")), "date_key")
+
+
+def channel_changes(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """A change feed for histories: each customer's channel when they became one, and for every
+    refunded order the order's channel from its date (the order key is the order of arrival)."""
+    first = customers.select("customer_key", "acquisition_channel", F.col("effective_date").alias("changed_on"),
+                             F.lit(-1).cast("long").alias("sequence"))
+    moved = orders.filter(F.col("order_status") == C.STATUS_REFUNDED).select(
+        "customer_key", F.concat(F.lit("channel-"), F.col("channel_key").cast("string")).alias("acquisition_channel"),
+        F.col("order_date").alias("changed_on"), F.col("order_key").alias("sequence"))
+    return first.unionByName(moved)
