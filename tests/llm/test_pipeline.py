@@ -91,6 +91,20 @@ def test_stages_take_odd_rows_and_empty_tables(spark, name, step):
     assert empty.columns == out.columns and empty.count() == 0
 
 
+def test_near_duplicates_go_by_text_not_by_id(spark):
+    """Ids on several texts, equal rows, and a third of the ids null: every class keeps one row, no text is lost."""
+    def text(k, n=60):
+        return " ".join(f"w{k}x{i}" for i in range(n))
+
+    near = text(1) + " and one more"
+    rows = [(1, text(1)), (1, text(1)), (3, text(3)), (3, text(1)), (1, text(9)), (2, near), (2, text(4)),
+            (None, text(5)), (None, text(5)), (None, text(1)), (None, text(6)), (7, text(6)), (8, text(8)), (9, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in p.near_duplicates(spark, docs.repartition(4), SF).collect()), key=repr)
+    want = [(1, text(1)), (1, text(9)), (2, text(4)), (3, text(3)), (None, text(5)), (7, text(6)), (8, text(8)), (9, ""), (None, None)]
+    assert got == sorted(want, key=repr)
+
+
 def test_clean_documents_pass_the_filters(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
