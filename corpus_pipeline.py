@@ -5,7 +5,7 @@ All but the last return the columns of ``documents``:
 
 1. ``quality_rules`` drops the documents that the rules reject;
 2. ``near_duplicates`` keeps one document of each group, that with the smallest doc_id
-   (rows without doc_id are alone);
+   (rows without doc_id come last; texts without a word are alone);
 3. ``repeated_passages`` removes repeated 100-byte strings from the texts; bytes of a
    character that was cut through go too, and n_chars is counted anew;
 4. ``source_mix`` repeats or drops documents so that sources meet their target weights;
@@ -35,11 +35,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates.
+
+    Texts are compared, not ids: each distinct text has a number of its own (a 64-bit
+    hash) whatever doc_ids it stands under, and of each class one row stays, that with the
+    smallest doc_id (none last), then the smallest digest of the row.
+    """
     staging.prepare(spark)
     docs = docs.select(COLUMNS)
-    judged = minhash.near_duplicates(docs.select("doc_id", "text")).drop("text")
-    return staging.join_small(docs, judged.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    row = [F.xxhash64("text").alias("__text"), F.md5(F.to_json(F.struct(*COLUMNS))).alias("__digest")]
+    worded = F.coalesce(F.regexp_like("text", F.lit(mixing.WORD)), F.lit(False))
+    judged = minhash.near_duplicates(docs.filter(worded).select("doc_id", "text", *row).withColumnsRenamed(
+        {"doc_id": "__id", "__text": "doc_id"})).select(F.col("doc_id").alias("__text"), "class_id", "__id", "__digest")
+    judged = staging.stage(judged, "pipeline-judged")
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__digest").alias("digest")))
+    groups = staging.stage(judged.groupBy("class_id").agg(F.count("*").alias("n"), first.alias("__first")).filter("n > 1")
+                           .select("class_id", "__first"), "pipeline-groups")
+    texts = judged.select("__text", "class_id").distinct().join(groups, "class_id").withColumn("__worded", F.lit(True))
+    marked = staging.join_small(docs.select("*", *row, worded.alias("__worded")), texts, ["__text", "__worded"], "left")
+    alone = marked.filter("class_id is null").select(COLUMNS)
+    best = marked.filter((F.col("__digest") == F.col("__first.digest")) & F.col("doc_id").eqNullSafe(F.col("__first.id")))
+    return alone.unionByName(best.dropDuplicates(["class_id"]).select(COLUMNS))  # those left of a class are equal rows
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
