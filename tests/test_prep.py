@@ -78,6 +78,8 @@ def test_dq_checks_find_planted_faults(spark, sample):
     tables = _tables(spark, sample)
     clean = {(r.rule, r.table_name, r.column_name): r.violations for r in quality.dq_checks(tables).collect()}
     assert len(clean) == 7 + 45 + 22 + 9 + 1 + 1 + 8 + 1
+    # the sample's customer C001 has two versions that begin on one day
+    assert clean[("versions_do_not_overlap", "dim_customer", "customer_id")] == 1
     bad = spark.createDataFrame(
         [(1, "ORD-001", 77, 1, "lost", None, None, None), (None, "X" * 21, 1, 99, "completed", 1, None, None)],
         "order_key long, order_id string, customer_key long, channel_key int, "
@@ -89,6 +91,8 @@ def test_dq_checks_find_planted_faults(spark, sample):
     assert wrong == {("unique", "fact_orders", "order_key"): 3, ("not_null", "fact_orders", "item_count"): 1,
                      ("not_null", "fact_orders", "net_revenue"): 2, ("not_null", "fact_orders", "gross_revenue"): 2,
                      ("not_null", "fact_orders", "is_first_order"): 2, ("max_length_20", "fact_orders", "order_id"): 1,
+                     ("default_filled", "fact_orders", "discount_amount"): 2, ("default_filled", "fact_orders", "shipping_cost"): 2,
+                     ("default_filled", "fact_orders", "is_first_order"): 2,
                      ("allowed_values", "fact_orders", "order_status"): 1,
                      ("references_customer_key", "fact_orders", "customer_key"): 1,
                      ("references_channel_key", "fact_orders", "channel_key"): 1}
