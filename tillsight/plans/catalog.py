@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.operators import (affinity, customers, dashboard, funnel, prep, quality,
-                                 retention, revenue, rolling, segments, timelines)
+                                 retention, revenue, rolling, rollups, segments, timelines)
 from tillsight.sources.model import (TESTDATA_AS_OF, TESTDATA_SCD_EFFECTIVE, Star, channel_changes,
                                      first_order_channel_snapshot)
 
@@ -192,6 +192,21 @@ def t6_session_funnel(s):
     return timelines.session_funnel(s.events)
 
 
+@register
+def t7_distinct_rollup(s):
+    return rollups.distinct_rollup(rollups.distinct_by_day(s.orders_base, s.items, s.products))
+
+
+@register
+def t8_top_product_pairs(s):
+    return rollups.top_product_pairs(s.items)
+
+
+@register
+def t9_order_value_quartiles(s):
+    return rollups.order_value_quartiles(s.items, s.products)
+
+
 def _over_generated(name: str) -> Query:
     def job(spark: SparkSession, sf_dir: str) -> DataFrame:
         return run_on(Star(spark, sf_dir), name)

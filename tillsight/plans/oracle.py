@@ -520,3 +520,38 @@ SELECT pos::BIGINT AS step_order, step AS event_type, n[pos] AS sessions_reached
                                + pct("n[pos]", "n[1]", 1, 0, 0) + """ AS pct_of_first
 FROM steps, n
 """)
+
+# Distinct counts straight from the lines, level by level.
+ORACLE["t7_distinct_rollup"] = _q("""
+b AS (SELECT d.day, date_trunc('month', d.day)::DATE AS month, kind, d.okey, d.who FROM line JOIN good USING (pkey) JOIN done d USING (okey))
+SELECT 'day and category' AS level, day AS period, kind AS category, count(DISTINCT okey) AS orders, count(DISTINCT who) AS customers FROM b GROUP BY day, kind
+UNION ALL SELECT 'month and category', month, kind, count(DISTINCT okey), count(DISTINCT who) FROM b GROUP BY month, kind
+UNION ALL SELECT 'month', month, NULL, count(DISTINCT okey), count(DISTINCT who) FROM b GROUP BY month
+UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT okey), count(DISTINCT who) FROM b HAVING count(*) > 0
+""")
+
+# Every pair is counted.
+ORACLE["t8_top_product_pairs"] = _q(f"""
+b AS (SELECT DISTINCT okey, pkey FROM line WHERE okey IS NOT NULL AND pkey IS NOT NULL),
+h AS (SELECT pkey, count(*) AS n FROM b GROUP BY pkey),
+p AS (SELECT a.pkey AS pa, b.pkey AS pb, count(*) AS n FROM b a JOIN b ON a.okey = b.okey AND a.pkey < b.pkey GROUP BY ALL
+      ORDER BY n DESC, pa, pb LIMIT 20)
+SELECT pa AS product_a, pb AS product_b, p.n AS orders, x.n AS orders_a, y.n AS orders_b,
+       {pct('p.n', 'least(x.n, y.n)', 1, 0, 0)} AS pct_of_rarer
+FROM p JOIN h x ON x.pkey = pa JOIN h y ON y.pkey = pb
+""")
+
+# Places in sorted lists.
+def _place(num: int, den: int) -> str:
+    at, rest = f"({num} * (n - 1)) // {den}", f"({num} * (n - 1)) % {den}"
+    return (f"((v[1 + {at}] * {den} + (v[1 + {at} + (CASE WHEN {rest} > 0 THEN 1 ELSE 0 END)] - v[1 + {at}]) * ({rest}))::DOUBLE"
+            f" / {den * 100}::DOUBLE)")
+
+
+ORACLE["t9_order_value_quartiles"] = _q(f"""
+s AS (SELECT kind, okey, (sum(rev) * 100)::BIGINT AS c FROM line JOIN good USING (pkey) GROUP BY kind, okey),
+l AS (SELECT kind, count(c) AS n, list(c ORDER BY c) AS v FROM s WHERE c IS NOT NULL GROUP BY kind)
+SELECT kind AS category, n AS orders, {_place(1, 4)} AS quartile_1, {_place(1, 2)} AS median, {_place(3, 4)} AS quartile_3,
+       {_place(99, 100)} AS percentile_99
+FROM l
+""")
