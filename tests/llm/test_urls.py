@@ -89,3 +89,21 @@ def test_spread_settles_on_a_cycle(spark):
     seeds = spark.createDataFrame([("a",)], "host string")
     got = {r["host"]: r["score"] for r in u.spread(links, seeds, damping=0.1).collect()}
     assert got == pytest.approx({"a": 0.9 / (1 - 0.1 ** 2), "b": 0.9 * 0.1 / (1 - 0.1 ** 2)}, rel=1e-5)
+
+
+def test_hosts_are_judged_by_shares_and_links_of_base_not_of_comments(spark, tmp_path):
+    """Host mix: a quarter blocked, none allowed, so the rest is blocked too; host half: blocked by half, but a trusted host links to it."""
+    pages = [(1, "http://mix.net/es/a", ""), (2, "http://mix.net/x", ""), (3, "http://mix.net/y", None),
+             (4, "http://based.org/", '<BASE target="_blank" href="//mix.net/root/"><a href="rel">t</a>'),
+             (5, "http://data.org/", '<a data-href="http://mix.net/">t</a><!-- <a href="http://mix.net/">t</a> -->'),
+             (6, "http://open.org/", '<!-- <a href="http://mix.net/">t</a>'), (7, "http://mail.org/", '<base href="http://mix.net"><a href="mailto:x@y">t</a>'),
+             (8, "http://query.org/", '<a href="/go?u=http://mix.net/">t</a>'), (9, "http://both.org/", '<a class="x"href=\'http://mix.net/\'>t</a>'),
+             (10, "http://fan.com/", '<a href="http://half.net/z">t</a>'), (11, "http://mix.net/x", ""),
+             (12, "http://half.net/fr/", ""), (13, "http://half.net/z", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in u.judge(df).collect()}
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+        assert dict(c.execute(f"SELECT page_id, verdict FROM ({u.ORACLE_OP10})").fetchall()) == got
+    assert {k for k, v in got.items() if v == "block"} == {1, 2, 3, 4, 9, 11, 12}
