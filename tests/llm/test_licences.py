@@ -62,3 +62,24 @@ def test_notices_inside_lines_and_over_lines(spark):
     got = l.licences(spark.createDataFrame(rows, "doc_id long, dir string, name string, text string")).collect()
     assert {r["doc_id"]: r["own"] for r in got if r["doc_id"] < 100} == {k: own for k, (_, own) in texts.items()}
     assert [r["doc_id"] for r in got if r["licence_file"]] == [6]
+
+
+def test_rows_of_one_path_are_files_of_their_own(spark, tmp_path):
+    """A third without id, an id on three texts, equal rows: a notice in some rows is neither given to the others nor a licence file."""
+    mit, prose = "Released under the MIT License.", "plain words that say nothing of the kind\n" * 3
+    rows = [(None, prose + f"text {k}\n" + (mit if k % 2 else "the end"), "s", "en") for k in range(80)]
+    rows += [(k, prose + f"clean {k}", "s", "en") for k in range(100)]
+    rows += [(500, prose + "one", "s", "en"), (500, prose + mit, "s", "en"), (500, mit, "t", "en"), (501, prose, "t", "en")]
+    rows += [(502, prose + mit, "s", "en")] * 10 + [(None, mit, "u", None), (None, prose, "u", None), (None, None, "s", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    columns = ["doc_id", "path", "own", "licence_file", "licence", "inherited_from"]
+    got = l.op2_licences(spark, str(tmp_path)).select(*columns).collect()
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        want = c.execute(f"SELECT {', '.join(columns)} FROM ({l.ORACLE_OP2})").fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    own = sum(r["own"] == "MIT" for r in got)
+    assert len(got) == len(rows) and own == 40 + 2 + 10 + 1
+    assert {(r["path"], r["licence"]) for r in got if r["inherited_from"]} == {("t/en/501", "MIT"), ("u//", "MIT")}
+    assert sorted(r["path"] for r in got if r["licence_file"]) == ["t/en/500", "u//"]

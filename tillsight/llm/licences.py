@@ -22,7 +22,8 @@ are joined with their ancestors, and the templates' terms are the only table sen
 all tasks besides.
 
 Defined results: null and empty texts carry no licence; null parts of a path are empty;
-rows with the same path are one file; ties between templates go to the first
+every row is a file of its own, also where rows share a path or have no doc_id (rows equal in
+path and text get equal results); ties between templates go to the first
 name, between licence files of a directory to the better match, then the first name;
 an empty table gives no rows; extra columns are not read.
 """
@@ -140,8 +141,12 @@ def heavy_terms(vectors: list[dict[str, float]], threshold: float) -> set[str]:
     return heavy
 
 
+#: What a row is known by: rows with the same path and text are judged alike.
+FILE = ("path", "dir", "name", "digest")
+
+
 def windows(files: DataFrame, templates, least: list[float], n: int, df: dict[str, int]) -> DataFrame:
-    """path, dir, name, x, n of the files with windows near a template; n terms stand in such windows.
+    """FILE, x, n of the files with windows near a template; n terms stand in such windows.
 
     ``least`` has the cosine from which a window counts for each template, ``n`` and ``df``
     the frequencies over lines.  A file is cut into segments that overlap by the
@@ -163,11 +168,11 @@ def windows(files: DataFrame, templates, least: list[float], n: int, df: dict[st
         f"{text(t)}, {w / math.sqrt(sum(x * x for x in v.values()))!r}D" for t, w in v.items())) for v in vectors)
     each = lambda values: f"array({', '.join(values)})"
     known = F.array(*map(F.lit, heavy))
-    whole = (files.filter(has_term("text", heavy)).select("path", "dir", "name", F.monotonically_increasing_id().alias("file"),
+    whole = (files.filter(has_term("text", heavy)).select(*FILE, F.monotonically_increasing_id().alias("file"),
                                                           terms(F.col("text")).alias("terms")).filter(F.arrays_overlap("terms", known)))
-    parts = (whole.select("path", "dir", "name", "file", F.explode(F.expr(
+    parts = (whole.select(*FILE, "file", F.explode(F.expr(
         f"transform(sequence(0, size(terms) - 1, {SEGMENT}), s -> struct(s AS s, slice(terms, s + 1, {SEGMENT + longest}) AS part))")
-        ).alias("p")).select("path", "dir", "name", "file", "p.s", "p.part").filter(F.arrays_overlap("part", known)))
+        ).alias("p")).select(*FILE, "file", "p.s", "p.part").filter(F.arrays_overlap("part", known)))
     # The template terms of a segment bound the cosine of all its windows.
     vocabulary = F.array(*map(F.lit, sorted(idf)))
     bounds = each(f"{x * x * (1 - 1e-9)!r}D" for x in least)
@@ -179,8 +184,8 @@ def windows(files: DataFrame, templates, least: list[float], n: int, df: dict[st
         i -> transform(element_at(map({places}), part[i]), x -> struct(x.k AS k, greatest(i - x.i, if(s = 0, 0, -1)) AS at)))),
         w -> array_contains(open, w.k) AND w.at >= 0 AND w.at < {SEGMENT}))"""
     size = each(str(sum(c.values())) for c in counted)
-    cut = (parts.select("path", "dir", "name", "file", "s", "part", F.explode(F.expr(starts)).alias("w"))
-           .select("path", "dir", "name", "file", "w.k", (F.col("s") + F.col("w.at")).alias("at"),
+    cut = (parts.select(*FILE, "file", "s", "part", F.explode(F.expr(starts)).alias("w"))
+           .select(*FILE, "file", "w.k", (F.col("s") + F.col("w.at")).alias("at"),
                    F.expr(f"slice(part, w.at + 1, {size}[w.k])").alias("window"), F.expr(f"array({units})[w.k]").alias("unit")))
     # The terms that a window shares with the template bound its cosine.
     cut = cut.withColumn("words", F.array_distinct("window")).withColumn("least", F.expr(each(f"{x!r}D" for x in least) + "[k]"))
@@ -190,11 +195,11 @@ def windows(files: DataFrame, templates, least: list[float], n: int, df: dict[st
     dot = F.expr("aggregate(zip_with(words, w, (t, y) -> y * coalesce(unit[t], 0D)), 0D, (a, y) -> a + y)")
     length = F.expr("sqrt(aggregate(w, 0D, (a, y) -> a + y * y))")
     near = cut.withColumn("score", F.round(dot / length, 9)).filter(F.col("score") >= F.col("least"))
-    near = stage(near.select("path", "dir", "name", "file", "at", F.size("window").alias("size"), "score",
+    near = stage(near.select(*FILE, "file", "at", F.size("window").alias("size"), "score",
                              F.expr(each(text(name) for name, _ in templates) + "[k]").alias("licence")), "licence-windows")
-    covered = (near.select("path", "file", F.explode(F.expr("sequence(at, at + size - 1)")).alias("at")).distinct()
-               .groupBy("path").agg(F.count("*").alias("n")))
-    return near.groupBy("path", "dir", "name").agg(F.min(F.struct(-F.col("score"), "licence")).alias("x")).join(covered, "path")
+    covered = (near.select("path", "digest", "file", F.explode(F.expr("sequence(at, at + size - 1)")).alias("at")).distinct()
+               .groupBy("path", "digest", "file").agg(F.count("*").alias("n")).groupBy("path", "digest").agg(F.max("n").alias("n")))
+    return near.groupBy(*FILE).agg(F.min(F.struct(-F.col("score"), "licence")).alias("x")).join(covered, ["path", "digest"])
 
 
 def has_term(text: str, some: list[str]) -> Column:
@@ -203,9 +208,10 @@ def has_term(text: str, some: list[str]) -> Column:
 
 
 def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, headers=HEADERS) -> DataFrame:
-    """path, own, score, licence_file of the files ``(dir, name, path, text)`` that carry a licence."""
+    """path, digest, dir, own, score, licence_file of the files ``(dir, name, path, text, digest)`` that carry a licence."""
     spark = files.sparkSession
-    lines = files.select("dir", "name", "path", F.explode(F.split("text", "\n")).alias("line"))
+    files = files.select(*FILE, "text")
+    lines = files.select(*FILE, F.monotonically_increasing_id().alias("file"), F.explode(F.split("text", "\n")).alias("line"))
     counted = template_terms(templates)
     vocabulary = sorted({t for c in counted for t in c})
     longer = [*templates, *headers]
@@ -215,7 +221,7 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, he
     heavy = sorted(t for t in heavy_terms(vectors, threshold) if t in df) or [""]  # no line has the others
     some = lines.filter(has_term("line", heavy))
     some = some.withColumn("terms", terms(F.col("line"))).filter(F.arrays_overlap("terms", F.array(*map(F.lit, heavy))))
-    some = stage(some.select("path", "dir", "name", "terms", F.monotonically_increasing_id().alias("row")), "licence-lines")
+    some = stage(some.select(*FILE, "file", "terms", F.monotonically_increasing_id().alias("row")), "licence-lines")
     weights = spark.createDataFrame([(t, w) for t, w in idf.items()], "term string, idf double")
     units = spark.createDataFrame(
         [(t, k, templates[k][0], w / math.sqrt(sum(x * x for x in v.values()))) for k, v in enumerate(vectors) for t, w in v.items()],
@@ -231,15 +237,14 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, he
                .select("row", "licence", F.round(F.col("dot") / F.col("length"), 9).alias("score"))
                .filter(F.col("score") >= threshold))
     best = cosines.groupBy("row").agg(F.min(F.struct(-F.col("score"), "licence")).alias("x"))
-    hits = some.join(best, "row").select("path", "dir", "name", F.size("terms").alias("n"), "x")
-    hits = hits.groupBy("path", "dir", "name").agg(F.min("x").alias("x"), F.sum("n").alias("n"))
+    hits = some.join(best, "row").groupBy(*FILE, "file").agg(F.min("x").alias("x"), F.sum(F.size("terms")).alias("n")).drop("file")
     least = [max(threshold, NEAR)] * len(templates) + [threshold] * len(headers)
-    hits = hits.unionByName(windows(files.select("path", "dir", "name", "text"), longer, least, n, df))
-    hits = stage(hits.groupBy("path", "dir", "name").agg(F.min("x").alias("x"), F.max("n").alias("n")), "licence-hits")
-    sizes = (join_small(files.select("path", "text"), hits.select("path"), "path", "left_semi")
-             .groupBy("path").agg(F.max(F.size(terms(F.col("text")))).alias("m")))
-    return (hits.join(sizes, "path")
-            .select("path", "dir", F.col("x.licence").alias("own"), (-F.col("x.col1")).alias("score"),
+    hits = hits.unionByName(windows(files, longer, least, n, df))
+    hits = stage(hits.groupBy(*FILE).agg(F.min("x").alias("x"), F.max("n").alias("n")), "licence-hits")
+    sizes = (join_small(files.select("path", "digest", "text"), hits.select("path", "digest"), ["path", "digest"], "left_semi")
+             .groupBy("path", "digest").agg(F.max(F.size(terms(F.col("text")))).alias("m")))
+    return (hits.join(sizes, ["path", "digest"])
+            .select("path", "digest", "dir", F.col("x.licence").alias("own"), (-F.col("x.col1")).alias("score"),
                     ((2 * F.col("n") >= F.col("m")) | F.col("name").rlike(LICENCE_NAME)).alias("licence_file")))
 
 
@@ -258,8 +263,8 @@ def inherit(files: DataFrame, found: DataFrame) -> DataFrame:
                .join(of_dir, "above").groupBy("dir")
                .agg(F.max(F.struct(F.length("above"), F.col("above"), F.col("given"))).alias("x"))
                .select("dir", F.col("x.above").alias("above"), F.col("x.given").alias("given")))
-    own = found.select("path", "own", "licence_file")
-    return (files.join(own, "path", "left").join(stage(nearest, "licence-dirs"), "dir", "left")
+    own = found.select("path", "digest", "own", "licence_file")
+    return (files.join(own, ["path", "digest"], "left").join(stage(nearest, "licence-dirs"), "dir", "left")
             .withColumn("licence", F.coalesce("own", "given"))
             .withColumn("inherited_from", F.when(F.col("own").isNull(), F.col("above")))
             .withColumn("licence_file", F.coalesce("licence_file", F.lit(False))).drop("above", "given"))
@@ -268,9 +273,9 @@ def inherit(files: DataFrame, found: DataFrame) -> DataFrame:
 def licences(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, path, own, licence_file, licence, inherited_from of ``files(doc_id, dir, name, text)``."""
     path = F.concat(F.col("dir"), F.when(F.col("dir") == "", "").otherwise("/"), F.col("name"))
-    placed = files.withColumn("path", path)
+    placed = files.withColumn("path", path).withColumn("digest", F.md5(F.col("text").cast("binary")))
     found = stage(scan(placed, templates, threshold), "licence-files")
-    return inherit(placed.select("doc_id", "dir", "path"), found).drop("dir")
+    return inherit(placed.select("doc_id", "dir", "path", "digest"), found).drop("dir", "digest")
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,9 +294,9 @@ ORACLE_OP2 = rf"""
 WITH files AS (
   SELECT doc_id, coalesce(source, '') || '/' || coalesce(lang, '') AS dir, coalesce(CAST(doc_id AS VARCHAR), '') AS name, text
   FROM documents),
-placed AS (SELECT *, dir || '/' || name AS path FROM files),
-lines AS (SELECT path, unnest(string_split(text, chr(10))) AS line FROM placed),
-cut AS (SELECT row_number() OVER () AS row, path, regexp_extract_all(lower(line), '{_TERM_SQL}') AS terms FROM lines),
+placed AS MATERIALIZED (SELECT *, dir || '/' || name AS path, row_number() OVER () AS file FROM files),
+lines AS (SELECT file, unnest(string_split(text, chr(10))) AS line FROM placed),
+cut AS MATERIALIZED (SELECT row_number() OVER () AS row, file, regexp_extract_all(lower(line), '{_TERM_SQL}') AS terms FROM lines),
 templates(k, licence, notice) AS (VALUES {_T}),
 template_tf AS (
   SELECT k, licence, term, count(*) AS tf
@@ -311,14 +316,12 @@ dots AS (SELECT row, k, licence, sum(w * unit) AS dot FROM weights JOIN units US
 cosines AS (SELECT row, licence, round(dot / length, 9) AS score FROM dots JOIN lengths USING (row)),
 hits AS (
   SELECT row, min({{'s': -score, 'l': licence}}) AS x FROM cosines WHERE score >= {THRESHOLD} GROUP BY row),
-sizes AS (SELECT path, max(m) AS m FROM (
-  SELECT path, len(regexp_extract_all(lower(text), '{_TERM_SQL}')) AS m FROM placed) GROUP BY path),
+sizes AS (SELECT file, len(regexp_extract_all(lower(text), '{_TERM_SQL}')) AS m FROM placed),
 found AS (
-  SELECT path, min(x) AS x, 2 * sum(len(terms)) >= any_value(m) AS licence_file
-  FROM hits JOIN cut USING (row) JOIN sizes USING (path) GROUP BY path),
+  SELECT file, min(x) AS x, 2 * sum(len(terms)) >= any_value(m) AS licence_file
+  FROM hits JOIN cut USING (row) JOIN sizes USING (file) GROUP BY file),
 of_dir AS (
-  SELECT dir AS above, min(x).l AS given FROM found JOIN (SELECT DISTINCT path, dir FROM placed) USING (path)
-  WHERE licence_file GROUP BY dir),
+  SELECT dir AS above, min(x).l AS given FROM found JOIN placed USING (file) WHERE licence_file GROUP BY dir),
 dirs AS (SELECT DISTINCT dir FROM placed),
 nearest AS (
   SELECT dir, max({{'n': length(above), 'above': above, 'given': given}}) AS x
@@ -326,5 +329,5 @@ nearest AS (
 SELECT doc_id, path, found.x.l AS own, coalesce(licence_file, FALSE) AS licence_file,
        coalesce(found.x.l, nearest.x.given) AS licence,
        CASE WHEN found.x.l IS NULL THEN nearest.x.above END AS inherited_from
-FROM placed LEFT JOIN found USING (path) LEFT JOIN nearest USING (dir)
+FROM placed LEFT JOIN found USING (file) LEFT JOIN nearest USING (dir)
 """
