@@ -114,3 +114,15 @@ def test_edges(spark):
     done = s.remove_repeats(df)
     assert done.columns.count("kept") == 1 and done.first()["n_removed"] == 290
     assert s.remove_repeats(df.filter(F.lit(False))).count() == 0
+
+
+def test_a_third_without_id_and_ids_on_several_texts(spark):
+    """Texts that share or lack an id are documents of their own, in the order of their digests, also in split shards."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 and k % 2 else d, t) for k, (d, t) in enumerate(planted(11))]
+    rows += rows[:9] + [(None, None), (7, None)]
+    want = sorted(brute(rows), key=str)
+    for shard in (3, s.SHARD):
+        assert run(spark, rows, shard) == want
+    numbers = s.numbered(spark.createDataFrame(rows, "doc_id long, text string")).select("__doc", "__copy", "text").distinct()
+    own = [(r["__doc"], r["__copy"]) for r in numbers.collect()]
+    assert len(own) == len(set(own)) == len(set(rows))

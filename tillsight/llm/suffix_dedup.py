@@ -49,7 +49,12 @@ SHARD = 12_000  # surroundings in a shard
 MERGE_STRINGS = 100_000  # strings in a merging task
 LAST = (1 << 63) - 1  # stands for a null doc_id
 #: Places are ``number of the text among those of its doc_id << PLACE_BITS | byte``.
-PLACE_BITS = 40
+#: (A string of Spark has fewer than 2^31 bytes, so 2^31 texts may share or lack a doc_id.)
+PLACE_BITS = 32
+#: Texts that share a doc_id are numbered in ranges of so many first digits of their digest.
+DIGITS = 3
+#: Numbers of texts that are sent to all tasks (about 100 bytes each).
+FEW_NUMBERS = SMALL_ROWS // 4
 _MOST = np.uint64((1 << 64) - 1)
 
 
@@ -313,17 +318,26 @@ def _merge(table: pa.Table) -> pa.Table:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with __doc (null ids last) and __copy (number among the texts of one id)."""
+    """``docs`` with __doc (null ids last) and __copy (number among the texts of one id).
+
+    Texts of one id are numbered by digest: inside ranges of digests, after the texts of the
+    ranges before, so that no task holds all texts without id.
+    """
     rows = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
     same = F.coalesce(F.md5("text"), F.lit(""))
     ids = stage(rows.select("__doc", same.alias("__same")).distinct(), "suffix-ids")
     shared = ids.groupBy("__doc").agg(F.count("*").alias("n")).filter("n > 1").select("__doc")
-    numbers = stage(ids.join(shared, "__doc", "left_semi").withColumn(
-        "__copy", F.row_number().over(Window.partitionBy("__doc").orderBy("__same")).cast("long")), "suffix-numbers")
-    none = F.lit(0).cast("long")
-    if numbers.isEmpty():
+    texts = ids.join(shared, "__doc", "left_semi").withColumn("range", F.substring("__same", 1, DIGITS))
+    sizes = texts.groupBy("__doc", "range").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("__doc").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__doc", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("__doc", "range").orderBy("__same"))
+    numbers = stage(texts.join(offsets, ["__doc", "range"]).select(
+        "__doc", "__same", (F.col("offset") + inside).cast("long").alias("__copy")), "suffix-numbers")
+    n, none = numbers.count(), F.lit(0).cast("long")
+    if n == 0:
         return rows.withColumn("__copy", none)
-    return (rows.withColumn("__same", same).join(numbers, ["__doc", "__same"], "left")
+    return (rows.withColumn("__same", same).join(F.broadcast(numbers) if n <= FEW_NUMBERS else numbers, ["__doc", "__same"], "left")
             .withColumn("__copy", F.coalesce("__copy", none)).drop("__same"))
 
 
@@ -333,12 +347,14 @@ def contested_spans(texts: DataFrame, contested: DataFrame, shard: int) -> DataF
     large = stage(contested.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > shard), "suffix-large")
     parts = 1 + (large.agg(F.sum("n")).first()[0] or 0) * SPREAD // MERGE_STRINGS
     large = large.select("a", F.ceil(F.col("n") / shard).alias("parts"))
-    part = F.coalesce(F.pmod(F.xxhash64("doc"), F.col("parts")), F.lit(0))
+    part = F.coalesce(F.pmod(F.xxhash64("doc", "lo"), F.col("parts")), F.lit(0))
     marked = join_small(contested, large, "a", "left").select(
         "a", "doc", "lo", F.col("parts").isNotNull().alias("split"),
         F.pmod(F.xxhash64("a", part), F.lit(shards)).alias("shard"))
-    want = stage(contested.groupBy("doc").agg(F.collect_list(F.struct("a", "lo", "size")).alias("want")), "suffix-want")
-    cut = (join_small(texts, want.select("doc"), "doc", "left_semi").join(want, "doc")
+    copy = F.shiftright("lo", PLACE_BITS)  # the text that a place is in
+    want = stage(contested.groupBy("doc", copy.alias("copy")).agg(F.collect_list(F.struct("a", "lo", "size")).alias("want")), "suffix-want")
+    cut = (join_small(texts, want.select("doc", "copy"), ["doc", "copy"], "left_semi").join(want, ["doc", "copy"])
+           .select("doc", "copy", "text", "want")
            .mapInArrow(_cut, "a long, doc long, lo long, bytes binary"))
     placed = cut.join(marked, ["a", "doc", "lo"])
     found = stage(placed.groupBy("shard").applyInArrow(_shard(parts), FOUND), "suffix-shards")
@@ -371,15 +387,17 @@ def remove_repeats(docs: DataFrame, shard: int = SHARD, columns: list[str] | Non
     names = [n for n in (columns or docs.columns) if n not in made]
     rows = numbered(docs.select(*dict.fromkeys([*names, "doc_id", "text"])))
     texts = rows.select(F.col("__doc").alias("doc"), F.col("__copy").alias("copy"), "text")
-    spans = stage(repeated_spans(texts, shard).groupBy(F.col("doc").alias("__doc")).agg(
+    own = ["__doc", "__copy"]
+    spans = stage(repeated_spans(texts, shard).groupBy(
+        F.col("doc").alias("__doc"), F.shiftright("lo", PLACE_BITS).alias("__copy")).agg(
         F.collect_list(F.struct("lo", "hi")).alias("__cut")), "suffix-spans")
-    ids = spans.select("__doc")
+    ids = spans.select(*own)
     if ids.count() <= SMALL_ROWS:  # texts that stay whole need no shuffle
         uncut = F.lit(None).cast(spans.schema["__cut"].dataType).alias("__cut")
-        joined = (rows.join(F.broadcast(ids), "__doc", "left_semi").join(spans, "__doc")
-                  .unionByName(rows.join(F.broadcast(ids), "__doc", "left_anti").select("*", uncut)))
+        joined = (rows.join(F.broadcast(ids), own, "left_semi").join(spans, own)
+                  .unionByName(rows.join(F.broadcast(ids), own, "left_anti").select("*", uncut)))
     else:
-        joined = rows.join(spans, "__doc", "left")
+        joined = rows.join(spans, own, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
