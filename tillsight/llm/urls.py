@@ -72,9 +72,11 @@ def absolute(url: Column) -> Column:
 
 def host_links(pages: DataFrame) -> DataFrame:
     """Distinct links (src, dst) between different hosts."""
-    open_html = F.regexp_replace("html", COMMENT, "")
-    found = pages.select(host_of(F.col("url")).alias("src"), host_of(absolute(F.regexp_extract(open_html, BASE, 1))).alias("base"),
-                         F.explode(F.array_distinct(F.regexp_extract_all(open_html, F.lit(LINK), 1))).alias("to"))
+    open_html = F.when(F.col("html").contains("<!--"), F.regexp_replace("html", COMMENT, "")).otherwise(F.col("html"))
+    # what is known of a page is worked out before its links are unfolded, once for each page
+    whole = pages.select(host_of(F.col("url")).alias("src"), host_of(absolute(F.regexp_extract(open_html, BASE, 1))).alias("base"),
+                         F.array_distinct(F.regexp_extract_all(open_html, F.lit(LINK), 1)).alias("links"))
+    found = whole.select("src", "base", F.explode("links").alias("to"))
     to = absolute(F.col("to"))
     dst = F.when(to.rlike(SCHEME + "//"), host_of(to)).when(~to.rlike(SCHEME), F.col("base")).otherwise("")
     return (found.select("src", dst.alias("dst"))
