@@ -39,11 +39,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Texts are compared, not ids: each distinct text has a number of its own (a 64-bit
     hash) whatever doc_ids it stands under, and of each class one row stays, that with the
-    smallest doc_id (none last), then the smallest digest of the row.
+    smallest doc_id (none last), then the smallest digest of the row (its text by digest).
     """
     staging.prepare(spark)
     docs = docs.select(COLUMNS)
-    row = [F.xxhash64("text").alias("__text"), F.md5(F.to_json(F.struct(*COLUMNS))).alias("__digest")]
+    # the text's own digest stands for it, so that no copy of a long text is made
+    short = F.struct(*[F.md5("text").alias(c) if c == "text" else F.col(c) for c in COLUMNS])
+    row = [F.xxhash64("text").alias("__text"), F.md5(F.to_json(short)).alias("__digest")]
     worded = F.coalesce(F.regexp_like("text", F.lit(mixing.WORD)), F.lit(False))
     judged = minhash.near_duplicates(docs.filter(worded).select("doc_id", "text", *row).withColumnsRenamed(
         {"doc_id": "__id", "__text": "doc_id"})).select(F.col("doc_id").alias("__text"), "class_id", "__id", "__digest")
