@@ -1,9 +1,8 @@
 """Data-quality checks: C4 constraint checks, C8 order arithmetic checks.
 
 Each check returns one row per rule: (rule, table_name, column_name,
-checked_rows, violations).  The rules come from the declared schemas.  C4 counts
-the keys and references of all tables in one shuffle, and rules on rows in one global
-aggregate for each table.
+checked_rows, violations).  The rules come from the declared schemas.  C4 reads each
+table once and counts its keys, references and rules on rows in one shuffle.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight import constants as C
@@ -33,60 +32,68 @@ def _rows_from_agg(agg: DataFrame, specs: Sequence[tuple[str, str, str, str]]) -
     return agg.select(F.explode(rules).alias("_r")).select("_r.*")
 
 
-def row_rules(df: DataFrame, table: str, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
-    """Rows that break each of the rules (rule, column, condition): one global aggregate, no shuffle of rows."""
-    agg = df.agg(F.count(F.lit(1)).alias("_checked"), *[F.count_if(bad).alias(f"_r{i}") for i, (_, _, bad) in enumerate(rules)])
-    return _rows_from_agg(agg, [(rule, table, column, f"_r{i}") for i, (rule, column, _) in enumerate(rules)])
+def table_rules(tables: dict[str, DataFrame], keys: dict[str, str], references: Sequence[tuple[str, str, str, str]],
+                conditions: dict[str, Sequence[tuple[str, str, str]]]) -> DataFrame:
+    """Unique keys, foreign keys without a parent row, and rows that break a condition, in one pass over each table.
 
-
-def key_rules(tables: dict[str, DataFrame], keys: dict[str, str], references: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    """Unique keys, and foreign keys without a parent row; references = (child, column, parent, parent's key).
+    ``references`` has (child, column, parent, parent's key), ``conditions`` by table (rule,
+    column, condition that a bad row meets, as SQL), at most 62 for a table.  Expressions are
+    SQL text, since hundreds of them take seconds to build one by one.
 
     Every row gives one entry for each of its key columns: (domain, key, slot), where a
     domain is a parent's key column, slot 0 its own rows and the other slots the columns
-    that refer to it.  Entries are counted by (domain, key), combined before the shuffle, so
-    a hot key is one row for each task; there a key with two rows, or without one, is seen
-    without a join.  Each table is read once, for its key columns only.
+    that refer to it.  Another domain of the table has the conditions that the row meets, as
+    bits of its key.  Entries are counted by (domain, key), combined before the shuffle, so
+    a hot key is one row for each task and the conditions a few; there a key with two rows,
+    or without one, is seen without a join.
     """
     domains = {(table, key): None for table, key in keys.items()} | {(parent, key): None for _, _, parent, key in references}
     number = {d: i for i, d in enumerate(domains)}
+    columns: dict[str, list[tuple[int, str, int]]] = {table: [] for table in tables}
     used: dict[int, int] = {}
-    rules, entries = [], {table: [] for table in tables}
+    rules = []  # rule, table, column, kind, domain, slot or bit
     for table, key in domains:
-        entries[table].append((number[table, key], key, 0))
+        columns[table].append((number[table, key], key, 0))
     for table, key in keys.items():
-        rules.append(("unique", table, key, False, number[table, key], 0))
+        rules.append(("unique", table, key, "key", number[table, key], 0))
     for child, column, parent, key in references:
         at = number[parent, key]
         used[at] = used.get(at, 0) + 1
-        entries[child].append((at, column, used[at]))
-        rules.append((f"references_{key}", child, column, True, at, used[at]))
-    whole = all(tables[t].schema[c].dataType.typeName() in ("byte", "short", "integer", "long") for t, es in entries.items() for _, c, _ in es)
-    kind = "long" if whole else "string"
-    parts = [tables[t].select(*dict.fromkeys(c for _, c, _ in es)).select(
-        F.stack(F.lit(len(es)), *[x for d, c, k in es for x in (F.lit(d), F.col(c).cast(kind), F.lit(k))]).alias("domain", "key", "slot"))
-        for t, es in entries.items() if es]
+        columns[child].append((at, column, used[at]))
+        rules.append((f"references_{key}", child, column, "reference", at, used[at]))
+    whole = all(tables[t].schema[c].dataType.typeName() in ("byte", "short", "integer", "long") for t, es in columns.items() for _, c, _ in es)
+    kind = "bigint" if whole else "string"
+    parts = []
+    for i, (table, df) in enumerate(tables.items()):
+        entries = [f"{d}, cast(`{c}` as {kind}), {k}" for d, c, k in columns[table]]
+        if met := conditions.get(table):
+            at = len(domains) + i
+            bits = " + ".join(f"if({bad}, {1 << bit}L, 0L)" for bit, (_, _, bad) in enumerate(met))
+            entries.append(f"{at}, cast({bits} as {kind}), 0")
+            rules += [(rule, table, column, "condition", at, bit) for bit, (rule, column, _) in enumerate(met)]
+        if entries:
+            parts.append(df.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (domain, key, slot)"))
     slots = range(max([0, *used.values()]) + 1)
-    counted = functools.reduce(DataFrame.unionByName, parts).groupBy("domain", "key").agg(
-        *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in slots])
-    absent = F.col("key").isNull()
-    found = counted.groupBy("domain").agg(
-        F.sum(F.when(absent | (F.col("n0") > 1), F.col("n0")).otherwise(0)).alias("doubled"),
-        *[F.sum(f"n{k}").alias(f"rows{k}") for k in slots],
-        *[F.sum(F.when(~absent & (F.col("n0") == 0), F.col(f"n{k}")).otherwise(0)).alias(f"orphans{k}") for k in slots])
-    # one row for each domain: all of them as one map, beside the fixed list of rules
-    totals = found.agg(F.map_from_entries(F.collect_list(F.struct("domain", F.struct(*found.columns[1:])))).alias("m"))
-    listed = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(r, ("rule", "table_name", "column_name", "refers", "at", "slot"))])
-                       for r in rules])
-    at = F.col("m")[F.col("r.at")]
-
-    def of_slot(name: str) -> Column:
-        return F.element_at(F.array(*[at[f"{name}{k}"] for k in slots]), F.col("r.slot") + 1)
-
-    bad = F.when(F.col("r.refers"), of_slot("orphans")).otherwise(at["doubled"])
-    return totals.select("m", F.explode(listed).alias("r")).select(
-        "r.rule", "r.table_name", "r.column_name", F.coalesce(of_slot("rows"), F.lit(0)).cast("long").alias("checked_rows"),
-        F.coalesce(bad, F.lit(0)).cast("long").alias("violations"))
+    most = max([0, *map(len, conditions.values())])
+    counted = functools.reduce(DataFrame.union, parts).groupBy("domain", "key").agg(
+        *[F.expr(f"count_if(slot = {k}) as n{k}") for k in slots])
+    found = counted.groupBy("domain", F.expr(f"if(domain >= {len(domains)}, cast(key as bigint), null) as bits")).agg(
+        F.expr("sum(if(key is null or n0 > 1, n0, 0)) as doubled"),
+        *[F.expr(f"sum(n{k}) as rows{k}") for k in slots],
+        *[F.expr(f"sum(if(key is not null and n0 = 0, n{k}, 0)) as orphans{k}") for k in slots])
+    # one row for each domain: sums of its sets of conditions, then all domains as one map beside the fixed list of rules
+    met_sums = ", ".join(f"sum(if(bits & {1 << bit}L <> 0, rows0, 0L))" for bit in range(most))
+    found = found.groupBy("domain").agg(
+        F.expr("sum(doubled) as doubled"), F.expr(f"cast(array({met_sums}) as array<bigint>) as met"),
+        *[F.expr(f"array({', '.join(f'sum({name}{k})' for k in slots)}) as {name}") for name in ("rows", "orphans")])
+    totals = found.selectExpr("map_from_entries(collect_list(struct(domain, struct(doubled, met, rows, orphans)))) as m")
+    listed = ", ".join(f"struct('{rule}' as rule, '{table}' as table_name, '{column}' as column_name, '{of}' as kind, {at} as at, {place} as place)"
+                       for rule, table, column, of, at, place in rules)
+    return totals.selectExpr("m", f"inline(array({listed}))").selectExpr(
+        "rule", "table_name", "column_name",
+        "coalesce(get(m[at].rows, if(kind = 'reference', place, 0)), 0L) as checked_rows",
+        "coalesce(case kind when 'key' then m[at].doubled when 'reference' then get(m[at].orphans, place) else get(m[at].met, place) end, 0L)"
+        " as violations")
 
 
 def overlapping_versions(versions: DataFrame, table: str, natural_key: str, surrogate_key: str) -> DataFrame:
@@ -107,22 +114,23 @@ def dq_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """C4: all declared keys, NOT NULLs, lengths, defaults and references as checks, the order statuses, the
     items' link to orders by order_id (which is not declared), and that a customer's versions do not overlap.
 
-    Rules on rows are one global aggregate for each table; all keys and references are
-    counted in one shuffle.  A column with a declared DEFAULT that is NULL was not filled.
+    One pass over each table and one shuffle serve all of them but the last.  A column with
+    a declared DEFAULT that is NULL was not filled.
     """
     references = [(child, column, parent, warehouse.PRIMARY_KEYS[parent]) for child, column, parent in warehouse.REFERENCES]
     references.append(("fact_order_items", "order_id", "fact_orders", "order_id"))
-    parts = [key_rules(tables, warehouse.PRIMARY_KEYS, references)]
+    conditions = {}
     for table, schema in warehouse.SCHEMAS.items():
         key = warehouse.PRIMARY_KEYS[table]
-        rules = [("not_null", f.name, F.col(f.name).isNull()) for f in schema.fields if not f.nullable and f.name != key]
-        rules += [(f"max_length_{n}", c, F.length(F.col(c).cast("string")) > n) for c, n in warehouse.LENGTHS[table].items()]
-        rules += [("default_filled", c, F.col(c).isNull()) for c in C.COLUMN_DEFAULTS.get(table, {})]
+        rules = [("not_null", f.name, f"`{f.name}` is null") for f in schema.fields if not f.nullable and f.name != key]
+        rules += [(f"max_length_{n}", c, f"length(cast(`{c}` as string)) > {n}") for c, n in warehouse.LENGTHS[table].items()]
+        rules += [("default_filled", c, f"`{c}` is null") for c in C.COLUMN_DEFAULTS.get(table, {})]
         if table == "fact_orders":
-            rules.append(("allowed_values", "order_status", F.col("order_status").isNotNull() & ~F.col("order_status").isin(*C.ORDER_STATUSES)))
-        parts.append(row_rules(tables[table], table, rules))
-    parts.append(overlapping_versions(tables["dim_customer"], "dim_customer", "customer_id", "customer_key"))
-    return functools.reduce(DataFrame.unionByName, [p.select(*RESULT_COLS) for p in parts])
+            allowed = ", ".join(f"'{x}'" for x in C.ORDER_STATUSES)
+            rules.append(("allowed_values", "order_status", f"order_status not in ({allowed})"))
+        conditions[table] = rules
+    return table_rules(tables, warehouse.PRIMARY_KEYS, references, conditions).unionByName(
+        overlapping_versions(tables["dim_customer"], "dim_customer", "customer_id", "customer_key")).select(*RESULT_COLS)
 
 
 def order_arithmetic_check(orders: DataFrame, items: DataFrame) -> DataFrame:
