@@ -154,7 +154,7 @@ def c6_funnel_sessions(s):
 
 @register
 def c8_order_arithmetic_check(s):
-    return quality.order_arithmetic_check(quality.star_tables(s)["fact_orders"], s.items)
+    return quality.order_arithmetic_check(s.orders, s.items)
 
 
 def _channel_history(s):
