@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions import distinct
+from tillsight.functions import distinct, pairs
 from tillsight.functions.money import pct
 from tillsight.functions.quantiles import BUCKETS, quantiles
 from tillsight.operators.common import COMPLETED, dated, with_status
@@ -50,16 +50,19 @@ def top_product_pairs(items: DataFrame, k: int = 20, first: int = 1000) -> DataF
     with the most orders give k counts; the least of them is a bound that every pair of the
     answer reaches, so only products in that many orders are paired in the second round:
     exact, and pairs of rare products are never listed.  ``first`` changes the time only.
-    An order's pairs are quadratic in its products that reach the bound.
+    An order's pairs are quadratic in its products that reach the bound.  Pairs are listed
+    and counted in as many tasks as their number asks for (``pairs.Deal``), so a task's
+    memory does not follow the input.
     """
-    basket = materialize(items.filter("order_id IS NOT NULL AND product_key IS NOT NULL").select("order_id", "product_key").distinct())
+    lines = items.filter("order_id IS NOT NULL AND product_key IS NOT NULL").select("order_id", "product_key")
+    basket = materialize(lines.distinct())
     held = materialize(basket.groupBy("product_key").agg(F.count(F.lit(1)).alias("n")))
+    deal = pairs.Deal(basket, "order_id", "product_key")
 
     def best(least: int) -> DataFrame:
         some = basket.join(held.filter(F.col("n") >= least).select("product_key"), "product_key", "left_semi")
-        a, b = some.withColumnRenamed("product_key", "product_a"), some.withColumnRenamed("product_key", "product_b")
-        pairs = a.join(b, "order_id").filter("product_a < product_b").groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("orders"))
-        return pairs.orderBy(F.col("orders").desc(), "product_a", "product_b").limit(k)
+        counted = pairs.counted_pairs(some, deal, "product_key").toDF("product_a", "product_b", "orders")
+        return counted.orderBy(F.col("orders").desc(), "product_a", "product_b").limit(k)
 
     start = held.orderBy(F.col("n").desc()).limit(first).agg(F.min("n")).first()[0] or 1
     found = materialize(best(start))
