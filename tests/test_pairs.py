@@ -38,7 +38,7 @@ def test_dealt_pairs_are_counted_whole(spark, monkeypatch, rows, at_once):
     assert {(r.p_a, r.p_b): r.n for r in pairs.counted_pairs(df, deal, "p", "n").collect()} == weighed
 
 
-@pytest.mark.parametrize("query", ["top pairs"])
+@pytest.mark.parametrize("query", ["affinity", "top pairs"])
 def test_tasks_follow_the_number_of_pairs(spark, monkeypatch, query):
     """More pairs, more tasks that list them: the session's number of partitions is no limit."""
     seen = []

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight import constants as C
+from tillsight.functions import pairs
 
 
 def product_affinity(items: DataFrame, products: DataFrame,
@@ -16,23 +17,18 @@ def product_affinity(items: DataFrame, products: DataFrame,
 
     Lines collapse to (order, product, lines) first, from two narrow columns, so
     a product repeated on several lines of an order is paired once and weighted
-    ``n_a * n_b``; the pair join is an equi-join on order_id (a hot order is
-    split across tasks by AQE's skew-join handling).  Pairs are counted by key
-    map-side, and names are joined to the counts, so a product in most orders
-    is never gathered for its name.  Work is the number of co-occurring product
+    ``n_a * n_b``.  Names are joined to these rows, which are fewer than the pairs
+    (AQE splits a product in most orders), so that pairs are counted by name at
+    once.  Pairs are listed and counted in as many tasks as their number asks for
+    (``pairs.Deal``, which also deals a large order to several), so a task's memory
+    does not follow the input.  Work is the number of co-occurring product
     pairs, which is the size of the relation being counted: quadratic in the
     distinct products of an order.
     """
     basket = items.groupBy("order_id", "product_key").agg(F.count(F.lit(1)).alias("n"))
-    a, b = basket.alias("a"), basket.alias("b")
-    pairs = a.join(b, (F.col("a.order_id") == F.col("b.order_id"))
-                   & (F.col("a.product_key") < F.col("b.product_key")))
-    counted = pairs.groupBy(F.col("a.product_key").alias("ka"), F.col("b.product_key").alias("kb")).agg(
-        F.sum(F.col("a.n") * F.col("b.n")).alias("n"))
-    names = [products.select(F.col("product_key").alias(k), F.col("product_name").alias(name))
-             for k, name in (("ka", "product_a"), ("kb", "product_b"))]
-    g = counted.join(names[0], "ka").join(names[1], "kb").groupBy("product_a", "product_b").agg(
-        F.sum("n").cast("long").alias("times_bought_together"))
+    deal = pairs.Deal(basket, "order_id", "product_key")
+    named = basket.filter("order_id IS NOT NULL").join(products.select("product_key", F.col("product_name").alias("product")), "product_key")
+    g = pairs.counted_pairs(named, deal, "product", "n").withColumnRenamed("n", "times_bought_together")
     return (g.filter(F.col("times_bought_together") >= 1)
             .orderBy(F.col("times_bought_together").desc(), "product_a", "product_b")
             .limit(k))
