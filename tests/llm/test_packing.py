@@ -186,3 +186,48 @@ def test_odd_rows(spark, parts):
 
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), packing.word_bpe).collect() == []
+
+
+def test_words_are_looked_up_once_and_their_parts_shared(monkeypatch):
+    """The library is not asked anew for words met lately, nor for the same letters with other signs."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    asked = []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(w for t in texts for w in t.replace(packing.MARK, " ").split())
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    class Library:
+        @staticmethod
+        def from_file(path):
+            return Counted(Tokenizer.from_file(path))
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Library)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 2000)
+    monkeypatch.setattr(packing, "_known", {})
+    encode = packing.word_encoder(path)
+    common = [f"Common{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    texts = [" ".join([*common, *(f"once{k}x{i}" for i in range(300)), *(c + "," for c in common)]) for k in range(20)]
+    for lo in range(0, 20, 2):
+        got = encode(texts[lo:lo + 2])
+        assert [x.tolist() for x in got] == [x.tolist() for x in whole(texts[lo:lo + 2])]
+    assert len(asked) == len(set(asked))  # common words stay known while others come and go
+    assert sum("common" in w.lower() for w in asked) == len(common)
+
+
+def test_words_encode_as_whole_texts_do():
+    rng = random.Random(12)
+    signs = ["a", "A", "ß", "ÿ", "Þ", "ª", "µ", "×", "÷", "<", "|", "~", "`", "_", "@", "[", "\\", "]", "^", "&", "*", ",", ".", "2", "x", "İ", "é",
+             "\x01", "\x1c", "\x85", "\xa0", " ", " ", "\n", "\x0b", "\x0c", "\x00", "<|endoftext|>", "Σ", "'s", "'re", "'", "中", "\u0301"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    got = packing.word_bpe()(texts)
+    assert [x.tolist() for x in got] == [x.tolist() for x in whole(texts)]
+    assert packing.word_bpe()([]) == []
+    assert [len(x) for x in packing.word_bpe()(["", " \n"])] == [0, 0]

@@ -36,23 +36,28 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillsight.llm.staging import join_small, prepare, read, stage
+from tillsight.llm.words import Recent, numbered
 
 CAPACITY = 2048
 END = 0
-#: A task remembers the ids of at most so many words, none longer than LONG_WORD bytes.
+#: A task remembers the ids of at most so many words, none longer than LONG_WORD characters.
 KNOWN_WORDS = 500_000
 LONG_WORD = 64
 WORDS_AT_ONCE = 500
+DOCS_AT_ONCE = 1000
 #: A control character, which is a token of its own and part of no other character's tokens.
 MARK = "\x01"
+#: ASCII and Latin-1 letters (each composed, with one lower-case form), then ASCII signs but ' and <.
+LETTERS_SIGNS = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<signs>[!-&(-/:;=-@\[-`{-~]*)\z"
 #: By tokenizer file; a worker process keeps it for its next tasks.
-_known: dict[str, dict[bytes, bytes]] = {}
+_known: dict[str, Recent] = {}
 
 
 # ---------------------------------------------------------------- the plan
@@ -209,14 +214,26 @@ def places(runs: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray) ->
 # ---------------------------------------------------------------- the pieces
 
 
+def parts_of(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """What each word is encoded as, one after the other: its letters in lower case and its signs, or the word as it is."""
+    cut = pc.extract_regex(words, LETTERS_SIGNS)
+    letters, signs = (pc.struct_field(cut, n) for n in ("letters", "signs"))
+    return pc.if_else(pc.is_valid(cut), pc.utf8_lower(letters), words), pc.if_else(pc.is_valid(cut), signs, "")
+
+
 def word_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     """Encoder of texts to ids by the tokenizers library, with truncation and padding off.
 
     For tokenizer files that drop white space: no token, special or not, holds any, and
     neither composing nor lower-casing looks across it.  So a text's ids are those of its
-    words (parts between ASCII white space), and the library sees a word once, until
-    KNOWN_WORDS are known and the table starts anew.  New words are encoded together with
-    MARK, which is one token by itself, between them.
+    words (parts between ASCII white space).  The texts of one call are split together and
+    each of their distinct words is looked up once; the library sees those that are not
+    among the KNOWN_WORDS met last.  New words are encoded together with MARK, which is one
+    token by itself, between them.
+
+    The files also lower-case, and part letters from other signs (but for contractions, which
+    begin with an apostrophe), so that a word of LETTERS_SIGNS is its letters in lower case,
+    then its signs, each looked up like a word.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -224,36 +241,45 @@ def word_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    known = _known.setdefault(path, {})
+    known = _known.setdefault(path, Recent(KNOWN_WORDS))
 
     def ids_of(text: str) -> np.ndarray:
         return np.asarray(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     mark, = ids_of(MARK)
 
-    def encode_new(words: list[bytes]) -> dict[bytes, bytes]:
-        plain = [w for w in words if MARK.encode() not in w]
-        found = {w: ids_of(w.decode()).tobytes() for w in words if MARK.encode() in w}
+    def encode_new(words: list[str]) -> dict[str, bytes]:
+        plain = [w for w in words if MARK not in w]
+        found = {w: ids_of(w).tobytes() for w in words if MARK in w}
         for lo in range(0, len(plain), WORDS_AT_ONCE):
             some = plain[lo:lo + WORDS_AT_ONCE]
-            ids = ids_of(f" {MARK} ".join([w.decode() for w in some]))
+            ids = ids_of(f" {MARK} ".join(some))
             ends = np.flatnonzero(ids == mark)
             data, lo_hi = ids.tobytes(), zip([0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), 4 * len(ids)])
             found.update(zip(some, [data[i:j] for i, j in lo_hi], strict=True))
         return found
 
-    def encode_one(text: str) -> np.ndarray:
-        words = text.encode().split()
-        ids = list(map(known.get, words))
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        words, numbers, ends = numbered(pc.ascii_split_whitespace(pa.array(texts, pa.large_string())))
+        if not len(words):
+            return [np.zeros(0, "<u4") for _ in texts]
+        parts = pa.concat_arrays(parts_of(words)).dictionary_encode()
+        names = parts.dictionary.to_pylist()
+        ids = known.find(names)
         if None in ids:
-            found = encode_new(list(dict.fromkeys(w for w, x in zip(words, ids) if x is None)))
-            if len(known) + len(found) > KNOWN_WORDS:
-                known.clear()
-            known.update((w, x) for w, x in found.items() if len(w) <= LONG_WORD)
-            ids = [found[w] if x is None else x for w, x in zip(words, ids)]
-        return np.frombuffer(b"".join(ids), "<u4")
+            found = encode_new([p for p, x in zip(names, ids) if x is None])
+            ids = [found[p] if x is None else x for p, x in zip(names, ids)]
+            known.add({p: x for p, x in found.items() if len(p) <= LONG_WORD})
+        of_parts = pa.array(ids, pa.large_binary())
+        firsts, seconds = (of_parts.take(parts.indices[lo:lo + len(words)]) for lo in (0, len(words)))
+        of_words = pc.binary_join_element_wise(firsts, seconds, pa.scalar(b"", pa.large_binary()))
+        _, places, data = of_words.take(numbers).buffers()  # the ids of all words in a row
+        places = np.frombuffer(places, "<i8", len(numbers) + 1) // 4
+        together = np.frombuffer(data, "<u4", int(places[-1]))
+        bounds = places[np.r_[0, ends]].tolist()
+        return [together[lo:hi] for lo, hi in zip(bounds, bounds[1:])]
 
-    return lambda texts: list(map(encode_one, texts))
+    return encode
 
 
 def pieces(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[np.ndarray]]], capacity: int = CAPACITY,
@@ -267,9 +293,9 @@ def pieces(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[np.
         encode = encoder()
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+        for batch in batches:  # bounded by bytes
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
                 made: list[list] = [[] for _ in range(6)]
                 for row, ids in enumerate(encode([t or "" for t in part.column("text").to_pylist()])):
                     ids = np.append(ids, np.uint32(end)).astype("<u4")
