@@ -133,3 +133,20 @@ def test_chunks_change_nothing():
     assert sum(map(len, got)) > 10 * len(texts)
     for cs, row in zip(got, want * 2):
         assert (sum(c.n_a for c in cs), sum(c.n_b for c in cs), ";".join(c.groups for c in cs)) == (row[0], row[1], row[6])
+
+
+def test_chunks_are_aligned_once_while_common(monkeypatch):
+    """Common chunks stay known while others come and go, and distinct chunks of many texts are looked up together."""
+    monkeypatch.setattr(token_align, "KNOWN_CHUNKS", 2000)
+    aligned = []
+    aligner = token_align.Aligner(*token_align.public_pair(), aligned.extend)
+    common = [f"common{k}" for k in range(200)]
+    texts = [" ".join([*common, *(f"once{k}x{i}" for i in range(300)), "a  b", "\nc"]) for k in range(20)] + [None, ""]
+    for lo in range(0, len(texts), 2):
+        some = texts[lo:lo + 2]
+        table, numbers, ends = aligner.many(some)
+        assert len(set(map(id, table))) == len(table)
+        found = [[table[k] for k in part] for part in np.split(numbers, ends[:-1])]
+        for cs, row in zip(found, plain(some), strict=True):
+            assert (sum(c.n_a for c in cs), sum(c.n_b for c in cs), ";".join(c.groups for c in cs)) == (row[0], row[1], row[6])
+    assert len(aligned) == 200 + 20 * 300 + 1  # the last: a  b \nc

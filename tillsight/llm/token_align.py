@@ -31,11 +31,11 @@ from __future__ import annotations
 import os
 import re
 import uuid
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +43,10 @@ from pyspark.sql import functions as F
 from tillsight.llm.bpe import byte_symbols
 from tillsight.llm.scan import mix
 from tillsight.llm.staging import prepare, read, stage
+from tillsight.llm.words import Recent, numbered
 
+#: Texts split together.
+DOCS_AT_ONCE = 500
 #: A task remembers at most so many chunks, none longer than LONG_CHUNK characters.
 KNOWN_CHUNKS = 500_000
 LONG_CHUNK = 64
@@ -51,8 +54,7 @@ CHUNKS_AT_ONCE = 2000
 SHARD_PAIRS = 1 << 15
 PAIRS_AT_ONCE = 1 << 21
 FAN_IN = 16
-#: A task hands its counted pairs on when it has met so many chunks, or chunks with so many links were new.
-HELD_CHUNKS = 300_000
+#: A task adds up its counted pairs when it holds so many, and hands them on if half as many are left.
 HELD_PAIRS = 1 << 20
 #: Places of a level's bit table for each key.
 SPREAD = 2.0
@@ -134,60 +136,86 @@ class Aligner:
     before what they encode, so the space that is cut away comes back as the first byte
     of the next chunk, and neither has a token in which a space follows another
     character: so both have a token end before it, and a text's alignment is that of its
-    chunks, one after the other.  A chunk is aligned once, until KNOWN_CHUNKS are known
-    and the table starts anew.  ``finish`` is called with new chunks.
+    chunks, one after the other.  Texts are split many at a time and each of their distinct
+    chunks is looked up once; those that are not among the KNOWN_CHUNKS met last are aligned.
+    ``finish`` is called with new chunks.
     """
 
     CAREFUL = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, first: Tokens, second: Tokens, finish: Callable[[list[Chunk]], None] = lambda chunks: None):
         self.first, self.second, self.finish = first, second, finish
-        self.known: dict[str, Chunk] = {}
+        self.known = Recent(KNOWN_CHUNKS)  # by name, see name()
         self.any_lost = False
-        self.links = 0  # of all chunks aligned so far
         # strings of ids with what follows them: , within a side, | after A's, ; after B's, end of the chunk
         n = self.n_ids = max(len(first.spelled), len(second.spelled))
         self.strings = [f"{i}{sep}" for sep in ",|;\n" for i in range(n)]
 
     def chunks(self, text: str | None) -> list[Chunk]:
         """The chunks of a text; none if it is null, empty or not given back byte for byte."""
-        if not text:
-            return []
-        found = text.split(" ")
-        got = list(map(self.known.get, found))
-        if None in got:
-            new = [p for p, c in zip(found, got) if c is None]
-            if "" in new or any(p[0].isspace() or p[-1].isspace() for p in new):
-                found = self.CAREFUL.split(text)
-                new = [p for p in found if p not in self.known]
-            if len(self.known) + len(new) > KNOWN_CHUNKS:
-                self.known.clear()
-                new = found
-            plain, alone = [], []
-            for p in dict.fromkeys(new):
-                (alone if p[0].isspace() or p[-1].isspace() else plain).append(p)
-            for lo in range(0, len(plain), CHUNKS_AT_ONCE):
-                self.align(plain[lo:lo + CHUNKS_AT_ONCE])
-            for p in alone:
-                self.align([p])
-            got = list(map(self.known.__getitem__, found))
-            for p in new:
-                if len(p) > LONG_CHUNK:
-                    del self.known[p]
-        return [] if self.any_lost and LOST in got else got
-
-    def align(self, texts: list[str]) -> None:
+        table, numbers, _ = self.many([text])
+        return [table[k] for k in numbers.tolist()]
+
+    def many(self, texts: list[str | None]) -> tuple[list[Chunk], np.ndarray, np.ndarray]:
+        """The distinct chunks of some texts, the number of each text's chunks among them one text after
+        the other, and where each text's end."""
+        words, numbers, ends = numbered(pc.split_pattern(pa.array(texts, pa.large_string()), " "))
+        names, numbers = words.to_pylist(), numbers.to_numpy()
+        found = self.known.find(names)
+        if None in found:
+            odd = [k for k, (p, c) in enumerate(zip(names, found)) if c is None and (not p or p[0].isspace() or p[-1].isspace())]
+            if odd:
+                names, numbers, ends = self.cut_with_care(texts, names, numbers, ends, odd)
+                found = self.known.find(names)
+            found = self.completed(names, found)
+        if self.any_lost and LOST in found:
+            lost = np.array([c is LOST for c in found])[numbers]
+            sizes = np.diff(ends, prepend=0)
+            of_text = np.repeat(np.arange(len(texts)), sizes)
+            bad = np.bincount(of_text[lost], minlength=len(texts)) > 0
+            numbers, ends = numbers[~bad[of_text]], np.cumsum(np.where(bad, 0, sizes))
+        return found, numbers, ends
+
+    def cut_with_care(self, texts: list[str | None], names: list[str], numbers: np.ndarray, ends: np.ndarray,
+                      odd: list[int]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """As ``many`` split them, but texts with an ``odd`` word, which a split at each space must not give, by CAREFUL."""
+        place = {p: k for k, p in enumerate(names)}
+        cut = np.split(numbers, ends[:-1])
+        for d in np.unique(np.searchsorted(ends, np.flatnonzero(np.isin(numbers, odd)), side="right")).tolist():
+            parts = self.CAREFUL.split(texts[d]) if texts[d] else []
+            cut[d] = np.array([place.setdefault(self.name(p), len(place)) for p in parts], np.int64)
+        names = list(place)
+        used, numbers = np.unique(np.concatenate(cut), return_inverse=True)
+        return [names[k] for k in used.astype(np.int64).tolist()], numbers, np.cumsum([len(c) for c in cut], dtype=np.int64)
+
+    @staticmethod
+    def name(chunk: str) -> str:
+        """The chunk, after a space if white space is at either end: so no word of a split at each space has its name."""
+        return " " + chunk if chunk[0].isspace() or chunk[-1].isspace() else chunk
+
+    def completed(self, names: list[str], found: list[Chunk | None]) -> list[Chunk]:
+        """``found`` with the chunks that were not known aligned."""
+        new = [p for p, c in zip(names, found) if c is None]
+        plain, made = [p for p in new if p[0] != " "], {}
+        for lo in range(0, len(plain), CHUNKS_AT_ONCE):
+            some = plain[lo:lo + CHUNKS_AT_ONCE]
+            made.update(zip(some, self.align(some), strict=True))
+        for p in new:
+            if p[0] == " ":
+                made[p], = self.align([p[1:]])
+        self.known.add({p: c for p, c in made.items() if len(p) <= LONG_CHUNK})
+        return [made[p] if c is None else c for p, c in zip(names, found)]
+
+    def align(self, texts: list[str]) -> list[Chunk]:
         """Align new chunks, all in one go: joined by spaces they are cut as each of them is."""
         joined = " ".join(texts)
         a, b = self.first.encode(joined), self.second.encode(joined)
         whole = (" " + joined).encode()
         if self.first.text(a) != whole or self.second.text(b) != whole:
             if len(texts) == 1:
-                self.known[texts[0]], self.any_lost = LOST, True
-            else:
-                self.align(texts[:len(texts) // 2])
-                self.align(texts[len(texts) // 2:])
-            return
+                self.any_lost = True
+                return [LOST]
+            return self.align(texts[:len(texts) // 2]) + self.align(texts[len(texts) // 2:])
         at_a, at_b = np.cumsum(self.first.size[a]), np.cumsum(self.second.size[b])
         _, last_a, last_b = np.intersect1d(at_a, at_b, assume_unique=True, return_indices=True)
         ends = np.cumsum([len(t.encode()) + 1 for t in texts])
@@ -199,14 +227,13 @@ class Aligner:
         codes = np.concatenate([after_a * self.n_ids + a, after_b * self.n_ids + b])[order]
         groups = "".join(map(self.strings.__getitem__, codes.tolist())).split("\n")
         pairs = (a[last_a] << 32) | b[last_b]
-        self.links += len(pairs)
         made, lo = [], 0
-        for text, n_a, n_b, hi, said in zip(texts, np.diff(end_a, prepend=0).tolist(), np.diff(end_b, prepend=0).tolist(),
-                                            (np.searchsorted(last_a, end_a - 1) + 1).tolist(), groups):
+        for n_a, n_b, hi, said in zip(np.diff(end_a, prepend=0).tolist(), np.diff(end_b, prepend=0).tolist(),
+                                      (np.searchsorted(last_a, end_a - 1) + 1).tolist(), groups):
             made.append(Chunk(n_a, n_b, pairs[lo:hi], said))
-            self.known[text] = made[-1]
             lo = hi
         self.finish(made)
+        return made
 
 
 _kept: dict[str, Aligner] = {}
@@ -308,36 +335,41 @@ class Shards:
 # ---------------------------------------------------------------- passes
 
 
+def added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys with a count, and the sum of each one's counts."""
+    keys, at = np.unique(keys, return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, at, counts)
+    return keys[total > 0], total[total > 0]
+
+
 def counted_pairs(docs: DataFrame, load: Callable[[], tuple[Tokens, Tokens]]) -> DataFrame:
     """First pass: (task, pair, n), a task's distinct pairs with their links (a task may list a pair again)."""
     run_id = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        seen: Counter[Chunk] = Counter()
         aligner = kept_aligner(run_id, lambda: Aligner(*load()))
-        mark = aligner.links
-
-        def out() -> Iterator[pa.RecordBatch]:
-            keys = np.concatenate([c.pairs for c in seen])
-            unique, at = np.unique(keys, return_inverse=True)
-            times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [c.n for c in seen])
-            counts = np.zeros(len(unique), np.int64)
-            np.add.at(counts, at, times)
-            seen.clear()
-            for lo in range(0, len(unique), 100_000):
-                k, n = unique[lo:lo + 100_000], counts[lo:lo + 100_000]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(keys), 100_000):
+                k, n = keys[lo:lo + 100_000], counts[lo:lo + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), task, np.int32)), pa.array(k), pa.array(n)],
                                                  names=["task", "pair", "n"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(aligner.chunks(text.as_py()))
-                if len(seen) > HELD_CHUNKS or aligner.links - mark > HELD_PAIRS:
-                    yield from out()
-                    mark = aligner.links
-        if seen:
-            yield from out()
+            for lo in range(0, batch.num_rows, DOCS_AT_ONCE):
+                table, numbers, _ = aligner.many(batch.column("text").slice(lo, DOCS_AT_ONCE).to_pylist())
+                if len(numbers):
+                    times = np.bincount(numbers, minlength=len(table))
+                    held.append(added_up(np.concatenate([c.pairs for c in table]), np.repeat(times, [c.n for c in table])))
+                if sum(len(keys) for keys, _ in held) > HELD_PAIRS:
+                    held = [added_up(*map(np.concatenate, zip(*held)))]
+                    if len(held[0][0]) > HELD_PAIRS // 2:
+                        yield from out(*held.pop())
+        if held:
+            yield from out(*added_up(*map(np.concatenate, zip(*held))))
 
     return docs.select("text").mapInArrow(run, "task int, pair long, n long")
 
@@ -477,21 +509,30 @@ def _looked_up(frame: DataFrame, load, shared, last: bool, kind: str) -> DataFra
 
         aligner = kept_aligner(run_id, make)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                found = [aligner.chunks(t) for t in part.column("text").to_pylist()]
-                n_best = pa.array([n + sum([c.best for c in cs]) for n, cs in zip(part.column("n_best").to_pylist(), found)], pa.int64())
-                total = pa.array([n + sum([c.total for c in cs]) for n, cs in zip(part.column("count_sum").to_pylist(), found)], pa.int64())
-                if last:
-                    links = pa.array([sum([c.n for c in cs]) for cs in found], pa.int64())
-                    columns = [part.column("doc_id"), pa.array([sum([c.n_a for c in cs]) for cs in found], pa.int64()),
-                               pa.array([sum([c.n_b for c in cs]) for cs in found], pa.int64()), links, links, n_best, total,
-                               pa.array([";".join([c.groups for c in cs]) for cs in found], pa.string())]
-                    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
-                else:
-                    columns = [part.column("doc_id"), part.column("text"), n_best, total]
-                    names = ["doc_id", "text", "n_best", "count_sum"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
+                table, numbers, ends = aligner.many(part.column("text").to_pylist())
+                bounds = np.r_[0, ends]
+
+                def sums(values: list[int]) -> np.ndarray:
+                    return np.diff(np.r_[0, np.cumsum(np.array(values, np.int64)[numbers])][bounds])
+
+                n_best, total = (pa.array(part.column(name).to_numpy() + sums(values)) for name, values in (
+                    ("n_best", [c.best for c in table]), ("count_sum", [c.total for c in table])))
+                if not last:
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), n_best, total],
+                                                     names=["doc_id", "text", "n_best", "count_sum"])
+                    continue
+                n_a, n_b, links = (pa.array(sums(values)) for values in (
+                    [c.n_a for c in table], [c.n_b for c in table], [c.n for c in table]))
+                said = pa.array([c.groups for c in table], pa.large_string())
+                for lo in range(0, part.num_rows, 64):  # so that few long strings go to the JVM at a time
+                    some = bounds[lo:lo + 65]
+                    lists = pa.LargeListArray.from_arrays(some - some[0], said.take(pa.array(numbers[some[0]:some[-1]])))
+                    groups = pc.binary_join(lists, pa.scalar(";", pa.large_string())).cast(pa.string())
+                    rows = [c.slice(lo, 64) for c in (part.column("doc_id"), n_a, n_b, links, links, n_best, total)]
+                    yield pa.RecordBatch.from_arrays([*rows, groups], names=["doc_id", "n_a", "n_b", "n_groups", "n_links",
+                                                                             "n_best", "count_sum", "groups"])
 
     return frame.mapInArrow(run, schema)
 
