@@ -46,7 +46,7 @@ from tillsight.llm.staging import prepare, read, stage
 from tillsight.llm.words import Recent, numbered
 
 #: Texts split together.
-DOCS_AT_ONCE = 500
+DOCS_AT_ONCE = 1000
 #: A task remembers at most so many chunks, none longer than LONG_CHUNK characters.
 KNOWN_CHUNKS = 500_000
 LONG_CHUNK = 64
@@ -138,13 +138,15 @@ class Aligner:
     character: so both have a token end before it, and a text's alignment is that of its
     chunks, one after the other.  Texts are split many at a time and each of their distinct
     chunks is looked up once; those that are not among the KNOWN_CHUNKS met last are aligned.
-    ``finish`` is called with new chunks.
+    ``finish`` is called with new chunks.  ``counts_only``: chunks get their pairs alone, no
+    numbers of tokens and no groups.
     """
 
     CAREFUL = re.compile(r"(?<=\S) (?=\S)")
 
-    def __init__(self, first: Tokens, second: Tokens, finish: Callable[[list[Chunk]], None] = lambda chunks: None):
-        self.first, self.second, self.finish = first, second, finish
+    def __init__(self, first: Tokens, second: Tokens, finish: Callable[[list[Chunk]], None] = lambda chunks: None,
+                 counts_only: bool = False):
+        self.first, self.second, self.finish, self.counts_only = first, second, finish, counts_only
         self.known = Recent(KNOWN_CHUNKS)  # by name, see name()
         self.any_lost = False
         # strings of ids with what follows them: , within a side, | after A's, ; after B's, end of the chunk
@@ -163,7 +165,8 @@ class Aligner:
         names, numbers = words.to_pylist(), numbers.to_numpy()
         found = self.known.find(names)
         if None in found:
-            odd = [k for k, (p, c) in enumerate(zip(names, found)) if c is None and (not p or p[0].isspace() or p[-1].isspace())]
+            new = [k for k, c in enumerate(found) if c is None]
+            odd = [k for k in new if not (p := names[k]) or p[0].isspace() or p[-1].isspace()]
             if odd:
                 names, numbers, ends = self.cut_with_care(texts, names, numbers, ends, odd)
                 found = self.known.find(names)
@@ -220,16 +223,20 @@ class Aligner:
         _, last_a, last_b = np.intersect1d(at_a, at_b, assume_unique=True, return_indices=True)
         ends = np.cumsum([len(t.encode()) + 1 for t in texts])
         end_a, end_b = np.searchsorted(at_a, ends) + 1, np.searchsorted(at_b, ends) + 1
+        pairs = (a[last_a] << 32) | b[last_b]
+        his = (np.searchsorted(last_a, end_a - 1) + 1).tolist()
+        if self.counts_only:
+            made = [Chunk(0, 0, pairs[lo:hi], "") for lo, hi in zip([0, *his], his)]
+            self.finish(made)
+            return made
         after_a, after_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         after_a[last_a], after_b[last_b], after_b[end_b - 1] = 1, 2, 3
         group_a, group_b = np.searchsorted(last_a, np.arange(len(a))), np.searchsorted(last_b, np.arange(len(b)))
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         codes = np.concatenate([after_a * self.n_ids + a, after_b * self.n_ids + b])[order]
         groups = "".join(map(self.strings.__getitem__, codes.tolist())).split("\n")
-        pairs = (a[last_a] << 32) | b[last_b]
         made, lo = [], 0
-        for n_a, n_b, hi, said in zip(np.diff(end_a, prepend=0).tolist(), np.diff(end_b, prepend=0).tolist(),
-                                      (np.searchsorted(last_a, end_a - 1) + 1).tolist(), groups):
+        for n_a, n_b, hi, said in zip(np.diff(end_a, prepend=0).tolist(), np.diff(end_b, prepend=0).tolist(), his, groups):
             made.append(Chunk(n_a, n_b, pairs[lo:hi], said))
             lo = hi
         self.finish(made)
@@ -349,7 +356,7 @@ def counted_pairs(docs: DataFrame, load: Callable[[], tuple[Tokens, Tokens]]) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        aligner = kept_aligner(run_id, lambda: Aligner(*load()))
+        aligner = kept_aligner(run_id, lambda: Aligner(*load(), counts_only=True))
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
