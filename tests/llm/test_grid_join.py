@@ -90,3 +90,55 @@ def test_edges(spark):
     assert got == sorted(brute(rows, 0.9), key=str)
     assert g.join_vectors(df.filter(F.lit(False))).count() == 0
     assert g.join_vectors(df.filter("vec_id = 5")).count() == 1
+
+
+def all_pairs(x, y, cosine):
+    return {(i, j) for i, p in enumerate(x) for j, q in enumerate(y) if p @ q / (np.sqrt(p @ p) * np.sqrt(q @ q)) >= cosine}
+
+
+def test_blocks_of_several_leaves():
+    rng = np.random.default_rng(4)
+    for dim, n in ((24, 600), (64, 300)):
+        near = rng.normal(size=dim) + rng.normal(size=(400, dim)) * 0.1
+        far = rng.normal(size=(2, n, dim))
+        sides = [np.r_[x[:100], near[k::2], x[100:]].astype(kind) for k, (x, kind) in enumerate(zip(far, ("<f4", "<f8")))]
+        axes = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+        a, b = (g.Block(np.arange(len(x)).astype("<i8").tobytes(), np.ones(len(x), "<i8").tobytes(), x.tobytes(), axes, 8)
+                for x in sides)
+        for cosine in (0.5, 0.9):
+            got = [p for i, j in g.linked(a, b, cosine, (2 - 2 * cosine) ** 0.5) for p in zip(i.tolist(), j.tolist())]
+            want = all_pairs(*(x.astype(float) for x in sides), cosine)
+            assert len(got) == len(set(got)) and set(got) == want and len(want) > 1000
+
+
+def test_chain_through_many_blocks(spark):
+    rng = np.random.default_rng(6)
+    turn = np.arange(150) * 0.35  # cos 0.35 is over 0.9, cos 0.7 is not; a spiral, so that turns do not meet
+    height = np.arange(150) * 0.2 - 15
+    spiral = np.c_[np.cos(turn) * 10, np.sin(turn) * 10, height]
+    ids = rng.permutation(5000)[:600]
+    rows = [(int(k), [float(x) for x in v]) for k, v in zip(ids, np.r_[spiral, spiral * 2, rng.normal(size=(300, 3))])]
+    rows += [(9000, [0.0, 1.0, 0.0]), (9001, [-0.0, 1.0, 0.0]), (9000, [0.0, 1.0, 0.0]), (9002, [1e200, 0.0, 0.0]), (9003, [1e-200, 0.0, 0.0])]
+    for cosine in (0.9, 0.999):
+        got = g.join_vectors(spark.createDataFrame(rows, "vec_id long, v array<double>"), cosine=cosine, block=30)
+        scaled = [(k, [x / max(map(abs, v)) for x in v]) for k, v in rows]
+        assert sorted(map(tuple, got.collect())) == sorted(brute(scaled, cosine))
+
+
+def test_vectors_of_pairs_are_not_shuffled(spark):
+    vectors = [(k, 1, [float(x) for x in v]) for k, v in enumerate(np.random.default_rng(8).normal(size=(600, 16)))]
+    rows = spark.createDataFrame(vectors, "id long, copies long, v array<float>")
+    eps, axes = (2 - 2 * 0.9) ** 0.5, g.directions(rows, 16, 16)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+    try:
+        sequence = g.blocks(rows, 16, eps, axes[:, :8], 50)
+        pairs = g.near_pairs(sequence, eps)
+        assert pairs.count() > 2 * sequence.count()
+        met = g.compare(sequence, pairs, axes, 0.9, eps)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x] == []
+        assert sequence.schema["raw"].dataType.simpleString() == "binary"
+        assert sequence.agg(F.sum(F.length("raw"))).first()[0] == 600 * 16 * 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

@@ -6,13 +6,19 @@ vectors), and sorted by the grid cells, of side eps, of those coordinates: the
 epsilon grid order.  The sorted sequence is cut into blocks of BLOCK vectors.
 Intervals of blocks are joined recursively from the whole sequence down: a pair of
 intervals whose boxes lie farther apart than eps holds no link and is skipped, the
-others are joined by parent down to pairs of blocks.  A task that gets a pair of
-blocks goes on halving both in the same way, then compares what is left by a matrix
-product.  Products near the threshold are computed anew in double precision.
-
-Equal vectors are one vertex with a number of copies.  A pair of blocks gives link
-counts and a spanning set of links for each vector, never all its pairs, so results
-grow with blocks and not with the square of a group.
+others are joined by parent down to pairs of blocks.  The blocks of a pair are never
+shuffled: a task reads two runs of the staged sequence and meets their pairs, so disk
+follows the number of vectors and not the number of pairs.  A pair of blocks is cut
+into leaves, and leaves whose boxes are distant are skipped too.  What is left is
+bounded by a matrix product over the first half of all principal directions (what two
+unit vectors share in the others is at most the product of their lengths there); only
+pairs that may reach the threshold get their whole product, and products near the
+threshold are computed anew in double precision.
+
+Equal vectors are one vertex with a number of copies; rows find their vertex by two
+64-bit hashes of the vector.  A task gives one link count for each vector it has, and
+a spanning set of links, never all pairs, so results do not grow with the square of a
+group.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without vec_id, link with nothing; vectors of unequal length do
@@ -33,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillsight.llm.components import components
-from tillsight.llm.staging import prepare, read, stage
+from tillsight.llm.staging import SMALL_ROWS, join_small, prepare, read, stage
 
 COSINE = 0.9
 LEAD = 8
@@ -42,6 +48,13 @@ LEAF = 256
 FAN_OUT = 8
 #: Products of unit vectors in single precision are this near to the cosine.
 SLACK = 1e-4
+#: Blocks in a range of the sorted sequence; only the last of a range is not full.
+RANGE_BLOCKS = 4
+#: A task meets two runs of blocks of about so many bytes; there are TILES runs at least, if there are as many files.
+TILE_BYTES = 32 << 20
+TILES = 16
+#: Numbers of one side that are gathered at once for the products of single pairs.
+PIECE = 1 << 20
 
 
 def usable(v: Column) -> Column:
@@ -75,10 +88,10 @@ def directions(vectors: DataFrame, dim: int, lead: int) -> np.ndarray:
     return vectors_[:, ::-1][:, :lead]
 
 
-def blocks(vectors: DataFrame, dim: int, eps: float, axes: np.ndarray, block: int) -> DataFrame:
+def blocks(vectors: DataFrame, dim: int, eps: float, axes: np.ndarray, block: int, rows: int | None = None) -> DataFrame:
     """The sorted sequence in blocks: pos, n, ids, copies, raw (bytes), lo*, hi* of the coordinates."""
     k = axes.shape[1]
-    coords, cells = [f"x{i}" for i in range(k)], [f"c{i}" for i in range(k)]
+    coords = [f"x{i}" for i in range(k)]
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,12 +100,11 @@ def blocks(vectors: DataFrame, dim: int, eps: float, axes: np.ndarray, block: in
                                              names=[*batch.schema.names, *coords])
 
     kind = vectors.schema["v"].dataType.simpleString()
+    number = "<f4" if kind == "array<float>" else "<f8"
     placed = vectors.select("id", "copies", "v").mapInArrow(
         project, ", ".join(["id long", "copies long", f"v {kind}", *(f"{x} double" for x in coords)]))
-    placed = placed.select("*", *(F.floor(F.col(x) / eps).alias(c) for x, c in zip(coords, cells)))
-    placed = stage(placed, "grid-placed")
-    parts = max(1, min(placed.count() // block, 4096))
-    order = [*cells, *coords, "id"]
+    parts = max(1, min((vectors.count() if rows is None else rows) // (block * RANGE_BLOCKS), 4096))
+    order = [*(F.floor(F.col(x) / eps) for x in coords), *coords, "id"]
     placed = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +115,7 @@ def blocks(vectors: DataFrame, dim: int, eps: float, axes: np.ndarray, block: in
             x = np.column_stack([rows.column(c).to_numpy() for c in coords])
             raw = matrix(rows.column("v").combine_chunks(), dim)
             cols = [part, seq, len(rows), rows.column("id").to_numpy().astype("<i8").tobytes(),
-                    rows.column("copies").to_numpy().astype("<i8").tobytes(), raw.astype("<f8").tobytes(),
+                    rows.column("copies").to_numpy().astype("<i8").tobytes(), raw.astype(number).tobytes(),
                     *x.min(0).tolist(), *x.max(0).tolist()]
             return pa.RecordBatch.from_arrays([pa.array([c]) for c in cols], names=names)
 
@@ -121,27 +133,28 @@ def blocks(vectors: DataFrame, dim: int, eps: float, axes: np.ndarray, block: in
     names = ["part", "seq", "n", "ids", "copies", "raw", *los, *his]
     cut_blocks = stage(placed.select("id", "copies", "v", *coords).mapInArrow(cut, ", ".join(
         ["part long", "seq long", "n long", "ids binary", "copies binary", "raw binary",
-         *(f"{c} double" for c in (*los, *his))])), "grid-cut")
-    offsets = (cut_blocks.groupBy("part").agg(F.count("*").alias("k"))
-               .withColumn("first", F.sum("k").over(Window.orderBy("part")) - F.col("k")).drop("k"))
-    return stage(cut_blocks.join(offsets, "part").withColumn("pos", F.col("first") + F.col("seq"))
-                 .drop("part", "seq", "first"), "grid-blocks")
+         *(f"{c} double" for c in (*los, *his))])), "grid-blocks")
+    offsets = stage(cut_blocks.groupBy("part").agg(F.count("*").alias("k")).withColumn(
+        "first", F.sum("k").over(Window.orderBy("part")) - F.col("k")).drop("k"), "grid-offsets")
+    return cut_blocks.join(F.broadcast(offsets), "part").withColumn("pos", F.col("first") + F.col("seq")).drop(
+        "part", "seq", "first")
 
 
 def near_pairs(sequence: DataFrame, eps: float, fan_out: int = FAN_OUT) -> DataFrame:
     """Pairs (a, b), a <= b, of blocks that may hold a link, by recursive interval joins."""
     los = [c for c in sequence.columns if c.startswith("lo")]
     his = [c for c in sequence.columns if c.startswith("hi")]
-    levels = [sequence.select("pos", *los, *his)]
-    top = sequence.agg(F.max("pos")).first()[0] or 0
+    levels = [stage(sequence.select("pos", *los, *his), "grid-level")]
+    top = levels[0].agg(F.max("pos")).first()[0] or 0
+    small = F.broadcast if top < SMALL_ROWS else lambda side: side
     while top > 0:
         levels.append(stage(levels[-1].groupBy(F.floor(F.col("pos") / fan_out).alias("pos")).agg(
             *(F.min(c).alias(c) for c in los), *(F.max(c).alias(c) for c in his)), "grid-level"))
         top //= fan_out
     pairs = levels[-1].select(F.col("pos").alias("a"), F.col("pos").alias("b"))
     for level in reversed(levels[:-1]):
-        sides = [level.select(F.floor(F.col("pos") / fan_out).alias(p), F.col("pos").alias(f"{p}_child"),
-                              *(F.col(c).alias(f"{p}_{c}") for c in (*los, *his))) for p in "ab"]
+        sides = [small(level.select(F.floor(F.col("pos") / fan_out).alias(p), F.col("pos").alias(f"{p}_child"),
+                                    *(F.col(c).alias(f"{p}_{c}") for c in (*los, *his)))) for p in "ab"]
         gaps = [F.greatest(F.lit(0.0), F.col(f"a_{lo}") - F.col(f"b_{hi}"), F.col(f"b_{lo}") - F.col(f"a_{hi}"))
                 for lo, hi in zip(los, his)]
         near = sum((g * g for g in gaps), F.lit(0.0)) <= (eps + 1e-6) ** 2
@@ -151,79 +164,169 @@ def near_pairs(sequence: DataFrame, eps: float, fan_out: int = FAN_OUT) -> DataF
     return pairs
 
 
-def linked(a: np.ndarray, b: np.ndarray, axes_a: np.ndarray, axes_b: np.ndarray, raw_a: np.ndarray,
-           raw_b: np.ndarray, cosine: float, eps: float, out: np.ndarray) -> None:
-    """Marks in ``out`` the links of two intervals, halving both while their boxes are near."""
-    gap = np.maximum(0, np.maximum(axes_a.min(0) - axes_b.max(0), axes_b.min(0) - axes_a.max(0)))
-    if (gap * gap).sum() > (eps + 1e-6) ** 2:
-        return
-    if max(len(a), len(b)) > LEAF:
-        cuts_a = [slice(0, len(a) // 2), slice(len(a) // 2, None)] if len(a) > LEAF else [slice(None)]
-        cuts_b = [slice(0, len(b) // 2), slice(len(b) // 2, None)] if len(b) > LEAF else [slice(None)]
-        for i in cuts_a:
-            for j in cuts_b:
-                linked(a[i], b[j], axes_a[i], axes_b[j], raw_a[i], raw_b[j], cosine, eps, out[i, j])
-        return
-    product = a @ b.T
-    np.greater_equal(product, cosine + SLACK, out=out)
-    i, j = np.nonzero((product >= cosine - SLACK) & ~out)
-    if len(i):
-        x, y = raw_a[i], raw_b[j]
-        dot = np.einsum("ij,ij->i", x, y)
-        size = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
-        out[i, j] = dot / size >= cosine
-
-
-def spanning(links: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, label) that connect what a block pair connects, one for each linked vector."""
-    rows, cols = np.nonzero(links)
-    low_a, low_b = ids_a.copy(), ids_b.copy()
+class Block:
+    """A block as a task compares it, with the link counts and labels found so far."""
+
+    def __init__(self, ids: bytes, copies: bytes, raw: bytes, axes: np.ndarray, lead: int):
+        self.ids, self.copies = np.frombuffer(ids, "<i8").copy(), np.frombuffer(copies, "<i8").copy()
+        dim = len(axes)
+        self.raw = np.frombuffer(raw, "<f4" if len(raw) < 8 * dim * len(self.ids) else "<f8").reshape(-1, dim).copy()
+        unit = units(self.raw.astype(np.float64))
+        places, half = unit @ axes, max(lead, dim // 2)
+        self.single = unit.astype(np.float32)
+        self.head = np.c_[places[:, :half], np.sqrt((places[:, half:] ** 2).sum(1))].astype(np.float32)
+        leaves = np.arange(0, len(self.ids), LEAF)
+        self.lo = np.minimum.reduceat(places[:, :lead], leaves)
+        self.hi = np.maximum.reduceat(places[:, :lead], leaves)
+        self.links, self.low = np.zeros(len(self.ids), np.int64), self.ids.copy()
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.flatnonzero(self.links)
+        return self.ids[at], self.links[at], self.low[at]
+
+
+def products(a: Block, b: Block, i: np.ndarray, j: np.ndarray, cosine: float) -> np.ndarray:
+    """Which of the pairs (i, j) are links."""
+    out = np.zeros(len(i), bool)
+    step = max(1, PIECE // a.raw.shape[1])
+    for lo in range(0, len(i), step):
+        p, q = i[lo:lo + step], j[lo:lo + step]
+        product = np.einsum("ij,ij->i", a.single[p], b.single[q])
+        sure = product >= cosine + SLACK
+        at = np.flatnonzero((product >= cosine - SLACK) & ~sure)
+        if len(at):
+            x, y = a.raw[p[at]].astype(np.float64), b.raw[q[at]].astype(np.float64)
+            dot = np.einsum("ij,ij->i", x, y)
+            size = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
+            sure[at] = dot / size >= cosine
+        out[lo:lo + step] = sure
+    return out
+
+
+def linked(a: Block, b: Block, cosine: float, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (i, j) of two blocks, a leaf of the first at a time with all leaves of the second that are near."""
+    gap = np.maximum(0, np.maximum(a.lo[:, None] - b.hi, b.lo - a.hi[:, None]))
+    near = (gap * gap).sum(2) <= (eps + 1e-6) ** 2
+    space = np.empty((LEAF, len(b.ids)), np.float32)
+    for leaf in np.flatnonzero(near.any(1)):
+        rows, some = slice(leaf * LEAF, min((leaf + 1) * LEAF, len(a.ids))), None
+        if not near[leaf].all():
+            some = np.flatnonzero(np.repeat(near[leaf], LEAF)[:len(b.ids)])
+        head, single = (b.head, b.single) if some is None else (b.head[some], b.single[some])
+        bound = np.matmul(a.head[rows], head.T, out=space[:rows.stop - rows.start, :len(head)])
+        if bound.max() < cosine - SLACK:
+            continue
+        at = np.flatnonzero(bound >= cosine - SLACK)
+        if len(at) > bound.size // 16:  # too many to gather: all products, then those that may reach the threshold
+            product = a.single[rows] @ single.T
+            links = product >= cosine + SLACK
+            at = np.flatnonzero((product >= cosine - SLACK) & ~links)
+            i, j = np.divmod(at, len(head))
+            sure = products(a, b, i + rows.start, j if some is None else some[j], cosine)
+            links[i[sure], j[sure]] = True
+            i, j = np.nonzero(links)
+            i, j = i + rows.start, j if some is None else some[j]
+        else:
+            i, j = np.divmod(at, len(head))
+            i, j = i + rows.start, j if some is None else some[j]
+            sure = products(a, b, i, j, cosine)
+            i, j = i[sure], j[sure]
+        if len(i):
+            yield i, j
+
+
+def spanning(a: Block, b: Block, i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
+    """Gives linked vectors the smallest label that links reach; returns what tied the old labels to the new (pairs)."""
+    if (a.low[i] == b.low[j]).all():
+        return []
+    sides = [(block, at, block.low[at]) for block, at in ((a, np.unique(i)), (b, np.unique(j)))]
     while True:
-        was = low_a.sum(), low_b.sum()
-        np.minimum.at(low_b, cols, low_a[rows])
-        np.minimum.at(low_a, rows, low_b[cols])
-        if (low_a.sum(), low_b.sum()) == was:
+        low = np.minimum(a.low[i], b.low[j])
+        if (a.low[i] == low).all() and (b.low[j] == low).all():
             break
-    some_a, some_b = np.unique(rows), np.unique(cols)
-    return np.r_[ids_a[some_a], ids_b[some_b]], np.r_[low_a[some_a], low_b[some_b]]
+        np.minimum.at(a.low, i, low)
+        np.minimum.at(b.low, j, low)
+    # a label that is the vector's own id needs no tie: the vector's last label ties it
+    return [np.unique(np.c_[was, block.low[at]][(was != block.low[at]) & (was != block.ids[at])], axis=0)
+            for block, at, was in sides]
+
+
+def partners(pairs: DataFrame) -> DataFrame:
+    """(pos, met): for the first block of pairs, a bit for each second block, 64 in an entry of ``met``.
+
+    The sum of both numbers says which block is first, so that all parts of the
+    sequence come first for as many pairs as second.
+    """
+    odd = (F.col("a") + F.col("b")) % 2 == 1
+    dealt = pairs.select(F.when(odd, F.col("a")).otherwise(F.col("b")).alias("pos"),
+                         F.when(odd, F.col("b")).otherwise(F.col("a")).alias("other"))
+    words = dealt.groupBy("pos", F.expr("other div 64").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(other % 64 as int)))").alias("bits"))
+    return stage(words.groupBy("pos").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("met")),
+                 "grid-partners")
 
 
 def compare(sequence: DataFrame, pairs: DataFrame, axes: np.ndarray, cosine: float, eps: float) -> DataFrame:
-    """Rows (id, links, label) of every pair of blocks: copies linked to id, and a link that connects it."""
-    sides = [sequence.select(F.col("pos").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("ids", "copies", "raw")))
-             for p in "ab"]
-    shipped = pairs.join(sides[0], "a").join(sides[1], "b")
-    dim = len(axes)
+    """Rows (id, links, label) from every task: copies linked to id, and a link that connects it.
+
+    The sequence is read in runs of about TILE_BYTES, and each task meets two of
+    them; nothing is shuffled, only the bits of ``partners`` are sent to all tasks.
+    """
+    lead = sum(c.startswith("lo") for c in sequence.columns)
+    kept = sequence.select("pos", "ids", "copies", "raw")
+    size = kept.agg(F.sum(F.length("raw"))).first()[0] or 0
+    runs = kept.coalesce(max(TILES, -(-size // TILE_BYTES)))
+    first = runs.join(F.broadcast(partners(pairs)), "pos").select(
+        *(F.col(c).alias(f"a_{c}") for c in kept.columns), "met")
+    second = runs.select(*(F.col(c).alias(f"b_{c}") for c in kept.columns))
+    met = first.join(second.hint("shuffle_replicate_nl"), F.expr(
+        "getbit(try_element_at(met, b_pos div 64), cast(b_pos % 64 as int)) = 1"))  # no projection: it would copy both blocks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def opened(batch: pa.RecordBatch, row: int, side: str) -> Block:
+            return Block(*(batch.column(f"{side}_{c}")[row].as_buffer() for c in ("ids", "copies", "raw")), axes, lead)
+
+        def rows(*cols: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["id", "links", "label"])
+
+        def tied() -> pa.RecordBatch:
+            both = np.unique(np.concatenate(ties), axis=0)
+            ties.clear()
+            return rows(both[:, 0], np.zeros(len(both)), both[:, 1])
+
+        a_pos, a, held, size, ties = None, None, {}, 0, []
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = [np.frombuffer(row[f"{p}_ids"], "<i8") for p in "ab"]
-                copies = [np.frombuffer(row[f"{p}_copies"], "<i8") for p in "ab"]
-                raw = [np.frombuffer(row[f"{p}_raw"], "<f8").reshape(-1, dim) for p in "ab"]
-                unit = [units(r) for r in raw]
-                places = [u @ axes for u in unit]
-                single = [u.astype(np.float32) for u in unit]
-                links = np.zeros((len(ids[0]), len(ids[1])), bool)
-                linked(*single, *places, *raw, cosine, eps, links)
-                if row["a"] == row["b"]:
-                    links |= links.T
-                    np.fill_diagonal(links, False)
-                if not links.any():
-                    continue
-                node, label = spanning(links, *ids)
-                counts = {}
-                for k, side, far in ((0, links, 1), (1, links.T, 0))[:1 if row["a"] == row["b"] else 2]:
-                    n = side.astype(np.float64) @ copies[far].astype(np.float64)
-                    at = np.flatnonzero(n)
-                    counts[k] = (ids[k][at], n[at].astype(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([*(c[0] for c in counts.values()), node])),
-                     pa.array(np.concatenate([*(c[1] for c in counts.values()), np.zeros(len(node), np.int64)])),
-                     pa.array(np.concatenate([*(c[0] for c in counts.values()), label]))],
-                    names=["id", "links", "label"])
-
-    return shipped.mapInArrow(run, "id long, links long, label long")
+            for row in range(batch.num_rows):
+                pos = [batch.column(f"{p}_pos")[row].as_py() for p in "ab"]
+                if pos[0] != a_pos:
+                    if a is not None:
+                        yield rows(*a.found())
+                    a_pos, a = pos[0], opened(batch, row, "a")
+                if pos[0] == pos[1]:
+                    b = a
+                elif pos[1] in held:
+                    b = held[pos[1]]
+                else:
+                    b = opened(batch, row, "b")
+                    if size + b.raw.nbytes <= 2 * TILE_BYTES:
+                        held[pos[1]], size = b, size + b.raw.nbytes
+                for i, j in linked(a, b, cosine, eps):
+                    if a is b:
+                        i, j = i[i != j], j[i != j]
+                    a.links += np.bincount(i, b.copies[j], len(a.ids)).astype(np.int64)
+                    if a is not b:
+                        b.links += np.bincount(j, a.copies[i], len(b.ids)).astype(np.int64)
+                    ties += spanning(a, b, i, j)
+                    if sum(map(len, ties)) > PIECE:
+                        yield tied()
+                if b is not a and pos[1] not in held:
+                    yield rows(*b.found())
+        for block in (*held.values(), *([a] if a is not None else [])):
+            yield rows(*block.found())
+        if ties:
+            yield tied()
+
+    return met.mapInArrow(run, "id long, links long, label long")
 
 
 def join_vectors(rows: DataFrame, cosine: float = COSINE, lead: int = LEAD, block: int = BLOCK) -> DataFrame:
@@ -233,12 +336,15 @@ def join_vectors(rows: DataFrame, cosine: float = COSINE, lead: int = LEAD, bloc
     good, alone = rows.filter(fits), rows.filter(~fits).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
         F.lit(True).alias("kept"))
-    classes = stage(good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "grid-classes")
+    keyed = good.select("vec_id", F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g"), F.size("v").alias("dim"))
+    classes = stage(keyed.groupBy("h", "g", "dim").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")),
+                    "grid-classes")
     found = None
-    for (dim,) in classes.select(F.size("v")).distinct().orderBy(F.size("v")).collect():
-        same = classes.filter(F.size("v") == dim)
-        axes = directions(same, dim, lead)
-        sequence = blocks(same, dim, eps, axes, block)
+    for dim, n in classes.groupBy("dim").count().orderBy("dim").collect():
+        same = good.filter(F.size("v") == dim)
+        axes = directions(same, dim, dim)
+        vertices = same.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
+        sequence = blocks(vertices, dim, eps, axes[:, :lead], block, n)
         part = compare(sequence, near_pairs(sequence, eps), axes, cosine, eps)
         found = part if found is None else found.union(part)
     if found is None:
@@ -246,11 +352,15 @@ def join_vectors(rows: DataFrame, cosine: float = COSINE, lead: int = LEAD, bloc
     found = stage(found, "grid-links")
     labels = components(found.filter("id <> label").select(F.col("id").alias("u"), F.col("label").alias("v")))
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
-    known = stage(classes.join(sums, "id", "left").join(labels.withColumnRenamed("node", "id"), "id", "left")
-                  .select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                          F.coalesce("label", "id").alias("component_id")), "grid-known")
-    return good.join(known, "v").select(
-        "vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")).union(alone)
+    sums = sums.join(labels.withColumnRenamed("node", "id"), "id", "left")
+    # the others have one copy and no link
+    known = join_small(classes, sums, "id", "left").filter("copies > 1 or links is not null").select(
+        "h", "g", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("label", "id").alias("component_id"))
+    component = F.coalesce("component_id", "vec_id")
+    return join_small(keyed, known, ["h", "g"], "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        (F.col("vec_id") == component).alias("kept")).union(alone)
 
 
 def op6_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
